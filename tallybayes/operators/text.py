@@ -76,3 +76,34 @@ def vectorize(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
     w = Window.partitionBy(*id_cols).orderBy("pos")
     return kept.select(*id_cols, (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
                        F.col("idx").cast("bigint").alias("idx"))
+
+
+def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
+                 label_col: str = "label", test_flag: str = "is_test", min_df: int = 1,
+                 handle_unknown: str = "error") -> DataFrame:
+    """Fit vocabulary and label index on train rows (``test_flag`` = 0), apply
+    to all rows: ``(ids…, is_test, label, label_idx, n_words, sum_idx)``.
+
+    ``n_words`` = kept (in-vocabulary) tokens, ``sum_idx`` = sum of their
+    indices (a checksum of the vectorized form).  ``handle_unknown`` for a
+    label absent from train: ``error`` (fail the job), ``skip`` (drop the row)
+    or ``keep`` (label_idx NULL).
+    """
+    train = docs.filter(F.col(test_flag) == 0)
+    vocab = vocabulary(doc_term_counts(train, id_cols, text_col), min_df=min_df)
+    labels = label_index(train, label_col).withColumnRenamed("idx", "label_idx")
+    bags = doc_term_counts(docs, id_cols, text_col)
+    per_doc = bags.join(vocab.select("term", "idx"), "term").groupBy(*id_cols).agg(
+        F.sum("tf").alias("n_words"), F.sum(F.col("tf") * F.col("idx")).alias("sum_idx"))
+    how = "inner" if handle_unknown == "skip" else "left"
+    out = (docs.select(*id_cols, test_flag, F.col(label_col).cast("string").alias("label"))
+           .join(labels, "label", how)
+           .join(per_doc, list(id_cols), "left")
+           .withColumn("n_words", F.coalesce("n_words", F.lit(0)).cast("bigint"))
+           .withColumn("sum_idx", F.coalesce("sum_idx", F.lit(0)).cast("bigint")))
+    if handle_unknown == "error":
+        out = out.withColumn("label_idx", F.when(
+            F.col("label_idx").isNull(),
+            F.raise_error(F.concat(F.lit("label unseen in train: "), F.col("label")))
+        ).otherwise(F.col("label_idx")).cast("bigint"))
+    return out
