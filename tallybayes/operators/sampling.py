@@ -79,7 +79,8 @@ def replicate(df: DataFrame, factor: int, replica_col: str = "replica") -> DataF
     A generator per row, not a join: the copies are made where the row is.
     """
     f = max(int(factor), 1)
-    return df.withColumn(replica_col, F.explode(F.sequence(F.lit(0), F.lit(f - 1))).cast("bigint"))
+    return df.withColumn(replica_col, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                           F.lit(f - 1).cast("bigint"))))
 
 
 def ordered_split(df: DataFrame, order_col: str, n_train: int, flag_col: str = "is_test",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallybayes.plans import text_plans
+from tallybayes.plans import eval_plans, text_plans
 
-_MODULES = [text_plans]
+_MODULES = [text_plans, eval_plans]
 
 
 def queries() -> dict:
