@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import fixed_log
 from tallybayes.functions.text import bag_rows
 from tallybayes.operators import scoring
-from tallybayes.operators.model import MultinomialModel
+from tallybayes.operators.model import MultinomialModel, materialize
 
 
 def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequence[str],
@@ -59,3 +59,176 @@ def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequenc
         (F.col("factor") * n_train).cast("bigint").alias("n_train"),
         (F.col("factor") * F.col("_n")).cast("bigint").alias("n_test"),
         (F.col("_hits").cast("double") / F.col("_n")).alias("accuracy"))
+
+
+def _fold_lookup(values_by_fold: Sequence, dtype: str, fold_col: str = "fold") -> Column:
+    """Pick a per-fold constant: ``values_by_fold[fold]`` as an expression."""
+    arr = F.array(*[F.lit(v).cast(dtype) for v in values_by_fold])
+    return F.element_at(arr, F.col(fold_col).cast("int") + 1)
+
+
+def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
+                               fold_col: str = "fold", label_col: str = "label",
+                               text_col: str = "text", alpha: float = 1.0, min_df: int = 1,
+                               labels: Sequence[str] | None = None,
+                               materialize_as: str = "cache") -> DataFrame:
+    """k-fold cross-validation of the multinomial model in one plan.
+
+    The corpus is counted once by (fold, class, term); the training counts of
+    the model that holds out fold f are ``total - fold f`` (likewise document
+    frequencies, so each fold keeps its own vocabulary, V and totals).  Every
+    document is scored once, by the model that did not see it.
+    Output ``(ids…, fold, label, prediction, score)``.
+    """
+    spark = docs.sparkSession
+    a = float(alpha)
+    d = docs.select(*id_cols, F.col(fold_col).cast("int").alias("fold"),
+                    F.col(label_col).cast("string").alias("label"), text_col)
+    bags = materialize(bag_rows(d, text_col, [*id_cols, "fold", "label"]), materialize_as,
+                       "cv-bags")
+    per_fold = bags.groupBy("fold", "label", "term").agg(
+        F.sum("tf").alias("f_cnt"), F.count(F.lit(1)).alias("f_df"))
+    total = per_fold.groupBy("label", "term").agg(
+        F.sum("f_cnt").alias("a_cnt"), F.sum("f_df").alias("a_df"))
+    train = (total.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+             .join(per_fold, ["fold", "label", "term"], "left")
+             .select("fold", "label", "term",
+                     (F.col("a_cnt") - F.coalesce("f_cnt", F.lit(0))).alias("cnt"),
+                     (F.col("a_df") - F.coalesce("f_df", F.lit(0))).alias("df_c"))
+             .filter(F.col("cnt") > 0))
+    vocab = train.groupBy("fold", "term").agg(F.sum("df_c").alias("df"))
+    if min_df > 1:
+        vocab = vocab.filter(F.col("df") >= min_df)
+        kept = train.join(vocab.select("fold", "term"), ["fold", "term"], "left_semi")
+    else:
+        kept = train
+    kept = materialize(kept, materialize_as, "cv-kept")
+    v_f = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("v"))
+    totals = kept.groupBy("fold", "label").agg(F.sum("cnt").alias("n_tokens"))
+    n_fold = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
+    n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
+    label_list = sorted({str(l) for l in labels}) if labels is not None else \
+        sorted(r["label"] for r in n_all.select("label").collect())
+    grid = spark.createDataFrame(
+        [(f, l, i) for f in range(k) for i, l in enumerate(label_list)],
+        "fold int, label string, label_idx int")
+    by_fold = Window.partitionBy("fold")
+    stats = (grid.join(n_all, "label", "left").join(n_fold, ["fold", "label"], "left")
+             .join(totals, ["fold", "label"], "left").join(v_f, "fold", "left")
+             .select("fold", "label", "label_idx",
+                     (F.coalesce("n_all", F.lit(0)) - F.coalesce("n_in_fold", F.lit(0)))
+                     .cast("bigint").alias("n_docs"),
+                     F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
+                     F.coalesce("v", F.lit(0)).cast("bigint").alias("v"))
+             .withColumn("n", F.sum("n_docs").over(by_fold))
+             .withColumn("prior_q", fixed_log(F.col("n_docs").cast("double") / F.col("n")))
+             .withColumn("default_q", fixed_log(F.lit(a) / (F.col("n_tokens") + F.lit(a) * F.col("v")))))
+    rows = stats.collect()
+    cell = {(r["fold"], r["label_idx"]): r for r in rows}
+    c_n = len(label_list)
+    st = spark.createDataFrame(rows, stats.schema).select(
+        "fold", "label", "label_idx", "n_tokens", "v", "default_q")
+    ll = fixed_log((F.col("cnt") + F.lit(a)) / (F.col("n_tokens") + F.lit(a) * F.col("v")))
+    table = (kept.join(st, ["fold", "label"])
+             .withColumn("delta", ll - F.col("default_q"))
+             .groupBy("fold", "term").agg(*[
+                 F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col("delta"))),
+                            F.lit(0).cast("bigint")).alias(f"d{c}") for c in range(c_n)]))
+    priors = [_fold_lookup([cell[(f, c)]["prior_q"] for f in range(k)], "bigint") for c in range(c_n)]
+    defaults = [_fold_lookup([cell[(f, c)]["default_q"] for f in range(k)], "bigint")
+                for c in range(c_n)]
+    ids = [*id_cols, "fold"]
+    scored = scoring.score_wide(bags.select(*ids, "term", "tf"), ["fold", "term"], table,
+                                d.select(*ids, "label"), ids, priors, defaults)
+    best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
+    return scoring.finish(scored, best, label_list, [*ids, "label"])
+
+
+def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "fold",
+                               alpha: float = 1.0, labels: Sequence[str] | None = None,
+                               materialize_as: str = "cache") -> DataFrame:
+    """k-fold cross-validation of the categorical model in one plan.
+
+    Bin bounds depend on the held-out fold (train-only min/max), so a row is
+    binned once as a test row (its own fold) and once per other fold as a
+    training row; the copies are made in the task and collapse in the
+    partial (map-side) count, so the shuffle carries only feature counts.
+    Classes use the global label set; a class absent from a training fold
+    gets prior -inf.  Output ``(ids…, fold, label, prediction, score)``.
+    """
+    from tallybayes.operators.tabular import discretize, tabular_features
+
+    spark = rows.sparkSession
+    a = float(alpha)
+    r = rows.select(*spec.id_cols, F.col(fold_col).cast("int").alias("fold"),
+                    F.col(spec.label_col).cast("string").alias("label"), *spec.attrs)
+    # train-only bounds per held-out fold, from k x attrs partial bounds
+    mm = r.groupBy("fold").agg(*[x for c in spec.continuous for x in (
+        F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
+        F.max(F.col(c).cast("double")).alias(f"hi_{c}"))]).collect()
+    part = {m["fold"]: m for m in mm}
+    bounds = {}
+    for c in spec.continuous:
+        los, his = [], []
+        for h in range(k):
+            vals = [part[g] for g in part if g != h]
+            los.append(min(v[f"lo_{c}"] for v in vals) if vals else 0.0)
+            his.append(max(v[f"hi_{c}"] for v in vals) if vals else 0.0)
+        bounds[c] = (_fold_lookup(los, "double", "h"), _fold_lookup(his, "double", "h"))
+    copies = r.withColumn("h", F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
+                                                  lambda x: x != F.col("fold"))))
+    train_feats = tabular_features(discretize(copies, spec, bounds), spec, keep=["label", "h"])
+    counts = materialize(train_feats.groupBy("h", "label", "attr", "value")
+                         .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cv-cat-counts")
+    n_fold = r.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
+    n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
+    label_list = sorted({str(l) for l in labels}) if labels is not None else \
+        sorted(x["label"] for x in n_all.select("label").collect())
+    grid = spark.createDataFrame([(h, l, i) for h in range(k) for i, l in enumerate(label_list)],
+                                 "h int, label string, label_idx int")
+    stats = (grid.join(n_all, "label", "left")
+             .join(n_fold.withColumnRenamed("fold", "h"), ["h", "label"], "left")
+             .select("h", "label", "label_idx",
+                     (F.coalesce("n_all", F.lit(0)) - F.coalesce("n_in_fold", F.lit(0)))
+                     .cast("bigint").alias("n_rows"))
+             .withColumn("n", F.sum("n_rows").over(Window.partitionBy("h")))
+             .withColumn("prior_q", fixed_log(F.col("n_rows").cast("double") / F.col("n"))))
+    srows = stats.collect()
+    cell = {(x["h"], x["label_idx"]): x for x in srows}
+    c_n = len(label_list)
+    domains = counts.groupBy("h", "attr").agg(F.count_distinct("value").alias("n_values"))
+    wide = counts.groupBy("h", "attr", "value").agg(*[
+        F.coalesce(F.sum(F.when(F.col("label") == l, F.col("cnt"))), F.lit(0)).alias(f"c{c}")
+        for c, l in enumerate(label_list)]).join(domains, ["h", "attr"])
+    for c in range(c_n):
+        n_c = _fold_lookup([float(cell[(h, c)]["n_rows"]) for h in range(k)], "double", "h")
+        wide = wide.withColumn(f"d{c}", fixed_log(
+            (F.col(f"c{c}") + F.lit(a)) / (n_c + F.lit(a) * F.col("n_values"))))
+    table = wide.select("h", "attr", "value", *[f"d{c}" for c in range(c_n)])
+    test = r.withColumn("h", F.col("fold"))
+    test_feats = tabular_features(discretize(test, spec, bounds), spec, keep=["h"]) \
+        .withColumn("tf", F.lit(1).cast("bigint"))
+    priors = [_fold_lookup([cell[(h, c)]["prior_q"] for h in range(k)], "bigint", "h")
+              for c in range(c_n)]
+    zeros = [F.lit(0).cast("bigint")] * c_n
+    ids = [*spec.id_cols, "h"]
+    scored = scoring.score_wide(test_feats.select(*ids, "attr", "value", "tf"),
+                                ["h", "attr", "value"], table,
+                                test.select(*ids, "label"), ids, priors, zeros)
+    best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
+    out = scoring.finish(scored, best, label_list, [*ids, "label"])
+    return out.withColumnRenamed("h", "fold")
+
+
+def fold_accuracy(pred: DataFrame) -> DataFrame:
+    """``(fold, n, n_correct, accuracy)`` per fold."""
+    return pred.groupBy(F.col("fold").cast("bigint").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((F.col("label") == F.col("prediction")).cast("bigint")).alias("n_correct"),
+    ).withColumn("accuracy", F.col("n_correct").cast("double") / F.col("n"))
+
+
+def mean_std(per_fold: DataFrame, value: str = "accuracy") -> DataFrame:
+    """One row ``(folds, mean, std)``; population std, 0 for a single value."""
+    return per_fold.agg(F.count(F.lit(1)).alias("folds"), F.avg(value).alias("mean"),
+                        F.coalesce(F.stddev_pop(value), F.lit(0.0)).alias("std"))
