@@ -35,13 +35,13 @@ def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFram
     s = df.select(*keep, F.sort_array(tokens(text_col)).alias("_s"))
     st = s.select(*keep, "_s", F.filter(
         F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
-        lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", i - 1)),
+        lambda i: (i == 1) | (F.try_element_at("_s", i) != F.try_element_at("_s", i - 1)),
     ).alias("_st"))
     b = st.select(*keep, "_s", F.concat("_st", F.array(F.size("_s") + 1)).alias("_b"),
                   F.when(F.size("_s") > 0, F.size("_st")).otherwise(0).alias("_m"))
     return b.select(*keep, F.inline(F.transform(
         F.sequence(F.lit(1), F.greatest("_m", F.lit(1))),
         lambda j: F.struct(
-            F.element_at("_s", F.element_at("_b", j)).alias("term"),
-            (F.element_at("_b", j + 1) - F.element_at("_b", j)).cast("bigint").alias("tf")),
+            F.try_element_at("_s", F.try_element_at("_b", j)).alias("term"),
+            (F.try_element_at("_b", j + 1) - F.try_element_at("_b", j)).cast("bigint").alias("tf")),
     ))).filter(F.col("term").isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybayes.operators.sampling import hash_fold
+from tallybayes.sources.tables import read_table
 
 # Fixed values for the plans (mirrored in the SQL oracles).
 SEED = 42
@@ -26,7 +27,7 @@ LINEITEM_CONTINUOUS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def lang_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
