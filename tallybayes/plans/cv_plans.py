@@ -24,6 +24,7 @@ from tallybayes.plans.fixtures import (
     LINEITEM_ATTRS,
     LINEITEM_CONTINUOUS,
     LINEITEM_ID,
+    LINEITEM_ROW,
     N_BINS,
     SEED,
     lang_docs,
@@ -33,7 +34,7 @@ from tallybayes.plans.tabular_plans import SPEC, _bin_sql
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-IDS = ", ".join(LINEITEM_ID)
+IDS = ", ".join(LINEITEM_ROW)
 
 
 def register(name, oracle=None):
@@ -116,8 +117,8 @@ def _tab_cv_sql() -> str:
     unions = "\n  UNION ALL ".join(
         f"SELECT {IDS}, label, h, is_test, {i}::BIGINT AS attr, CAST({c} AS VARCHAR) AS value FROM binned"
         for i, c in enumerate(LINEITEM_ATTRS))
-    on_ids = " AND ".join(f"f.{k} = t.{k}" for k in LINEITEM_ID)
-    t_ids = ", ".join(f"t.{k}" for k in LINEITEM_ID)
+    on_ids = " AND ".join(f"f.{k} = t.{k}" for k in LINEITEM_ROW)
+    t_ids = ", ".join(f"t.{k}" for k in LINEITEM_ROW)
     return f"""WITH li AS (SELECT {IDS}, l_returnflag AS label, {', '.join(LINEITEM_ATTRS)},
        {S.fold_of(*LINEITEM_ID, k=K_TAB)} AS fold FROM lineitem),
 folds AS (SELECT unnest(range({K_TAB}))::BIGINT AS h),
@@ -168,7 +169,7 @@ pm2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall /
 
 def _tab_cv(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    rows = li.select(*LINEITEM_ID, F.col("l_returnflag").alias("label"), *LINEITEM_ATTRS,
+    rows = li.select(*LINEITEM_ROW, F.col("l_returnflag").alias("label"), *LINEITEM_ATTRS,
                      hash_fold(LINEITEM_ID, K_TAB, SEED).alias("fold"))
     return cross_validate_categorical(rows, SPEC, K_TAB, alpha=ALPHA)
 

@@ -22,6 +22,9 @@ FACTORS = (1, 2, 4, 8)
 
 # Tabular fixture: lineitem, label l_returnflag, attribute order below.
 LINEITEM_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# The 4-column key repeats once at sf0.001; with the ship date it is unique at
+# every scale, so rows are identified by LINEITEM_ROW (folds hash LINEITEM_ID).
+LINEITEM_ROW = LINEITEM_ID + ["l_shipdate"]
 LINEITEM_ATTRS = ["l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINEITEM_CONTINUOUS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -48,5 +51,5 @@ def quality_docs(spark: SparkSession, sf_dir: str, target: str = "quality") -> D
 def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with ``label`` and ``fold`` (5-fold hash on the 4-column key)."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(*LINEITEM_ID, F.col("l_returnflag").alias("label"), *LINEITEM_ATTRS,
+    return li.select(*LINEITEM_ROW, F.col("l_returnflag").alias("label"), *LINEITEM_ATTRS,
                      hash_fold(LINEITEM_ID, K, SEED).alias("fold"))

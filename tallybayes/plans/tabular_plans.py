@@ -22,6 +22,7 @@ from tallybayes.plans.fixtures import (
     LINEITEM_ATTRS,
     LINEITEM_CONTINUOUS,
     LINEITEM_ID,
+    LINEITEM_ROW,
     N_BINS,
     TEST_FOLD,
     lineitem_rows,
@@ -30,9 +31,10 @@ from tallybayes.plans.fixtures import (
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-SPEC = TabularSpec(id_cols=LINEITEM_ID, attrs=LINEITEM_ATTRS, continuous=LINEITEM_CONTINUOUS,
+SPEC = TabularSpec(id_cols=LINEITEM_ROW, attrs=LINEITEM_ATTRS, continuous=LINEITEM_CONTINUOUS,
                    label_col="label", n_bins=N_BINS)
 IDS = ", ".join(LINEITEM_ID)
+ROW = ", ".join(LINEITEM_ROW)
 
 
 def register(name, oracle=None):
@@ -57,13 +59,13 @@ def _feature_sql() -> str:
     mm = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LINEITEM_CONTINUOUS)
     bins = ", ".join(f"{_bin_sql(c, 'lo_' + c, 'hi_' + c)} AS {c}" for c in LINEITEM_CONTINUOUS)
     unions = "\n  UNION ALL ".join(
-        f"SELECT {IDS}, label, fold, {i}::BIGINT AS attr, CAST({c} AS VARCHAR) AS value FROM binned"
+        f"SELECT {ROW}, label, fold, {i}::BIGINT AS attr, CAST({c} AS VARCHAR) AS value FROM binned"
         for i, c in enumerate(LINEITEM_ATTRS))
     cat = [c for c in LINEITEM_ATTRS if c not in LINEITEM_CONTINUOUS]
-    return f"""li AS (SELECT {IDS}, l_returnflag AS label, {', '.join(LINEITEM_ATTRS)},
+    return f"""li AS (SELECT {ROW}, l_returnflag AS label, {', '.join(LINEITEM_ATTRS)},
        {S.fold_of(*LINEITEM_ID)} AS fold FROM lineitem),
 mm AS (SELECT {mm} FROM li WHERE fold <> 0),
-binned AS (SELECT {IDS}, label, fold, {', '.join(cat)}, {bins} FROM li CROSS JOIN mm),
+binned AS (SELECT {ROW}, label, fold, {', '.join(cat)}, {bins} FROM li CROSS JOIN mm),
 feats AS ({unions}),
 trf AS (SELECT * FROM feats WHERE fold <> 0),
 tef AS (SELECT * FROM feats WHERE fold = 0)"""
@@ -180,15 +182,16 @@ def q_cat_log_likelihood(spark, sf_dir):
 @register("cat_predict", f"""WITH {_model_sql()},
 te AS (SELECT * FROM li WHERE fold = 0),
 sc AS (
-  SELECT {', '.join('t.' + c for c in LINEITEM_ID)}, t.label, c.label AS cls, c.label_idx,
+  SELECT {', '.join('t.' + c for c in LINEITEM_ROW)}, t.label, c.label AS cls, c.label_idx,
          (c.prior_q + coalesce(sum(d.ll_q), 0))::BIGINT AS score_q
   FROM te t CROSS JOIN cls c
-  LEFT JOIN tef f ON {' AND '.join(f'f.{k} = t.{k}' for k in LINEITEM_ID)}
+  LEFT JOIN tef f ON {' AND '.join(f'f.{k} = t.{k}' for k in LINEITEM_ROW)}
   LEFT JOIN dense2 d ON d.label = c.label AND d.attr = f.attr AND d.value = f.value
-  GROUP BY {', '.join('t.' + c for c in LINEITEM_ID)}, t.label, c.label, c.label_idx, c.prior_q),
-r AS (SELECT *, row_number() OVER (PARTITION BY {IDS} ORDER BY score_q DESC NULLS LAST, label_idx) AS rk FROM sc)
+  GROUP BY {', '.join('t.' + c for c in LINEITEM_ROW)}, t.label, c.label, c.label_idx, c.prior_q),
+r AS (SELECT *, row_number() OVER (PARTITION BY {ROW} ORDER BY score_q DESC NULLS LAST, label_idx) AS rk FROM sc)
 SELECT {IDS}, label, cls AS prediction, {S.from_fixed('score_q')} AS score FROM r WHERE rk = 1""")
 def q_cat_predict(spark, sf_dir):
     m, rows, tef = _cat_model(spark, sf_dir)
     test_rows = rows.filter(F.col("fold") == TEST_FOLD)
-    return m.transform(tef, test_rows, LINEITEM_ID, keep=["label"])
+    out = m.transform(tef, test_rows, LINEITEM_ROW, keep=["label"])
+    return out.select(*LINEITEM_ID, "label", "prediction", "score")
