@@ -184,26 +184,32 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
         kept = counts
     class_counts = train.groupBy(F.col(label_col).cast("string").alias("label")) \
         .agg(F.count(F.lit(1)).alias("n_docs"))
-    label_list = _resolve_labels(spark, class_counts, labels)
     totals = kept.groupBy("label").agg(F.sum("cnt").alias("n_tokens"))
     v = vocab.select(F.count(F.lit(1))).scalar()
-    n = class_counts.select(F.sum("n_docs")).scalar()
+    # one job: the per-class integer aggregates (one row per class) and V
+    summary = class_counts.join(totals, "label", "full").select(
+        "label", F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
+        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), v.alias("v")).collect()
+    if len(summary) > MAX_CLASSES:
+        raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
+    found = {r["label"]: r for r in summary}
+    label_list = sorted({str(l) for l in labels}) if labels is not None else sorted(found)
+    vocab_size = int(summary[0]["v"]) if summary else 0
+    n_docs = int(sum(r["n_docs"] for r in summary))
+    local = spark.createDataFrame(
+        [(l, i, int(found[l]["n_docs"]) if l in found else 0,
+          int(found[l]["n_tokens"]) if l in found else 0, vocab_size, n_docs)
+         for i, l in enumerate(label_list)],
+        "label string, label_idx int, n_docs bigint, n_tokens bigint, _v bigint, _n bigint")
     a = F.lit(float(alpha))
     stats = (
-        _class_frame(spark, label_list)
-        .join(class_counts, "label", "left").join(totals, "label", "left")
-        .select("label", "label_idx",
-                F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"),
-                F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
-                v.cast("bigint").alias("_v"), n.cast("bigint").alias("_n"))
+        local
         .withColumn("log_prior", safe_ln(F.col("n_docs").cast("double") / F.col("_n")))
         .withColumn("prior_q", fixed_log(F.col("n_docs").cast("double") / F.col("_n")))
         .withColumn("log_default", safe_ln(a / (F.col("n_tokens") + a * F.col("_v"))))
         .withColumn("default_q", fixed_log(a / (F.col("n_tokens") + a * F.col("_v"))))
     )
-    rows = stats.orderBy("label_idx").collect()
-    vocab_size = rows[0]["_v"] if rows else 0
-    n_docs = rows[0]["_n"] if rows else 0
+    rows = stats.collect()  # local relation: evaluated on the driver, no tasks
     class_stats = spark.createDataFrame(rows, stats.schema).drop("_v", "_n")
     cls = class_stats.select("label", "label_idx", "n_tokens", "default_q")
     term_stats = (
@@ -274,20 +280,22 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     counts = materialize(
         feats.groupBy(F.col("label").cast("string").alias("label"), "attr", "value")
         .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cat-counts")
-    class_counts = rows.groupBy(F.col("label").cast("string").alias("label")) \
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    label_list = _resolve_labels(spark, class_counts, labels)
-    n = class_counts.select(F.sum("n_rows")).scalar()
+    summary = rows.groupBy(F.col("label").cast("string").alias("label")) \
+        .agg(F.count(F.lit(1)).alias("n_rows")).collect()
+    if len(summary) > MAX_CLASSES:
+        raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
+    found = {r["label"]: int(r["n_rows"]) for r in summary}
+    label_list = sorted({str(l) for l in labels}) if labels is not None else sorted(found)
+    n = int(sum(found.values()))
     a = F.lit(float(alpha))
     stats = (
-        _class_frame(spark, label_list).join(class_counts, "label", "left")
-        .select("label", "label_idx", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
-                n.cast("bigint").alias("_n"))
+        spark.createDataFrame([(l, i, found.get(l, 0), n) for i, l in enumerate(label_list)],
+                              "label string, label_idx int, n_rows bigint, _n bigint")
         .withColumn("log_prior", safe_ln(F.col("n_rows").cast("double") / F.col("_n")))
         .withColumn("prior_q", fixed_log(F.col("n_rows").cast("double") / F.col("_n")))
         .withColumn("log_default", safe_ln(a / (F.col("n_rows") + a)))
     )
-    rows_c = stats.orderBy("label_idx").collect()
+    rows_c = stats.collect()
     class_stats = spark.createDataFrame(rows_c, stats.schema).drop("_n")
     domains = counts.groupBy("attr").agg(F.count_distinct("value").alias("n_values"))
     cnt_cols = [F.coalesce(F.sum(F.when(F.col("label") == l, F.col("cnt"))), F.lit(0))

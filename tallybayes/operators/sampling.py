@@ -67,7 +67,7 @@ def stratified_split(df: DataFrame, key: Sequence[str] | str, label_col: str = "
                             .otherwise(0)).alias("_quota"))
     )
     ranked = _hash_rank(df, key, seed, group=[label_col])
-    return (ranked.join(F.broadcast(quota), label_col)
+    return (ranked.join(quota, label_col)
             .withColumn(flag_col, F.when(F.col("_rank") <= F.col("_quota"), 1).otherwise(0)
                         .cast("bigint"))
             .drop("_rank", "_quota"))
