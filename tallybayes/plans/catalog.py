@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from tallybayes.plans import cv_plans, eval_plans, source_plans, tabular_plans, text_plans
+from tallybayes.plans import (
+    cv_plans,
+    eval_plans,
+    source_plans,
+    stream_plans,
+    tabular_plans,
+    text_plans,
+)
 
-_MODULES = [text_plans, eval_plans, tabular_plans, cv_plans, source_plans]
+_MODULES = [text_plans, eval_plans, tabular_plans, cv_plans, source_plans, stream_plans]
 
 
 def queries() -> dict:
