@@ -75,11 +75,20 @@ class MultinomialModel:
     counts: DataFrame = field(repr=False)       # label, term, cnt, df_c (all train terms)
     vocab: DataFrame = field(repr=False)        # term, df  (df >= min_df)
     term_stats: DataFrame = field(repr=False)   # label, label_idx, term, cnt, log_likelihood, ll_q, delta
+    vocab_bytes: int | None = None              # total UTF-8 bytes of the vocabulary terms
+    salt: int | None = None                     # salt buckets for the shuffle join (None: default)
 
     @property
     def n_classes(self) -> int:
         return len(self.labels)
 
+    def table_bytes(self, columns_per_term: int | None = None) -> int | None:
+        """Upper estimate of the wide term table: exact V, C and term bytes."""
+        if self.vocab_bytes is None:
+            return None
+        cols = self.n_classes if columns_per_term is None else columns_per_term
+        return int(self.vocab_bytes + self.vocab_size * (8 * cols + 48))
+
     def priors(self) -> list[Column]:
         return [F.lit(r["prior_q"]).cast("bigint") for r in self.class_rows]
 
@@ -102,7 +111,8 @@ class MultinomialModel:
         """``(ids…, keep…, _q0.._q{C-1})`` fixed-point class scores (wide strategy)."""
         keys = docs.select(*id_cols, *keep)
         return scoring.score_wide(self._bags(docs, id_cols, text_col), ["term"], self.term_table(),
-                                  keys, id_cols, self.priors(), self.defaults())
+                                  keys, id_cols, self.priors(), self.defaults(),
+                                  table_bytes=self.table_bytes(), salt=self.salt)
 
     def transform(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                   keep: Sequence[str] = (), strategy: str = "wide") -> DataFrame:
@@ -186,15 +196,18 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
         .agg(F.count(F.lit(1)).alias("n_docs"))
     totals = kept.groupBy("label").agg(F.sum("cnt").alias("n_tokens"))
     v = vocab.select(F.count(F.lit(1))).scalar()
-    # one job: the per-class integer aggregates (one row per class) and V
+    vb = vocab.select(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).scalar()
+    # one job: the per-class integer aggregates (one row per class), V and term bytes
     summary = class_counts.join(totals, "label", "full").select(
         "label", F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
-        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), v.alias("v")).collect()
+        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), v.alias("v"),
+        vb.alias("vb")).collect()
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: r for r in summary}
     label_list = sorted({str(l) for l in labels}) if labels is not None else sorted(found)
     vocab_size = int(summary[0]["v"]) if summary else 0
+    vocab_bytes = int(summary[0]["vb"]) if summary else 0
     n_docs = int(sum(r["n_docs"] for r in summary))
     local = spark.createDataFrame(
         [(l, i, int(found[l]["n_docs"]) if l in found else 0,
@@ -225,7 +238,7 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     return MultinomialModel(alpha=alpha, min_df=min_df, labels=label_list,
                             vocab_size=int(vocab_size or 0), n_docs=int(n_docs or 0),
                             class_stats=class_stats, class_rows=rows, counts=counts,
-                            vocab=vocab, term_stats=term_stats)
+                            vocab=vocab, term_stats=term_stats, vocab_bytes=vocab_bytes)
 
 
 # ---------------------------------------------------------------------------
@@ -240,6 +253,8 @@ class CategoricalModel:
     counts: DataFrame = field(repr=False)      # label, attr, value, cnt
     domains: DataFrame = field(repr=False)     # attr, n_values
     features: DataFrame = field(repr=False)    # attr, value, c0.., d0.. (wide, dense)
+    table_bytes: int | None = None             # upper estimate of the feature table
+    salt: int | None = None
 
     @property
     def n_classes(self) -> int:
@@ -264,7 +279,8 @@ class CategoricalModel:
         zeros = [F.lit(0).cast("bigint")] * n
         keep_all = [*id_cols, *[k for k in keep if k not in id_cols]]
         scored = scoring.score_wide(bags, ["attr", "value"], table, rows.select(*keep_all),
-                                    id_cols, priors, zeros)
+                                    id_cols, priors, zeros, table_bytes=self.table_bytes,
+                                    salt=self.salt)
         best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(n)])
         return scoring.finish(scored, best, self.labels, keep_all)
 
@@ -280,8 +296,11 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     counts = materialize(
         feats.groupBy(F.col("label").cast("string").alias("label"), "attr", "value")
         .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cat-counts")
+    feat_n = counts.select("attr", "value").distinct().select(F.count(F.lit(1))).scalar()
+    feat_b = counts.select(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).scalar()
     summary = rows.groupBy(F.col("label").cast("string").alias("label")) \
-        .agg(F.count(F.lit(1)).alias("n_rows")).collect()
+        .agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select("label", "n_rows", feat_n.alias("fn"), feat_b.alias("fb")).collect()
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: int(r["n_rows"]) for r in summary}
@@ -304,5 +323,8 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     for c, r in enumerate(rows_c):
         p = (F.col(f"c{c}") + a) / (F.lit(float(r["n_rows"])) + a * F.col("n_values"))
         wide = wide.withColumn(f"l{c}", safe_ln(p)).withColumn(f"d{c}", fixed_log(p))
+    table_bytes = (int(summary[0]["fb"]) + int(summary[0]["fn"]) * (8 * len(label_list) + 64)
+                   if summary else None)
     return CategoricalModel(alpha=alpha, labels=label_list, class_stats=class_stats,
-                            class_rows=rows_c, counts=counts, domains=domains, features=wide)
+                            class_rows=rows_c, counts=counts, domains=domains, features=wide,
+                            table_bytes=table_bytes)

@@ -30,6 +30,10 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import from_fixed
 
+# Salt buckets for the shuffle join when the model table is too big to
+# broadcast (override per session with spark.tallybayes.saltBuckets).
+DEFAULT_SALT_BUCKETS = 16
+
 
 def _class_score(prior: Column, default: Column, length: Column, delta_sum: Column) -> Column:
     base = F.when(length > 0, length * default).otherwise(F.lit(0).cast("bigint"))
@@ -60,16 +64,54 @@ def finish(scored: DataFrame, best: Column, labels: Sequence[str], keep: Sequenc
     )
 
 
+def broadcast_limit(spark) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(str(v).lower().replace("b", ""))
+    except ValueError:
+        return 10 * 1024 * 1024
+
+
+def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
+               id_cols: Sequence[str], table_bytes: int | None, salt: int | None = None) -> DataFrame:
+    """Join row features to a model table keyed by ``key_cols``.
+
+    ``table_bytes`` is an upper estimate of the table from exact model sizes
+    (V, C, term bytes).  Under the session's broadcast threshold the table is
+    broadcast, so rows are scored where they were read.  Above it the join is
+    a shuffle join salted by row id: the table is replicated ``salt`` times
+    and each row picks one copy, so a term present in a third of all rows
+    is spread over ``salt`` tasks.  (The table comes out of an aggregation
+    already partitioned by key, which AQE's skew-join split cannot cut.)
+    Unknown size: plain join, AQE decides.
+    """
+    spark = bags.sparkSession
+    keys = list(key_cols)
+    if table_bytes is None:
+        return bags.join(table, keys)
+    limit = broadcast_limit(spark)
+    if 0 < table_bytes <= limit:
+        return bags.join(F.broadcast(table), keys)
+    s = salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))
+    if s <= 1:
+        return bags.join(table, keys)
+    b = bags.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(s)))
+    t = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                       F.lit(s - 1).cast("bigint"))))
+    return b.join(t, keys + ["_salt"]).drop("_salt")
+
+
 def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
                doc_keys: DataFrame, id_cols: Sequence[str],
-               priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:
+               priors: Sequence[Column], defaults: Sequence[Column],
+               table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
     """Per-row class scores ``_q0.._q{C-1}`` (bigint, NULL = -inf).
 
     ``bags``: (ids…, keys…, tf); ``table``: (keys…, d0..d{C-1});
     ``doc_keys``: one row per scored row (ids…, anything else to keep).
     """
     n = len(priors)
-    joined = bags.join(table, list(key_cols))
+    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
     sums = joined.groupBy(*id_cols).agg(
         F.sum("tf").alias("_len"),
         *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)],

@@ -42,7 +42,8 @@ def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequenc
     table = model.term_stats.groupBy("term").agg(*cols)
     bags = bag_rows(test, text_col, id_cols)
     keys = test.select(*id_cols, F.col(label_col).cast("string").alias("label"))
-    scored = scoring.score_wide(bags, ["term"], table, keys, id_cols, priors, defaults)
+    scored = scoring.score_wide(bags, ["term"], table, keys, id_cols, priors, defaults,
+                                table_bytes=model.table_bytes(len(factors) * c_n), salt=model.salt)
     label_arr = F.array(*[F.lit(l) for l in model.labels])
     per_factor = []
     for fi, f in enumerate(factors):

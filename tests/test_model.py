@@ -139,3 +139,21 @@ def test_unseen_class_gets_minus_infinity_prior(spark):
 def test_tokens_null_safe(spark):
     df = spark.createDataFrame([(None,)], "text string")
     assert df.select(F.size(tokens("text"))).first()[0] == 0
+
+
+@pytest.mark.parametrize("threshold,salt", [("-1", 4), ("1", 3), ("1", 1)])
+def test_join_strategies_agree(spark, threshold, salt):
+    """Broadcast, salted shuffle and plain shuffle joins give the same rows."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        "doc_id", F.col("lang").alias("label"), "text")
+    m = fit_multinomial(docs)
+    base = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        m.salt = salt
+        got = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        m.salt = None
+    assert got == base
