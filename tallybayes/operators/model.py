@@ -44,9 +44,20 @@ def materialize(df: DataFrame, how: str, name: str) -> DataFrame:
     return df.persist()
 
 
-def _class_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(str(l), i) for i, l in enumerate(labels)],
-                                 "label string, label_idx int")
+def local_frame(spark: SparkSession, rows: Sequence, schema) -> DataFrame:
+    """A tiny driver-built table (one row per class or fold x class).
+
+    Built as a one-row range expanded by ``inline``, so the planner sees its
+    real (tiny) size and broadcasts it, unlike an RDD-backed frame.
+    """
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def _lit_array(values: Sequence, dtype: str) -> Column:
@@ -209,7 +220,7 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     vocab_size = int(summary[0]["v"]) if summary else 0
     vocab_bytes = int(summary[0]["vb"]) if summary else 0
     n_docs = int(sum(r["n_docs"] for r in summary))
-    local = spark.createDataFrame(
+    local = local_frame(spark,
         [(l, i, int(found[l]["n_docs"]) if l in found else 0,
           int(found[l]["n_tokens"]) if l in found else 0, vocab_size, n_docs)
          for i, l in enumerate(label_list)],
@@ -222,8 +233,8 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
         .withColumn("log_default", safe_ln(a / (F.col("n_tokens") + a * F.col("_v"))))
         .withColumn("default_q", fixed_log(a / (F.col("n_tokens") + a * F.col("_v"))))
     )
-    rows = stats.collect()  # local relation: evaluated on the driver, no tasks
-    class_stats = spark.createDataFrame(rows, stats.schema).drop("_v", "_n")
+    rows = stats.collect()  # one-row range: a single tiny task
+    class_stats = local_frame(spark, [tuple(r) for r in rows], stats.schema).drop("_v", "_n")
     cls = class_stats.select("label", "label_idx", "n_tokens", "default_q")
     term_stats = (
         kept.join(cls, "label")
@@ -308,14 +319,14 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     n = int(sum(found.values()))
     a = F.lit(float(alpha))
     stats = (
-        spark.createDataFrame([(l, i, found.get(l, 0), n) for i, l in enumerate(label_list)],
-                              "label string, label_idx int, n_rows bigint, _n bigint")
+        local_frame(spark, [(l, i, found.get(l, 0), n) for i, l in enumerate(label_list)],
+                    "label string, label_idx int, n_rows bigint, _n bigint")
         .withColumn("log_prior", safe_ln(F.col("n_rows").cast("double") / F.col("_n")))
         .withColumn("prior_q", fixed_log(F.col("n_rows").cast("double") / F.col("_n")))
         .withColumn("log_default", safe_ln(a / (F.col("n_rows") + a)))
     )
     rows_c = stats.collect()
-    class_stats = spark.createDataFrame(rows_c, stats.schema).drop("_n")
+    class_stats = local_frame(spark, [tuple(r) for r in rows_c], stats.schema).drop("_n")
     domains = counts.groupBy("attr").agg(F.count_distinct("value").alias("n_values"))
     cnt_cols = [F.coalesce(F.sum(F.when(F.col("label") == l, F.col("cnt"))), F.lit(0))
                 .cast("bigint").alias(f"c{c}") for c, l in enumerate(label_list)]

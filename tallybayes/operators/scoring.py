@@ -64,12 +64,22 @@ def finish(scored: DataFrame, best: Column, labels: Sequence[str], keep: Sequenc
     )
 
 
+# Cap for broadcasting a model table whose size is known exactly from the
+# fitted model (V, C, term bytes); override with spark.tallybayes.modelBroadcastBytes.
+DEFAULT_MODEL_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def broadcast_limit(spark) -> int:
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    """Model-table broadcast cap; -1 in autoBroadcastJoinThreshold disables it."""
+    auto = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower()
     try:
-        return int(str(v).lower().replace("b", ""))
+        auto_b = int(auto.replace("b", ""))
     except ValueError:
-        return 10 * 1024 * 1024
+        auto_b = 10 * 1024 * 1024
+    if auto_b < 0:
+        return -1
+    cap = spark.conf.get("spark.tallybayes.modelBroadcastBytes", None)
+    return int(cap) if cap is not None else max(auto_b, DEFAULT_MODEL_BROADCAST_BYTES)
 
 
 def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallybayes.functions.logmath import fixed_log
 from tallybayes.functions.text import bag_rows
 from tallybayes.operators import scoring
-from tallybayes.operators.model import MultinomialModel, materialize
+from tallybayes.operators.model import MultinomialModel, local_frame, materialize
 
 
 def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequence[str],
@@ -110,9 +110,8 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
     label_list = sorted({str(l) for l in labels}) if labels is not None else \
         sorted(r["label"] for r in n_all.select("label").collect())
-    grid = spark.createDataFrame(
-        [(f, l, i) for f in range(k) for i, l in enumerate(label_list)],
-        "fold int, label string, label_idx int")
+    grid = local_frame(spark, [(f, l, i) for f in range(k) for i, l in enumerate(label_list)],
+                       "fold int, label string, label_idx int")
     by_fold = Window.partitionBy("fold")
     stats = (grid.join(n_all, "label", "left").join(n_fold, ["fold", "label"], "left")
              .join(totals, ["fold", "label"], "left").join(v_f, "fold", "left")
@@ -127,7 +126,7 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     rows = stats.collect()
     cell = {(r["fold"], r["label_idx"]): r for r in rows}
     c_n = len(label_list)
-    st = spark.createDataFrame(rows, stats.schema).select(
+    st = local_frame(spark, [tuple(r) for r in rows], stats.schema).select(
         "fold", "label", "label_idx", "n_tokens", "v", "default_q")
     ll = fixed_log((F.col("cnt") + F.lit(a)) / (F.col("n_tokens") + F.lit(a) * F.col("v")))
     table = (kept.join(st, ["fold", "label"])
@@ -185,8 +184,8 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
     label_list = sorted({str(l) for l in labels}) if labels is not None else \
         sorted(x["label"] for x in n_all.select("label").collect())
-    grid = spark.createDataFrame([(h, l, i) for h in range(k) for i, l in enumerate(label_list)],
-                                 "h int, label string, label_idx int")
+    grid = local_frame(spark, [(h, l, i) for h in range(k) for i, l in enumerate(label_list)],
+                       "h int, label string, label_idx int")
     stats = (grid.join(n_all, "label", "left")
              .join(n_fold.withColumnRenamed("fold", "h"), ["h", "label"], "left")
              .select("h", "label", "label_idx",
