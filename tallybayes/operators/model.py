@@ -331,9 +331,10 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     cnt_cols = [F.coalesce(F.sum(F.when(F.col("label") == l, F.col("cnt"))), F.lit(0))
                 .cast("bigint").alias(f"c{c}") for c, l in enumerate(label_list)]
     wide = counts.groupBy("attr", "value").agg(*cnt_cols).join(domains, "attr")
-    for c, r in enumerate(rows_c):
-        p = (F.col(f"c{c}") + a) / (F.lit(float(r["n_rows"])) + a * F.col("n_values"))
-        wide = wide.withColumn(f"l{c}", safe_ln(p)).withColumn(f"d{c}", fixed_log(p))
+    probs = [(F.col(f"c{c}") + a) / (F.lit(float(r["n_rows"])) + a * F.col("n_values"))
+             for c, r in enumerate(rows_c)]
+    wide = wide.select("*", *[safe_ln(p).alias(f"l{c}") for c, p in enumerate(probs)],
+                       *[fixed_log(p).alias(f"d{c}") for c, p in enumerate(probs)])
     table_bytes = (int(summary[0]["fb"]) + int(summary[0]["fn"]) * (8 * len(label_list) + 64)
                    if summary else None)
     return CategoricalModel(alpha=alpha, labels=label_list, class_stats=class_stats,

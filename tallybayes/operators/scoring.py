@@ -128,10 +128,10 @@ def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
     )
     full = doc_keys.join(sums, list(id_cols), "left")
     length = F.coalesce(F.col("_len"), F.lit(0).cast("bigint"))
-    out = full
-    for c in range(n):
-        out = out.withColumn(f"_q{c}", _class_score(priors[c], defaults[c], length, F.col(f"_s{c}")))
-    return out.drop("_len", *[f"_s{c}" for c in range(n)])
+    keep = [c for c in full.columns if c != "_len" and not c.startswith("_s")]
+    return full.select(*keep, *[
+        _class_score(priors[c], defaults[c], length, F.col(f"_s{c}")).alias(f"_q{c}")
+        for c in range(n)])
 
 
 def score_sparse(bags: DataFrame, key_cols: Sequence[str], long_table: DataFrame,

@@ -66,11 +66,10 @@ def discretize(df: DataFrame, spec: TabularSpec,
     ``bounds[name] = (lo, hi)`` as columns: literals for one model, or
     expressions of a fold column for per-fold bounds.
     """
-    out = df
-    for c in spec.continuous:
-        lo, hi = bounds[c]
-        out = out.withColumn(c, bin_value(F.col(c), lo, hi, spec.n_bins))
-    return out
+    cont = set(spec.continuous)
+    return df.select(*[
+        bin_value(F.col(c), bounds[c][0], bounds[c][1], spec.n_bins).alias(c) if c in cont
+        else F.col(c) for c in df.columns])
 
 
 def literal_bounds(values: dict[str, tuple[float, float]]) -> dict[str, tuple[Column, Column]]:

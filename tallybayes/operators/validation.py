@@ -156,28 +156,38 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     Classes use the global label set; a class absent from a training fold
     gets prior -inf.  Output ``(ids…, fold, label, prediction, score)``.
     """
-    from tallybayes.operators.tabular import discretize, tabular_features
+    from tallybayes.operators.tabular import bin_value
 
     spark = rows.sparkSession
     a = float(alpha)
+    cont = set(spec.continuous)
     r = rows.select(*spec.id_cols, F.col(fold_col).cast("int").alias("fold"),
                     F.col(spec.label_col).cast("string").alias("label"), *spec.attrs)
-    # train-only bounds per held-out fold, from k x attrs partial bounds
-    mm = r.groupBy("fold").agg(*[x for c in spec.continuous for x in (
-        F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
-        F.max(F.col(c).cast("double")).alias(f"hi_{c}"))]).collect()
-    part = {m["fold"]: m for m in mm}
-    bounds = {}
-    for c in spec.continuous:
-        los, his = [], []
-        for h in range(k):
-            vals = [part[g] for g in part if g != h]
-            los.append(min(v[f"lo_{c}"] for v in vals) if vals else 0.0)
-            his.append(max(v[f"hi_{c}"] for v in vals) if vals else 0.0)
-        bounds[c] = (_fold_lookup(los, "double", "h"), _fold_lookup(his, "double", "h"))
-    copies = r.withColumn("h", F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
-                                                  lambda x: x != F.col("fold"))))
-    train_feats = tabular_features(discretize(copies, spec, bounds), spec, keep=["label", "h"])
+    # long raw features: a number for continuous attributes, a string otherwise
+    entries = F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("attr"),
+                 (F.col(c).cast("double") if c in cont else F.lit(None).cast("double")).alias("num"),
+                 (F.lit(None).cast("string") if c in cont else F.col(c).cast("string")).alias("cat"))
+        for i, c in enumerate(spec.attrs)])
+    raw = r.select(*spec.id_cols, "fold", "label", F.inline(entries))
+    # train-only bounds per held-out fold h, from per-fold partial bounds:
+    # a table of folds x continuous attributes, so broadcasting it is bounded
+    cont_idx = [i for i, c in enumerate(spec.attrs) if c in cont]
+    part = raw.filter(F.col("attr").isin(cont_idx)).groupBy("fold", "attr").agg(
+        F.min("num").alias("lo"), F.max("num").alias("hi"))
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != F.col("fold"))
+    bounds = part.withColumn("h", F.explode(others)).groupBy("h", "attr").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    def binned(df: DataFrame) -> DataFrame:
+        j = df.join(F.broadcast(bounds), ["h", "attr"], "left")
+        value = F.when(F.col("attr").isin(cont_idx),
+                       bin_value(F.col("num"), F.col("lo"), F.col("hi"), spec.n_bins)) \
+            .otherwise(F.col("cat"))
+        return j.select(*spec.id_cols, "h", "label", "attr", value.alias("value"))
+
+    # a row is a training row for every other fold's model: copies made in-task
+    train_feats = binned(raw.withColumn("h", F.explode(others)))
     counts = materialize(train_feats.groupBy("h", "label", "attr", "value")
                          .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cv-cat-counts")
     n_fold = r.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
@@ -200,14 +210,13 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     wide = counts.groupBy("h", "attr", "value").agg(*[
         F.coalesce(F.sum(F.when(F.col("label") == l, F.col("cnt"))), F.lit(0)).alias(f"c{c}")
         for c, l in enumerate(label_list)]).join(domains, ["h", "attr"])
-    for c in range(c_n):
-        n_c = _fold_lookup([float(cell[(h, c)]["n_rows"]) for h in range(k)], "double", "h")
-        wide = wide.withColumn(f"d{c}", fixed_log(
-            (F.col(f"c{c}") + F.lit(a)) / (n_c + F.lit(a) * F.col("n_values"))))
-    table = wide.select("h", "attr", "value", *[f"d{c}" for c in range(c_n)])
+    table = wide.select("h", "attr", "value", *[
+        fixed_log((F.col(f"c{c}") + F.lit(a)) / (
+            _fold_lookup([float(cell[(h, c)]["n_rows"]) for h in range(k)], "double", "h")
+            + F.lit(a) * F.col("n_values"))).alias(f"d{c}")
+        for c in range(c_n)])
     test = r.withColumn("h", F.col("fold"))
-    test_feats = tabular_features(discretize(test, spec, bounds), spec, keep=["h"]) \
-        .withColumn("tf", F.lit(1).cast("bigint"))
+    test_feats = binned(raw.withColumn("h", F.col("fold"))).withColumn("tf", F.lit(1).cast("bigint"))
     priors = [_fold_lookup([cell[(h, c)]["prior_q"] for h in range(k)], "bigint", "h")
               for c in range(c_n)]
     zeros = [F.lit(0).cast("bigint")] * c_n

@@ -30,6 +30,7 @@ from tallybayes.plans.fixtures import (
     lang_docs,
     table,
 )
+from tallybayes.operators.tabular import TabularSpec
 from tallybayes.plans.tabular_plans import SPEC, _bin_sql
 
 QUERIES: dict = {}
@@ -110,21 +111,31 @@ def q_cv_summary(spark, sf_dir):
                     _r(F.col("mean")).alias("mean_accuracy"), _r(F.col("std")).alias("std_accuracy"))
 
 
-def _tab_cv_sql() -> str:
-    mm = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LINEITEM_CONTINUOUS)
-    cat = [c for c in LINEITEM_ATTRS if c not in LINEITEM_CONTINUOUS]
-    bins = ", ".join(f"{_bin_sql(c, 'lo_' + c, 'hi_' + c, N_BINS)} AS {c}" for c in LINEITEM_CONTINUOUS)
+def _tab_cv_sql(source: str = "", row: list | None = None, attrs: list | None = None,
+                continuous: list | None = None, k: int = K_TAB) -> str:
+    """Per-fold retraining oracle for tabular CV.  ``source`` selects
+    ``row…, label, attrs…, fold`` as CTE ``li``; defaults to lineitem."""
+    row = row or LINEITEM_ROW
+    attrs = attrs or LINEITEM_ATTRS
+    continuous = LINEITEM_CONTINUOUS if continuous is None else continuous
+    if not source:
+        source = f"""SELECT {', '.join(row)}, l_returnflag AS label, {', '.join(attrs)},
+       {S.fold_of(*LINEITEM_ID, k=k)} AS fold FROM lineitem"""
+    ids = ", ".join(row)
+    mm = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in continuous)
+    cat = [c for c in attrs if c not in continuous]
+    bins = ", ".join(f"{_bin_sql(c, 'lo_' + c, 'hi_' + c, N_BINS)} AS {c}" for c in continuous)
+    keep = ", ".join(cat + ([bins] if bins else []))
     unions = "\n  UNION ALL ".join(
-        f"SELECT {IDS}, label, h, is_test, {i}::BIGINT AS attr, CAST({c} AS VARCHAR) AS value FROM binned"
-        for i, c in enumerate(LINEITEM_ATTRS))
-    on_ids = " AND ".join(f"f.{k} = t.{k}" for k in LINEITEM_ROW)
-    t_ids = ", ".join(f"t.{k}" for k in LINEITEM_ROW)
-    return f"""WITH li AS (SELECT {IDS}, l_returnflag AS label, {', '.join(LINEITEM_ATTRS)},
-       {S.fold_of(*LINEITEM_ID, k=K_TAB)} AS fold FROM lineitem),
-folds AS (SELECT unnest(range({K_TAB}))::BIGINT AS h),
+        f"SELECT {ids}, label, h, is_test, {i}::BIGINT AS attr, CAST({c} AS VARCHAR) AS value FROM binned"
+        for i, c in enumerate(attrs))
+    on_ids = " AND ".join(f"f.{c} = t.{c}" for c in row)
+    t_ids = ", ".join(f"t.{c}" for c in row)
+    return f"""WITH li AS ({source}),
+folds AS (SELECT unnest(range({k}))::BIGINT AS h),
 mm AS (SELECT g.h, {mm} FROM li JOIN folds g ON li.fold <> g.h GROUP BY g.h),
 rows_h AS (SELECT li.*, g.h, (CASE WHEN li.fold = g.h THEN 1 ELSE 0 END) AS is_test FROM li CROSS JOIN folds g),
-binned AS (SELECT {IDS}, label, h, is_test, {', '.join(cat)}, {bins} FROM rows_h JOIN mm USING (h)),
+binned AS (SELECT {ids}, label, h, is_test, {keep} FROM rows_h JOIN mm USING (h)),
 feats AS ({unions}),
 trf AS (SELECT * FROM feats WHERE is_test = 0),
 tef AS (SELECT * FROM feats WHERE is_test = 1),
@@ -149,9 +160,9 @@ sc AS (
   LEFT JOIN tef f ON f.h = t.h AND {on_ids}
   LEFT JOIN dense d ON d.h = c.h AND d.label = c.label AND d.attr = f.attr AND d.value = f.value
   GROUP BY t.h, {t_ids}, t.label, c.label, c.label_idx, c.prior_q),
-r AS (SELECT *, row_number() OVER (PARTITION BY {IDS} ORDER BY score_q DESC NULLS LAST, label_idx) AS rk
+r AS (SELECT *, row_number() OVER (PARTITION BY {ids} ORDER BY score_q DESC NULLS LAST, label_idx) AS rk
       FROM sc),
-pred AS (SELECT h AS fold, {IDS}, label, cls AS prediction FROM r WHERE rk = 1),
+pred AS (SELECT h AS fold, {ids}, label, cls AS prediction FROM r WHERE rk = 1),
 acc AS (SELECT fold::BIGINT AS fold, count(*)::BIGINT AS n,
           sum(CASE WHEN label = prediction THEN 1 ELSE 0 END)::BIGINT AS n_correct FROM pred GROUP BY fold),
 acc2 AS (SELECT *, n_correct::DOUBLE / n AS accuracy FROM acc),
@@ -201,3 +212,26 @@ def q_cv_categorical_report(spark, sf_dir):
         _r(F.col("macro_precision"), 4).alias("macro_precision"),
         _r(F.col("macro_recall"), 4).alias("macro_recall"),
         _r(F.col("macro_f1"), 4).alias("macro_f1"))
+
+
+# --- many continuous attributes: embeddings (64 floats, labels 0-9) ----------
+
+EMB_DIM = 64
+EMB_ATTRS = [f"e{i}" for i in range(EMB_DIM)]
+EMB_SPEC = TabularSpec(id_cols=["vec_id"], attrs=EMB_ATTRS, continuous=EMB_ATTRS,
+                       label_col="label", n_bins=N_BINS)
+_EMB_SOURCE = ("SELECT vec_id, CAST(label AS VARCHAR) AS label, "
+               + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(EMB_DIM))
+               + f", {S.fold_of('vec_id', k=K_TAB)} AS fold FROM embeddings")
+
+
+@register("cv_embeddings", _tab_cv_sql(_EMB_SOURCE, ["vec_id"], EMB_ATTRS, EMB_ATTRS)
+          + "\nSELECT fold, n, n_correct, round(accuracy, 9) AS accuracy FROM acc2")
+def q_cv_embeddings(spark, sf_dir):
+    """6-fold categorical CV on embeddings: 64 continuous attributes, 5 bins each."""
+    emb = table(spark, sf_dir, "embeddings")
+    rows = emb.select("vec_id", F.col("label").cast("string").alias("label"),
+                      *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)],
+                      hash_fold("vec_id", K_TAB, SEED).alias("fold"))
+    pred = cross_validate_categorical(rows, EMB_SPEC, K_TAB, alpha=ALPHA)
+    return fold_accuracy(pred).withColumn("accuracy", _r(F.col("accuracy")))
