@@ -102,3 +102,40 @@ def tabular_vectorize(feats: DataFrame, vocab: DataFrame, id_cols: Sequence[str]
     """``(ids…, attr, idx)``: features unseen in train are skipped (only that
     attribute of the instance is dropped)."""
     return feats.join(vocab, ["attr", "value"]).select(*id_cols, "attr", "idx")
+
+
+def raw_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Unbinned long form ``(ids…, keep…, attr, num, cat)``: ``num`` holds
+    continuous values, ``cat`` categorical ones (as strings)."""
+    cont = set(spec.continuous)
+    entries = F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("attr"),
+                 (F.col(c).cast("double") if c in cont else F.lit(None).cast("double")).alias("num"),
+                 (F.lit(None).cast("string") if c in cont else F.col(c).cast("string")).alias("cat"))
+        for i, c in enumerate(spec.attrs)])
+    return df.select(*spec.id_cols, *keep, F.inline(entries))
+
+
+def long_minmax(raw: DataFrame, spec: TabularSpec, group: Sequence[str] = ()) -> DataFrame:
+    """``(group…, attr, lo, hi)`` over the continuous attributes of raw features."""
+    cont_idx = [i for i, c in enumerate(spec.attrs) if c in set(spec.continuous)]
+    return raw.filter(F.col("attr").isin(cont_idx)).groupBy(*group, "attr").agg(
+        F.min("num").alias("lo"), F.max("num").alias("hi"))
+
+
+def bin_features(raw: DataFrame, bounds: DataFrame, spec: TabularSpec,
+                 keys: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Long features ``(ids…, keep…, attr, value)``: continuous values binned
+    with ``bounds`` (``keys…, attr, lo, hi``), categorical values as they are.
+
+    ``bounds`` has one row per (keys…, continuous attribute) — e.g. folds x
+    attributes — so it is broadcast: its size is fixed by the schema, not the data.
+    One bin expression on columns serves any number of attributes.
+    """
+    cont_idx = [i for i, c in enumerate(spec.attrs) if c in set(spec.continuous)]
+    j = raw.join(F.broadcast(bounds), [*keys, "attr"], "left") if cont_idx else \
+        raw.withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double"))
+    value = F.when(F.col("attr").isin(cont_idx),
+                   bin_value(F.col("num"), F.col("lo"), F.col("hi"), spec.n_bins)) \
+        .otherwise(F.col("cat"))
+    return j.select(*spec.id_cols, *keep, "attr", value.alias("value"))

@@ -156,35 +156,21 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     Classes use the global label set; a class absent from a training fold
     gets prior -inf.  Output ``(ids…, fold, label, prediction, score)``.
     """
-    from tallybayes.operators.tabular import bin_value
+    from tallybayes.operators.tabular import bin_features, long_minmax, raw_features
 
     spark = rows.sparkSession
     a = float(alpha)
-    cont = set(spec.continuous)
     r = rows.select(*spec.id_cols, F.col(fold_col).cast("int").alias("fold"),
                     F.col(spec.label_col).cast("string").alias("label"), *spec.attrs)
-    # long raw features: a number for continuous attributes, a string otherwise
-    entries = F.array(*[
-        F.struct(F.lit(i).cast("bigint").alias("attr"),
-                 (F.col(c).cast("double") if c in cont else F.lit(None).cast("double")).alias("num"),
-                 (F.lit(None).cast("string") if c in cont else F.col(c).cast("string")).alias("cat"))
-        for i, c in enumerate(spec.attrs)])
-    raw = r.select(*spec.id_cols, "fold", "label", F.inline(entries))
-    # train-only bounds per held-out fold h, from per-fold partial bounds:
-    # a table of folds x continuous attributes, so broadcasting it is bounded
-    cont_idx = [i for i, c in enumerate(spec.attrs) if c in cont]
-    part = raw.filter(F.col("attr").isin(cont_idx)).groupBy("fold", "attr").agg(
-        F.min("num").alias("lo"), F.max("num").alias("hi"))
+    raw = raw_features(r, spec, keep=["fold", "label"])
+    # train-only bounds per held-out fold h, from per-fold partial bounds
+    # (a folds x continuous-attributes table)
     others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != F.col("fold"))
-    bounds = part.withColumn("h", F.explode(others)).groupBy("h", "attr").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    bounds = long_minmax(raw, spec, ["fold"]).withColumn("h", F.explode(others)) \
+        .groupBy("h", "attr").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
     def binned(df: DataFrame) -> DataFrame:
-        j = df.join(F.broadcast(bounds), ["h", "attr"], "left")
-        value = F.when(F.col("attr").isin(cont_idx),
-                       bin_value(F.col("num"), F.col("lo"), F.col("hi"), spec.n_bins)) \
-            .otherwise(F.col("cat"))
-        return j.select(*spec.id_cols, "h", "label", "attr", value.alias("value"))
+        return bin_features(df, bounds, spec, keys=["h"], keep=["h", "label"])
 
     # a row is a training row for every other fold's model: copies made in-task
     train_feats = binned(raw.withColumn("h", F.explode(others)))

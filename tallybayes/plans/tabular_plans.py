@@ -8,12 +8,11 @@ from tallybayes.operators.model import fit_categorical
 from tallybayes.operators.tabular import (
     TabularSpec,
     attribute_domains,
+    bin_features,
     column_minmax,
-    discretize,
     feature_vocabulary,
-    literal_bounds,
-    minmax_values,
-    tabular_features,
+    long_minmax,
+    raw_features,
     tabular_vectorize,
 )
 from tallybayes.plans import sql as S
@@ -91,11 +90,11 @@ dense2 AS (SELECT *, {S.lnv('p')} AS log_likelihood, {S.fixed('p')} AS ll_q FROM
 
 
 def _cat_split(spark, sf_dir):
+    """Long binned features of every row, bounds from the train rows only."""
     rows = lineitem_rows(spark, sf_dir)
-    train = rows.filter(F.col("fold") != TEST_FOLD)
-    bounds = literal_bounds(minmax_values(train, SPEC))
-    binned = discretize(rows, SPEC, bounds)
-    feats = tabular_features(binned, SPEC, keep=["label", "fold"])
+    raw = raw_features(rows, SPEC, keep=["label", "fold"])
+    bounds = long_minmax(raw.filter(F.col("fold") != TEST_FOLD), SPEC)
+    feats = bin_features(raw, bounds, SPEC, keep=["label", "fold"])
     return rows, feats.filter(F.col("fold") != TEST_FOLD), feats.filter(F.col("fold") == TEST_FOLD)
 
 
