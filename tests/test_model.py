@@ -157,3 +157,23 @@ def test_join_strategies_agree(spark, threshold, salt):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         m.salt = None
     assert got == base
+
+
+def test_save_and_load_round_trip(spark, tmp_path, hand_model):
+    path = str(tmp_path / "model")
+    hand_model.save(path)
+    from tallybayes.operators.model import MultinomialModel
+    loaded = MultinomialModel.load(spark, path)
+    test = spark.createDataFrame([(1, "bb"), (2, "aa"), (3, "zz")], "doc_id int, text string")
+    a = sorted(map(tuple, hand_model.transform(test, ["doc_id"]).collect()))
+    b = sorted(map(tuple, loaded.transform(test, ["doc_id"]).collect()))
+    assert a == b and loaded.vocab_size == 3
+
+
+def test_checkpoint_materialization(spark):
+    train = spark.createDataFrame([("A", "aa bb aa"), ("A", "aa cc"), ("B", "bb bb")],
+                                  "label string, text string")
+    m = fit_multinomial(train, materialize_as="checkpoint")
+    test = spark.createDataFrame([(1, "bb"), (2, "aa")], "doc_id int, text string")
+    got = {r["doc_id"]: r["prediction"] for r in m.transform(test, ["doc_id"]).collect()}
+    assert got == {1: "B", 2: "A"}

@@ -67,3 +67,18 @@ def test_vocabulary_min_df_and_labels(spark):
     labs = {r["label"]: r["idx"] for r in label_index(docs).collect()}
     assert labs == {"x": 0, "y": 1}
     assert docs.select(F.lit(1)).count() == 3
+
+
+def test_prepare_text_handle_unknown(spark):
+    from tallybayes.operators.text import prepare_text
+    docs = spark.createDataFrame(
+        [(1, "aa bb", "x", 0), (2, "bb cc", "y", 0), (3, "aa zz", "x", 1), (4, "cc", "new", 1)],
+        "doc_id int, text string, label string, is_test int")
+    keep = {r["doc_id"]: (r["label_idx"], r["n_words"], r["sum_idx"]) for r in
+            prepare_text(docs, ["doc_id"], handle_unknown="keep").collect()}
+    assert keep == {1: (0, 2, 1), 2: (1, 2, 3), 3: (0, 1, 0), 4: (None, 1, 2)}
+    skip = prepare_text(docs, ["doc_id"], handle_unknown="skip").collect()
+    assert sorted(r["doc_id"] for r in skip) == [1, 2, 3]
+    import pytest
+    with pytest.raises(Exception):
+        prepare_text(docs, ["doc_id"], handle_unknown="error").collect()
