@@ -104,7 +104,8 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     else:
         kept = train
     kept = materialize(kept, materialize_as, "cv-kept")
-    v_f = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("v"))
+    v_f = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("v"),
+                                    F.sum(F.octet_length("term")).alias("vb"))
     totals = kept.groupBy("fold", "label").agg(F.sum("cnt").alias("n_tokens"))
     n_fold = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
     n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
@@ -119,7 +120,8 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                      (F.coalesce("n_all", F.lit(0)) - F.coalesce("n_in_fold", F.lit(0)))
                      .cast("bigint").alias("n_docs"),
                      F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
-                     F.coalesce("v", F.lit(0)).cast("bigint").alias("v"))
+                     F.coalesce("v", F.lit(0)).cast("bigint").alias("v"),
+                     F.coalesce("vb", F.lit(0)).cast("bigint").alias("vb"))
              .withColumn("n", F.sum("n_docs").over(by_fold))
              .withColumn("prior_q", fixed_log(F.col("n_docs").cast("double") / F.col("n")))
              .withColumn("default_q", fixed_log(F.lit(a) / (F.col("n_tokens") + F.lit(a) * F.col("v")))))
@@ -138,8 +140,12 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     defaults = [_fold_lookup([cell[(f, c)]["default_q"] for f in range(k)], "bigint")
                 for c in range(c_n)]
     ids = [*id_cols, "fold"]
+    # exact size of the (fold, term) table: fold vocabularies and C deltas each
+    per_fold = {r["fold"]: (r["v"], r["vb"]) for r in rows}
+    table_bytes = sum(vb + v * (8 * c_n + 52) for v, vb in per_fold.values())
     scored = scoring.score_wide(bags.select(*ids, "term", "tf"), ["fold", "term"], table,
-                                d.select(*ids, "label"), ids, priors, defaults)
+                                d.select(*ids, "label"), ids, priors, defaults,
+                                table_bytes=table_bytes)
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
     return scoring.finish(scored, best, label_list, [*ids, "label"])
 
