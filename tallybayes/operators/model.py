@@ -88,6 +88,7 @@ class MultinomialModel:
     term_stats: DataFrame = field(repr=False)   # label, label_idx, term, cnt, log_likelihood, ll_q, delta
     vocab_bytes: int | None = None              # total UTF-8 bytes of the vocabulary terms
     salt: int | None = None                     # salt buckets for the shuffle join (None: default)
+    total_df: int | None = None                 # sum of document frequencies (train bag rows)
 
     @property
     def n_classes(self) -> int:
@@ -112,7 +113,7 @@ class MultinomialModel:
         return self.term_stats.groupBy("term").agg(*[
             F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col("delta"))),
                        F.lit(0).cast("bigint")).alias(f"d{c}")
-            for c in range(n)])
+            for c in range(n)], F.sum("df_c").alias("_w"))
 
     def _bags(self, docs: DataFrame, id_cols: Sequence[str], text_col: str) -> DataFrame:
         return bag_rows(docs, text_col, id_cols)
@@ -123,7 +124,8 @@ class MultinomialModel:
         keys = docs.select(*id_cols, *keep)
         return scoring.score_wide(self._bags(docs, id_cols, text_col), ["term"], self.term_table(),
                                   keys, id_cols, self.priors(), self.defaults(),
-                                  table_bytes=self.table_bytes(), salt=self.salt)
+                                  table_bytes=self.table_bytes(), salt=self.salt,
+                                  weight_col="_w", total_weight=self.total_df)
 
     def transform(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                   keep: Sequence[str] = (), strategy: str = "wide") -> DataFrame:
@@ -208,11 +210,12 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     totals = kept.groupBy("label").agg(F.sum("cnt").alias("n_tokens"))
     v = vocab.select(F.count(F.lit(1))).scalar()
     vb = vocab.select(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).scalar()
+    tdf = vocab.select(F.coalesce(F.sum("df"), F.lit(0))).scalar()
     # one job: the per-class integer aggregates (one row per class), V and term bytes
     summary = class_counts.join(totals, "label", "full").select(
         "label", F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
         F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), v.alias("v"),
-        vb.alias("vb")).collect()
+        vb.alias("vb"), tdf.alias("tdf")).collect()
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: r for r in summary}
@@ -239,7 +242,7 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     term_stats = (
         kept.join(cls, "label")
         .withColumn("_p", (F.col("cnt") + a) / (F.col("n_tokens") + a * F.lit(float(vocab_size))))
-        .select("label", "label_idx", "term", "cnt",
+        .select("label", "label_idx", "term", "cnt", "df_c",
                 safe_ln(F.col("_p")).alias("log_likelihood"),
                 fixed_log(F.col("_p")).alias("ll_q"))
         .join(cls.select("label_idx", "default_q"), "label_idx")
@@ -249,7 +252,8 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     return MultinomialModel(alpha=alpha, min_df=min_df, labels=label_list,
                             vocab_size=int(vocab_size or 0), n_docs=int(n_docs or 0),
                             class_stats=class_stats, class_rows=rows, counts=counts,
-                            vocab=vocab, term_stats=term_stats, vocab_bytes=vocab_bytes)
+                            vocab=vocab, term_stats=term_stats, vocab_bytes=vocab_bytes,
+                            total_df=int(summary[0]["tdf"]) if summary else 0)
 
 
 # ---------------------------------------------------------------------------
@@ -266,6 +270,7 @@ class CategoricalModel:
     features: DataFrame = field(repr=False)    # attr, value, c0.., d0.. (wide, dense)
     table_bytes: int | None = None             # upper estimate of the feature table
     salt: int | None = None
+    total_weight: int | None = None            # training feature rows (for hot-key detection)
 
     @property
     def n_classes(self) -> int:
@@ -284,14 +289,16 @@ class CategoricalModel:
         """Score long features ``(ids…, attr, value)``; ``rows`` = one row per
         instance with ``ids…`` and ``keep…``.  Unseen values are skipped."""
         n = self.n_classes
-        table = self.features.select("attr", "value", *[f"d{c}" for c in range(n)])
+        table = self.features.select("attr", "value", *[f"d{c}" for c in range(n)],
+                                     sum(F.col(f"c{c}") for c in range(n)).alias("_w"))
         bags = feats.select(*id_cols, "attr", "value", F.lit(1).cast("bigint").alias("tf"))
         priors = [F.lit(r["prior_q"]).cast("bigint") for r in self.class_rows]
         zeros = [F.lit(0).cast("bigint")] * n
         keep_all = [*id_cols, *[k for k in keep if k not in id_cols]]
         scored = scoring.score_wide(bags, ["attr", "value"], table, rows.select(*keep_all),
                                     id_cols, priors, zeros, table_bytes=self.table_bytes,
-                                    salt=self.salt)
+                                    salt=self.salt, weight_col="_w",
+                                    total_weight=self.total_weight)
         best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(n)])
         return scoring.finish(scored, best, self.labels, keep_all)
 
@@ -308,10 +315,12 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
         feats.groupBy(F.col("label").cast("string").alias("label"), "attr", "value")
         .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cat-counts")
     feat_n = counts.select("attr", "value").distinct().select(F.count(F.lit(1))).scalar()
+    feat_w = counts.select(F.coalesce(F.sum("cnt"), F.lit(0))).scalar()
     feat_b = counts.select(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).scalar()
     summary = rows.groupBy(F.col("label").cast("string").alias("label")) \
         .agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select("label", "n_rows", feat_n.alias("fn"), feat_b.alias("fb")).collect()
+        .select("label", "n_rows", feat_n.alias("fn"), feat_b.alias("fb"),
+                feat_w.alias("fw")).collect()
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: int(r["n_rows"]) for r in summary}
@@ -339,4 +348,5 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
                    if summary else None)
     return CategoricalModel(alpha=alpha, labels=label_list, class_stats=class_stats,
                             class_rows=rows_c, counts=counts, domains=domains, features=wide,
-                            table_bytes=table_bytes)
+                            table_bytes=table_bytes,
+                            total_weight=int(summary[0]["fw"]) if summary else 0)

@@ -82,46 +82,73 @@ def broadcast_limit(spark) -> int:
     return int(cap) if cap is not None else max(auto_b, DEFAULT_MODEL_BROADCAST_BYTES)
 
 
+# Keys whose training weight is at least total / HOT_KEYS are "hot": there are
+# at most HOT_KEYS of them, so their model rows can always be broadcast.
+HOT_KEYS = 10_000
+
+
 def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
-               id_cols: Sequence[str], table_bytes: int | None, salt: int | None = None) -> DataFrame:
-    """Join row features to a model table keyed by ``key_cols``.
+               id_cols: Sequence[str], table_bytes: int | None, salt: int | None = None,
+               weight_col: str | None = None, total_weight: int | None = None) -> DataFrame:
+    """Join row features to a model table keyed by ``key_cols`` (inner).
 
     ``table_bytes`` is an upper estimate of the table from exact model sizes
-    (V, C, term bytes).  Under the session's broadcast threshold the table is
-    broadcast, so rows are scored where they were read.  Above it the join is
-    a shuffle join salted by row id: the table is replicated ``salt`` times
-    and each row picks one copy, so a term present in a third of all rows
-    is spread over ``salt`` tasks.  (The table comes out of an aggregation
-    already partitioned by key, which AQE's skew-join split cannot cut.)
+    (V, C, key bytes).  Under the broadcast cap the table is broadcast, so rows
+    are scored where they were read.
+
+    Above it, if the table carries each key's training weight (``weight_col``,
+    e.g. document frequency) and ``total_weight``: keys with weight >= total /
+    HOT_KEYS (at most HOT_KEYS keys) are looked up through a broadcast; their
+    rows then travel through the shuffle under a per-row spreading key, so no
+    task receives a hot key's rows.  The remaining (cold) keys each held less
+    than 1/HOT_KEYS of the training rows and use a plain shuffle join.  Without
+    weights: a join salted by row id with the table replicated ``salt`` times.
     Unknown size: plain join, AQE decides.
     """
     spark = bags.sparkSession
     keys = list(key_cols)
+    dcols = [c for c in table.columns if c not in keys and c != weight_col]
     if table_bytes is None:
-        return bags.join(table, keys)
+        return bags.join(table.select(*keys, *dcols), keys)
     limit = broadcast_limit(spark)
     if 0 < table_bytes <= limit:
-        return bags.join(F.broadcast(table), keys)
+        return bags.join(F.broadcast(table.select(*keys, *dcols)), keys)
+    if weight_col is not None and total_weight:
+        thr = F.lit(float(total_weight) / HOT_KEYS)
+        hot = table.filter(F.col(weight_col) >= thr).select(
+            *keys, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_h_{c}") for c in dcols])
+        cold = table.filter(F.col(weight_col) < thr).select(
+            *keys, F.lit(0).cast("bigint").alias("_k2"), *[F.col(c).alias(f"_c_{c}") for c in dcols])
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        j1 = bags.join(F.broadcast(hot), keys, "left").withColumn(
+            "_k2", F.when(F.col("_hot"), F.lit(1) + F.pmod(
+                F.xxhash64(*[F.col(c) for c in [*id_cols, *keys]]), F.lit(max(parts, 1))))
+            .otherwise(F.lit(0)).cast("bigint"))
+        j2 = j1.join(cold, keys + ["_k2"], "left")
+        out = j2.select(*[c for c in bags.columns],
+                        *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in dcols])
+        return out.filter(F.col(dcols[0]).isNotNull())
     s = salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))
     if s <= 1:
-        return bags.join(table, keys)
+        return bags.join(table.select(*keys, *dcols), keys)
     b = bags.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(s)))
-    t = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                       F.lit(s - 1).cast("bigint"))))
+    t = table.select(*keys, *dcols).withColumn("_salt", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(s - 1).cast("bigint"))))
     return b.join(t, keys + ["_salt"]).drop("_salt")
 
 
 def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
                doc_keys: DataFrame, id_cols: Sequence[str],
                priors: Sequence[Column], defaults: Sequence[Column],
-               table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
+               table_bytes: int | None = None, salt: int | None = None,
+               weight_col: str | None = None, total_weight: int | None = None) -> DataFrame:
     """Per-row class scores ``_q0.._q{C-1}`` (bigint, NULL = -inf).
 
     ``bags``: (ids…, keys…, tf); ``table``: (keys…, d0..d{C-1});
     ``doc_keys``: one row per scored row (ids…, anything else to keep).
     """
     n = len(priors)
-    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
+    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt, weight_col, total_weight)
     sums = joined.groupBy(*id_cols).agg(
         F.sum("tf").alias("_len"),
         *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)],

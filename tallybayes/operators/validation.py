@@ -39,11 +39,12 @@ def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequenc
             ll = fixed_log((F.lit(int(f)) * F.col("cnt") + F.lit(a)) / den)
             cols.append(F.coalesce(F.sum(F.when(F.col("label_idx") == c, ll - dq)),
                                    F.lit(0).cast("bigint")).alias(f"d{fi * c_n + c}"))
-    table = model.term_stats.groupBy("term").agg(*cols)
+    table = model.term_stats.groupBy("term").agg(*cols, F.sum("df_c").alias("_w"))
     bags = bag_rows(test, text_col, id_cols)
     keys = test.select(*id_cols, F.col(label_col).cast("string").alias("label"))
     scored = scoring.score_wide(bags, ["term"], table, keys, id_cols, priors, defaults,
-                                table_bytes=model.table_bytes(len(factors) * c_n), salt=model.salt)
+                                table_bytes=model.table_bytes(len(factors) * c_n), salt=model.salt,
+                                weight_col="_w", total_weight=model.total_df)
     label_arr = F.array(*[F.lit(l) for l in model.labels])
     per_factor = []
     for fi, f in enumerate(factors):
@@ -105,7 +106,8 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
         kept = train
     kept = materialize(kept, materialize_as, "cv-kept")
     v_f = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("v"),
-                                    F.sum(F.octet_length("term")).alias("vb"))
+                                    F.sum(F.octet_length("term")).alias("vb"),
+                                    F.sum("df").alias("dfs"))
     totals = kept.groupBy("fold", "label").agg(F.sum("cnt").alias("n_tokens"))
     n_fold = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
     n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
@@ -121,7 +123,8 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                      .cast("bigint").alias("n_docs"),
                      F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
                      F.coalesce("v", F.lit(0)).cast("bigint").alias("v"),
-                     F.coalesce("vb", F.lit(0)).cast("bigint").alias("vb"))
+                     F.coalesce("vb", F.lit(0)).cast("bigint").alias("vb"),
+                     F.coalesce("dfs", F.lit(0)).cast("bigint").alias("dfs"))
              .withColumn("n", F.sum("n_docs").over(by_fold))
              .withColumn("prior_q", fixed_log(F.col("n_docs").cast("double") / F.col("n")))
              .withColumn("default_q", fixed_log(F.lit(a) / (F.col("n_tokens") + F.lit(a) * F.col("v")))))
@@ -135,17 +138,19 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
              .withColumn("delta", ll - F.col("default_q"))
              .groupBy("fold", "term").agg(*[
                  F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col("delta"))),
-                            F.lit(0).cast("bigint")).alias(f"d{c}") for c in range(c_n)]))
+                            F.lit(0).cast("bigint")).alias(f"d{c}") for c in range(c_n)],
+                 F.sum("df_c").alias("_w")))
     priors = [_fold_lookup([cell[(f, c)]["prior_q"] for f in range(k)], "bigint") for c in range(c_n)]
     defaults = [_fold_lookup([cell[(f, c)]["default_q"] for f in range(k)], "bigint")
                 for c in range(c_n)]
     ids = [*id_cols, "fold"]
     # exact size of the (fold, term) table: fold vocabularies and C deltas each
-    per_fold = {r["fold"]: (r["v"], r["vb"]) for r in rows}
-    table_bytes = sum(vb + v * (8 * c_n + 52) for v, vb in per_fold.values())
+    per_fold = {r["fold"]: (r["v"], r["vb"], r["dfs"]) for r in rows}
+    table_bytes = sum(vb + v * (8 * c_n + 60) for v, vb, _ in per_fold.values())
+    total_df = sum(x for _, _, x in per_fold.values())
     scored = scoring.score_wide(bags.select(*ids, "term", "tf"), ["fold", "term"], table,
                                 d.select(*ids, "label"), ids, priors, defaults,
-                                table_bytes=table_bytes)
+                                table_bytes=table_bytes, weight_col="_w", total_weight=total_df)
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
     return scoring.finish(scored, best, label_list, [*ids, "label"])
 
@@ -206,7 +211,12 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
         fixed_log((F.col(f"c{c}") + F.lit(a)) / (
             _fold_lookup([float(cell[(h, c)]["n_rows"]) for h in range(k)], "double", "h")
             + F.lit(a) * F.col("n_values"))).alias(f"d{c}")
-        for c in range(c_n)])
+        for c in range(c_n)], sum(F.col(f"c{c}") for c in range(c_n)).alias("_w"))
+    # exact size of the (fold, attr, value) table and total training weight
+    size = counts.agg(F.count_distinct("h", "attr", "value").alias("n"),
+                      F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("vb"),
+                      F.coalesce(F.sum("cnt"), F.lit(0)).alias("w")).first()
+    table_bytes = int(size["vb"]) + int(size["n"]) * (8 * c_n + 72)
     test = r.withColumn("h", F.col("fold"))
     test_feats = binned(raw.withColumn("h", F.col("fold"))).withColumn("tf", F.lit(1).cast("bigint"))
     priors = [_fold_lookup([cell[(h, c)]["prior_q"] for h in range(k)], "bigint", "h")
@@ -215,7 +225,9 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     ids = [*spec.id_cols, "h"]
     scored = scoring.score_wide(test_feats.select(*ids, "attr", "value", "tf"),
                                 ["h", "attr", "value"], table,
-                                test.select(*ids, "label"), ids, priors, zeros)
+                                test.select(*ids, "label"), ids, priors, zeros,
+                                table_bytes=table_bytes, weight_col="_w",
+                                total_weight=int(size["w"]))
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
     out = scoring.finish(scored, best, label_list, [*ids, "label"])
     return out.withColumnRenamed("h", "fold")

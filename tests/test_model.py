@@ -177,3 +177,26 @@ def test_checkpoint_materialization(spark):
     test = spark.createDataFrame([(1, "bb"), (2, "aa")], "doc_id int, text string")
     got = {r["doc_id"]: r["prediction"] for r in m.transform(test, ["doc_id"]).collect()}
     assert got == {1: "B", 2: "A"}
+
+
+def test_hot_cold_join_agrees(spark):
+    """Hot keys through a broadcast, cold keys through a shuffle: same rows."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        "doc_id", F.col("lang").alias("label"), "text")
+    m = fit_multinomial(docs)
+    base = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
+    import tallybayes.operators.scoring as sc
+    old_cap, old_hot = spark.conf.get("spark.tallybayes.modelBroadcastBytes", None), sc.HOT_KEYS
+    try:
+        spark.conf.set("spark.tallybayes.modelBroadcastBytes", "1")
+        sc.HOT_KEYS = 2000   # frequent terms become "hot"
+        n_hot = m.term_table().filter(F.col("_w") >= m.total_df / sc.HOT_KEYS).count()
+        assert 0 < n_hot < m.vocab_size
+        got = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
+    finally:
+        sc.HOT_KEYS = old_hot
+        if old_cap is None:
+            spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
+        else:
+            spark.conf.set("spark.tallybayes.modelBroadcastBytes", old_cap)
+    assert got == base
