@@ -29,14 +29,15 @@ LINEITEM_ATTRS = ["l_linestatus", "l_quantity", "l_extendedprice", "l_discount",
 LINEITEM_CONTINUOUS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-# Tables whose rows carry whole texts: per-row work (tokenizing) is heavy, so a
-# scan with fewer splits than cores is spread before it (see sources.spread).
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+# Tables with heavy per-row work before the first shuffle (tokenizing whole
+# texts; one binned copy per fold in tabular cross-validation): a scan with
+# fewer splits than cores is spread first (see sources.spread).
+SPREAD_TABLES = {"documents", "pages", "conversations", "benchmark", "lineitem", "embeddings"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
-                      spread_small=name in TEXT_TABLES)
+                      spread_small=name in SPREAD_TABLES)
 
 
 def lang_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
