@@ -167,7 +167,7 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     Classes use the global label set; a class absent from a training fold
     gets prior -inf.  Output ``(ids…, fold, label, prediction, score)``.
     """
-    from tallybayes.operators.tabular import bin_features, long_minmax, raw_features
+    from tallybayes.operators.tabular import bin_features, bin_value, long_minmax, raw_features
 
     spark = rows.sparkSession
     a = float(alpha)
@@ -183,8 +183,23 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     def binned(df: DataFrame) -> DataFrame:
         return bin_features(df, bounds, spec, keys=["h"], keep=["h", "label"])
 
-    # a row is a training row for every other fold's model: copies made in-task
-    train_feats = binned(raw.withColumn("h", F.explode(others)))
+    # A row is a training row for every other fold's model.  Join each raw row
+    # once to its attribute's bounds for all folds (k entries, broadcast: one
+    # row per continuous attribute), bin every copy in the row, then explode.
+    by_attr = bounds.groupBy("attr").agg(
+        F.collect_list(F.struct("h", "lo", "hi")).alias("_b"))
+    with_b = raw.join(F.broadcast(by_attr), "attr", "left")
+    n_bins = spec.n_bins
+    cont_copies = F.transform(
+        F.filter(F.coalesce("_b", F.array().cast(by_attr.schema["_b"].dataType)),
+                 lambda b: b["h"] != F.col("fold")),
+        lambda b: F.struct(b["h"].cast("int").alias("h"),
+                           bin_value(F.col("num"), b["lo"], b["hi"], n_bins).alias("value")))
+    cat_copies = F.transform(others, lambda x: F.struct(x.cast("int").alias("h"),
+                                                        F.col("cat").alias("value")))
+    cont_idx = [i for i, c in enumerate(spec.attrs) if c in set(spec.continuous)]
+    copies = F.when(F.col("attr").isin(cont_idx), cont_copies).otherwise(cat_copies)
+    train_feats = with_b.select(*spec.id_cols, "label", "attr", F.inline(copies))
     counts = materialize(train_feats.groupBy("h", "label", "attr", "value")
                          .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cv-cat-counts")
     n_fold = r.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
