@@ -200,3 +200,34 @@ def test_hot_cold_join_agrees(spark):
         else:
             spark.conf.set("spark.tallybayes.modelBroadcastBytes", old_cap)
     assert got == base
+
+
+def test_theta_matches_spark_ml_naive_bayes(spark):
+    """pyspark.ml's multinomial NaiveBayes theta equals our log-likelihoods
+    (its priors are smoothed, so only theta is compared)."""
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.linalg import SparseVector
+    from tallybayes.operators.text import doc_term_counts, vocabulary
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        "doc_id", F.col("lang").alias("label"), "text")
+    m = fit_multinomial(docs)
+    vocab = {r["term"]: r["idx"] for r in vocabulary(doc_term_counts(docs, ["doc_id"])).collect()}
+    labels = {l: i for i, l in enumerate(m.labels)}
+    bags = doc_term_counts(docs, ["doc_id"], keep=["label"]).collect()
+    per_doc = {}
+    for r in bags:
+        per_doc.setdefault((r["doc_id"], r["label"]), {})[vocab[r["term"]]] = float(r["tf"])
+    rows = [(float(labels[lab]), SparseVector(len(vocab), dict(sorted(f.items()))))
+            for (_, lab), f in per_doc.items()]
+    ml = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(
+        spark.createDataFrame(rows, ["label", "features"]))
+    theta = ml.theta.toArray()
+    ours = {(r["label"], r["term"]): r["log_likelihood"] for r in m.term_stats.collect()}
+    for (lab, term), ll in list(ours.items())[:2000]:
+        assert math.isclose(theta[labels[lab]][vocab[term]], ll, rel_tol=1e-9, abs_tol=1e-12)
+    cs = {r["label"]: r["log_default"] for r in m.class_stats.collect()}
+    for lab, c in labels.items():
+        unseen = [i for t, i in vocab.items() if (lab, t) not in ours][:50]
+        for i in unseen:
+            assert math.isclose(theta[c][i], cs[lab], rel_tol=1e-9)
