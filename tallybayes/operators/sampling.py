@@ -16,8 +16,14 @@ from tallybayes.operators.ranking import bucketed_rank
 RANK_BITS = 16
 
 
-def _key_cols(key: Sequence[str] | str) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
+def _key_cols(key) -> list:
+    """Key as a list of column names or Column expressions (e.g. ``md5(text)``
+    to keep exact copies on one side of a split)."""
+    return [key] if isinstance(key, (str, Column)) else list(key)
+
+
+def _as_col(k) -> Column:
+    return F.col(k) if isinstance(k, str) else k
 
 
 def kfold_assign(df: DataFrame, key: Sequence[str] | str, k: int = 5, seed: int = 42,
@@ -31,7 +37,7 @@ def _hash_rank(df: DataFrame, key: list[str], seed: int, group: Sequence[str] =
     with_h = df.withColumn("_h", h)
     ranked = bucketed_rank(
         with_h, F.shiftright(F.col("_h"), 32 - RANK_BITS),
-        [F.col("_h")] + [F.col(c) for c in key], group=group, rank_col="_rank")
+        [F.col("_h")] + [_as_col(c) for c in key], group=group, rank_col="_rank")
     return ranked.drop("_h")
 
 

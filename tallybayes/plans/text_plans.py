@@ -18,7 +18,8 @@ from tallybayes.operators.text import (
     vocabulary,
 )
 from tallybayes.plans import sql as S
-from tallybayes.plans.fixtures import ALPHA, TEST_FOLD, lang_docs, quality_docs, table
+from tallybayes.operators.sampling import hash_fold
+from tallybayes.plans.fixtures import ALPHA, K, SEED, TEST_FOLD, lang_docs, quality_docs, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -250,3 +251,23 @@ def q_strategy_parity(spark, sf_dir):
     a = m.transform(test, ["doc_id"], keep=["label"], strategy="wide")
     b = m.transform(test, ["doc_id"], keep=["label"], strategy="sparse")
     return strategy_parity(a, b)
+
+
+CONTENT_KEY_SQL = "md5(coalesce(text, ''))"
+
+
+@register("nb_predict_content_split", f"""WITH docs AS (
+  SELECT doc_id, lang AS label, text, {S.fold_of(CONTENT_KEY_SQL)} AS fold FROM documents),
+train AS (SELECT * FROM docs WHERE fold <> 0),
+test AS (SELECT * FROM docs WHERE fold = 0),
+{S.multinomial_model()},
+{S.multinomial_scores()}
+SELECT doc_id, label, prediction, score FROM best""")
+def q_nb_predict_content_split(spark, sf_dir):
+    """nb_predict with folds keyed by the text's md5: exact copies of a
+    document always land on the same side of the split (no leakage)."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("lang").alias("label"), "text",
+        hash_fold(F.md5(F.coalesce(F.col("text"), F.lit(""))), K, SEED).alias("fold"))
+    model = fit_multinomial(docs.filter(F.col("fold") != TEST_FOLD), alpha=ALPHA)
+    return model.transform(docs.filter(F.col("fold") == TEST_FOLD), ["doc_id"], keep=["label"])
