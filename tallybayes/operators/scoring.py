@@ -147,8 +147,16 @@ def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
     ``bags``: (ids…, keys…, tf); ``table``: (keys…, d0..d{C-1});
     ``doc_keys``: one row per scored row (ids…, anything else to keep).
     """
-    n = len(priors)
     joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt, weight_col, total_weight)
+    return score_joined(joined, doc_keys, id_cols, priors, defaults)
+
+
+def score_joined(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
+                 priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:
+    """Per-row class scores from model-joined rows ``(ids…, tf, d0..d{C-1})``:
+    one aggregation per row id, then every row of ``doc_keys`` (rows without
+    any in-vocabulary feature keep their prior-only scores)."""
+    n = len(priors)
     sums = joined.groupBy(*id_cols).agg(
         F.sum("tf").alias("_len"),
         *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)],

@@ -7,7 +7,7 @@ from tallybayes.operators.model import fit_multinomial
 from tallybayes.plans import text_plans
 from tallybayes.plans.fixtures import ALPHA, quality_docs, table
 from tallybayes.session import scratch_dir
-from tallybayes.streaming import score_stream
+from tallybayes.streaming import score_stream, stream_scores
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -21,11 +21,11 @@ def q_nb_predict_stream(spark, sf_dir):
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     base = scratch_dir(spark, "stream")
-    q = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], f"{base}/out",
-                     f"{base}/checkpoint",
-                     prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("doc_id", "prediction", "score")
+    queries = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], base,
+                           prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))
+    for q in queries:
+        q.awaitTermination()
+    return stream_scores(model, spark, base, ["doc_id"]).select("doc_id", "prediction", "score")
 
 
 QUERIES["nb_predict_stream"] = q_nb_predict_stream

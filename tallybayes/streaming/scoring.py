@@ -1,33 +1,60 @@
-"""Micro-batch scoring of a document stream.
-
-Scoring a document needs only the document and the model tables (a join, not
-cross-batch state), so each micro-batch is scored as a batch DataFrame inside
-``foreachBatch``.  Every epoch is written to its own directory with overwrite,
-so a retried epoch replaces its own output: the sink is idempotent and the
-checkpoint makes the stream restartable after driver or executor loss.
+"""Scoring a document stream with built-in file sinks.
+
+The per-token work (tokenize, in-row bag, lookup in the model) is stateless,
+so it runs as a streaming query: a stream-static join of each arriving
+document's bag to the model's term table, written with the parquet file
+sink.  A second stateless query records the keys of every arriving document.
+Both sinks are exactly-once through their checkpoint and commit log, so the
+queries restart cleanly after a failure.  The per-document sums and the
+argmax are then a batch step over whatever the sinks have committed
+(``stream_scores``); no streaming state, no Python callback into the stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallybayes.functions.text import bag_rows
+from tallybayes.operators import scoring
+
 
-def score_stream(model, stream: DataFrame, id_cols: Sequence[str], sink_path: str,
-                 checkpoint_path: str, text_col: str = "text", keep: Sequence[str] = (),
+def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: str,
+                 text_col: str = "text", keep: Sequence[str] = (),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 available_now: bool = True) -> StreamingQuery:
-    """Start a query writing ``model.transform`` of each micro-batch as parquet
-    under ``sink_path/epoch=<id>``.  ``prepare`` may filter or join the batch
-    with static tables first (e.g. drop already-labeled rows)."""
-
-    def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = prepare(batch) if prepare is not None else batch
-        out = model.transform(rows, list(id_cols), text_col=text_col, keep=list(keep))
-        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
-
-    writer = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_path)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+                 available_now: bool = True) -> list[StreamingQuery]:
+    """Start the two file-sink queries under ``base_path``.  ``prepare`` may
+    filter or join the stream with static tables first (stateless)."""
+    rows = prepare(stream) if prepare is not None else stream
+    ids = list(id_cols)
+    table = model.term_table()
+    dcols = [f"d{c}" for c in range(model.n_classes)]
+    tb = model.table_bytes()
+    limit = scoring.broadcast_limit(rows.sparkSession)
+    side = table.select("term", *dcols)
+    side = F.broadcast(side) if tb is not None and 0 < tb <= limit else side
+    contrib = bag_rows(rows, text_col, ids).join(side, "term")
+    keys = rows.select(*ids, *keep)
+
+    def start(df: DataFrame, name: str) -> StreamingQuery:
+        w = (df.writeStream.format("parquet").option("path", f"{base_path}/{name}")
+             .option("checkpointLocation", f"{base_path}/_checkpoints/{name}"))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+        return w.start()
+
+    return [start(contrib, "contrib"), start(keys, "keys")]
+
+
+def stream_scores(model, spark: SparkSession, base_path: str, id_cols: Sequence[str],
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Predictions ``(ids…, keep…, prediction, score)`` for every document the
+    stream has committed so far."""
+    ids = list(id_cols)
+    contrib = spark.read.parquet(f"{base_path}/contrib")
+    keys = spark.read.parquet(f"{base_path}/keys")
+    scored = scoring.score_joined(contrib, keys, ids, model.priors(), model.defaults())
+    best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(model.n_classes)])
+    return scoring.finish(scored, best, model.labels, [*ids, *[k for k in keep if k not in ids]])
