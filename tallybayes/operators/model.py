@@ -139,14 +139,18 @@ class MultinomialModel:
 
     def _transform_sparse(self, docs, id_cols, text_col, keep_all):
         extra = [k for k in keep_all if k not in id_cols]
-        long_table = self.term_stats.select("term", "label_idx", "delta")
+        long_table = self.term_stats.select("term", "label_idx", "delta") \
+            .join(self.vocab.select("term", F.col("df").alias("_w")), "term")
         idx = F.col("label_idx").cast("int") + 1
         priors = F.element_at(_lit_array([r["prior_q"] for r in self.class_rows], "bigint"), idx)
         defaults = F.element_at(_lit_array([r["default_q"] for r in self.class_rows], "bigint"), idx)
         scored = scoring.score_sparse(
             self._bags(docs, id_cols, text_col), ["term"], long_table,
             self.vocab.select("term"), docs.select(*id_cols, *extra), id_cols,
-            priors, defaults, self.n_classes)
+            priors, defaults, self.n_classes,
+            table_bytes=None if self.vocab_bytes is None else
+            int(self.n_classes * (self.vocab_bytes + self.vocab_size * 48)),
+            weight_col="_w", total_weight=self.total_df)
         return scoring.argmax_long(scored, id_cols, keep_all, self.labels)
 
     def long_scores(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",

@@ -171,15 +171,20 @@ def score_joined(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
 
 def score_sparse(bags: DataFrame, key_cols: Sequence[str], long_table: DataFrame,
                  vocab_keys: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
-                 priors: Column, defaults: Column, n_classes: int) -> DataFrame:
+                 priors: Column, defaults: Column, n_classes: int,
+                 table_bytes: int | None = None, weight_col: str | None = None,
+                 total_weight: int | None = None) -> DataFrame:
     """Long per-(row, class) scores ``(ids…, keep…, label_idx, _q)``.
 
-    ``long_table``: (keys…, label_idx, delta) for non-zero pairs only;
+    ``long_table``: (keys…, label_idx, delta[, weight]) for non-zero pairs only;
     ``vocab_keys``: (keys…) of the vocabulary; ``priors``/``defaults``:
-    expressions of ``label_idx`` (and of the row, e.g. its fold).
+    expressions of ``label_idx`` (and of the row, e.g. its fold).  The join
+    to the long table goes through ``model_join`` (size-checked broadcast or
+    hot/cold split).
     """
     ids = list(id_cols)
-    contrib = (bags.join(long_table, list(key_cols))
+    joined = model_join(bags, long_table, key_cols, ids, table_bytes, None, weight_col, total_weight)
+    contrib = (joined
                .groupBy(*ids, "label_idx")
                .agg(F.sum(F.col("tf") * F.col("delta")).alias("_s")))
     lens = (bags.join(vocab_keys, list(key_cols), "left_semi")

@@ -231,3 +231,20 @@ def test_theta_matches_spark_ml_naive_bayes(spark):
         unseen = [i for t, i in vocab.items() if (lab, t) not in ours][:50]
         for i in unseen:
             assert math.isclose(theta[c][i], cs[lab], rel_tol=1e-9)
+
+
+def test_sparse_strategy_hot_cold_agrees(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        "doc_id", F.col("lang").alias("label"), "text")
+    m = fit_multinomial(docs)
+    base = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
+    import tallybayes.operators.scoring as sc
+    old_hot = sc.HOT_KEYS
+    try:
+        spark.conf.set("spark.tallybayes.modelBroadcastBytes", "1")
+        sc.HOT_KEYS = 2000
+        got = sorted(map(tuple, m.transform(docs, ["doc_id"], strategy="sparse").collect()))
+    finally:
+        sc.HOT_KEYS = old_hot
+        spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
+    assert got == base
