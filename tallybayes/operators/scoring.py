@@ -65,8 +65,8 @@ def finish(scored: DataFrame, best: Column, labels: Sequence[str], keep: Sequenc
 
 
 # Cap for broadcasting a model table whose size is known exactly from the
-# fitted model (V, C, term bytes); override with spark.tallybayes.modelBroadcastBytes.
-DEFAULT_MODEL_BROADCAST_BYTES = 64 * 1024 * 1024
+# fitted model (V, C, term bytes): the session's autoBroadcastJoinThreshold,
+# unless spark.tallybayes.modelBroadcastBytes sets another one.
 
 
 def broadcast_limit(spark) -> int:
@@ -79,7 +79,7 @@ def broadcast_limit(spark) -> int:
     if auto_b < 0:
         return -1
     cap = spark.conf.get("spark.tallybayes.modelBroadcastBytes", None)
-    return int(cap) if cap is not None else max(auto_b, DEFAULT_MODEL_BROADCAST_BYTES)
+    return int(cap) if cap is not None else auto_b
 
 
 # Keys whose training weight is at least total / HOT_KEYS are "hot": there are
