@@ -8,6 +8,7 @@ Every step is a DataFrame operator: no Python UDF and no counts on the driver.
 from tallybayes.operators.model import (
     CategoricalModel,
     MultinomialModel,
+    NaiveBayes,
     fit_categorical,
     fit_multinomial,
 )
@@ -16,6 +17,7 @@ from tallybayes.session import get_session, scratch_dir
 __all__ = [
     "CategoricalModel",
     "MultinomialModel",
+    "NaiveBayes",
     "fit_categorical",
     "fit_multinomial",
     "get_session",

@@ -354,3 +354,30 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
                             class_rows=rows_c, counts=counts, domains=domains, features=wide,
                             table_bytes=table_bytes,
                             total_weight=int(summary[0]["fw"]) if summary else 0)
+
+
+class NaiveBayes:
+    """Estimator front end: ``NaiveBayes(law, alpha).fit(...)`` -> model.
+
+    ``law`` picks the model builder (the pluggable part): ``multinomial``
+    (text rows ``label, text``) or ``categorical`` (long features
+    ``label, attr, value`` plus one row per instance for the class counts).
+    """
+
+    LAWS = ("multinomial", "categorical")
+
+    def __init__(self, law: str = "multinomial", alpha: float = 1.0, min_df: int = 1,
+                 labels: Sequence[str] | None = None, materialize_as: str = "cache"):
+        if law not in self.LAWS:
+            raise ValueError(f"law must be one of {self.LAWS}")
+        self.law, self.alpha, self.min_df = law, alpha, min_df
+        self.labels, self.materialize_as = labels, materialize_as
+
+    def fit(self, train: DataFrame, rows: DataFrame | None = None, label_col: str = "label",
+            text_col: str = "text"):
+        if self.law == "multinomial":
+            return fit_multinomial(train, label_col, text_col, self.alpha, self.min_df,
+                                   self.labels, self.materialize_as)
+        if rows is None:
+            raise ValueError("the categorical law needs one row per instance (rows=)")
+        return fit_categorical(train, rows, self.alpha, self.labels, self.materialize_as)

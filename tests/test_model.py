@@ -248,3 +248,18 @@ def test_sparse_strategy_hot_cold_agrees(spark):
         sc.HOT_KEYS = old_hot
         spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
     assert got == base
+
+
+def test_estimator_front_end(spark):
+    from tallybayes import NaiveBayes
+    train = spark.createDataFrame([("A", "aa bb aa"), ("A", "aa cc"), ("B", "bb bb")],
+                                  "label string, text string")
+    m = NaiveBayes("multinomial", alpha=1.0).fit(train)
+    assert m.labels == ["A", "B"] and m.vocab_size == 3
+    rows = spark.createDataFrame([(1, "p"), (2, "n")], "id int, label string")
+    feats = spark.createDataFrame([(1, "p", 0, "a"), (2, "n", 0, "b")],
+                                  "id int, label string, attr bigint, value string")
+    c = NaiveBayes("categorical").fit(feats, rows=rows)
+    assert c.labels == ["n", "p"]
+    with pytest.raises(ValueError):
+        NaiveBayes("gaussian")
