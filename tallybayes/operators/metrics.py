@@ -25,11 +25,26 @@ def _ratio(num, den):
     return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0))
 
 
-def accuracy(pred: DataFrame) -> DataFrame:
+def _w(weight: str | None):
+    """Row weight: 1 per prediction, or the count column of pre-aggregated
+    ``(…, label, prediction, n)`` confusion counts."""
+    return F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+
+
+def confusion_counts(pred: DataFrame, by=()) -> DataFrame:
+    """Sparse ``(by…, label, prediction, n)``: one aggregation of the
+    predictions; every metric can be derived from this small table."""
+    return pred.groupBy(*by, F.col("label").cast("string").alias("label"),
+                        F.col("prediction").cast("string").alias("prediction")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+def accuracy(pred: DataFrame, weight: str | None = None) -> DataFrame:
     """One row ``(n, n_correct, accuracy)``; accuracy 0.0 on empty input."""
+    w = _w(weight)
     return pred.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum((F.col("label") == F.col("prediction")).cast("bigint")), F.lit(0))
+        F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), w)), F.lit(0))
         .cast("bigint").alias("n_correct"),
     ).withColumn("accuracy", _ratio(F.col("n_correct"), F.col("n")))
 
@@ -46,14 +61,18 @@ def confusion_matrix(pred: DataFrame, classes: DataFrame | None = None) -> DataF
         .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
-def class_metrics(pred: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """``(label, tp, fp, fn, support, precision, recall, f1)`` per class."""
+def class_metrics(pred: DataFrame, classes: DataFrame | None = None,
+                  weight: str | None = None) -> DataFrame:
+    """``(label, tp, fp, fn, support, precision, recall, f1)`` per class.
+
+    ``weight`` names a count column when ``pred`` holds confusion counts."""
     p = pred.select(F.col("label").cast("string").alias("label"),
-                    F.col("prediction").cast("string").alias("prediction"))
-    actual = p.groupBy("label").agg(F.count(F.lit(1)).alias("_actual"))
-    predicted = p.groupBy(F.col("prediction").alias("label")).agg(F.count(F.lit(1)).alias("_pred"))
+                    F.col("prediction").cast("string").alias("prediction"),
+                    _w(weight).alias("_n"))
+    actual = p.groupBy("label").agg(F.sum("_n").alias("_actual"))
+    predicted = p.groupBy(F.col("prediction").alias("label")).agg(F.sum("_n").alias("_pred"))
     tp = p.filter(F.col("label") == F.col("prediction")).groupBy("label") \
-        .agg(F.count(F.lit(1)).alias("tp"))
+        .agg(F.sum("_n").alias("tp"))
     z = F.lit(0).cast("bigint")
     m = (_domain(pred, classes).join(actual, "label", "left").join(predicted, "label", "left")
          .join(tp, "label", "left")

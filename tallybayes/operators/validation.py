@@ -248,11 +248,14 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
     return out.withColumnRenamed("h", "fold")
 
 
-def fold_accuracy(pred: DataFrame) -> DataFrame:
-    """``(fold, n, n_correct, accuracy)`` per fold."""
+def fold_accuracy(pred: DataFrame, weight: str | None = None) -> DataFrame:
+    """``(fold, n, n_correct, accuracy)`` per fold (``weight``: count column
+    of pre-aggregated confusion counts)."""
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     return pred.groupBy(F.col("fold").cast("bigint").alias("fold")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum((F.col("label") == F.col("prediction")).cast("bigint")).alias("n_correct"),
+        F.sum(w).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), w)), F.lit(0))
+        .cast("bigint").alias("n_correct"),
     ).withColumn("accuracy", F.col("n_correct").cast("double") / F.col("n"))
 
 

@@ -200,11 +200,13 @@ SELECT (SELECT count(*) FROM li)::BIGINT AS n_instances, (SELECT count(*) FROM l
   round(avg(f1), 4) AS macro_f1 FROM pm2""")
 def q_cv_categorical_report(spark, sf_dir):
     """Results row: per-fold accuracy averaged, P/R/F1 pooled over all folds."""
-    pred = _tab_cv(spark, sf_dir)
+    # one aggregation of the predictions; every figure comes from this table
+    cm = M.confusion_counts(_tab_cv(spark, sf_dir), by=["fold"]).persist()
+    cm.count()  # folds x classes^2 rows at most: computed once, read by every figure
     labels = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("label"))
-    acc = mean_std(fold_accuracy(pred))
-    macro = M.macro_metrics(M.class_metrics(pred, labels))
-    n = pred.select(F.count(F.lit(1))).scalar()
+    acc = mean_std(fold_accuracy(cm, weight="n"))
+    macro = M.macro_metrics(M.class_metrics(cm, labels, weight="n"))
+    n = cm.select(F.sum("n")).scalar()
     return acc.join(macro, how="inner").select(
         n.cast("bigint").alias("n_instances"), F.col("n_classes").cast("bigint").alias("n_classes"),
         F.col("folds").cast("bigint").alias("folds"),
