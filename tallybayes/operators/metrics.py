@@ -66,16 +66,21 @@ def class_metrics(pred: DataFrame, classes: DataFrame | None = None,
     """``(label, tp, fp, fn, support, precision, recall, f1)`` per class.
 
     ``weight`` names a count column when ``pred`` holds confusion counts."""
-    p = pred.select(F.col("label").cast("string").alias("label"),
-                    F.col("prediction").cast("string").alias("prediction"),
-                    _w(weight).alias("_n"))
-    actual = p.groupBy("label").agg(F.sum("_n").alias("_actual"))
-    predicted = p.groupBy(F.col("prediction").alias("label")).agg(F.sum("_n").alias("_pred"))
-    tp = p.filter(F.col("label") == F.col("prediction")).groupBy("label") \
-        .agg(F.sum("_n").alias("tp"))
+    # One pass: each (label, prediction, n) pair counts once for its true class
+    # (actual, and tp when right) and once for its predicted class; a single
+    # aggregation by class then gives tp, actual and predicted together.
+    pairs = pred.select(F.col("label").cast("string").alias("label"),
+                        F.col("prediction").cast("string").alias("prediction"),
+                        _w(weight).alias("_n"))
     z = F.lit(0).cast("bigint")
-    m = (_domain(pred, classes).join(actual, "label", "left").join(predicted, "label", "left")
-         .join(tp, "label", "left")
+    views = F.array(
+        F.struct(F.col("label").alias("label"), F.col("_n").alias("_actual"), z.alias("_pred"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("_n")).otherwise(z).alias("tp")),
+        F.struct(F.col("prediction").alias("label"), z.alias("_actual"), F.col("_n").alias("_pred"),
+                 z.alias("tp")))
+    per = pairs.select(F.inline(views)).groupBy("label").agg(
+        F.sum("_actual").alias("_actual"), F.sum("_pred").alias("_pred"), F.sum("tp").alias("tp"))
+    m = (_domain(pred, classes).join(per, "label", "left")
          .select("label", F.coalesce("tp", z).alias("tp"),
                  (F.coalesce("_pred", z) - F.coalesce("tp", z)).alias("fp"),
                  (F.coalesce("_actual", z) - F.coalesce("tp", z)).alias("fn"),
