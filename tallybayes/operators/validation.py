@@ -77,8 +77,9 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     """k-fold cross-validation of the multinomial model in one plan.
 
     The corpus is counted once by (fold, class, term); the training counts of
-    the model that holds out fold f are ``total - fold f`` (likewise document
-    frequencies, so each fold keeps its own vocabulary, V and totals).  Every
+    the model that holds out fold f are the sums over the other folds
+    (likewise document frequencies, so each fold keeps its own vocabulary, V
+    and totals).  Every
     document is scored once, by the model that did not see it.
     Output ``(ids…, fold, label, prediction, score)``.
     """
@@ -90,14 +91,13 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                        "cv-bags")
     per_fold = bags.groupBy("fold", "label", "term").agg(
         F.sum("tf").alias("f_cnt"), F.count(F.lit(1)).alias("f_df"))
-    total = per_fold.groupBy("label", "term").agg(
-        F.sum("f_cnt").alias("a_cnt"), F.sum("f_df").alias("a_df"))
-    train = (total.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-             .join(per_fold, ["fold", "label", "term"], "left")
-             .select("fold", "label", "term",
-                     (F.col("a_cnt") - F.coalesce("f_cnt", F.lit(0))).alias("cnt"),
-                     (F.col("a_df") - F.coalesce("f_df", F.lit(0))).alias("df_c"))
-             .filter(F.col("cnt") > 0))
+    # Training counts of the model holding out fold f = sum over the other
+    # folds: each per-fold row is sent to the k-1 models it trains (a bounded
+    # generator), and one partially aggregated shuffle sums them.
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != F.col("fold"))
+    train = (per_fold.select(F.explode(others).alias("fold"), "label", "term", "f_cnt", "f_df")
+             .groupBy("fold", "label", "term")
+             .agg(F.sum("f_cnt").alias("cnt"), F.sum("f_df").alias("df_c")))
     vocab = train.groupBy("fold", "term").agg(F.sum("df_c").alias("df"))
     if min_df > 1:
         vocab = vocab.filter(F.col("df") >= min_df)
