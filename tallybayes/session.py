@@ -8,6 +8,7 @@ intermediate tables (the cluster's ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,14 +38,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for an intermediate table.
+    """A fresh folder for an intermediate table, in the cluster's shared folder.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; we only set
-    one ourselves when it is unset (local tests).
+    The cluster names that folder in ``spark.checkpoint.dir`` (or the session's
+    checkpoint directory is set).  Without either, a session whose executors
+    are the driver itself (master ``local[...]``, as in tests) uses the system's
+    temporary folder; on a cluster this fails.  Nothing is set on the session.
     """
     sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tallybayes-ckpt-")
-        sc.setCheckpointDir(base)
+        if not re.match(r"local(\[.*\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/tallybayes-scratch"
     return f"{base.rstrip('/')}/tallybayes/{name}-{uuid.uuid4().hex[:12]}"
