@@ -12,9 +12,9 @@ Steps, each a Spark job over the whole table:
 2. rows with equal sets are one class, and its smallest id stands for it;
 3. members of a band's bucket are compared with the bucket's smallest member;
    verified links merge components, and only members of a bucket that are in
-   different components are compared further: again with a next smallest
-   member, or, once few pairs are left, each with all members of other
-   components.  No pair of one component is ever listed;
+   different components are compared further: with the next smallest members,
+   and then with all members of other components that an exact bound leaves
+   (``_rest``).  No pair of one component is ever listed;
 4. every compared pair is verified on the whole sets.
 
 Defined cases: a null, empty or word-less text has no shingles and is linked
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
@@ -133,13 +133,21 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, set_key binary, elems array<bigint>")
 
 
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` with their sets ``ea``, ``eb`` and the ``shared`` elements' number."""
+    return pairs.join(sets.select(F.col("node").alias("b"), F.col("elems").alias("eb")), "b") \
+        .join(sets.select(F.col("node").alias("a"), F.col("elems").alias("ea")), "a") \
+        .withColumn("shared", F.size(F.array_intersect("ea", "eb")))
+
+
+def _linked(shared: Column, na: Column, nb: Column, percent: int) -> Column:
+    return 100 * shared >= percent * (na + nb - shared)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with 100 * shared >= percent * joint elements, on whole sets."""
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("elems").alias("eb")), "b") \
-        .join(sets.select(F.col("node").alias("a"), F.col("elems").alias("ea")), "a")
-    shared = F.size(F.array_intersect("ea", "eb"))
-    return both.withColumn("_s", shared).filter(
-        100 * F.col("_s") >= percent * (F.size("ea") + F.size("eb") - F.col("_s"))).select("a", "b")
+    """The pairs that are similar enough, judged on whole sets."""
+    return _shared(pairs, sets).filter(
+        _linked(F.col("shared"), F.size("ea"), F.size("eb"), percent)).select("a", "b")
 
 
 def _relabel(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -150,10 +158,45 @@ def _relabel(comps: DataFrame, links: DataFrame) -> DataFrame:
     return save(comps.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "comps")
 
 
+def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs between components that still share a bucket.
+
+    Each bucket's reference r is a member of its largest component.  Any x and y
+    share at most min(|x & r|, |y & r|) elements inside r, so a pair can be
+    similar enough only if it (1) has a common element outside r, or (2) passes
+    with that bound.  (1) is a join on (r, element), (2) one on the few distinct
+    (|x|, |x & r|) of a reference; neither lists pairs of one component.
+    """
+    sizes = placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("ref"))
+    major = sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "comp", "ref")).alias("m")) \
+        .select("band", "hash", F.col("m.ref").alias("ref"), F.col("m.comp").alias("ref_comp"))
+    family = placed.join(major, ["band", "hash"]).select(
+        F.col("node").alias("a"), F.col("ref").alias("b"), "comp", "ref_comp").distinct()
+    family = save(_shared(family, sets).select(
+        F.col("b").alias("ref"), F.col("a").alias("node"), "comp", (F.col("comp") != F.col("ref_comp")).alias("minor"),
+        F.size("ea").alias("n"), "shared", F.array_except("ea", "eb").alias("extra")), "family")
+    left = [F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "shared")]
+    bound = F.least("shared", "x_shared")
+    outside = family.select("ref", "node", "comp", "n", "shared", "minor", F.explode("extra").alias("elem"))
+    common = outside.join(outside.filter("minor").select("ref", "elem", *left), ["ref", "elem"]).filter(
+        (F.col("comp") != F.col("x_comp")) & _linked(
+            bound + F.least(F.col("n") - F.col("shared"), F.col("x_n") - F.col("x_shared")),
+            F.col("n"), F.col("x_n"), percent))
+    kinds = family.groupBy("ref", "n", "shared").agg(F.max("minor").alias("minor"))
+    fits = kinds.join(kinds.filter("minor").select(
+        "ref", F.col("n").alias("x_n"), F.col("shared").alias("x_shared")), "ref") \
+        .filter(_linked(bound, F.col("n"), F.col("x_n"), percent)).drop("minor")
+    within = family.select("ref", "n", "shared", "node", "comp") \
+        .join(fits, ["ref", "n", "shared"]) \
+        .join(family.filter("minor").select("ref", *left), ["ref", "x_n", "x_shared"]) \
+        .filter(F.col("comp") != F.col("x_comp"))
+    return common.select("node", "x_node").union(within.select("node", "x_node")).select(
+        F.greatest("node", "x_node").alias("a"), F.least("node", "x_node").alias("b")).distinct()
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
                  hub_rounds: int = 3) -> DataFrame:
     """``(node, comp)`` for classes ``(node, n, set_key, bands)`` that share a bucket."""
-    near = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
     rows = classes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
     shared = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     members = save(rows.join(shared, ["band", "hash"]), "members")
@@ -164,38 +207,26 @@ def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
     sets = save(shingle_sets(texts, k).dropDuplicates(["id", "set_key"])
                 .join(wanted.withColumnRenamed("node", "id"), ["id", "set_key"])
                 .select(F.col("id").alias("node"), "elems"), "sets")
-    done = 0
-    while True:
+    for done in range(hub_rounds + 1):
         placed = members.join(comps, "node")
         open_ = placed.groupBy("band", "hash").agg(
             F.min("node").alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
             .filter("lo != hi").select("band", "hash", "hub")
         placed = save(placed.join(open_, ["band", "hash"]), "open")
-        if done >= hub_rounds:
-            break
-        hubs = placed.filter("node = hub").select(
-            "band", "hash", F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-        cand = placed.filter("node != hub").join(hubs, ["band", "hash"]).filter(
-            (F.col("comp") != F.col("hub_comp")) & near(F.col("n"), F.col("hub_n")))
-        pairs = cand.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        if done < hub_rounds:
+            hubs = placed.filter("node = hub").select(
+                "band", "hash", F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+            pairs = placed.filter("node != hub").join(hubs, ["band", "hash"]).filter(
+                (F.col("comp") != F.col("hub_comp"))
+                & _linked(F.least("n", "hub_n"), F.col("n"), F.col("hub_n"), percent)) \
+                .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+            members = placed.filter("node != hub").select("band", "hash", "node", "n")
+        else:
+            pairs = _rest(placed, sets, percent)
         links = save(_verify(pairs, sets, percent), "links")
         if not links.isEmpty():
             comps = _relabel(comps, links)
-        members = placed.filter("node != hub").select("band", "hash", "node", "n")
-        done += 1
-    # members outside their bucket's largest component meet all of other components
-    sizes = placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("c"))
-    major = sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "comp")).alias("m")) \
-        .select("band", "hash", F.col("m.comp").alias("major"))
-    placed = placed.join(major, ["band", "hash"])
-    minor = placed.filter("comp != major").select(
-        "band", "hash", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    pairs = placed.join(minor, ["band", "hash"]).filter(
-        (F.col("comp") != F.col("ac")) & ((F.col("comp") == F.col("major")) | (F.col("node") < F.col("a")))
-        & near(F.col("n"), F.col("an"))).select(
-        F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b")).distinct()
-    links = save(_verify(pairs, sets, percent), "links")
-    return comps if links.isEmpty() else _relabel(comps, links)
+    return comps
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
