@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
@@ -161,37 +161,54 @@ def _relabel(comps: DataFrame, links: DataFrame) -> DataFrame:
 def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between components that still share a bucket.
 
-    Each bucket's reference r is a member of its largest component.  Any x and y
-    share at most min(|x & r|, |y & r|) elements inside r, so a pair can be
-    similar enough only if it (1) has a common element outside r, or (2) passes
-    with that bound.  (1) is a join on (r, element), (2) one on the few distinct
-    (|x|, |x & r|) of a reference; neither lists pairs of one component.
+    A bucket belongs to the family of its largest component.  A family has a
+    reference set r (what half of its members have), and a member x the set
+    D(x) of elements in which it differs from r.  Then
+    |x & y| = |x & r| + |y & r| - |r| + |D(x) & D(y)|, so a similar pair needs
+    |D(x) & D(y)| >= q, and q follows from sizes alone.  Only elements that several
+    members' D have (u(x) of them) count, so first the few distinct size kinds of
+    a family are compared (q <= min(u)), and then members of fitting kinds are
+    joined on their u - q + 1 rarest such elements (prefix filter).  All
+    bounds are exact, and no pair within a component is listed.
     """
-    sizes = placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("ref"))
-    major = sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "comp", "ref")).alias("m")) \
-        .select("band", "hash", F.col("m.ref").alias("ref"), F.col("m.comp").alias("ref_comp"))
-    family = placed.join(major, ["band", "hash"]).select(
-        F.col("node").alias("a"), F.col("ref").alias("b"), "comp", "ref_comp").distinct()
-    family = save(_shared(family, sets).select(
-        F.col("b").alias("ref"), F.col("a").alias("node"), "comp", (F.col("comp") != F.col("ref_comp")).alias("minor"),
-        F.size("ea").alias("n"), "shared", F.array_except("ea", "eb").alias("extra")), "family")
-    left = [F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "shared")]
-    bound = F.least("shared", "x_shared")
-    outside = family.select("ref", "node", "comp", "n", "shared", "minor", F.explode("extra").alias("elem"))
-    common = outside.join(outside.filter("minor").select("ref", "elem", *left), ["ref", "elem"]).filter(
-        (F.col("comp") != F.col("x_comp")) & _linked(
-            bound + F.least(F.col("n") - F.col("shared"), F.col("x_n") - F.col("x_shared")),
-            F.col("n"), F.col("x_n"), percent))
-    kinds = family.groupBy("ref", "n", "shared").agg(F.max("minor").alias("minor"))
-    fits = kinds.join(kinds.filter("minor").select(
-        "ref", F.col("n").alias("x_n"), F.col("shared").alias("x_shared")), "ref") \
-        .filter(_linked(bound, F.col("n"), F.col("x_n"), percent)).drop("minor")
-    within = family.select("ref", "n", "shared", "node", "comp") \
-        .join(fits, ["ref", "n", "shared"]) \
-        .join(family.filter("minor").select("ref", *left), ["ref", "x_n", "x_shared"]) \
-        .filter(F.col("comp") != F.col("x_comp"))
-    return common.select("node", "x_node").union(within.select("node", "x_node")).select(
-        F.greatest("node", "x_node").alias("a"), F.least("node", "x_node").alias("b")).distinct()
+    sizes = placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("c"))
+    major = sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "comp")).alias("m")) \
+        .select("band", "hash", F.col("m.comp").alias("fam"))
+    family = placed.join(major, ["band", "hash"]).select("fam", "node", "comp").distinct()
+    family = save(family.join(sets, "node"), "family")
+    half = family.groupBy("fam").agg(F.count(F.lit(1)).alias("c"))
+    ref = family.select("fam", F.explode("elems").alias("e")).groupBy("fam", "e").agg(F.count(F.lit(1)).alias("df")) \
+        .join(half, "fam").filter("2 * df >= c").groupBy("fam").agg(F.collect_list("e").alias("r"))
+    parts = save(family.join(ref, "fam", "left").withColumn("r", F.coalesce("r", F.array().cast("array<bigint>"))).select(
+        "fam", "node", "comp", (F.col("comp") != F.col("fam")).alias("minor"), F.size("elems").alias("n"),
+        F.size(F.array_intersect("elems", "r")).alias("i"), F.size("r").alias("m"),
+        F.concat(F.array_except("elems", "r"), F.array_except("r", "elems")).alias("diff")), "parts")
+    marks = parts.select("fam", "node", F.explode("diff").alias("e"))
+    marks = marks.join(marks.groupBy("fam", "e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), ["fam", "e"])
+    parts = parts.drop("diff").join(marks.groupBy("fam", "node").agg(F.count(F.lit(1)).alias("u")),
+                                    ["fam", "node"], "left").fillna(0, ["u"])
+    parts = save(parts, "kinds")
+    x_side = [F.col(c).alias(f"x_{c}") for c in ("n", "i", "u")]
+    q = F.ceil(F.lit(percent) * (F.col("n") + F.col("x_n")) / F.lit(100 + percent)) \
+        - (F.col("i") + F.col("x_i") - F.col("m"))
+    kinds = parts.groupBy("fam", "n", "i", "u", "m").agg(F.max("minor").alias("minor"))
+    fits = save(kinds.join(kinds.filter("minor").select("fam", *x_side), "fam").withColumn("q", q)
+                .filter(F.col("q") <= F.least("u", "x_u")).drop("minor", "m"), "fits")
+    minors = parts.filter("minor").select("fam", F.col("node").alias("x_node"), F.col("comp").alias("x_comp"), *x_side)
+    sure = parts.join(fits.filter("q <= 0"), ["fam", "n", "i", "u"]).join(minors, ["fam", "x_n", "x_i", "x_u"])
+
+    def rarest(side: DataFrame, kind: list[str]) -> DataFrame:
+        """The elements ``e`` of the members' prefixes."""
+        least = fits.filter("q > 0").groupBy("fam", *kind).agg(F.min("q").alias("q"))
+        node, u = ("x_node", "x_u") if kind[0][0] == "x" else ("node", "u")
+        at = F.row_number().over(Window.partitionBy("fam", node).orderBy("df", "e"))
+        return side.join(least, ["fam", *kind]).join(marks.withColumnRenamed("node", node), ["fam", node]) \
+            .withColumn("at", at).filter(F.col("at") <= F.col(u) - F.col("q") + 1).drop("at", "df", "q")
+
+    some = rarest(parts, ["n", "i", "u"]).join(rarest(minors, ["x_n", "x_i", "x_u"]), ["fam", "e"]) \
+        .filter((F.col("comp") != F.col("x_comp")) & (q <= F.least("u", "x_u")))
+    return sure.filter(F.col("comp") != F.col("x_comp")).select("node", "x_node").union(some.select("node", "x_node")) \
+        .select(F.greatest("node", "x_node").alias("a"), F.least("node", "x_node").alias("b")).distinct()
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
