@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallybayes.llm.decontam import contaminated
+from tallybayes.llm.langid import identify
 from tallybayes.llm.minhash import near_duplicates
+from tallybayes.llm.packing import pack_documents
+from tallybayes.llm.quality import importance_resample
 from tallybayes.llm.storage import documents
 
 
@@ -12,5 +18,31 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=4, percent=80)
 
 
-QUERIES = {"op1_minhash": op1_minhash}
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = identify(docs, ~held_out & F.col("doc_id").isNotNull())
+    return found.withColumn("held_out", held_out)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contaminated(documents(spark, sf_dir), items).withColumn("tiles", F.size("tiles"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op4_langid": op4_langid,
+    "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
+    "op10_quality": op10_quality,
+}
 ORACLE: dict[str, str] = {}

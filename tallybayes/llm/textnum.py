@@ -20,6 +20,10 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x5851F42D4C957F2D)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Kinds of bytes: a word ends where the kind changes; kind 0 is between words.
+WORDS = np.where(_SPACE, 0, 1).astype(np.uint8)
+WORD_PUNCT = WORDS.copy()
+WORD_PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = 2
 _BYTE = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]
 _BYTE[_SPACE] = 0
@@ -63,13 +67,15 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def _piece(data: np.ndarray, starts_of_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and word start positions of one buffer."""
-    word = ~_SPACE[data]
-    first = word.copy()
-    first[1:] &= ~word[:-1]
+def _piece(data: np.ndarray, starts_of_rows: np.ndarray, kinds: np.ndarray = WORDS,
+           prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and word start positions of one buffer; hashes of the words'
+    first ``prefix`` bytes if that isn't 0."""
+    kind = kinds[data]
+    first = kind != 0
+    first[1:] &= kind[1:] != kind[:-1]
     rows = starts_of_rows[starts_of_rows < len(data)]
-    first[rows] = word[rows]
+    first[rows] = kind[rows] != 0
     starts = np.flatnonzero(first)
     if not len(starts):
         return np.zeros(0, np.uint64), starts
@@ -77,15 +83,18 @@ def _piece(data: np.ndarray, starts_of_rows: np.ndarray) -> tuple[np.ndarray, np
     at -= np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(data)]))
     powers = np.cumprod(np.full(int(at.max()) + 1, _P, np.uint64))
     values = _BYTE[data] * powers[at]
+    if prefix:
+        values[at >= prefix] = 0
     return mix(np.add.reduceat(values, starts)), starts
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(offsets: np.ndarray, data: np.ndarray, lo: int, hi: int,
+                kinds: np.ndarray = WORDS, prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of rows ``lo..hi`` and each row's first word (with the end)."""
     base, end = offsets[lo], offsets[hi]
     rows = offsets[lo:hi] - base
     if hi - lo > 1 or end - base <= PIECE:
-        h, starts = _piece(data[base:end], rows)
+        h, starts = _piece(data[base:end], rows, kinds, prefix)
         return h, np.r_[np.searchsorted(starts, rows), len(h)]
     found, at = [], base
     while at < end:
@@ -93,7 +102,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray, lo: int, hi: int) -> tupl
         while cut < end and not _SPACE[data[cut - 1]]:
             step = np.flatnonzero(_SPACE[data[cut:min(cut + PIECE, end)]])
             cut = cut + int(step[0]) + 1 if len(step) else min(cut + PIECE, end)
-        found.append(_piece(data[at:cut], np.zeros(1, np.int64))[0])
+        found.append(_piece(data[at:cut], np.zeros(1, np.int64), kinds, prefix)[0])
         at = cut
     h = np.concatenate(found)
     return h, np.array([0, len(h)])
