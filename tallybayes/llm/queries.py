@@ -6,18 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybayes.llm import oracles
+from tallybayes.llm.chat import conversation_digests, format_conversations
 from tallybayes.llm.decontam import contaminated
 from tallybayes.llm.langid import identify
 from tallybayes.llm.minhash import near_duplicates
 from tallybayes.llm.packing import pack_documents
 from tallybayes.llm.quality import importance_resample
 from tallybayes.llm.storage import documents
+from tallybayes.llm.warc import archive_pages, read_records
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=4, percent=80)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    text = F.lit("</s>[INST] ok [/INST]")
+    more = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"),
+                 F.lit(role).alias("role"), text.alias("text")) for i, role in enumerate(("user", "assistant"))])))
+    return conversation_digests(format_conversations(rows.union(more)))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -34,15 +46,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), items).withColumn("tiles", F.size("tiles"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return read_records(spark, target).select(
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"), "refers_to")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op3_chat": op3_chat,
     "op4_langid": op4_langid,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_chat": oracles.CHAT, "op9_warc": oracles.WARC}
