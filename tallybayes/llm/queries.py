@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tallybayes.llm import oracles
 from tallybayes.llm.chat import conversation_digests, format_conversations
 from tallybayes.llm.decontam import contaminated
+from tallybayes.llm.fingerprint import edited_fingerprints
 from tallybayes.llm.langid import identify
+from tallybayes.llm.linededup import drop_recurring_lines
 from tallybayes.llm.minhash import near_duplicates
 from tallybayes.llm.packing import pack_documents
 from tallybayes.llm.quality import importance_resample
@@ -37,6 +39,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -61,9 +71,11 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op3_chat": op3_chat,
     "op4_langid": op4_langid,
+    "op5_linededup": op5_linededup,
+    "op6_fingerprint": op6_fingerprint,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {"op3_chat": oracles.CHAT, "op9_warc": oracles.WARC}
+ORACLE: dict[str, str] = {"op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC}
