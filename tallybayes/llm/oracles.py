@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybayes.llm import linededup
+from tallybayes.llm import license, linededup
 from tallybayes.llm.chat import Template
 from tallybayes.llm.warc import ALPHABET
 
@@ -104,3 +104,36 @@ kept AS (
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
   coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped
 FROM documents d LEFT JOIN kept k USING (doc_id)"""
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    out = f"translate({text}, '{license.UPPER}', '{license.LOWER}')"
+    for old, new in license.SPELLINGS.items():
+        out = f"replace({out}, {_quote(old)}, {_quote(new)})"
+    out = f"regexp_replace({out}, {_quote('(?m)' + license.COPYRIGHT)}, '', 'g')"
+    return f"regexp_replace({out}, {_quote(license.OTHER)}, ' ', 'g')"
+
+
+def license_sql() -> str:
+    known = ", ".join(f"({_quote(k)}, {_quote(t)})" for k, ts in license.KNOWN.items() for t in ts)
+    notices = ", ".join(f"({_quote(line)}, {_quote(k)})" for line, k in license.canonical_notices().items())
+    digest = "sha256(trim(regexp_replace({}, '[ \\n]+', ' ', 'g')))"
+    return f"""
+WITH known AS (
+  SELECT DISTINCT {digest.format(_canonical("t"))} AS digest, license_id FROM (VALUES {known}) AS v(license_id, t)),
+notices AS (SELECT * FROM (VALUES {notices}) AS v(line, id)),
+forms AS (SELECT doc_id, {_canonical("text")} AS form FROM documents),
+lines AS (SELECT doc_id, trim(unnest(string_split(form, chr(10)))) AS line FROM forms),
+named AS (
+  SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT id, ',' ORDER BY id) AS notices
+  FROM lines JOIN notices USING (line) GROUP BY doc_id)
+SELECT f.doc_id, {digest.format("f.form")} AS digest, k.license_id,
+  coalesce(n.n_notices, 0) AS n_notices, coalesce(n.notices, '') AS notices
+FROM forms f LEFT JOIN known k ON k.digest = {digest.format("f.form")} LEFT JOIN named n USING (doc_id)"""
+
+
+LICENSE = license_sql()

@@ -11,6 +11,7 @@ from tallybayes.llm.chat import conversation_digests, format_conversations
 from tallybayes.llm.decontam import contaminated
 from tallybayes.llm.fingerprint import edited_fingerprints
 from tallybayes.llm.langid import identify
+from tallybayes.llm.license import scan
 from tallybayes.llm.linededup import drop_recurring_lines
 from tallybayes.llm.minhash import near_duplicates
 from tallybayes.llm.packing import pack_documents
@@ -23,6 +24,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=4, percent=80)
 
 
+def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     text = F.lit("</s>[INST] ok [/INST]")
@@ -69,6 +74,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_license": op2_license,
     "op3_chat": op3_chat,
     "op4_langid": op4_langid,
     "op5_linededup": op5_linededup,
@@ -78,4 +84,4 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {"op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC}
+ORACLE: dict[str, str] = {"op2_license": oracles.LICENSE, "op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC}
