@@ -1,26 +1,57 @@
-"""Corpus pipeline: the stages that turn ``documents`` into packed sequences."""
+"""Corpus pipeline: the stages that turn ``documents`` into packed sequences.
+
+Each stage reads what its predecessor kept, as a Parquet table in the cluster's shared
+folder.  All but the last return the columns of ``documents``: a stage drops
+documents or, in ``line_dedup``, lines of their texts.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybayes.llm.decontam import drop_contaminated
+from tallybayes.llm.linededup import clean_lines
 from tallybayes.llm.minhash import drop_near_duplicates
+from tallybayes.llm.packing import pack_documents
+from tallybayes.llm.quality import keep_quality
 from tallybayes.llm.storage import documents, save
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling keeps."""
+    return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go from all documents but the first; documents without any other line go."""
+    return clean_lines(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
     return drop_near_duplicates(docs, k=5, percent=80)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences, one row per piece."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontaminate", decontaminate), ("packing", packing)]
 
+#: Tokenizing and trained weights can't be expressed in SQL; see tests/llm.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = save(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
