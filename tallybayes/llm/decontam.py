@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
+from tallybayes.llm.storage import without_ids
 
 SEED, COVERAGE = 5, 0.5
 #: Only letters, digits and bytes over 127 make words.
@@ -162,5 +163,4 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is covered."""
-    gone = contaminated(docs, items, id_col, text_col).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, id_col, contaminated(docs, items, id_col, text_col).select(id_col))

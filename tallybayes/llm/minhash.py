@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
 from tallybayes.llm.graph import connected_components
-from tallybayes.llm.storage import save
+from tallybayes.llm.storage import save, without_ids
 
 ROWS, BANDS = 6, 40
 _RANK = np.uint64(48)
@@ -274,6 +274,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                          percent: int = 80) -> DataFrame:
     """The rows of ``docs`` but for those that are near copies of a kept document."""
-    gone = near_duplicates(docs, id_col, text_col, k, percent).filter(~F.col("kept"))
-    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, id_col, near_duplicates(docs, id_col, text_col, k, percent).filter(~F.col("kept")).select(id_col))

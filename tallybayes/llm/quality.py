@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
-from tallybayes.llm.storage import save
+from tallybayes.llm.storage import save, without_ids
 
 BUCKETS = 1 << 18
 PREFIX = 6
@@ -191,6 +191,4 @@ def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``importance_resample`` keeps."""
-    gone = importance_resample(docs, labels, id_col, text_col).filter(~F.col("kept"))
-    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return without_ids(docs, id_col, importance_resample(docs, labels, id_col, text_col).filter(~F.col("kept")).select(id_col))

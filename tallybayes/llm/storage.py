@@ -21,3 +21,22 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, from ``names``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+        taken.add(name.lower())
+    return found
+
+
+def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id isn't in ``ids`` (one column); a null id stays."""
+    gone, = fresh(docs, "gone")
+    ids = ids.select(ids[0].alias(gone)).distinct()
+    return docs.join(ids, docs[id_col] == ids[gone], "left_anti")
