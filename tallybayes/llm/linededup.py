@@ -26,23 +26,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybayes.llm.storage import save
+from tallybayes.llm.storage import fresh, save
 
 LEAST, LEAD, LEAST_VARIABLE, EVIDENCE = 4, 4, 6, 40
 #: SIMILAR as a fraction of integers: 3 of 4 tokens.
 SIMILAR = (3, 4)
-BLANK = r"[ \t\x0B\f\r]+"
+#: White space within lines, and lines that aren't their own canonical form.
+BLANKS = " \t\x0B\f\r"
+ODD = r"[0-9\t\x0B\f\r]|^ | $|  "
 KEY = ["leaf", "h1", "h2", "n"]
 
 
-def masked_tokens(line: Column) -> Column:
-    return F.transform(F.filter(F.split(line, BLANK), lambda t: t != ""),
-                       lambda t: F.when(t.rlike("[0-9]"), "<*>").otherwise(t))
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       *_row_key(id_col, text_col))
+def canonical_line(line: Column) -> Column:
+    """The line's tokens with one blank between, those with a digit as ``<*>``."""
+    tokens = F.filter(F.split(line, f"[{BLANKS}]+"), lambda t: t != "")
+    return F.when(line.rlike(ODD), F.array_join(F.transform(
+        tokens, lambda t: F.when(t.rlike("[0-9]"), "<*>").otherwise(t)), " ")).otherwise(line)
 
 
 def _row_key(id_col: str, text_col: str) -> list[Column]:
@@ -51,28 +50,32 @@ def _row_key(id_col: str, text_col: str) -> list[Column]:
 
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, k1, k2, pos, tokens, n, h1, h2, leaf)`` of lines with ``LEAST`` tokens or more."""
-    lines = _keyed(docs, id_col, text_col).select("id", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.withColumn("tokens", masked_tokens(F.col("line"))).withColumn("n", F.size("tokens")).filter(F.col("n") >= LEAST)
-    return lines.select("id", "k1", "k2", "pos", "tokens", "n", F.xxhash64("tokens").alias("h1"),
-                        F.xxhash64(F.lit(1), "tokens").alias("h2"),
-                        F.xxhash64("n", F.slice("tokens", 1, LEAD)).alias("leaf"))
+    """``(id, k1, k2, pos, line, n, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more."""
+    lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col),
+                        F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
+    lines = lines.withColumn("line", canonical_line(F.col("line"))).withColumn(
+        "n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return lines.filter(F.col("n") >= LEAST).select(
+        "id", "k1", "k2", "pos", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+        F.xxhash64("n", F.substring_index("line", " ", LEAD)).alias("leaf"))
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(h1, h2, first)``: lines of recurring templates and the template's first document."""
-    lines = line_rows(docs, id_col, text_col)
+def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """``(h1, h2, first)``: lines of recurring templates and the template's first document.
+
+    ``lines``: as ``line_rows`` gives them; ``places``: a table of them without the lines.
+    """
     across = (F.col("first") != F.col("last")) & (F.col("docs") * F.col("n") >= EVIDENCE)
-    kinds = save(lines.select(*KEY, "id").distinct().groupBy(*KEY).agg(
+    kinds = save(places.select(*KEY, "id").distinct().groupBy(*KEY).agg(
         F.count("id").alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "line-kinds")
     leaves = kinds.groupBy("leaf", "n").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")) \
         .filter((F.col("kinds") > 1) & (F.col("n") >= LEAST_VARIABLE) & across).select("leaf", "kinds")
     # one occurrence of each different line of such leaves, token by token
     wanted = save(kinds.filter(F.col("first").isNotNull()).join(leaves, "leaf"), "line-leaves")
-    spots = lines.select(*KEY, "id", F.transform("tokens", lambda t: F.xxhash64(t)).alias("t")) \
+    spots = lines.select(*KEY, "id", "line") \
         .join(wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY) \
-        .select(*KEY, "kinds", F.posexplode("t").alias("at", "token"))
+        .select(*KEY, "kinds", F.posexplode(F.split("line", " ")).alias("at", "token"))
     common = spots.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")) \
         .filter(2 * F.col("c") > F.col("kinds")).select("leaf", "at", "token")
     members = spots.join(common, ["leaf", "at", "token"]).groupBy(*KEY).agg(F.count(F.lit(1)).alias("same")) \
@@ -86,26 +89,31 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with cleaned texts, and columns ``n_lines`` and ``n_dropped``."""
-    repeats = save(recurring_lines(docs, id_col, text_col), "recurring")
-    gone = line_rows(docs, id_col, text_col).select("id", "k1", "k2", "pos", "h1", "h2").join(repeats, ["h1", "h2"]) \
-        .filter(~F.col("id").eqNullSafe(F.col("first"))).groupBy("k1", "k2").agg(F.collect_set("pos").alias("_gone"))
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """``docs`` with cleaned texts and two counts (which replace columns of their names)."""
+    lines = line_rows(docs, id_col, text_col)
+    places = save(lines.drop("line"), "line-places")
+    repeats = save(recurring_lines(lines, places), "recurring")
+    gone = places.select("id", "k1", "k2", "pos", "h1", "h2").join(repeats, ["h1", "h2"]) \
+        .filter(~F.col("id").eqNullSafe(F.col("first"))).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
     k1, k2 = _row_key(id_col, text_col)
-    found = docs.select("*", k1.alias("_k1"), k2.alias("_k2")).join(
-        gone.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), ["_k1", "_k2"], "left")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), k1, k2)
+    found = rows.join(gone, ["k1", "k2"], "left")
     # split once: an expression that is used twice stays a column of its own
-    found = found.withColumn("_lines", F.split(text_col, "\n", -1))
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")),
-                       lambda i: F.get("_lines", i))
-    return found.select(*[
-        F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col(c)
-        for c in docs.columns],
-        F.coalesce(F.when(F.col(text_col).isNotNull(), F.size("_lines")), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
+    found = found.withColumn("lines", F.split("text", "\n", -1))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")),
+                       lambda i: F.get("lines", i))
+    cleaned = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    counts = {n_lines: F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)),
+              n_dropped: F.coalesce(F.size("gone"), F.lit(0))}
+    return found.select(*[cleaned.alias(c) if c == text_col else F.col("row")[c].alias(c)
+                          for c in docs.columns if c not in counts],
+                        *[v.cast("bigint").alias(c) for c, v in counts.items()])
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without recurring lines; a document that had nothing else goes."""
-    done = drop_recurring_lines(docs.select(*docs.columns), id_col, text_col)
-    return done.filter((F.col("n_dropped") == 0) | F.col(text_col).rlike(r"\S")).select(*docs.columns)
+    n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
+    done = drop_recurring_lines(docs, id_col, text_col, n_lines, n_dropped)
+    return done.filter((F.col(n_dropped) == 0) | F.col(text_col).rlike(r"\S")).select(*docs.columns)
