@@ -31,16 +31,16 @@ from tallybayes.llm.storage import fresh, save
 LEAST, LEAD, LEAST_VARIABLE, EVIDENCE = 4, 4, 6, 40
 #: SIMILAR as a fraction of integers: 3 of 4 tokens.
 SIMILAR = (3, 4)
-#: White space within lines, and lines that aren't their own canonical form.
+#: White space within lines.
 BLANKS = " \t\x0B\f\r"
-ODD = r"[0-9\t\x0B\f\r]|^ | $|  "
 KEY = ["leaf", "h1", "h2", "n"]
 
 
 def canonical_line(line: Column) -> Column:
     """The line's tokens with one blank between, those with a digit as ``<*>``."""
     tokens = F.filter(F.split(line, f"[{BLANKS}]+"), lambda t: t != "")
-    return F.when(line.rlike(ODD), F.array_join(F.transform(
+    odd = line.startswith(" ") | line.endswith(" ") | (F.instr(line, "  ") > 0) | line.rlike(f"[0-9{BLANKS[1:]}]")
+    return F.when(odd, F.array_join(F.transform(
         tokens, lambda t: F.when(t.rlike("[0-9]"), "<*>").otherwise(t)), " ")).otherwise(line)
 
 
@@ -51,9 +51,10 @@ def _row_key(id_col: str, text_col: str) -> list[Column]:
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, k1, k2, pos, line, n, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more."""
-    lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col),
-                        F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
-    lines = lines.withColumn("line", canonical_line(F.col("line"))).withColumn(
+    # canonical before the explode: a column that is inlined later would be computed again
+    lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), F.posexplode(
+        F.transform(F.split(text_col, "\n", -1), canonical_line)).alias("pos", "line"))
+    lines = lines.withColumn(
         "n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     return lines.filter(F.col("n") >= LEAST).select(
         "id", "k1", "k2", "pos", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
