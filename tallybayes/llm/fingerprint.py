@@ -44,7 +44,7 @@ def lane_sums(rows: DataFrame, keys: Sequence[str], part: str = "part") -> DataF
         for k in range(32):
             w = F.col(f"_w{s}_{k}")
             lane += [w.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(w, 32)]
-    return words.select(*keys, F.array(*[2 * x - F.col("_n") for x in lane]).alias("lanes"))
+    return words.select(*keys, F.array(*[(2 * x - F.col("_n")).cast("int") for x in lane]).alias("lanes"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -60,7 +60,7 @@ def digest(lanes: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Cosine of two lane vectors within 0..1; 1 for equal ones."""
     def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0).cast("bigint"), lambda s, v: s + v)
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("bigint") * q), F.lit(0).cast("bigint"), lambda s, v: s + v)
 
     size = F.sqrt(dot(a, a).cast("double")) * F.sqrt(dot(b, b).cast("double"))
     return F.when(a == b, 1.0).when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(a, b) / size))).otherwise(0.0)
@@ -119,11 +119,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # each document with the key and the wanted length of the one before it
     before = order.select(((F.col("at") + 1) % F.col("n")).alias("at"), F.col("k1").alias("p1"), F.col("k2").alias("p2"),
                           F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"))
-    links = order.join(before, "at").select("k1", "k2", "at", "n", "copies", "p1", "p2", "wanted")
-    texts = keyed.dropDuplicates(["k1", "k2"]).join(links, ["k1", "k2"])
-    heads = texts.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.substring("text", F.lit(1), F.col("wanted")).alias("head"))
+    links = order.join(before, "at")
+    # the one shuffle of whole texts: all uses below read the same exchange
+    texts = keyed.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
+    placed = texts.join(links, ["k1", "k2"])
+    heads = placed.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.substring("text", F.lit(1), F.col("wanted")).alias("head"))
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
-    edited = texts.join(heads, ["k1", "k2"]).withColumn(
+    edited = placed.join(heads, ["k1", "k2"]).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), kept), "head"))
     carried = ["k1", "k2", "id", "n_chars", "at", "n", "copies"]
     own = lane_sums(texts.select("k1", "k2", F.explode(paragraphs(F.col("text"))).alias("part")), ["k1", "k2"])
