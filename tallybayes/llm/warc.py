@@ -33,31 +33,31 @@ from tallybayes.session import scratch_dir
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
+STEP = 1 << 14
 HTTP = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"
 
 
-def base32_of_sha1(payload: Column) -> Column:
-    """Bare upper-case base32: each five hex digits of the digest are four letters."""
-    digest = F.sha1(payload)
-
+def base32(digest: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: each ten hex digits are eight letters."""
     def letters(i: int) -> list[Column]:
-        bits = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
-        return [F.substring(F.lit(ALPHABET), F.shiftright(bits, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
+        bits = F.conv(F.substring(digest, 10 * i + 1, 10), 16, 10).cast("bigint")
+        return [F.substring(F.lit(ALPHABET), (F.shiftright(bits, s).bitwiseAND(31) + 1).cast("int"), F.lit(1))
+                for s in range(35, -1, -5)]
 
-    return F.concat(*[c for i in range(8) for c in letters(i)])
+    return F.concat(*[c for i in range(4) for c in letters(i)])
 
 
 def with_roles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                least: int = 0) -> DataFrame:
-    """``(page_id, url, payload, bytes, digest, kind, refers_to)``."""
+    """``(page_id, url, payload, bytes, sha1, kind, refers_to)``."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("payload")) \
         .withColumn("bytes", F.octet_length("payload").cast("bigint")) \
-        .withColumn("digest", base32_of_sha1(F.col("payload")))
-    first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first"))
+        .withColumn("sha1", F.sha1("payload"))
+    first = rows.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first"))
     own = (F.col("bytes") < least) | F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, ["digest", "bytes"]).select(
-        "page_id", "url", F.when(own, F.col("payload")).alias("payload"), "bytes", "digest",
+    return rows.join(first, ["sha1", "bytes"]).select(
+        "page_id", "url", F.when(own, F.col("payload")).alias("payload"), "bytes", "sha1",
         F.when(own, "response").otherwise("revisit").alias("kind"), F.when(~own, F.col("first")).alias("refers_to"))
 
 
@@ -74,9 +74,9 @@ def record(date: str) -> Column:
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"), header("WARC-Type", F.col("kind")),
         header("WARC-Record-ID", F.concat(F.lit("<urn:sha1:"), F.sha1(F.concat_ws(
-            " ", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), target, "digest")), F.lit(">"))),
+            " ", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), target, "sha1")), F.lit(">"))),
         header("WARC-Date", F.lit(date)), header("WARC-Target-URI", target),
-        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("sha1")))),
         header("WARC-Profile", revisit), header("X-Page-Id", F.col("page_id")),
         header("X-Refers-To-Page-Id", F.col("refers_to")),
         header("Content-Type", F.lit("application/http;msgtype=response")),
@@ -193,10 +193,12 @@ def read_records(spark, target: str) -> DataFrame:
             for part, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rest, at, rows, size = memoryview(cell.as_buffer()), 0, [], 0
                 while len(rest):
-                    engine = zlib.decompressobj(31)
-                    data = engine.decompress(rest)
-                    length = len(rest) - len(engine.unused_data)
-                    rest = rest[length:]
+                    # piece by piece: what lies behind a member's end is copied each time
+                    engine, pieces, length = zlib.decompressobj(31), [], 0
+                    while not engine.eof:
+                        pieces.append(engine.decompress(rest[length:length + STEP]))
+                        length = min(length + STEP, len(rest)) - len(engine.unused_data)
+                    data, rest = b"".join(pieces), rest[length:]
                     if data:
                         head, block = data.split(b"\r\n\r\n", 1)
                         h = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
