@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = link_classes(classes, src, k, percent)
     rows = sig.select("id", "n", "set_key").join(classes.select("set_key", "node"), "set_key", "left") \
         .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node", "id"))
-    rows = save(rows.select("id", "n", "comp"), "rows")
+    rows = save(rows.select("id", "n", F.when(F.col("id").isNotNull(), F.col("comp")).alias("comp")), "rows")
     # ids that repeat with different texts join the components of their texts
     again = rows.filter(F.col("id").isNotNull()).groupBy("id").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))

@@ -82,7 +82,7 @@ def _piece(data: np.ndarray, starts_of_rows: np.ndarray, kinds: np.ndarray = WOR
     at = np.arange(len(data), dtype=np.int64)
     at -= np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(data)]))
     powers = np.cumprod(np.full(int(at.max()) + 1, _P, np.uint64))
-    values = _BYTE[data] * powers[at]
+    values = np.where(kind != 0, _BYTE[data] * powers[at], np.uint64(0))
     if prefix:
         values[at >= prefix] = 0
     return mix(np.add.reduceat(values, starts)), starts

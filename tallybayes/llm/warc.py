@@ -131,7 +131,7 @@ def _member(data: bytes, level: int) -> bytes:
     return engine.compress(data) + engine.flush()
 
 
-def normalise(source: str, target: DataFrame | str, spark, level: int = 6) -> None:
+def normalise(spark, source: str, target: str, level: int = 6) -> None:
     """Rewrites the archives in ``source`` to ``target``/kind=warc, one member a record,
     with the index of each in the file of the same number in ``target``/kind=index."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(source).select("content")
@@ -173,8 +173,10 @@ def normalise(source: str, target: DataFrame | str, spark, level: int = 6) -> No
 
 def read_index(spark, target: str) -> DataFrame:
     """``(part, offset, length, record_id)``: where each record's member lies."""
-    rows = spark.read.option("lineSep", "\0").text(f"{target}/kind=index").select(
-        F.regexp_extract(F.input_file_name(), r"/(part-\d+)", 1).alias("part"), F.split("value", "\t").alias("f"))
+    path = F.col("_metadata.file_path")
+    rows = spark.read.option("lineSep", "\0").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*") \
+        .text(target).filter(path.contains("/kind=index/") | path.contains("/kind%3Dindex/")) \
+        .select(F.regexp_extract(path, r"/(part-\d+)", 1).alias("part"), F.split("value", "\t").alias("f"))
     return rows.select("part", F.col("f")[0].cast("bigint").alias("offset"), F.col("f")[1].cast("bigint").alias("length"),
                        F.col("f")[2].alias("record_id"))
 
@@ -182,8 +184,8 @@ def read_index(spark, target: str) -> DataFrame:
 def read_records(spark, target: str) -> DataFrame:
     """``(part, offset, page_id, url, kind, refers_to, digest, bytes, payload)`` of all records in
     ``target``; ``digest`` and ``bytes`` of a response are taken from its payload anew."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{target}/kind=warc") \
-        .select(F.regexp_extract("path", r"/(part-\d+)", 1).alias("part"), "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true") \
+        .load(target).filter(F.col("path").contains("/kind=warc/")).select(F.regexp_extract("path", r"/(part-\d+)", 1).alias("part"), "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64
@@ -233,5 +235,5 @@ def archive_pages(pages: DataFrame, least: int = 0) -> str:
     spark = pages.sparkSession
     raw, target = scratch_dir(spark, "warc-raw"), scratch_dir(spark, "warc")
     write_monolithic(with_roles(pages, least=least), raw)
-    normalise(raw, target, spark)
+    normalise(spark, raw, target)
     return target
