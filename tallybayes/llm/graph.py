@@ -30,15 +30,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("u") != F.col("v")).distinct()
 
 
+def _flat(edges: DataFrame) -> bool:
+    """Whether the edges are stars: each u once, and no node both a u and a v."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")) \
+        .filter("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``(node, comp)``: the smallest node reachable, for every node that is on
     an edge and isn't that smallest one itself."""
-    e = edges.filter(F.col(a) != F.col(b)).select(
-        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    last = None
-    while True:
+    e = save(edges.filter(F.col(a) != F.col(b)).select(
+        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    while not _flat(e):
         e = save(_star(_star(e, True), False), "components")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        last = now
+    return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))

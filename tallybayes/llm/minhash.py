@@ -12,9 +12,8 @@ Steps, each a Spark job over the whole table:
 2. rows with equal sets are one class, and its smallest id stands for it;
 3. members of a band's bucket are compared with the bucket's smallest member;
    verified links merge components, and only members of a bucket that are in
-   different components are compared further: with the next smallest members,
-   and then with all members of other components that an exact bound leaves
-   (``_rest``).  No pair of one component is ever listed;
+   different components are compared further, with all members of other components that an exact
+   bound leaves (``_rest``).  No pair of one component is ever listed;
 4. every compared pair is verified on the whole sets.
 
 Defined cases: a null, empty or word-less text has no shingles and is linked
@@ -212,7 +211,7 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
-                 hub_rounds: int = 3) -> DataFrame:
+                 hub_rounds: int = 1) -> DataFrame:
     """``(node, comp)`` for classes ``(node, n, set_key, bands)`` that share a bucket."""
     rows = classes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
     shared = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
