@@ -169,15 +169,19 @@ class MultinomialModel:
         self.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
         self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
         self.counts.write.mode("overwrite").parquet(f"{path}/counts")
+        local_frame(self.counts.sparkSession, [(float(self.alpha), int(self.min_df))],
+                    "alpha double, min_df int").write.mode("overwrite").parquet(f"{path}/params")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, alpha: float = 1.0, min_df: int = 1
-             ) -> "MultinomialModel":
+    def load(cls, spark: SparkSession, path: str) -> "MultinomialModel":
+        params = spark.read.parquet(f"{path}/params").first()
         cs = spark.read.parquet(f"{path}/class_stats")
         rows = cs.orderBy("label_idx").collect()
         vocab = spark.read.parquet(f"{path}/vocab")
-        return cls(alpha=alpha, min_df=min_df, labels=[r["label"] for r in rows],
-                   vocab_size=vocab.count(), n_docs=sum(r["n_docs"] for r in rows),
+        v = vocab.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("b"),
+                      F.coalesce(F.sum("df"), F.lit(0)).alias("df")).first()
+        return cls(alpha=params["alpha"], min_df=params["min_df"], labels=[r["label"] for r in rows],
+                   vocab_size=int(v["n"]), vocab_bytes=int(v["b"]), total_df=int(v["df"]), n_docs=sum(r["n_docs"] for r in rows),
                    class_stats=cs, class_rows=rows,
                    counts=spark.read.parquet(f"{path}/counts"), vocab=vocab,
                    term_stats=spark.read.parquet(f"{path}/term_stats"))
@@ -223,6 +227,8 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: r for r in summary}
+    if None in found:
+        raise ValueError("training rows without a label: filter or label them first")
     label_list = sorted({str(l) for l in labels}) if labels is not None else sorted(found)
     vocab_size = int(summary[0]["v"]) if summary else 0
     vocab_bytes = int(summary[0]["vb"]) if summary else 0
@@ -328,6 +334,8 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
     if len(summary) > MAX_CLASSES:
         raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: int(r["n_rows"]) for r in summary}
+    if None in found:
+        raise ValueError("training rows without a label: filter or label them first")
     label_list = sorted({str(l) for l in labels}) if labels is not None else sorted(found)
     n = int(sum(found.values()))
     a = F.lit(float(alpha))

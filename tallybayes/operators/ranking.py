@@ -10,6 +10,8 @@ bucket holds ~n/2^bits rows whatever the key distribution.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,11 +29,15 @@ def bucketed_rank(df: DataFrame, bucket: Column, order: Sequence[Column],
     counts = b.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
+    keys = [*group, "_bucket"]
     offsets = counts.select(
-        *group, "_bucket", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_offset"))
-    w_in = Window.partitionBy(*group, "_bucket").orderBy(*order)
+        *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_offset"))
+    w_in = Window.partitionBy(*keys).orderBy(*order)
+    # a NULL group or bucket is a group or bucket of its own (buckets: before all others)
+    same = [b[k].eqNullSafe(offsets[f"_o{i}"]) for i, k in enumerate(keys)]
     return (
-        b.join(offsets, [*group, "_bucket"])
+        b.join(offsets, reduce(and_, same))
         .withColumn(rank_col, (F.col("_offset") + F.row_number().over(w_in)).cast("bigint"))
-        .drop("_bucket", "_offset")
+        .drop("_bucket", "_offset", *[f"_o{i}" for i in range(len(keys))])
     )

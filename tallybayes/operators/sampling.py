@@ -54,7 +54,7 @@ def stratified_split(df: DataFrame, key: Sequence[str] | str, label_col: str = "
 
     Test gets ``ceil(test_size * n)`` rows; each class gets
     ``floor(test_size * n_c)`` plus one for the classes with the largest
-    remainders (ties by label), and inside a class the rows with the smallest
+    remainders (ties by label; rows without a label are a class), and inside a class the rows with the smallest
     hash go to test.  ``flag_col`` is 1 for test, 0 for train.
     """
     key = _key_cols(key)
@@ -69,14 +69,14 @@ def stratified_split(df: DataFrame, key: Sequence[str] | str, label_col: str = "
         .withColumn("_deficit", F.col("_target") - F.sum("_base").over(all_rows))
         .withColumn("_order", F.row_number().over(
             Window.orderBy(F.col("_rem").desc(), F.col(label_col))))
-        .select(label_col, (F.col("_base") + F.when(F.col("_order") <= F.col("_deficit"), 1)
+        .select(F.col(label_col).alias("_label"), (F.col("_base") + F.when(F.col("_order") <= F.col("_deficit"), 1)
                             .otherwise(0)).alias("_quota"))
     )
     ranked = _hash_rank(df, key, seed, group=[label_col])
-    return (ranked.join(quota, label_col)
+    return (ranked.join(quota, ranked[label_col].eqNullSafe(quota["_label"]))
             .withColumn(flag_col, F.when(F.col("_rank") <= F.col("_quota"), 1).otherwise(0)
                         .cast("bigint"))
-            .drop("_rank", "_quota"))
+            .drop("_rank", "_quota", "_label"))
 
 
 def replicate(df: DataFrame, factor: int, replica_col: str = "replica") -> DataFrame:
@@ -93,14 +93,15 @@ def ordered_split(df: DataFrame, order_col: str, n_train: int, flag_col: str = "
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """First ``n_train`` rows by ``order_col`` are train (0), the rest test (1).
 
-    Exact rank without a one-task window: equal-width buckets over the numeric
+    Rows without a key come first.  Exact rank without a one-task window: equal-width buckets over the numeric
     key range (bounds from one aggregate), numbered inside buckets.
     """
     bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"))
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
-    width = (hi - lo).cast("double") + F.lit(1.0)
-    bucket = F.floor((F.col(order_col) - lo).cast("double") / width * F.lit(float(1 << RANK_BITS)))
+    lo, hi = lo.cast("double"), hi.cast("double")  # differences of extreme bigints overflow
+    width = (hi - lo) + F.lit(1.0)
+    bucket = F.floor((F.col(order_col).cast("double") - lo) / width * F.lit(float(1 << RANK_BITS)))
     ranked = bucketed_rank(df, bucket, [F.col(order_col)] + [F.col(c) for c in tiebreak],
                            rank_col="_rank")
     return ranked.withColumn(flag_col, F.when(F.col("_rank") > n_train, 1).otherwise(0)

@@ -33,6 +33,8 @@ class TabularSpec:
 
 def column_minmax(train: DataFrame, spec: TabularSpec) -> DataFrame:
     """``(attr, name, lo, hi)`` of each continuous attribute: one pass."""
+    if not spec.continuous:
+        return train.sparkSession.createDataFrame([], "attr bigint, name string, lo double, hi double")
     aggs = []
     for c in spec.continuous:
         aggs += [F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
@@ -52,11 +54,17 @@ def minmax_values(train: DataFrame, spec: TabularSpec) -> dict[str, tuple[float,
 
 
 def bin_value(v: Column, lo: Column, hi: Column, n_bins: int) -> Column:
-    """Equal-width bin label; the clamp happens in double before the cast."""
+    """Equal-width bin label; the clamp happens in double before the cast.
+
+    A missing value (NULL or NaN) has no bin: the job fails.
+    """
+    num = v.cast("double")
+    missing = num.isNull() | F.isnan(num)
     x = (v.cast("double") - lo) / (hi - lo) * F.lit(n_bins)
     k = F.when(hi <= lo, F.lit(0)).otherwise(
         F.least(F.greatest(x, F.lit(0.0)), F.lit(float(n_bins - 1))).cast("int"))
-    return F.concat(F.lit("bin"), k.cast("string"))
+    return F.when(missing, F.raise_error(F.lit("a continuous attribute has a NULL or NaN value")).cast("string")) \
+        .otherwise(F.concat(F.lit("bin"), k.cast("string")))
 
 
 def discretize(df: DataFrame, spec: TabularSpec,
@@ -93,8 +101,8 @@ def feature_vocabulary(feats: DataFrame) -> DataFrame:
 
 
 def attribute_domains(feats: DataFrame) -> DataFrame:
-    """``(attr, n_values)``: distinct train values per attribute (D_i)."""
-    return feats.select("attr", "value").distinct().groupBy("attr") \
+    """``(attr, n_values)``: distinct train values per attribute (D_i); NULL is no value."""
+    return feats.filter(F.col("value").isNotNull()).select("attr", "value").distinct().groupBy("attr") \
         .agg(F.count(F.lit(1)).alias("n_values"))
 
 
