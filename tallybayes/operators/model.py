@@ -17,6 +17,7 @@ class list.  Term/feature statistics stay distributed.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,10 +29,6 @@ from tallybayes.functions.text import bag_rows
 from tallybayes.operators import scoring
 from tallybayes.session import scratch_dir
 
-# Guard for the per-class summary held on the driver.
-MAX_CLASSES = 100_000
-
-
 def materialize(df: DataFrame, how: str, name: str) -> DataFrame:
     """``cache`` (default), ``checkpoint`` (write under the shared checkpoint
     dir and read back: cuts lineage, survives executor loss) or ``none``."""
@@ -45,33 +42,20 @@ def materialize(df: DataFrame, how: str, name: str) -> DataFrame:
 
 
 def local_frame(spark: SparkSession, rows: Sequence, schema) -> DataFrame:
-    """A tiny driver-built table (one row per class or fold x class).
+    """A driver-built table (one row per class or fold x class).
 
-    Built as a one-row range expanded by ``inline``, so the planner sees its
-    real (tiny) size and broadcasts it, unlike an RDD-backed frame.
+    One JSON literal, expanded by ``inline``: the plan is as small for many
+    rows as for few, and the planner sees a small table and broadcasts it,
+    unlike an RDD-backed frame.
     """
     from pyspark.sql.types import _parse_datatype_string
 
     st = _parse_datatype_string(schema) if isinstance(schema, str) else schema
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
-               for r in rows]
-    if not structs:
+    if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def _lit_array(values: Sequence, dtype: str) -> Column:
-    return F.array(*[F.lit(v).cast(dtype) for v in values])
-
-
-def _resolve_labels(spark: SparkSession, class_counts: DataFrame,
-                    labels: Sequence[str] | None) -> list[str]:
-    if labels is not None:
-        return sorted({str(l) for l in labels})
-    found = [r["label"] for r in class_counts.select("label").collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{len(found)} classes exceed MAX_CLASSES={MAX_CLASSES}")
-    return sorted(found)
+    data = json.dumps([dict(zip(st.names, r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(
+        F.lit(data), f"array<{st.simpleString()}>", {"mode": "FAILFAST"})))
 
 
 @dataclass
@@ -88,7 +72,7 @@ class MultinomialModel:
     term_stats: DataFrame = field(repr=False)   # label, label_idx, term, cnt, log_likelihood, ll_q, delta
     vocab_bytes: int | None = None              # total UTF-8 bytes of the vocabulary terms
     salt: int | None = None                     # salt buckets for the shuffle join (None: default)
-    total_df: int | None = None                 # sum of document frequencies (train bag rows)
+    total_df: int | None = None                 # sum of document frequencies
 
     @property
     def n_classes(self) -> int:
@@ -113,56 +97,70 @@ class MultinomialModel:
         return self.term_stats.groupBy("term").agg(*[
             F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col("delta"))),
                        F.lit(0).cast("bigint")).alias(f"d{c}")
-            for c in range(n)], F.sum("df_c").alias("_w"))
+            for c in range(n)])
 
-    def _bags(self, docs: DataFrame, id_cols: Sequence[str], text_col: str) -> DataFrame:
-        return bag_rows(docs, text_col, id_cols)
+    def entry_table(self) -> DataFrame:
+        """Sparse model: ``(term, e)`` with the array of ``(label_idx, delta)`` of the classes that saw it."""
+        return self.term_stats.groupBy("term").agg(F.collect_list(F.struct("label_idx", "delta")).alias("e"))
+
+    def _parts(self, docs: DataFrame, id_cols: Sequence[str], text_col: str, keep: Sequence[str]):
+        """Bags and marker rows; ``ROW`` tells rows of one id apart by their text."""
+        cols = [*id_cols, *[k for k in keep if k not in id_cols]]
+        rows = docs.select(*cols, F.xxhash64(F.col(text_col)).alias(scoring.ROW),
+                           F.col(text_col).alias("_text"))
+        cols = [*cols, scoring.ROW]
+        return bag_rows(rows, "_text", cols), rows.select(*cols), [*id_cols, scoring.ROW]
 
     def class_scores(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                      keep: Sequence[str] = ()) -> DataFrame:
         """``(ids…, keep…, _q0.._q{C-1})`` fixed-point class scores (wide strategy)."""
-        keys = docs.select(*id_cols, *keep)
-        return scoring.score_wide(self._bags(docs, id_cols, text_col), ["term"], self.term_table(),
-                                  keys, id_cols, self.priors(), self.defaults(),
-                                  table_bytes=self.table_bytes(), salt=self.salt,
-                                  weight_col="_w", total_weight=self.total_df)
+        bags, keys, ids = self._parts(docs, id_cols, text_col, keep)
+        return scoring.score_wide(bags, ["term"], self.term_table(), keys, ids, self.priors(), self.defaults(),
+                                  table_bytes=self.table_bytes(), salt=self.salt).drop(scoring.ROW)
+
+    def sparse_sums(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
+                    keep: Sequence[str] = ()) -> DataFrame:
+        """``(ids…, keep…, _len, _sums)``: known tokens and the sums of the classes that saw them."""
+        bags, keys, ids = self._parts(docs, id_cols, text_col, keep)
+        size = None if self.vocab_bytes is None else self.vocab_bytes + self.vocab_size * (64 + 24 * self.n_classes)
+        return scoring.sparse_sums(bags, ["term"], self.entry_table(), keys, ids, table_bytes=size,
+                                   salt=self.salt).drop(scoring.ROW)
+
+    def constants(self) -> tuple[list, list]:
+        return [r["prior_q"] for r in self.class_rows], [r["default_q"] for r in self.class_rows]
 
     def transform(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
-                  keep: Sequence[str] = (), strategy: str = "wide") -> DataFrame:
-        """``(ids…, keep…, prediction, score)`` for every input row."""
+                  keep: Sequence[str] = (), strategy: str = "auto") -> DataFrame:
+        """``(ids…, keep…, prediction, score)`` for every input row.
+
+        ``strategy``: ``wide``, ``sparse`` or ``auto`` (wide for up to ``WIDE_CLASSES`` classes); results are
+        the same.
+        """
         keep_all = [*id_cols, *[k for k in keep if k not in id_cols]]
+        if strategy == "auto":
+            strategy = "wide" if self.n_classes <= scoring.WIDE_CLASSES else "sparse"
         if strategy == "sparse":
-            return self._transform_sparse(docs, id_cols, text_col, keep_all)
-        scored = self.class_scores(docs, id_cols, text_col, [k for k in keep if k not in id_cols])
+            sums = self.sparse_sums(docs, id_cols, text_col, keep)
+            return scoring.finish(sums, scoring.argmax_sparse(sums, *self.constants()), self.labels, keep_all)
+        scored = self.class_scores(docs, id_cols, text_col, keep)
         best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(self.n_classes)])
         return scoring.finish(scored, best, self.labels, keep_all)
 
-    def _transform_sparse(self, docs, id_cols, text_col, keep_all):
-        extra = [k for k in keep_all if k not in id_cols]
-        long_table = self.term_stats.select("term", "label_idx", "delta") \
-            .join(self.vocab.select("term", F.col("df").alias("_w")), "term")
-        idx = F.col("label_idx").cast("int") + 1
-        priors = F.element_at(_lit_array([r["prior_q"] for r in self.class_rows], "bigint"), idx)
-        defaults = F.element_at(_lit_array([r["default_q"] for r in self.class_rows], "bigint"), idx)
-        scored = scoring.score_sparse(
-            self._bags(docs, id_cols, text_col), ["term"], long_table,
-            self.vocab.select("term"), docs.select(*id_cols, *extra), id_cols,
-            priors, defaults, self.n_classes,
-            table_bytes=None if self.vocab_bytes is None else
-            int(self.n_classes * (self.vocab_bytes + self.vocab_size * 48)),
-            weight_col="_w", total_weight=self.total_df)
-        return scoring.argmax_long(scored, id_cols, keep_all, self.labels)
-
     def long_scores(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                     keep: Sequence[str] = ()) -> DataFrame:
         """``(ids…, keep…, class, score)``: every class for every row."""
-        scored = self.class_scores(docs, id_cols, text_col, keep)
-        entries = F.array(*[
-            F.struct(F.lit(l).alias("class"),
-                     F.coalesce(F.col(f"_q{c}").cast("double") / F.lit(float(LOG_SCALE)),
-                                F.lit(float("-inf"))).alias("score"))
-            for c, l in enumerate(self.labels)])
-        return scored.select(*id_cols, *keep, F.inline(entries))
+        extra = [k for k in keep if k not in id_cols]
+        sums = self.sparse_sums(docs, id_cols, text_col, keep)
+        priors, defaults = self.constants()
+        p, d = scoring.literal_array(priors, "bigint"), scoring.literal_array(defaults, "bigint")
+        rows = sums.select(*id_cols, *extra, "_len", F.map_from_entries("_sums").alias("_sums"),
+                           F.posexplode(scoring.literal_array(self.labels, "string")).alias("_c", "class"))
+        q = F.element_at(p, F.col("_c") + 1) + F.col("_len") * F.element_at(d, F.col("_c") + 1) \
+            + F.coalesce(F.try_element_at("_sums", F.col("_c")), F.lit(0).cast("bigint"))
+        if not self.vocab_size:  # no token is known and no default score defined
+            q = F.element_at(p, F.col("_c") + 1)
+        return rows.select(*id_cols, *extra, "class", F.coalesce(
+            q.cast("double") / F.lit(float(LOG_SCALE)), F.lit(float("-inf"))).alias("score"))
 
     def save(self, path: str) -> None:
         self.class_stats.write.mode("overwrite").parquet(f"{path}/class_stats")
@@ -224,8 +222,6 @@ def fit_multinomial(train: DataFrame, label_col: str = "label", text_col: str =
         "label", F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
         F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), v.alias("v"),
         vb.alias("vb"), tdf.alias("tdf")).collect()
-    if len(summary) > MAX_CLASSES:
-        raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
     found = {r["label"]: r for r in summary}
     if None in found:
         raise ValueError("training rows without a label: filter or label them first")
@@ -280,7 +276,6 @@ class CategoricalModel:
     features: DataFrame = field(repr=False)    # attr, value, c0.., d0.. (wide, dense)
     table_bytes: int | None = None             # upper estimate of the feature table
     salt: int | None = None
-    total_weight: int | None = None            # training feature rows (for hot-key detection)
 
     @property
     def n_classes(self) -> int:
@@ -297,18 +292,17 @@ class CategoricalModel:
     def transform(self, feats: DataFrame, rows: DataFrame, id_cols: Sequence[str],
                   keep: Sequence[str] = ()) -> DataFrame:
         """Score long features ``(ids…, attr, value)``; ``rows`` = one row per
-        instance with ``ids…`` and ``keep…``.  Unseen values are skipped."""
+        instance with ``ids…`` and ``keep…``.  Unseen values are skipped; two rows
+        with the same ids fail, as their features can't be told apart."""
         n = self.n_classes
-        table = self.features.select("attr", "value", *[f"d{c}" for c in range(n)],
-                                     sum(F.col(f"c{c}") for c in range(n)).alias("_w"))
-        bags = feats.select(*id_cols, "attr", "value", F.lit(1).cast("bigint").alias("tf"))
+        table = self.features.select("attr", "value", *[f"d{c}" for c in range(n)])
         priors = [F.lit(r["prior_q"]).cast("bigint") for r in self.class_rows]
         zeros = [F.lit(0).cast("bigint")] * n
         keep_all = [*id_cols, *[k for k in keep if k not in id_cols]]
+        bags = feats.select(*[c for c in keep_all if c in feats.columns], "attr", "value",
+                            F.lit(1).cast("bigint").alias("tf"))
         scored = scoring.score_wide(bags, ["attr", "value"], table, rows.select(*keep_all),
-                                    id_cols, priors, zeros, table_bytes=self.table_bytes,
-                                    salt=self.salt, weight_col="_w",
-                                    total_weight=self.total_weight)
+                                    id_cols, priors, zeros, table_bytes=self.table_bytes, salt=self.salt)
         best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(n)])
         return scoring.finish(scored, best, self.labels, keep_all)
 
@@ -325,14 +319,10 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
         feats.groupBy(F.col("label").cast("string").alias("label"), "attr", "value")
         .agg(F.count(F.lit(1)).alias("cnt")), materialize_as, "cat-counts")
     feat_n = counts.select("attr", "value").distinct().select(F.count(F.lit(1))).scalar()
-    feat_w = counts.select(F.coalesce(F.sum("cnt"), F.lit(0))).scalar()
     feat_b = counts.select(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).scalar()
     summary = rows.groupBy(F.col("label").cast("string").alias("label")) \
         .agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select("label", "n_rows", feat_n.alias("fn"), feat_b.alias("fb"),
-                feat_w.alias("fw")).collect()
-    if len(summary) > MAX_CLASSES:
-        raise ValueError(f"{len(summary)} classes exceed MAX_CLASSES={MAX_CLASSES}")
+        .select("label", "n_rows", feat_n.alias("fn"), feat_b.alias("fb")).collect()
     found = {r["label"]: int(r["n_rows"]) for r in summary}
     if None in found:
         raise ValueError("training rows without a label: filter or label them first")
@@ -360,8 +350,7 @@ def fit_categorical(feats: DataFrame, rows: DataFrame, alpha: float = 1.0,
                    if summary else None)
     return CategoricalModel(alpha=alpha, labels=label_list, class_stats=class_stats,
                             class_rows=rows_c, counts=counts, domains=domains, features=wide,
-                            table_bytes=table_bytes,
-                            total_weight=int(summary[0]["fw"]) if summary else 0)
+                            table_bytes=table_bytes)
 
 
 class NaiveBayes:

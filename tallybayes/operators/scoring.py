@@ -8,13 +8,19 @@ the dense model but touches only the rows' own terms.
 Two physical strategies:
 
 * ``wide``: one model row per term holding a delta per class; rows join once
-  on the term and one aggregation per document adds C+1 columns.  When the
-  term table is small AQE broadcasts it and the per-document sums collapse
-  before any shuffle.
-* ``sparse``: the long (class, term) table; one join row per non-zero pair,
-  sums per (document, class), then every class for every row.  Its cost does
-  not grow with C for rare terms; it is also the independent second path the
-  parity check compares against.
+  on the term and one aggregation per document adds C+1 columns.  For models
+  of up to ``WIDE_CLASSES`` classes.
+* ``sparse``: one model row per term holding the (class, delta) pairs that
+  training saw; sums per (document, class seen) and then per document.  The
+  best class without any seen term follows from ``L_d`` and the class constants
+  alone, so neither the plan nor the rows grow with C.  It is also the
+  independent second path the parity check compares against.
+
+Every scored row enters the aggregation as a marker row of its own, so rows
+without any known term keep their prior-only scores, rows without an id are
+rows like others, and nothing is joined back by id.  Rows that share an id are
+told apart by ``ROW`` where the caller has it (a hash of the text); exact
+copies of a row give the same prediction once each.
 
 Scores are fixed-point integers (see ``functions.logmath``); ties go to the
 lowest class index, a class with prior -inf loses to any finite score, and a
@@ -23,6 +29,7 @@ row whose classes are all -inf gets class 0, as in the textbook argmax loop.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,30 +37,42 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import from_fixed
 
-# Salt buckets for the shuffle join when the model table is too big to
-# broadcast (override per session with spark.tallybayes.saltBuckets).
+# Salt buckets of the shuffle join where counting isn't possible (override per
+# session with spark.tallybayes.saltBuckets).
 DEFAULT_SALT_BUCKETS = 16
 
+# Classes up to which a model row holds one column per class.
+WIDE_CLASSES = 32
+
+# Column that tells rows of one id apart.
+ROW = "_row"
+
+
+def literal_array(values: Sequence, element: str) -> Column:
+    """An array constant as one literal, however many values it has."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{element}>")
+
 
 def _class_score(prior: Column, default: Column, length: Column, delta_sum: Column) -> Column:
     base = F.when(length > 0, length * default).otherwise(F.lit(0).cast("bigint"))
     return prior + base + F.coalesce(delta_sum, F.lit(0).cast("bigint"))
 
 
+def _candidate(score: Column, idx: Column) -> Column:
+    return F.struct(score.isNotNull().alias("ok"), F.coalesce(score, F.lit(0).cast("bigint")).alias("score"),
+                    (-idx).cast("int").alias("neg_idx"))
+
+
 def argmax_struct(scores: Sequence[Column]) -> Column:
     """Best of per-class fixed-point scores as ``struct(ok, score, neg_idx)``."""
-    keys = [
-        F.struct(s.isNotNull().alias("ok"), F.coalesce(s, F.lit(0).cast("bigint")).alias("score"),
-                 F.lit(-c).alias("neg_idx"))
-        for c, s in enumerate(scores)
-    ]
+    keys = [_candidate(s, F.lit(c)) for c, s in enumerate(scores)]
     if len(keys) == 1:
         return keys[0]
     return F.greatest(*keys)
 
 
 def finish(scored: DataFrame, best: Column, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    label_arr = F.array(*[F.lit(str(l)) for l in labels])
+    label_arr = literal_array([str(l) for l in labels], "string")
     return (
         scored.withColumn("_best", best)
         .select(
@@ -82,125 +101,155 @@ def broadcast_limit(spark) -> int:
     return int(cap) if cap is not None else auto_b
 
 
-# Keys whose training weight is at least total / HOT_KEYS are "hot": there are
-# at most HOT_KEYS of them, so their model rows can always be broadcast.
+# Keys that hold at least 1 / HOT_KEYS of the scored feature rows are "hot".
+# There are at most HOT_KEYS of them; their list has two integers a key.
 HOT_KEYS = 10_000
 
 
 def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
-               id_cols: Sequence[str], table_bytes: int | None, salt: int | None = None,
-               weight_col: str | None = None, total_weight: int | None = None) -> DataFrame:
-    """Join row features to a model table keyed by ``key_cols`` (inner).
+               id_cols: Sequence[str], table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
+    """Join row features to a table with one row per ``key_cols`` (inner; NULL keys match nothing).
 
     ``table_bytes`` is an upper estimate of the table from exact model sizes
     (V, C, key bytes).  Under the broadcast cap the table is broadcast, so rows
     are scored where they were read.
 
-    Above it, if the table carries each key's training weight (``weight_col``,
-    e.g. document frequency) and ``total_weight``: keys with weight >= total /
-    HOT_KEYS (at most HOT_KEYS keys) are looked up through a broadcast; their
-    rows then travel through the shuffle under a per-row spreading key, so no
-    task receives a hot key's rows.  The remaining (cold) keys each held less
-    than 1/HOT_KEYS of the training rows and use a plain shuffle join.  Without
-    weights: a join salted by row id with the table replicated ``salt`` times.
-    Unknown size: plain join, AQE decides.
+    Above it, or where the size is unknown, the scored rows' own keys are
+    counted first (partially in each task).  A key with at least 1 / HOT_KEYS
+    of all rows gets as many slots as it holds shuffle partitions' shares;
+    its rows are dealt over the slots by row id and its table row is repeated
+    once a slot.  Known and unknown hot keys are split alike, so no task
+    receives a hot key's rows.  The slots are looked up by key hash in a broadcast list of
+    at most HOT_KEYS pairs of integers (160 kB).  Sessions that switch broadcasts off
+    and streams, whose rows can't be counted, deal every key over ``salt`` slots.
     """
     spark = bags.sparkSession
     keys = list(key_cols)
-    dcols = [c for c in table.columns if c not in keys and c != weight_col]
-    if table_bytes is None:
-        return bags.join(table.select(*keys, *dcols), keys)
+    table = table.select(*keys, *[c for c in table.columns if c not in keys])
     limit = broadcast_limit(spark)
-    if 0 < table_bytes <= limit:
-        return bags.join(F.broadcast(table.select(*keys, *dcols)), keys)
-    if weight_col is not None and total_weight:
-        thr = F.lit(float(total_weight) / HOT_KEYS)
-        hot = table.filter(F.col(weight_col) >= thr).select(
-            *keys, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_h_{c}") for c in dcols])
-        cold = table.filter(F.col(weight_col) < thr).select(
-            *keys, F.lit(0).cast("bigint").alias("_k2"), *[F.col(c).alias(f"_c_{c}") for c in dcols])
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        j1 = bags.join(F.broadcast(hot), keys, "left").withColumn(
-            "_k2", F.when(F.col("_hot"), F.lit(1) + F.pmod(
-                F.xxhash64(*[F.col(c) for c in [*id_cols, *keys]]), F.lit(max(parts, 1))))
-            .otherwise(F.lit(0)).cast("bigint"))
-        j2 = j1.join(cold, keys + ["_k2"], "left")
-        out = j2.select(*[c for c in bags.columns],
-                        *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in dcols])
-        return out.filter(F.col(dcols[0]).isNotNull())
-    s = salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))
-    if s <= 1:
-        return bags.join(table.select(*keys, *dcols), keys)
-    b = bags.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(s)))
-    t = table.select(*keys, *dcols).withColumn("_salt", F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.lit(s - 1).cast("bigint"))))
-    return b.join(t, keys + ["_salt"]).drop("_salt")
+    if table_bytes is not None and 0 < table_bytes <= limit:
+        return bags.join(F.broadcast(table), keys)
+    row = F.xxhash64(*[F.col(c) for c in id_cols])
+    if bags.isStreaming or limit < 0:
+        n = F.lit(salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))).cast("bigint")
+        dealt, slots = bags, table.withColumn("_slots", n)
+        dealt = bags.withColumn("_slots", n)
+    else:
+        key_hash = F.xxhash64(*[F.col(c) for c in keys]).alias("_key")
+        counted = bags.groupBy(key_hash).agg(F.count(F.lit(1)).alias("_n"))
+        total = bags.select(F.count(F.lit(1))).scalar()
+        parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        hot = F.broadcast(counted.filter(F.col("_n") * HOT_KEYS >= total).select(
+            "_key", F.ceil(F.col("_n") * parts / total).cast("bigint").alias("_slots")))
+        dealt = bags.withColumn("_key", key_hash).join(hot, "_key", "left").drop("_key")
+        slots = table.withColumn("_key", key_hash).join(hot, "_key", "left").drop("_key")
+    one = F.lit(1).cast("bigint")
+    dealt = dealt.withColumn("_slot", F.pmod(row, F.coalesce("_slots", one))).drop("_slots")
+    slots = slots.withColumn("_slot", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.coalesce("_slots", one) - 1))).drop("_slots")
+    return dealt.join(slots, [*keys, "_slot"]).drop("_slot")
+
+
+def _checked(per_row: DataFrame, by_row: bool) -> DataFrame:
+    """Rows of an aggregation with ``_m`` markers: exact copies come back once each; without
+    ``ROW`` two rows of one id can't be told apart and the job fails."""
+    if by_row:
+        return per_row.filter(F.col("_m") > 0).withColumn(
+            "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m")))).drop("_copy")
+    return per_row.filter(F.when(F.col("_m") > 1, F.raise_error(F.lit("two scored rows share an id")).cast("boolean"))
+                          .otherwise(F.col("_m") == 1))
+
+
+def _grouping(features: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str]) -> tuple[list, list, list]:
+    """Grouping columns (ids and what the feature rows carry too), columns that markers alone
+    have, and an aggregate for each of the latter."""
+    carried = [c for c in doc_keys.columns if c in id_cols or c in features.columns]
+    late = [c for c in doc_keys.columns if c not in carried]
+    return carried, late, [F.first(c, ignorenulls=True).alias(c) for c in late]
 
 
 def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
                doc_keys: DataFrame, id_cols: Sequence[str],
                priors: Sequence[Column], defaults: Sequence[Column],
-               table_bytes: int | None = None, salt: int | None = None,
-               weight_col: str | None = None, total_weight: int | None = None) -> DataFrame:
+               table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
     """Per-row class scores ``_q0.._q{C-1}`` (bigint, NULL = -inf).
 
-    ``bags``: (ids…, keys…, tf); ``table``: (keys…, d0..d{C-1});
+    ``bags``: (ids…, anything of doc_keys…, keys…, tf); ``table``: (keys…, d0..d{C-1});
     ``doc_keys``: one row per scored row (ids…, anything else to keep).
     """
-    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt, weight_col, total_weight)
+    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
     return score_joined(joined, doc_keys, id_cols, priors, defaults)
 
 
+def with_markers(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str], n: int) -> DataFrame:
+    """Model-joined rows and one marker row (``_m`` = 1) per scored row."""
+    carried, late, _ = _grouping(joined, doc_keys, id_cols)
+    dcols = [f"d{c}" for c in range(n)]
+    zero = F.lit(0).cast("bigint")
+    rows = joined.select(*carried, *[F.lit(None).cast(doc_keys.schema[c].dataType).alias(c) for c in late],
+                         "tf", *dcols, zero.alias("_m"))
+    return rows.union(doc_keys.select(*carried, *late, zero, *[zero] * n, F.lit(1).cast("bigint")))
+
+
 def score_joined(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
                  priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:
-    """Per-row class scores from model-joined rows ``(ids…, tf, d0..d{C-1})``:
-    one aggregation per row id, then every row of ``doc_keys`` (rows without
-    any in-vocabulary feature keep their prior-only scores)."""
+    """Per-row class scores from model-joined rows ``(ids…, tf, d0..d{C-1})`` and one
+    row per scored row (``doc_keys``), in a single aggregation."""
+    carried, late, firsts = _grouping(joined, doc_keys, id_cols)
+    return score_marked(with_markers(joined, doc_keys, id_cols, len(priors)), carried, firsts, priors, defaults,
+                        doc_keys.columns)
+
+
+def score_marked(marked: DataFrame, group: Sequence[str], firsts: Sequence[Column], priors: Sequence[Column],
+                 defaults: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+    """Class scores of ``with_markers`` rows, one per marker."""
     n = len(priors)
-    sums = joined.groupBy(*id_cols).agg(
-        F.sum("tf").alias("_len"),
-        *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)],
-    )
-    full = doc_keys.join(sums, list(id_cols), "left")
-    length = F.coalesce(F.col("_len"), F.lit(0).cast("bigint"))
-    keep = [c for c in full.columns if c != "_len" and not c.startswith("_s")]
-    return full.select(*keep, *[
-        _class_score(priors[c], defaults[c], length, F.col(f"_s{c}")).alias(f"_q{c}")
+    sums = marked.groupBy(*group).agg(
+        F.sum("tf").alias("_len"), F.sum("_m").alias("_m"), *firsts,
+        *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)])
+    full = _checked(sums, ROW in group)
+    return full.select(*columns, *[
+        _class_score(priors[c], defaults[c], F.expr("_len div _m"), F.expr(f"_s{c} div _m")).alias(f"_q{c}")
         for c in range(n)])
 
 
-def score_sparse(bags: DataFrame, key_cols: Sequence[str], long_table: DataFrame,
-                 vocab_keys: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
-                 priors: Column, defaults: Column, n_classes: int,
-                 table_bytes: int | None = None, weight_col: str | None = None,
-                 total_weight: int | None = None) -> DataFrame:
-    """Long per-(row, class) scores ``(ids…, keep…, label_idx, _q)``.
+def sparse_sums(bags: DataFrame, key_cols: Sequence[str], table: DataFrame, doc_keys: DataFrame,
+                id_cols: Sequence[str], table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
+    """``(doc_keys…, _len, _sums)`` per scored row: known tokens and an array of
+    ``(label_idx, s)`` of the classes that saw any of them.
 
-    ``long_table``: (keys…, label_idx, delta[, weight]) for non-zero pairs only;
-    ``vocab_keys``: (keys…) of the vocabulary; ``priors``/``defaults``:
-    expressions of ``label_idx`` (and of the row, e.g. its fold).  The join
-    to the long table goes through ``model_join`` (size-checked broadcast or
-    hot/cold split).
+    ``table``: (keys…, e) with ``e`` an array of ``(label_idx, delta)``.
     """
-    ids = list(id_cols)
-    joined = model_join(bags, long_table, key_cols, ids, table_bytes, None, weight_col, total_weight)
-    contrib = (joined
-               .groupBy(*ids, "label_idx")
-               .agg(F.sum(F.col("tf") * F.col("delta")).alias("_s")))
-    lens = (bags.join(vocab_keys, list(key_cols), "left_semi")
-            .groupBy(*ids).agg(F.sum("tf").alias("_len")))
-    base = doc_keys.withColumn("label_idx", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))))
-    full = base.join(lens, ids, "left").join(contrib, ids + ["label_idx"], "left")
-    length = F.coalesce(F.col("_len"), F.lit(0).cast("bigint"))
-    return full.withColumn("_q", _class_score(priors, defaults, length, F.col("_s"))) \
-        .drop("_len", "_s")
-
-
-def argmax_long(scored: DataFrame, id_cols: Sequence[str], keep: Sequence[str],
-                labels: Sequence[str]) -> DataFrame:
-    """Collapse long per-class scores to one prediction per row."""
-    best = F.max(F.struct(F.col("_q").isNotNull().alias("ok"),
-                          F.coalesce(F.col("_q"), F.lit(0).cast("bigint")).alias("score"),
-                          (-F.col("label_idx")).alias("neg_idx")))
-    agg = scored.groupBy(*id_cols, *[k for k in keep if k not in id_cols]).agg(best.alias("_best"))
-    return finish(agg, F.col("_best"), labels, keep)
+    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
+    carried, late, firsts = _grouping(joined, doc_keys, id_cols)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    nulls = [F.lit(None).cast(doc_keys.schema[c].dataType).alias(c) for c in late]
+    length = F.array(F.struct(F.lit(-1).alias("label_idx"), F.col("tf").alias("s")))
+    parts = joined.select(*carried, *nulls, zero.alias("_m"), F.inline(F.concat(length, F.transform(
+        "e", lambda x: F.struct(x["label_idx"].alias("label_idx"), (F.col("tf") * x["delta"]).alias("s"))))))
+    marked = parts.union(doc_keys.select(*carried, *late, one, F.lit(-1), zero))
+    per_class = marked.groupBy(*carried, "label_idx").agg(F.sum("s").alias("s"), F.sum("_m").alias("_m"), *firsts)
+    per_row = per_class.groupBy(*carried).agg(
+        F.sum("_m").alias("_m"), F.sum(F.when(F.col("label_idx") < 0, F.col("s"))).alias("_len"), *firsts,
+        F.collect_list(F.when(F.col("label_idx") >= 0, F.struct("label_idx", "s"))).alias("_sums"))
+    full = _checked(per_row, ROW in carried)
+    return full.select(*doc_keys.columns, F.expr("_len div _m").alias("_len"), F.expr(
+        "transform(_sums, x -> struct(x.label_idx AS label_idx, x.s div _m AS s))").alias("_sums"))
+
+
+def argmax_sparse(sums: DataFrame, priors: Sequence, defaults: Sequence) -> Column:
+    """Best class of ``sparse_sums`` rows as ``struct(ok, score, neg_idx)``.
+
+    A seen class scores at least what its constants alone give (its deltas
+    are not negative), so the best over all classes' constants and over the seen classes' sums is
+    the best of all.
+    """
+    p, d, length = literal_array(priors, "bigint"), literal_array(defaults, "bigint"), F.col("_len")
+
+    def score(idx: Column, s: Column) -> Column:
+        at = (idx + 1).cast("int")
+        return _class_score(F.element_at(p, at), F.element_at(d, at), length, s)
+
+    base = F.array_max(F.transform(p, lambda _, i: _candidate(score(i, F.lit(0).cast("bigint")), i)))
+    seen = F.array_max(F.transform("_sums", lambda x: _candidate(score(x["label_idx"], x["s"]), x["label_idx"])))
+    return F.greatest(base, F.coalesce(seen, base))

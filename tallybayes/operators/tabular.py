@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.operators.ranking import bucketed_rank
+from tallybayes.operators.scoring import model_join
 
 
 @dataclass
@@ -108,8 +109,9 @@ def attribute_domains(feats: DataFrame) -> DataFrame:
 
 def tabular_vectorize(feats: DataFrame, vocab: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """``(ids…, attr, idx)``: features unseen in train are skipped (only that
-    attribute of the instance is dropped)."""
-    return feats.join(vocab, ["attr", "value"]).select(*id_cols, "attr", "idx")
+    attribute of the instance is dropped).  Few keys hold all rows, so each is dealt over slots
+    (``model_join``)."""
+    return model_join(feats, vocab, ["attr", "value"], id_cols).select(*id_cols, "attr", "idx")
 
 
 def raw_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = ()) -> DataFrame:

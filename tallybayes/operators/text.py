@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.text import bag_rows, tokens
 from tallybayes.operators.ranking import bucketed_rank
+from tallybayes.operators.scoring import model_join
 
 
 def tokenize(docs: DataFrame, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
@@ -70,9 +71,10 @@ def label_index(df: DataFrame, label_col: str = "label") -> DataFrame:
 def vectorize(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
               text_col: str = "text") -> DataFrame:
     """Bag of indices, long form ``(ids…, pos, idx)``: OOV tokens dropped,
-    repeats kept, ``pos`` = 0-based position among the kept tokens."""
+    repeats kept, ``pos`` = 0-based position among the kept tokens.  Terms in many
+    rows are dealt over slots (``model_join``)."""
     rows = token_rows(docs, id_cols, text_col)
-    kept = rows.join(vocab.select("term", "idx"), "term")
+    kept = model_join(rows, vocab.select("term", "idx"), ["term"], [*id_cols, "pos"])
     w = Window.partitionBy(*id_cols).orderBy("pos")
     return kept.select(*id_cols, (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
                        F.col("idx").cast("bigint").alias("idx"))
@@ -93,7 +95,7 @@ def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text"
     vocab = vocabulary(doc_term_counts(train, id_cols, text_col), min_df=min_df)
     labels = label_index(train, label_col).withColumnRenamed("idx", "label_idx")
     bags = doc_term_counts(docs, id_cols, text_col)
-    per_doc = bags.join(vocab.select("term", "idx"), "term").groupBy(*id_cols).agg(
+    per_doc = model_join(bags, vocab.select("term", "idx"), ["term"], id_cols).groupBy(*id_cols).agg(
         F.sum("tf").alias("n_words"), F.sum(F.col("tf") * F.col("idx")).alias("sum_idx"))
     how = "inner" if handle_unknown == "skip" else "left"
     out = (docs.select(*id_cols, test_flag, F.col(label_col).cast("string").alias("label"))

@@ -39,12 +39,13 @@ def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequenc
             ll = fixed_log((F.lit(int(f)) * F.col("cnt") + F.lit(a)) / den)
             cols.append(F.coalesce(F.sum(F.when(F.col("label_idx") == c, ll - dq)),
                                    F.lit(0).cast("bigint")).alias(f"d{fi * c_n + c}"))
-    table = model.term_stats.groupBy("term").agg(*cols, F.sum("df_c").alias("_w"))
-    bags = bag_rows(test, text_col, id_cols)
-    keys = test.select(*id_cols, F.col(label_col).cast("string").alias("label"))
-    scored = scoring.score_wide(bags, ["term"], table, keys, id_cols, priors, defaults,
-                                table_bytes=model.table_bytes(len(factors) * c_n), salt=model.salt,
-                                weight_col="_w", total_weight=model.total_df)
+    table = model.term_stats.groupBy("term").agg(*cols)
+    rows_t = test.select(*id_cols, F.col(label_col).cast("string").alias("label"), text_col,
+                         F.xxhash64(F.col(text_col)).alias(scoring.ROW))
+    ids = [*id_cols, scoring.ROW]
+    scored = scoring.score_wide(bag_rows(rows_t, text_col, [*ids, "label"]), ["term"], table,
+                                rows_t.select(*ids, "label"), ids, priors, defaults,
+                                table_bytes=model.table_bytes(len(factors) * c_n), salt=model.salt)
     label_arr = F.array(*[F.lit(l) for l in model.labels])
     per_factor = []
     for fi, f in enumerate(factors):
@@ -76,38 +77,40 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                                materialize_as: str = "cache") -> DataFrame:
     """k-fold cross-validation of the multinomial model in one plan.
 
-    The corpus is counted once by (fold, class, term); the training counts of
-    the model that holds out fold f are the sums over the other folds
-    (likewise document frequencies, so each fold keeps its own vocabulary, V
-    and totals).  Every
-    document is scored once, by the model that did not see it.
+    The corpus is counted once by (class, term) with a slot per fold; the
+    training counts of the model that holds out fold f are the total less
+    that fold's slot (likewise document frequencies, so each fold keeps its own
+    vocabulary, V and totals).  Every document is scored once, by the model that did not see it.
     Output ``(ids…, fold, label, prediction, score)``.
     """
     spark = docs.sparkSession
     a = float(alpha)
     d = docs.select(*id_cols, F.col(fold_col).cast("int").alias("fold"),
-                    F.col(label_col).cast("string").alias("label"), text_col)
-    bags = materialize(bag_rows(d, text_col, [*id_cols, "fold", "label"]), materialize_as,
+                    F.col(label_col).cast("string").alias("label"), text_col,
+                    F.xxhash64(F.col(text_col)).alias(scoring.ROW))
+    bags = materialize(bag_rows(d, text_col, [*id_cols, scoring.ROW, "fold", "label"]), materialize_as,
                        "cv-bags")
-    per_fold = bags.groupBy("fold", "label", "term").agg(
-        F.sum("tf").alias("f_cnt"), F.count(F.lit(1)).alias("f_df"))
-    # Training counts of the model holding out fold f = sum over the other
-    # folds: each per-fold row is sent to the k-1 models it trains (a bounded
-    # generator), and one partially aggregated shuffle sums them.
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda x: x != F.col("fold"))
-    train = (per_fold.select(F.explode(others).alias("fold"), "label", "term", "f_cnt", "f_df")
-             .groupBy("fold", "label", "term")
-             .agg(F.sum("f_cnt").alias("cnt"), F.sum("f_df").alias("df_c")))
-    vocab = train.groupBy("fold", "term").agg(F.sum("df_c").alias("df"))
+    # One count by (class, term) with a slot per fold; the training counts of the model
+    # holding out fold f are the total less slot f.  A term that only fold f has drops out
+    # of that model (df 0).
+    folds = range(k)
+    by_term = bags.groupBy("label", "term").agg(
+        *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("tf"))), F.lit(0)).alias(f"c{f}") for f in folds],
+        *[F.count(F.when(F.col("fold") == f, F.lit(1))).alias(f"n{f}") for f in folds])
+    train = by_term.withColumn("_c", sum(F.col(f"c{f}") for f in folds)) \
+        .withColumn("_n", sum(F.col(f"n{f}") for f in folds)) \
+        .select("label", "term", F.inline(F.array(*[F.struct(
+            F.lit(f).alias("fold"), (F.col("_c") - F.col(f"c{f}")).alias("cnt"),
+            (F.col("_n") - F.col(f"n{f}")).alias("df_c")) for f in folds]))).filter(F.col("df_c") > 0)
     if min_df > 1:
-        vocab = vocab.filter(F.col("df") >= min_df)
-        kept = train.join(vocab.select("fold", "term"), ["fold", "term"], "left_semi")
+        vocab = train.groupBy("term", "fold").agg(F.sum("df_c").alias("df")).filter(F.col("df") >= min_df)
+        kept = materialize(train.join(vocab.select("fold", "term"), ["fold", "term"], "left_semi"),
+                           materialize_as, "cv-kept")
     else:
-        kept = train
-    kept = materialize(kept, materialize_as, "cv-kept")
+        kept = materialize(train, materialize_as, "cv-kept")
+        vocab = kept.groupBy("fold", "term").agg(F.sum("df_c").alias("df"))
     v_f = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("v"),
-                                    F.sum(F.octet_length("term")).alias("vb"),
-                                    F.sum("df").alias("dfs"))
+                                    F.sum(F.octet_length("term")).alias("vb"))
     totals = kept.groupBy("fold", "label").agg(F.sum("cnt").alias("n_tokens"))
     n_fold = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_in_fold"))
     n_all = n_fold.groupBy("label").agg(F.sum("n_in_fold").alias("n_all"))
@@ -123,8 +126,7 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                      .cast("bigint").alias("n_docs"),
                      F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
                      F.coalesce("v", F.lit(0)).cast("bigint").alias("v"),
-                     F.coalesce("vb", F.lit(0)).cast("bigint").alias("vb"),
-                     F.coalesce("dfs", F.lit(0)).cast("bigint").alias("dfs"))
+                     F.coalesce("vb", F.lit(0)).cast("bigint").alias("vb"))
              .withColumn("n", F.sum("n_docs").over(by_fold))
              .withColumn("prior_q", fixed_log(F.col("n_docs").cast("double") / F.col("n")))
              .withColumn("default_q", fixed_log(F.lit(a) / (F.col("n_tokens") + F.lit(a) * F.col("v")))))
@@ -138,21 +140,18 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
              .withColumn("delta", ll - F.col("default_q"))
              .groupBy("fold", "term").agg(*[
                  F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col("delta"))),
-                            F.lit(0).cast("bigint")).alias(f"d{c}") for c in range(c_n)],
-                 F.sum("df_c").alias("_w")))
+                            F.lit(0).cast("bigint")).alias(f"d{c}") for c in range(c_n)]))
     priors = [_fold_lookup([cell[(f, c)]["prior_q"] for f in range(k)], "bigint") for c in range(c_n)]
     defaults = [_fold_lookup([cell[(f, c)]["default_q"] for f in range(k)], "bigint")
                 for c in range(c_n)]
-    ids = [*id_cols, "fold"]
+    ids = [*id_cols, scoring.ROW, "fold"]
     # exact size of the (fold, term) table: fold vocabularies and C deltas each
-    per_fold = {r["fold"]: (r["v"], r["vb"], r["dfs"]) for r in rows}
-    table_bytes = sum(vb + v * (8 * c_n + 60) for v, vb, _ in per_fold.values())
-    total_df = sum(x for _, _, x in per_fold.values())
-    scored = scoring.score_wide(bags.select(*ids, "term", "tf"), ["fold", "term"], table,
-                                d.select(*ids, "label"), ids, priors, defaults,
-                                table_bytes=table_bytes, weight_col="_w", total_weight=total_df)
+    per_fold = {r["fold"]: (r["v"], r["vb"]) for r in rows}
+    table_bytes = sum(vb + v * (8 * c_n + 60) for v, vb in per_fold.values())
+    scored = scoring.score_wide(bags, ["fold", "term"], table, d.select(*ids, "label"), ids, priors, defaults,
+                                table_bytes=table_bytes)
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
-    return scoring.finish(scored, best, label_list, [*ids, "label"])
+    return scoring.finish(scored, best, label_list, [*id_cols, "fold", "label"])
 
 
 def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "fold",
@@ -226,11 +225,10 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
         fixed_log((F.col(f"c{c}") + F.lit(a)) / (
             _fold_lookup([float(cell[(h, c)]["n_rows"]) for h in range(k)], "double", "h")
             + F.lit(a) * F.col("n_values"))).alias(f"d{c}")
-        for c in range(c_n)], sum(F.col(f"c{c}") for c in range(c_n)).alias("_w"))
-    # exact size of the (fold, attr, value) table and total training weight
+        for c in range(c_n)])
+    # exact size of the (fold, attr, value) table
     size = counts.agg(F.count_distinct("h", "attr", "value").alias("n"),
-                      F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("vb"),
-                      F.coalesce(F.sum("cnt"), F.lit(0)).alias("w")).first()
+                      F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("vb")).first()
     table_bytes = int(size["vb"]) + int(size["n"]) * (8 * c_n + 72)
     test = r.withColumn("h", F.col("fold"))
     test_feats = binned(raw.withColumn("h", F.col("fold"))).withColumn("tf", F.lit(1).cast("bigint"))
@@ -238,11 +236,10 @@ def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "f
               for c in range(c_n)]
     zeros = [F.lit(0).cast("bigint")] * c_n
     ids = [*spec.id_cols, "h"]
-    scored = scoring.score_wide(test_feats.select(*ids, "attr", "value", "tf"),
+    scored = scoring.score_wide(test_feats.select(*ids, "label", "attr", "value", "tf"),
                                 ["h", "attr", "value"], table,
                                 test.select(*ids, "label"), ids, priors, zeros,
-                                table_bytes=table_bytes, weight_col="_w",
-                                total_weight=int(size["w"]))
+                                table_bytes=table_bytes)
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)])
     out = scoring.finish(scored, best, label_list, [*ids, "label"])
     return out.withColumnRenamed("h", "fold")

@@ -21,10 +21,9 @@ def q_nb_predict_stream(spark, sf_dir):
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     base = scratch_dir(spark, "stream")
-    queries = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], base,
-                           prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))
-    for q in queries:
-        q.awaitTermination()
+    query = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], base,
+                         prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))
+    query.awaitTermination()
     return stream_scores(model, spark, base, ["doc_id"]).select("doc_id", "prediction", "score")
 
 

@@ -1,13 +1,14 @@
-"""Scoring a document stream with built-in file sinks.
+"""Scoring a document stream with a built-in file sink.
 
 The per-token work (tokenize, in-row bag, lookup in the model) is stateless,
 so it runs as a streaming query: a stream-static join of each arriving
-document's bag to the model's term table, written with the parquet file
-sink.  A second stateless query records the keys of every arriving document.
-Both sinks are exactly-once through their checkpoint and commit log, so the
-queries restart cleanly after a failure.  The per-document sums and the
-argmax are then a batch step over whatever the sinks have committed
-(``stream_scores``); no streaming state, no Python callback into the stream.
+document's bag to the model's term table, together with one marker row per
+document, written with the parquet file sink.  Marker and contributions of a
+document belong to one micro-batch of one sink, which is exactly-once through its
+checkpoint and commit log: a document is either complete in it or absent.  The
+per-document sums and the argmax are then a batch step over what the
+sink has committed (``stream_scores``); no streaming state, no Python callback into
+the stream.
 """
 
 from __future__ import annotations
@@ -18,43 +19,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybayes.functions.text import bag_rows
 from tallybayes.operators import scoring
 
 
 def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: str,
                  text_col: str = "text", keep: Sequence[str] = (),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 available_now: bool = True) -> list[StreamingQuery]:
-    """Start the two file-sink queries under ``base_path``.  ``prepare`` may
+                 available_now: bool = True) -> StreamingQuery:
+    """Start the file-sink query under ``base_path``.  ``prepare`` may
     filter or join the stream with static tables first (stateless)."""
     rows = prepare(stream) if prepare is not None else stream
-    ids = list(id_cols)
-    table = model.term_table()
-    dcols = [f"d{c}" for c in range(model.n_classes)]
-    tb = model.table_bytes()
-    limit = scoring.broadcast_limit(rows.sparkSession)
-    side = table.select("term", *dcols)
-    side = F.broadcast(side) if tb is not None and 0 < tb <= limit else side
-    contrib = bag_rows(rows, text_col, ids).join(side, "term")
-    keys = rows.select(*ids, *keep)
-
-    def start(df: DataFrame, name: str) -> StreamingQuery:
-        w = (df.writeStream.format("parquet").option("path", f"{base_path}/{name}")
-             .option("checkpointLocation", f"{base_path}/_checkpoints/{name}"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-        return w.start()
-
-    return [start(contrib, "contrib"), start(keys, "keys")]
+    bags, keys, ids = model._parts(rows, id_cols, text_col, keep)
+    joined = scoring.model_join(bags, model.term_table(), ["term"], ids, model.table_bytes(), model.salt)
+    marked = scoring.with_markers(joined, keys, ids, model.n_classes)
+    w = (marked.writeStream.format("parquet").option("path", f"{base_path}/scored")
+         .option("checkpointLocation", f"{base_path}/_checkpoints/scored"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
 
 
 def stream_scores(model, spark: SparkSession, base_path: str, id_cols: Sequence[str],
                   keep: Sequence[str] = ()) -> DataFrame:
     """Predictions ``(ids…, keep…, prediction, score)`` for every document the
     stream has committed so far."""
-    ids = list(id_cols)
-    contrib = spark.read.parquet(f"{base_path}/contrib")
-    keys = spark.read.parquet(f"{base_path}/keys")
-    scored = scoring.score_joined(contrib, keys, ids, model.priors(), model.defaults())
+    cols = [*id_cols, *[k for k in keep if k not in id_cols]]
+    marked = spark.read.parquet(f"{base_path}/scored")
+    scored = scoring.score_marked(marked, [*cols, scoring.ROW], [], model.priors(), model.defaults(), cols)
     best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(model.n_classes)])
-    return scoring.finish(scored, best, model.labels, [*ids, *[k for k in keep if k not in ids]])
+    return scoring.finish(scored, best, model.labels, cols)

@@ -179,27 +179,59 @@ def test_checkpoint_materialization(spark):
     assert got == {1: "B", 2: "A"}
 
 
-def test_hot_cold_join_agrees(spark):
-    """Hot keys through a broadcast, cold keys through a shuffle: same rows."""
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
-        "doc_id", F.col("lang").alias("label"), "text")
-    m = fit_multinomial(docs)
-    base = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
-    import tallybayes.operators.scoring as sc
-    old_cap, old_hot = spark.conf.get("spark.tallybayes.modelBroadcastBytes", None), sc.HOT_KEYS
-    try:
-        spark.conf.set("spark.tallybayes.modelBroadcastBytes", "1")
-        sc.HOT_KEYS = 2000   # frequent terms become "hot"
-        n_hot = m.term_table().filter(F.col("_w") >= m.total_df / sc.HOT_KEYS).count()
-        assert 0 < n_hot < m.vocab_size
-        got = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
-    finally:
-        sc.HOT_KEYS = old_hot
-        if old_cap is None:
-            spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
-        else:
-            spark.conf.set("spark.tallybayes.modelBroadcastBytes", old_cap)
-    assert got == base
+@pytest.fixture
+def no_model_broadcast(spark):
+    spark.conf.set("spark.tallybayes.modelBroadcastBytes", "1")
+    yield
+    spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
+
+
+@pytest.mark.parametrize("strategy", ["wide", "sparse"])
+def test_hot_keys_are_dealt_over_slots(spark, no_model_broadcast, strategy):
+    """A known and an unknown term in every document: same rows as with a broadcast model."""
+    rows = [(i, f"tide {'moon ' * (i % 3)} unseen{i} zzz w{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    m = fit_multinomial(spark.createDataFrame(
+        [("a", "tide moon w1 w2"), ("b", "tide w3 w4 w5 w6"), ("c", "moon moon w7")], "label string, text string"))
+    got = sorted(map(tuple, m.transform(docs, ["doc_id"], strategy=strategy).collect()))
+    spark.conf.set("spark.tallybayes.modelBroadcastBytes", str(1 << 20))
+    assert got == sorted(map(tuple, m.transform(docs, ["doc_id"]).collect())) and len(got) == 400
+
+
+@pytest.mark.parametrize("strategy", ["wide", "sparse"])
+def test_rows_sharing_an_id_or_without_one_are_scored_alone(spark, strategy):
+    m = fit_multinomial(spark.createDataFrame([("a", "oak oak elm"), ("b", "ant bee bee")],
+                                              "label string, text string"))
+    rows = [(1, "oak"), (1, "bee bee bee"), (1, "bee bee bee"), (None, "elm"), (None, "ant"), (2, None)]
+    got = m.transform(spark.createDataFrame(rows, "doc_id int, text string"), ["doc_id"], keep=["text"],
+                      strategy=strategy).collect()
+    assert sorted(((r["doc_id"] or 0, r["text"] or "", r["prediction"]) for r in got)) == [
+        (0, "ant", "b"), (0, "elm", "a"), (1, "bee bee bee", "b"), (1, "bee bee bee", "b"), (1, "oak", "a"),
+        (2, "", "a")]
+    alone = m.transform(spark.createDataFrame([(7, "bee bee bee")], "doc_id int, text string"), ["doc_id"]).first()
+    assert {r["score"] for r in got if r["text"] == "bee bee bee"} == {alone["score"]}
+
+
+def test_many_classes(spark):
+    """2,000 classes: nothing in the plan has a column per class."""
+    n = 2000
+    train = spark.range(n).selectExpr("format_string('c%04d', id) AS label",
+                                      "concat('own', id, ' shared ', IF(id % 2 = 0, 'even', 'odd')) AS text")
+    m = fit_multinomial(train)
+    test = spark.createDataFrame([(1, "own1234 shared"), (2, "nothing known"), (3, "odd")],
+                                 "doc_id int, text string")
+    got = {r["doc_id"]: r["prediction"] for r in m.transform(test, ["doc_id"]).collect()}
+    assert m.n_classes == n and got == {1: "c1234", 2: "c0000", 3: "c0001"}
+
+
+def test_categorical_rows_sharing_an_id_fail(spark):
+    rows = spark.createDataFrame([(1, "p"), (2, "n")], "id int, label string")
+    feats = spark.createDataFrame([(1, "p", 0, "a"), (2, "n", 0, "b")],
+                                  "id int, label string, attr bigint, value string")
+    m = fit_categorical(feats, rows)
+    assert m.transform(feats, rows, ["id"]).count() == 2
+    with pytest.raises(Exception, match="share an id"):
+        m.transform(feats, rows.union(rows), ["id"]).collect()
 
 
 def test_theta_matches_spark_ml_naive_bayes(spark):
@@ -233,23 +265,6 @@ def test_theta_matches_spark_ml_naive_bayes(spark):
             assert math.isclose(theta[c][i], cs[lab], rel_tol=1e-9)
 
 
-def test_sparse_strategy_hot_cold_agrees(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
-        "doc_id", F.col("lang").alias("label"), "text")
-    m = fit_multinomial(docs)
-    base = sorted(map(tuple, m.transform(docs, ["doc_id"]).collect()))
-    import tallybayes.operators.scoring as sc
-    old_hot = sc.HOT_KEYS
-    try:
-        spark.conf.set("spark.tallybayes.modelBroadcastBytes", "1")
-        sc.HOT_KEYS = 2000
-        got = sorted(map(tuple, m.transform(docs, ["doc_id"], strategy="sparse").collect()))
-    finally:
-        sc.HOT_KEYS = old_hot
-        spark.conf.unset("spark.tallybayes.modelBroadcastBytes")
-    assert got == base
-
-
 def test_estimator_front_end(spark):
     from tallybayes import NaiveBayes
     train = spark.createDataFrame([("A", "aa bb aa"), ("A", "aa cc"), ("B", "bb bb")],
