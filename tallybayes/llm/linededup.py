@@ -2,10 +2,14 @@
 
 A line's tokens are split at white space, and tokens with a digit become ``<*>``.  The
 tree has a fixed depth: a leaf holds the lines with the same number of tokens and the same
-``LEAD`` first tokens.  A leaf's template keeps, at each position, the token that
+``LEAD`` first tokens.  A leaf's first template keeps, at each position, the token that
 more than half of its different lines have there and has a variable field
 elsewhere; a line belongs to the template if at least ``SIMILAR`` of its tokens are
-the template's.  Lines of a leaf outside its template are templates of their own.
+the template's.  The lines it leaves gather in any number of further templates: each is
+reduced to its most frequent tokens (as many as ``SIMILAR`` asks for and one more), and
+lines that agree in all of these but one share a template.  A line joins its largest
+template; rounds go on, with the tokens counted anew, until no template recurs.  Lines
+outside all templates are templates of their own.
 
 A template recurs if it occurs in different documents and its documents times its
 tokens reach ``EVIDENCE`` (so a long passage recurs in two documents, and a line of
@@ -85,11 +89,48 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
     templates = members.groupBy("leaf", "n").agg(
         F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")).filter(across) \
         .select("leaf", F.col("first").alias("t_first"))
-    varied = members.join(templates, "leaf").select("h1", "h2", F.col("t_first").alias("first"))
-    return varied.union(kinds.filter(across).select("h1", "h2", "first")) \
+    varied = save(members.join(templates, "leaf").select(*KEY, F.col("t_first").alias("first")), "line-varied")
+    left = save(spots.join(varied.select(*KEY), KEY, "left_anti").filter(F.col("at") >= LEAD).select(
+        *KEY, F.xxhash64("at", "token").alias("spot")).join(wanted.select(*KEY, "docs", "first", "last"), KEY), "line-left")
+    while not left.isEmpty():
+        more = save(_gathered(left, across), "line-varied")
+        if more.isEmpty():
+            break
+        varied = varied.union(more)
+        left = save(left.join(more.select(*KEY), KEY, "left_anti"), "line-left")
+    return varied.select("h1", "h2", "first").union(kinds.filter(across).select("h1", "h2", "first")) \
         .groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
+def _gathered(left: DataFrame, across: Column) -> DataFrame:
+    """``(*KEY, first)`` of the lines that gather in recurring templates, each in its largest.
+
+    ``left``: a row per line and token, without the ``LEAD`` tokens that a leaf's lines share.
+    """
+    counts = left.groupBy("leaf", "spot").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
+    ranked = left.join(counts, ["leaf", "spot"]).groupBy(*KEY, "docs", "first", "last").agg(
+        F.sort_array(F.collect_list(F.struct("c", "spot")), asc=False)["spot"].alias("spots"))
+    need = (F.col("n") * SIMILAR[0] + SIMILAR[1] - 1 - (F.col("n") * SIMILAR[0] + SIMILAR[1] - 1) % SIMILAR[1]) / SIMILAR[1] - LEAD
+    ranked = ranked.withColumn("need", need.cast("int")).filter(F.size("spots") >= F.col("need")) \
+        .withColumn("top", F.slice("spots", F.lit(1), F.col("need") + 1))
+    # a template is the xor of its tokens' hashes: all but one of the top tokens, or just as many as are shared
+    whole = F.aggregate("top", F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
+    ranked = ranked.withColumn("whole", whole).withColumn("out", F.when(
+        F.size("top") > F.col("need"), F.col("top")).otherwise(F.array(F.lit(0).cast("bigint"))))
+    variants = save(ranked.select(*KEY, "docs", "first", "last", "whole", F.explode("out").alias("out")).select(
+        *KEY, "docs", "first", "last", F.col("whole").bitwiseXOR(F.col("out")).alias("variant")), "line-variants")
+    found = variants.groupBy("leaf", "n", "variant").agg(
+        F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")).filter(across) \
+        .select("leaf", "variant", F.col("docs").alias("size"))
+    taken = variants.join(found, ["leaf", "variant"]).groupBy(*KEY, "docs", "first", "last").agg(
+        F.max(F.struct("size", "variant"))["variant"].alias("variant"))
+    taken = save(taken, "line-taken")
+    kept = taken.groupBy("leaf", "n", "variant").agg(
+        F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("lines")) \
+        .filter(across & (F.col("lines") > 1)).select("leaf", "variant", F.col("first").alias("t_first"))
+    return taken.join(kept, ["leaf", "variant"]).select(*KEY, F.col("t_first").alias("first"))
+
+
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with cleaned texts and two counts (which replace columns of their names)."""

@@ -153,6 +153,21 @@ def test_line_dedup_cases(spark):
     assert linededup.drop_recurring_lines(df.limit(0)).collect() == []
 
 
+def test_leaf_with_three_templates_and_unrelated_lines(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    head = "sent from the office"
+    frames = [" ".join(word() for _ in range(4)) + " {} " + " ".join(word() for _ in range(3)) for _ in range(3)]
+    rows = [f"{head} {f.format(word())}" for f in frames for _ in range(6)]
+    # one line of the first template has a word that is more frequent in its place than the template
+    rows.append(f"{head} {frames[0].format('often')}")
+    rows += [f"{head} " + " ".join(word() for _ in range(4)) + " often " + " ".join(word() for _ in range(3)) for _ in range(40)]
+    rows += [f"{head} " + " ".join(word() for _ in range(8)) for _ in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    gone = {r["doc_id"] for r in linededup.drop_recurring_lines(df).collect() if r["n_dropped"]}
+    assert gone == set(range(19)) - {0, 6, 12}
+
+
 def test_fingerprints_like_plain_text_edits(spark):
     rows = [(3, "a b c d\ne f g h\n\nlast line"), (1, None), (7, "é😀x" * 40), (5, "q"), (5, "other text"), (9, "a b c d\ne f g h\n\nlast line"),
             (9, "a b c d\ne f g h\n\nlast line"), (None, "no id at all here")]
