@@ -12,9 +12,11 @@ template; rounds go on, with the tokens counted anew, until no template recurs.
 outside all templates are templates of their own.
 
 A template recurs if it occurs in different documents and its documents times its
-tokens reach ``EVIDENCE`` (so a long passage recurs in two documents, and a line of
-four tokens in ten).  Recurring lines are dropped from all documents but the first (the
-smallest id), so nothing is lost altogether; lines under ``LEAST`` tokens stay.
+tokens reach ``EVIDENCE`` (so a long passage recurs in two documents, a line of
+four tokens in ten, and one of a single token in forty).  In scripts without blanks
+characters count instead of tokens, if there are more of them.  Recurring lines are
+dropped from all documents but the first (the smallest id), so nothing is lost
+altogether; blank lines stay.
 
 Only hashes, positions and ids of lines are shuffled to find templates; whole texts
 move once, when the lines to drop meet their documents.
@@ -32,20 +34,29 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm.storage import fresh, save
 
-LEAST, LEAD, LEAST_VARIABLE, EVIDENCE = 4, 4, 6, 40
+LEAST, LEAD, LEAST_VARIABLE, EVIDENCE = 1, 4, 6, 40
 #: SIMILAR as a fraction of integers: 3 of 4 tokens.
 SIMILAR = (3, 4)
 #: White space within lines.
 BLANKS = " \t\x0B\f\r"
-KEY = ["leaf", "h1", "h2", "n"]
+#: Scripts without blanks between words, and their punctuation.
+UNSPACED = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+            r"\u3001-\u303F\uFF01-\uFF65]")
+KEY = ["leaf", "h1", "h2", "size"]
 
 
 def canonical_line(line: Column) -> Column:
-    """The line's tokens with one blank between, those with a digit as ``<*>``."""
+    """The line's tokens with one blank between, those with a digit as ``<*>``.
+
+    A token of a script without blanks keeps all but its digits, and a line of under
+    ``LEAD`` tokens that all have digits stays as it is.
+    """
     tokens = F.filter(F.split(line, f"[{BLANKS}]+"), lambda t: t != "")
     odd = line.startswith(" ") | line.endswith(" ") | (F.instr(line, "  ") > 0) | line.rlike(f"[0-9{BLANKS[1:]}]")
-    return F.when(odd, F.array_join(F.transform(
-        tokens, lambda t: F.when(t.rlike("[0-9]"), "<*>").otherwise(t)), " ")).otherwise(line)
+    bare = ~line.rlike(f"(^|[{BLANKS}])[^0-9{BLANKS}]+([{BLANKS}]|$)") & (F.size(tokens) < LEAD) & ~line.rlike(UNSPACED)
+    masked = F.transform(tokens, lambda t: F.when(~t.rlike("[0-9]"), t).when(
+        (F.octet_length(t) > F.length(t)) & t.rlike(UNSPACED), F.regexp_replace(t, "[0-9]+", "<*>")).otherwise("<*>"))
+    return F.when(odd & bare, F.array_join(tokens, " ")).when(odd, F.array_join(masked, " ")).otherwise(line)
 
 
 def _row_key(id_col: str, text_col: str) -> list[Column]:
@@ -54,15 +65,22 @@ def _row_key(id_col: str, text_col: str) -> list[Column]:
 
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, k1, k2, pos, line, n, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more."""
+    """``(id, k1, k2, pos, line, size, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more.
+
+    ``size``: the tokens, or the characters of scripts without blanks; ``leaf``: null if the
+    line has too few tokens for a variable field.
+    """
     # canonical before the explode: a column that is inlined later would be computed again
     lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), F.posexplode(
         F.transform(F.split(text_col, "\n", -1), canonical_line)).alias("pos", "line"))
     lines = lines.withColumn(
         "n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    return lines.filter(F.col("n") >= LEAST).select(
-        "id", "k1", "k2", "pos", "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-        F.xxhash64("n", F.substring_index("line", " ", LEAD)).alias("leaf"))
+    # such characters take three bytes or more: most lines are told without looking at each
+    wide = F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))
+    size = F.when(F.octet_length("line") - F.length("line") > 2 * F.col("n"), F.greatest("n", wide)).otherwise(F.col("n"))
+    return lines.filter((F.col("line") != "") & (F.col("n") >= LEAST)).select(
+        "id", "k1", "k2", "pos", "line", size.alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+        F.when(F.col("n") >= LEAST_VARIABLE, F.xxhash64("n", F.substring_index("line", " ", LEAD))).alias("leaf"))
 
 
 def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
@@ -70,28 +88,26 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
 
     ``lines``: as ``line_rows`` gives them; ``places``: a table of them without the lines.
     """
-    across = (F.col("first") != F.col("last")) & (F.col("docs") * F.col("n") >= EVIDENCE)
+    across = (F.col("first") != F.col("last")) & (F.col("evidence") >= EVIDENCE)
     kinds = save(places.select(*KEY, "id").distinct().groupBy(*KEY).agg(
-        F.count("id").alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "line-kinds")
-    leaves = kinds.groupBy("leaf", "n").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")) \
-        .filter((F.col("kinds") > 1) & (F.col("n") >= LEAST_VARIABLE) & across).select("leaf", "kinds")
+        (F.count("id") * F.col("size")).alias("evidence"), F.min("id").alias("first"), F.max("id").alias("last")), "line-kinds")
+    leaves = kinds.filter(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), *_summed()) \
+        .filter((F.col("kinds") > 1) & across).select("leaf", "kinds")
     # one occurrence of each different line of such leaves, token by token
     wanted = save(kinds.filter(F.col("first").isNotNull()).join(leaves, "leaf"), "line-leaves")
     spots = lines.select(*KEY, "id", "line") \
         .join(wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY) \
-        .select(*KEY, "kinds", F.posexplode(F.split("line", " ")).alias("at", "token"))
+        .select(*KEY, "kinds", F.size(F.split("line", " ")).alias("n"), F.posexplode(F.split("line", " ")).alias("at", "token"))
     common = spots.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")) \
         .filter(2 * F.col("c") > F.col("kinds")).select("leaf", "at", "token")
-    members = spots.join(common, ["leaf", "at", "token"]).groupBy(*KEY).agg(F.count(F.lit(1)).alias("same")) \
+    members = spots.join(common, ["leaf", "at", "token"]).groupBy(*KEY, "n").agg(F.count(F.lit(1)).alias("same")) \
         .filter(SIMILAR[1] * F.col("same") >= SIMILAR[0] * F.col("n")).select(*KEY)
-    members = save(wanted.join(members, KEY).select(*KEY, "docs", "first", "last"), "line-members")
-    templates = members.groupBy("leaf", "n").agg(
-        F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")).filter(across) \
+    members = save(wanted.join(members, KEY).select(*KEY, "evidence", "first", "last"), "line-members")
+    templates = members.groupBy("leaf").agg(*_summed()).filter(across) \
         .select("leaf", F.col("first").alias("t_first"))
     varied = save(members.join(templates, "leaf").select(*KEY, F.col("t_first").alias("first")), "line-varied")
     left = save(spots.join(varied.select(*KEY), KEY, "left_anti").filter(F.col("at") >= LEAD).select(
-        *KEY, F.xxhash64("at", "token").alias("spot")).join(wanted.select(*KEY, "docs", "first", "last"), KEY), "line-left")
+        *KEY, "n", F.xxhash64("at", "token").alias("spot")).join(wanted.select(*KEY, "evidence", "first", "last"), KEY), "line-left")
     while not left.isEmpty():
         more = save(_gathered(left, across), "line-varied")
         if more.isEmpty():
@@ -102,13 +118,17 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
         .groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
+def _summed() -> list[Column]:
+    return [F.sum("evidence").alias("evidence"), F.min("first").alias("first"), F.max("last").alias("last")]
+
+
 def _gathered(left: DataFrame, across: Column) -> DataFrame:
     """``(*KEY, first)`` of the lines that gather in recurring templates, each in its largest.
 
     ``left``: a row per line and token, without the ``LEAD`` tokens that a leaf's lines share.
     """
     counts = left.groupBy("leaf", "spot").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    ranked = left.join(counts, ["leaf", "spot"]).groupBy(*KEY, "docs", "first", "last").agg(
+    ranked = left.join(counts, ["leaf", "spot"]).groupBy(*KEY, "n", "evidence", "first", "last").agg(
         F.sort_array(F.collect_list(F.struct("c", "spot")), asc=False)["spot"].alias("spots"))
     need = (F.col("n") * SIMILAR[0] + SIMILAR[1] - 1 - (F.col("n") * SIMILAR[0] + SIMILAR[1] - 1) % SIMILAR[1]) / SIMILAR[1] - LEAD
     ranked = ranked.withColumn("need", need.cast("int")).filter(F.size("spots") >= F.col("need")) \
@@ -117,16 +137,14 @@ def _gathered(left: DataFrame, across: Column) -> DataFrame:
     whole = F.aggregate("top", F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
     ranked = ranked.withColumn("whole", whole).withColumn("out", F.when(
         F.size("top") > F.col("need"), F.col("top")).otherwise(F.array(F.lit(0).cast("bigint"))))
-    variants = save(ranked.select(*KEY, "docs", "first", "last", "whole", F.explode("out").alias("out")).select(
-        *KEY, "docs", "first", "last", F.col("whole").bitwiseXOR(F.col("out")).alias("variant")), "line-variants")
-    found = variants.groupBy("leaf", "n", "variant").agg(
-        F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")).filter(across) \
-        .select("leaf", "variant", F.col("docs").alias("size"))
-    taken = variants.join(found, ["leaf", "variant"]).groupBy(*KEY, "docs", "first", "last").agg(
-        F.max(F.struct("size", "variant"))["variant"].alias("variant"))
+    variants = save(ranked.select(*KEY, "evidence", "first", "last", "whole", F.explode("out").alias("out")).select(
+        *KEY, "evidence", "first", "last", F.col("whole").bitwiseXOR(F.col("out")).alias("variant")), "line-variants")
+    found = variants.groupBy("leaf", "variant").agg(*_summed()).filter(across) \
+        .select("leaf", "variant", F.col("evidence").alias("weight"))
+    taken = variants.join(found, ["leaf", "variant"]).groupBy(*KEY, "evidence", "first", "last").agg(
+        F.max(F.struct("weight", "variant"))["variant"].alias("variant"))
     taken = save(taken, "line-taken")
-    kept = taken.groupBy("leaf", "n", "variant").agg(
-        F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("lines")) \
+    kept = taken.groupBy("leaf", "variant").agg(*_summed(), F.count(F.lit(1)).alias("lines")) \
         .filter(across & (F.col("lines") > 1)).select("leaf", "variant", F.col("first").alias("t_first"))
     return taken.join(kept, ["leaf", "variant"]).select(*KEY, F.col("t_first").alias("first"))
 

@@ -168,6 +168,22 @@ def test_leaf_with_three_templates_and_unrelated_lines(spark):
     assert gone == set(range(19)) - {0, 6, 12}
 
 
+def test_short_and_unspaced_lines_recur(spark):
+    own = [f"own {'abcdefghij'[i // 10]} {'abcdefghij'[i % 10]} words of this document" for i in range(40)]
+    rows = [(i, f"{'Les.' if i < 39 else 'x'}\nAnd.\n\n{'All rights reserved.' if i < 14 else 'y'}\n"
+                f"{'Not quite enough.' if i < 13 else 'z'}\n{w}") for i, w in enumerate(own)]
+    passage = "\u8fd9\u662f\u4e00\u4e2a\u6ca1\u6709\u7a7a\u683c\u7684\u6bb5\u843d" * 2
+    rows += [(50, f"{passage}\n{passage[:5]}"), (51, f"{passage}\n{passage[:5]}"), (52, passage[:19]), (53, passage[:19])]
+    rows += [(100 + i, f"{i}\n{chr(0x4e00 + i) * 9}2020{chr(0x4e50 + i) * 9}") for i in range(45)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.drop_recurring_lines(df).collect()}
+    assert got[0] == rows[0][1]
+    assert all(got[i] == t for i, t in rows if i >= 100)
+    assert got[1] == f"Les.\n\nNot quite enough.\n{own[1]}"
+    assert got[39] == f"x\n\ny\nz\n{own[39]}"
+    assert (got[50], got[51]) == (rows[40][1], passage[:5]) and got[53] == passage[:19]
+
+
 def test_fingerprints_like_plain_text_edits(spark):
     rows = [(3, "a b c d\ne f g h\n\nlast line"), (1, None), (7, "é😀x" * 40), (5, "q"), (5, "other text"), (9, "a b c d\ne f g h\n\nlast line"),
             (9, "a b c d\ne f g h\n\nlast line"), (None, "no id at all here")]
