@@ -14,7 +14,9 @@ outside all templates are templates of their own.
 A template recurs if it occurs in different documents and its documents times its
 tokens reach ``EVIDENCE`` (so a long passage recurs in two documents, a line of
 four tokens in ten, and one of a single token in forty).  In scripts without blanks
-characters count instead of tokens, if there are more of them.  Recurring lines are
+characters count instead of tokens, if there are more of them.  A passage of neighbouring
+lines (blank ones aside) that the same documents share recurs as a line of all its tokens
+would, whatever lines it is wrapped into.  Recurring lines are
 dropped from all documents but the first (the smallest id), so nothing is lost
 altogether; blank lines stay.
 
@@ -29,7 +31,7 @@ treated alike; extra columns are carried along by ``drop_recurring_lines``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybayes.llm.storage import fresh, save
@@ -67,24 +69,25 @@ def _row_key(id_col: str, text_col: str) -> list[Column]:
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, k1, k2, pos, line, size, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more.
 
-    ``size``: the tokens, or the characters of scripts without blanks; ``leaf``: null if the
+    ``pos``: the line's place among those that aren't blank; ``size``: the tokens, or the characters of scripts without blanks; ``leaf``: null if the
     line has too few tokens for a variable field.
     """
     # canonical before the explode: a column that is inlined later would be computed again
     lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), F.posexplode(
-        F.transform(F.split(text_col, "\n", -1), canonical_line)).alias("pos", "line"))
+        F.filter(F.transform(F.split(text_col, "\n", -1), canonical_line), lambda x: x != "")).alias("pos", "line"))
     lines = lines.withColumn(
         "n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     # such characters take three bytes or more: most lines are told without looking at each
     wide = F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))
     size = F.when(F.octet_length("line") - F.length("line") > 2 * F.col("n"), F.greatest("n", wide)).otherwise(F.col("n"))
-    return lines.filter((F.col("line") != "") & (F.col("n") >= LEAST)).select(
+    return lines.filter(F.col("n") >= LEAST).select(
         "id", "k1", "k2", "pos", "line", size.alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
         F.when(F.col("n") >= LEAST_VARIABLE, F.xxhash64("n", F.substring_index("line", " ", LEAD))).alias("leaf"))
 
 
 def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
-    """``(h1, h2, first)``: lines of recurring templates and the template's first document.
+    """``(h1, h2, first)``: lines of recurring templates and the template's first document,
+    and with a null ``first`` the other lines that different documents share.
 
     ``lines``: as ``line_rows`` gives them; ``places``: a table of them without the lines.
     """
@@ -114,7 +117,8 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
             break
         varied = varied.union(more)
         left = save(left.join(more.select(*KEY), KEY, "left_anti"), "line-left")
-    return varied.select("h1", "h2", "first").union(kinds.filter(across).select("h1", "h2", "first")) \
+    shared = kinds.filter(F.col("first") != F.col("last")).select("h1", "h2", F.when(across, F.col("first")).alias("first"))
+    return varied.select("h1", "h2", "first").union(shared) \
         .groupBy("h1", "h2").agg(F.min("first").alias("first"))
 
 
@@ -149,20 +153,57 @@ def _gathered(left: DataFrame, across: Column) -> DataFrame:
     return taken.join(kept, ["leaf", "variant"]).select(*KEY, F.col("t_first").alias("first"))
 
 
+def recurring_passages(hits: DataFrame) -> DataFrame:
+    """``(k1, k2, pos)`` of lines in recurring passages, but for those of a passage's first document.
+
+    ``hits``: the places of shared lines.  Passages are the runs of neighbouring lines that reach
+    the evidence in two documents only with both their ends, and all shorter ones.
+    """
+    enough = -(-EVIDENCE // 2)
+    row = Window.partitionBy("k1", "k2").orderBy("pos")
+    near = hits.select("id", "k1", "k2", "pos", "size", F.xxhash64("h1", "h2").alias("h"), F.col("first").isNull().alias("weak")).distinct()
+    # runs of neighbours with a line that doesn't recur by itself
+    near = near.withColumn("run", F.col("pos") - F.row_number().over(row))
+    near = near.withColumn("any", F.max("weak").over(Window.partitionBy("k1", "k2", "run"))).filter("any")
+    ahead = Window.partitionBy("k1", "k2", "run").orderBy("pos").rowsBetween(0, enough)
+    near = near.select("id", "k1", "k2", "pos", F.collect_list(F.struct("size", "h", "weak")).over(ahead).alias("lines")) \
+        .filter(F.size("lines") > 1)
+    step = F.struct(F.lit(0).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("last"),
+                    F.lit(0).cast("bigint").alias("d1"), F.lit(1).cast("bigint").alias("d2"), F.lit(0).alias("n"), F.lit(False).alias("weak"))
+    # all beginnings of the run, each from the one before
+    grown = F.aggregate("lines", F.array(step), lambda done, x: F.concat(done, F.array(F.struct(
+        (F.element_at(done, -1)["size"] + x["size"]).alias("size"),
+        F.when(F.size(done) == 1, x["size"]).otherwise(F.element_at(done, -1)["first"]).cast("bigint").alias("first"),
+        x["size"].cast("bigint").alias("last"), F.xxhash64(F.element_at(done, -1)["d1"], x["h"]).alias("d1"),
+        F.xxhash64(x["h"], F.element_at(done, -1)["d2"]).alias("d2"), F.size(done).alias("n"),
+        (F.element_at(done, -1)["weak"] | x["weak"]).alias("weak")))))
+    passages = save(near.select("id", "k1", "k2", "pos", F.explode(grown).alias("p")).select("id", "k1", "k2", "pos", "p.*").filter(
+        (F.col("n") > 1) & F.col("weak") & (F.col("size") - F.greatest("first", "last") < enough)).drop("first", "last", "weak"), "passages")
+    known = passages.select("d1", "d2", "size", "id").distinct().groupBy("d1", "d2", "size").agg(
+        F.count("id").alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")) \
+        .filter((F.col("first") != F.col("last")) & (F.col("docs") * F.col("size") >= EVIDENCE)).select("d1", "d2", "first")
+    return passages.join(known, ["d1", "d2"]).filter(~F.col("id").eqNullSafe(F.col("first"))) \
+        .select("k1", "k2", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)).alias("pos"))
+
+
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with cleaned texts and two counts (which replace columns of their names)."""
     lines = line_rows(docs, id_col, text_col)
     places = save(lines.drop("line"), "line-places")
     repeats = save(recurring_lines(lines, places), "recurring")
-    gone = places.select("id", "k1", "k2", "pos", "h1", "h2").join(repeats, ["h1", "h2"]) \
-        .filter(~F.col("id").eqNullSafe(F.col("first"))).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
+    hits = save(places.drop("leaf").join(repeats, ["h1", "h2"]), "line-hits")
+    alone = hits.filter(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))).select("k1", "k2", "pos")
+    gone = alone.union(recurring_passages(hits)).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
     k1, k2 = _row_key(id_col, text_col)
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), k1, k2)
     found = rows.join(gone, ["k1", "k2"], "left")
     # split once: an expression that is used twice stays a column of its own
     found = found.withColumn("lines", F.split("text", "\n", -1))
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")),
+    found = found.withColumn("at", F.when(F.col("gone").isNotNull(), F.filter(
+        F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(f"[^{BLANKS}]"))))
+    places_gone = F.when(F.size("at") > 0, F.transform("gone", lambda g: F.get("at", g)))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), places_gone),
                        lambda i: F.get("lines", i))
     cleaned = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     counts = {n_lines: F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)),

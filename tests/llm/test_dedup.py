@@ -170,18 +170,36 @@ def test_leaf_with_three_templates_and_unrelated_lines(spark):
 
 def test_short_and_unspaced_lines_recur(spark):
     own = [f"own {'abcdefghij'[i // 10]} {'abcdefghij'[i % 10]} words of this document" for i in range(40)]
-    rows = [(i, f"{'Les.' if i < 39 else 'x'}\nAnd.\n\n{'All rights reserved.' if i < 14 else 'y'}\n"
-                f"{'Not quite enough.' if i < 13 else 'z'}\n{w}") for i, w in enumerate(own)]
+    rows = [(i, f"{'Les.' if i < 39 else 'x'}\n{w} a\nAnd.\n\n{w} b\n{'All rights reserved.' if i < 14 else 'y'}\n"
+                f"{w} c\n{'Not quite enough.' if i < 13 else 'z'}\n{w}") for i, w in enumerate(own)]
     passage = "\u8fd9\u662f\u4e00\u4e2a\u6ca1\u6709\u7a7a\u683c\u7684\u6bb5\u843d" * 2
-    rows += [(50, f"{passage}\n{passage[:5]}"), (51, f"{passage}\n{passage[:5]}"), (52, passage[:19]), (53, passage[:19])]
+    rows += [(50, f"{passage}\n{passage[:5]}"), (51, f"{passage}\nx\n{passage[:5]}"), (52, passage[:19]), (53, passage[:19])]
     rows += [(100 + i, f"{i}\n{chr(0x4e00 + i) * 9}2020{chr(0x4e50 + i) * 9}") for i in range(45)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in linededup.drop_recurring_lines(df).collect()}
     assert got[0] == rows[0][1]
     assert all(got[i] == t for i, t in rows if i >= 100)
-    assert got[1] == f"Les.\n\nNot quite enough.\n{own[1]}"
-    assert got[39] == f"x\n\ny\nz\n{own[39]}"
-    assert (got[50], got[51]) == (rows[40][1], passage[:5]) and got[53] == passage[:19]
+    assert got[1] == f"Les.\n{own[1]} a\n\n{own[1]} b\n{own[1]} c\nNot quite enough.\n{own[1]}"
+    assert got[39] == f"x\n{own[39]} a\n\n{own[39]} b\ny\n{own[39]} c\nz\n{own[39]}"
+    assert (got[50], got[51]) == (rows[40][1], f"x\n{passage[:5]}") and got[53] == passage[:19]
+
+
+def test_wrapped_passage_in_two_documents(spark):
+    word = lambda i: f"w{chr(97 + i % 26)}{chr(97 + i // 26)}"
+    passage = [word(i) for i in range(55)]
+    wrapped = [" ".join(passage[i:i + 11]) for i in range(0, 55, 11)]
+    short = [" ".join(word(100 + i) for i in range(j, j + 6)) for j in (0, 6, 12)]
+    tail = [" ".join(word(200 + i) for i in range(a, b)) for a, b in ((0, 19), (19, 21), (21, 25))]
+    rows = [(1, "mine alone\n" + "\n".join(wrapped) + "\nend one"), (2, "\n\n".join(wrapped) + "\nother words"),
+            (3, "\n".join(short) + "\nthree"), (4, "\n".join(short) + "\nfour"),
+            # the same lines, but no two documents share enough of them in a row
+            (5, f"{wrapped[0]}\nbetween here\n{wrapped[1]}"), (6, "\n".join(tail)), (7, "seven\n" + "\n".join(tail) + "\nlast"),
+            (None, "\n".join(tail) + "\nno id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.drop_recurring_lines(df).collect()}
+    assert got[1] == rows[0][1] and got[2] == "\n\n\n\nother words"
+    assert (got[3], got[4], got[5], got[6]) == (rows[2][1], rows[3][1], rows[4][1], rows[5][1])
+    assert got[7] == "seven\nlast" and got[None] == "no id"
 
 
 def test_fingerprints_like_plain_text_edits(spark):
