@@ -3,8 +3,10 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -217,6 +219,30 @@ def test_license_texts_and_notices(spark):
     assert license.scan(df.limit(0)).collect() == []
 
 
+def test_license_ids_and_further_texts(spark):
+    named = {"Apache-2.0": "Apache-2.0", "BSD-3-Clause": "BSD-3-Clause", "BSD-2-Clause": "BSD-2-Clause", "ISC": "ISC", "0BSD": "0BSD",
+             "GPL-3.0-only": "GPL-3.0", "GPL-3.0-or-later": "GPL-3.0", "GPL-2.0+": "GPL-2.0", "LGPL-2.1-only": "LGPL-2.1", "CC0-1.0": "CC0-1.0"}
+    rows = [(i, f"// SPDX-License-Identifier: {n}") for i, n in enumerate(named)] + [
+        (50, "Licensed under Apache 2.0"), (51, "My Terms.\nCopyright (c) 2020 A\nAll may read."), (52, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license.scan(df).collect()}
+    assert [got[i]["notices"] for i in range(len(named))] == list(named.values()) and got[50]["notices"] == "Apache-2.0"
+    texts = spark.createDataFrame([("Mine", "My terms\nAll may read"), ("Yours", "my terms all may read"), ("Empty", "")], "license_id string, text string")
+    more = {r["doc_id"]: r["license_id"] for r in license.scan(df, texts=texts).collect()}
+    assert got[51]["license_id"] is None and more[51] == "Mine" and more[52] is None and len(more) == len(rows)
+
+
+def test_license_texts_known_by_digest(spark):
+    root = "/usr/share/common-licenses"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all(os.path.exists(f"{root}/{f}") for f in files):
+        pytest.skip("no licence texts on this machine")
+    rows = [(f, Path(root, f).read_text(encoding="utf8")) for f in files]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert {r["doc_id"]: r["license_id"] for r in license.scan(df).collect()} == files
+
+
 def test_warc_archives_and_index(spark):
     big = "".join(map(chr, np.random.default_rng(1).integers(40, 2000, 200_000)))
     rows = [(5, "http://a/\r\nX: y", "<p>é</p>"), (3, None, "<p>é</p>"), (9, "u", None), (10, "u", ""), (None, "u", "<p>é</p>"), (7, "u", big),
