@@ -11,6 +11,9 @@ the document's n-grams, so that long texts don't drift.  Then k documents are
 drawn without replacement by Gumbel top-k at a low ``temperature``; k is the number whose
 weight reaches the threshold that separates the labelled rows best.
 
+Selection is one-sided: only ratios below 1 count, so a document without n-grams that
+labelled bad rows show has the best weight, 0, and junk of an unlabelled kind can stay.
+
 The Gumbel noise is a hash of the id, so a run can be repeated.  The k-th
 largest key is found by counting keys in ever narrower ranges; nothing is sorted in
 one place.  Defined cases: a document without tokens has weight 0; without

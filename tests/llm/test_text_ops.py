@@ -166,6 +166,19 @@ def test_quality_keeps_clean_and_drops_toxic(spark):
     assert sum(clean) >= 0.98 * len(clean) and sum(poor) <= 0.05 * len(poor) and sum(toxic) <= 0.4 * len(toxic)
 
 
+def test_quality_of_junk_that_no_label_shows(spark):
+    """Selection is one-sided: words said again and again go, random words have weight 0 and stay (see the README)."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("qxzjkvwy0123") for _ in range(rng.randrange(3, 9)))
+    odd = [(10_000_000 + i, " ".join(word() for _ in range(rng.randrange(20, 200)))) for i in range(50)]
+    again = [(20_000_000 + i, " ".join(rng.choice(["zorp", "klim", "BUYNOW!!", "vextra"]) for _ in range(rng.randrange(20, 200)))) for i in range(50)]
+    docs = spark.read.parquet(f"{SF2}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame(odd + again, "doc_id long, text string"))
+    rows = {r["doc_id"]: r for r in quality.importance_resample(docs, spark.read.parquet(f"{SF2}/labels.parquet")).collect()}
+    assert not any(rows[i]["kept"] for i, _ in again)
+    assert all(rows[i]["kept"] for i, _ in odd) and sum(rows[i]["weight"] == 0 for i, _ in odd) > 25
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(1, "good words", 0.5), (2, None, 0.5), (3, "", 0.5), (None, "bad", 0.5), (1, "good words", 0.5)],
                                  "doc_id long, text string, weight double")
