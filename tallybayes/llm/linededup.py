@@ -98,9 +98,10 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
         .filter((F.col("kinds") > 1) & across).select("leaf", "kinds")
     # one occurrence of each different line of such leaves, token by token
     wanted = save(kinds.filter(F.col("first").isNotNull()).join(leaves, "leaf"), "line-leaves")
-    spots = lines.select(*KEY, "id", "line") \
-        .join(wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY) \
-        .select(*KEY, "kinds", F.size(F.split("line", " ")).alias("n"), F.posexplode(F.split("line", " ")).alias("at", "token"))
+    held = save(lines.select(*KEY, "id", "line").join(
+        wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY).drop("id"), "line-held")
+    token = [F.size(F.split("line", " ")).alias("n"), F.posexplode(F.split("line", " ")).alias("at", "token")]
+    spots = held.select(*KEY, "kinds", *token)
     common = spots.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")) \
         .filter(2 * F.col("c") > F.col("kinds")).select("leaf", "at", "token")
     members = spots.join(common, ["leaf", "at", "token"]).groupBy(*KEY, "n").agg(F.count(F.lit(1)).alias("same")) \
@@ -109,14 +110,18 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
     templates = members.groupBy("leaf").agg(*_summed()).filter(across) \
         .select("leaf", F.col("first").alias("t_first"))
     varied = save(members.join(templates, "leaf").select(*KEY, F.col("t_first").alias("first")), "line-varied")
-    left = save(spots.join(varied.select(*KEY), KEY, "left_anti").filter(F.col("at") >= LEAD).select(
-        *KEY, "n", F.xxhash64("at", "token").alias("spot")).join(wanted.select(*KEY, "evidence", "first", "last"), KEY), "line-left")
-    while not left.isEmpty():
+    rest = wanted.join(varied.select(*KEY), KEY, "left_anti").select(*KEY, "evidence", "first", "last")
+    while True:
+        rest = save(rest, "line-rest")
+        if rest.isEmpty():
+            break
+        left = save(held.join(rest, KEY).select(*KEY, "evidence", "first", "last", *token).filter(F.col("at") >= LEAD)
+                    .withColumn("spot", F.xxhash64("at", "token")).drop("at", "token"), "line-left")
         more = save(_gathered(left, across), "line-varied")
         if more.isEmpty():
             break
         varied = varied.union(more)
-        left = save(left.join(more.select(*KEY), KEY, "left_anti"), "line-left")
+        rest = rest.join(more.select(*KEY), KEY, "left_anti")
     shared = kinds.filter(F.col("first") != F.col("last")).select("h1", "h2", F.when(across, F.col("first")).alias("first"))
     return varied.select("h1", "h2", "first").union(shared) \
         .groupBy("h1", "h2").agg(F.min("first").alias("first"))
