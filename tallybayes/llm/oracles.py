@@ -137,3 +137,23 @@ FROM forms f LEFT JOIN known k ON k.digest = {digest.format("f.form")} LEFT JOIN
 
 
 LICENSE = license_sql()
+
+# Plain scoring of every document that holds any of an item's terms.
+SEARCH = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+lengths AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n_all, CAST(sum(n) AS BIGINT) AS l_all FROM lengths),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+q AS (SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest(regexp_extract_all(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_all) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, totals WHERE term IN (SELECT term FROM q) GROUP BY term),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(reps * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_all) // l_all)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN lengths USING (r), totals GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+      FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

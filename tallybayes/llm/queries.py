@@ -16,6 +16,8 @@ from tallybayes.llm.linededup import drop_recurring_lines
 from tallybayes.llm.minhash import near_duplicates
 from tallybayes.llm.packing import pack_documents
 from tallybayes.llm.quality import importance_resample
+from tallybayes.llm.rules import text_rules
+from tallybayes.llm.search import ranked_search
 from tallybayes.llm.storage import documents
 from tallybayes.llm.warc import archive_pages, read_records
 
@@ -72,6 +74,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_rules(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "ratio", "n_chunks", "n_bad_chunks")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_license": op2_license,
@@ -83,5 +95,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op12_search": op12_search,
+    "op13_rules": op13_rules,
 }
-ORACLE: dict[str, str] = {"op2_license": oracles.LICENSE, "op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC}
+ORACLE: dict[str, str] = {"op2_license": oracles.LICENSE, "op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC,
+                          "op12_search": oracles.SEARCH}

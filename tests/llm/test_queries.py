@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages"):
+    for t in ("documents", "conversations", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(queries.ORACLE[name])
     columns = [d[0] for d in res.description]
