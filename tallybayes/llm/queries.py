@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybayes.llm import oracles
+from tallybayes.llm.align import align
 from tallybayes.llm.chat import conversation_digests, format_conversations
 from tallybayes.llm.decontam import contaminated
 from tallybayes.llm.fingerprint import edited_fingerprints
@@ -74,6 +75,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_align": op11_align,
     "op12_search": op12_search,
     "op13_rules": op13_rules,
 }
