@@ -22,7 +22,8 @@ def tokens(text: Column | str) -> Column:
     )
 
 
-def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = (), markers: bool = False,
+             words: Column | None = None) -> DataFrame:
     """``(keep…, term, tf)``: one row per distinct term of each row's text.
 
     The bag is built inside the row: sort the tokens, mark where a run of equal
@@ -30,18 +31,31 @@ def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFram
     never leaves the task that read it, so no single token is shuffled.  The
     stages are separate projections because Spark re-evaluates an expression
     referenced inside a lambda once per element.
+
+    ``markers`` adds a row with a NULL term and ``tf`` 0 per input row, so that rows
+    without tokens are rows of the result too, from the same scan.  ``words``: an array
+    column of terms (of any type) in place of the tokens of ``text_col``.
     """
     keep = list(keep)
-    s = df.select(*keep, F.sort_array(tokens(text_col)).alias("_s"))
+    found = tokens(text_col) if words is None else F.filter(F.coalesce(words, F.array()), lambda w: w.isNotNull())
+    s = df.select(*keep, F.sort_array(found).alias("_s"))
     st = s.select(*keep, "_s", F.filter(
         F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
         lambda i: (i == 1) | (F.try_element_at("_s", i) != F.try_element_at("_s", i - 1)),
     ).alias("_st"))
     b = st.select(*keep, "_s", F.concat("_st", F.array(F.size("_s") + 1)).alias("_b"),
                   F.when(F.size("_s") > 0, F.size("_st")).otherwise(0).alias("_m"))
-    return b.select(*keep, F.inline(F.transform(
-        F.sequence(F.lit(1), F.greatest("_m", F.lit(1))),
-        lambda j: F.struct(
+
+    def entry(j: Column) -> Column:
+        return F.struct(
             F.try_element_at("_s", F.try_element_at("_b", j)).alias("term"),
-            (F.try_element_at("_b", j + 1) - F.try_element_at("_b", j)).cast("bigint").alias("tf")),
-    ))).filter(F.col("term").isNotNull())
+            (F.try_element_at("_b", j + 1) - F.try_element_at("_b", j)).cast("bigint").alias("tf"))
+
+    if markers:
+        # place 1 is the marker; the row's runs follow
+        marker = F.struct(F.lit(None).cast(b.schema["_s"].dataType.elementType).alias("term"), F.lit(0).cast("bigint").alias("tf"))
+        return b.select(*keep, F.inline(F.transform(
+            F.sequence(F.lit(0), F.col("_m")),
+            lambda j: F.when(j == 0, marker).otherwise(entry(F.greatest(j, F.lit(1)))))))
+    return b.select(*keep, F.inline(F.transform(
+        F.sequence(F.lit(1), F.greatest("_m", F.lit(1))), entry))).filter(F.col("term").isNotNull())

@@ -105,9 +105,15 @@ def macro_metrics(per_class: DataFrame) -> DataFrame:
 
 def strategy_parity(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row ``(n_rows, only_wide, only_sparse)``: rows of ``a`` and of ``b``
-    missing from the other (multiset difference, both ways)."""
-    n = a.select(F.count(F.lit(1))).scalar()
-    only_a = a.exceptAll(b).select(F.count(F.lit(1))).scalar()
-    only_b = b.exceptAll(a).select(F.count(F.lit(1))).scalar()
-    return a.sparkSession.range(1).select(
-        n.alias("n_rows"), only_a.alias("only_wide"), only_b.alias("only_sparse"))
+    missing from the other (multiset difference, both ways).
+
+    Both sides are read once: equal rows are counted together, those of ``a`` as 1 and those of ``b`` as -1.
+    """
+    one = F.lit(1).cast("bigint")
+    signed = a.select("*", one.alias("_a"), one.alias("_sign")).union(
+        b.select(*a.columns, F.lit(0).cast("bigint").alias("_a"), (-one).alias("_sign")))
+    rows = signed.groupBy(*a.columns).agg(F.sum("_a").alias("_a"), F.sum("_sign").alias("_left"))
+    zero = F.lit(0).cast("bigint")
+    return rows.agg(F.coalesce(F.sum("_a"), zero).alias("n_rows"),
+                    F.coalesce(F.sum(F.greatest("_left", zero)), zero).alias("only_wide"),
+                    F.coalesce(F.sum(F.greatest(-F.col("_left"), zero)), zero).alias("only_sparse"))

@@ -7,8 +7,8 @@ the dense model but touches only the rows' own terms.
 
 Two physical strategies:
 
-* ``wide``: one model row per term holding a delta per class; rows join once
-  on the term and one aggregation per document adds C+1 columns.  For models
+* ``wide``: one model row per term holding an array of the classes' deltas; rows join once
+  on the term and one aggregation per document adds C+1 sums.  For models
   of up to ``WIDE_CLASSES`` classes.
 * ``sparse``: one model row per term holding the (class, delta) pairs that
   training saw; sums per (document, class seen) and then per document.  The
@@ -16,9 +16,9 @@ Two physical strategies:
   alone, so neither the plan nor the rows grow with C.  It is also the
   independent second path the parity check compares against.
 
-Every scored row enters the aggregation as a marker row of its own, so rows
-without any known term keep their prior-only scores, rows without an id are
-rows like others, and nothing is joined back by id.  Rows that share an id are
+Every scored row brings a marker of its own among its terms (a NULL key), which the left join
+keeps: rows without any known term keep their prior-only scores, rows without an id are
+rows like others, nothing is joined back by id, and the input is scanned once.  Rows that share an id are
 told apart by ``ROW`` where the caller has it (a hash of the text); exact
 copies of a row give the same prediction once each.
 
@@ -30,124 +30,160 @@ row whose classes are all -inf gets class 0, as in the textbook argmax loop.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import from_fixed
 
-# Salt buckets of the shuffle join where counting isn't possible (override per
+# Salt buckets of the shuffle join where the table has no weights (override per
 # session with spark.tallybayes.saltBuckets).
 DEFAULT_SALT_BUCKETS = 16
 
-# Classes up to which a model row holds one column per class.
+# Classes up to which one aggregation holds a sum per class.
 WIDE_CLASSES = 32
 
 # Column that tells rows of one id apart.
 ROW = "_row"
 
+# Bits of the filter of a table's keys: eight a key, at least and at most (2 MB).
+FILTER_BITS = (1 << 16, 1 << 24)
+
 
 def literal_array(values: Sequence, element: str) -> Column:
     """An array constant as one literal, however many values it has."""
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{element}>")
 
 
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
 def _class_score(prior: Column, default: Column, length: Column, delta_sum: Column) -> Column:
-    base = F.when(length > 0, length * default).otherwise(F.lit(0).cast("bigint"))
-    return prior + base + F.coalesce(delta_sum, F.lit(0).cast("bigint"))
+    base = F.when(length > 0, length * default).otherwise(_zero())
+    return prior + base + F.coalesce(delta_sum, _zero())
 
 
-def _candidate(score: Column, idx: Column) -> Column:
-    return F.struct(score.isNotNull().alias("ok"), F.coalesce(score, F.lit(0).cast("bigint")).alias("score"),
+def candidate(score: Column, idx: Column) -> Column:
+    return F.struct(score.isNotNull().alias("ok"), F.coalesce(score, _zero()).alias("score"),
                     (-idx).cast("int").alias("neg_idx"))
 
 
 def argmax_struct(scores: Sequence[Column]) -> Column:
     """Best of per-class fixed-point scores as ``struct(ok, score, neg_idx)``."""
-    keys = [_candidate(s, F.lit(c)) for c, s in enumerate(scores)]
+    keys = [candidate(s, F.lit(c)) for c, s in enumerate(scores)]
     if len(keys) == 1:
         return keys[0]
     return F.greatest(*keys)
 
 
+def best_label(best: Column, labels: Sequence[str]) -> Column:
+    return F.element_at(literal_array([str(l) for l in labels], "string"), (1 - best["neg_idx"]).cast("int"))
+
+
 def finish(scored: DataFrame, best: Column, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    label_arr = literal_array([str(l) for l in labels], "string")
     return (
         scored.withColumn("_best", best)
-        .select(
-            *keep,
-            F.element_at(label_arr, (1 - F.col("_best.neg_idx")).cast("int")).alias("prediction"),
-            from_fixed(F.when(F.col("_best.ok"), F.col("_best.score"))).alias("score"),
-        )
+        .select(*keep, best_label(F.col("_best"), labels).alias("prediction"),
+                from_fixed(F.when(F.col("_best.ok"), F.col("_best.score"))).alias("score"))
     )
 
 
 # Cap for broadcasting a model table whose size is known exactly from the
-# fitted model (V, C, term bytes): the session's autoBroadcastJoinThreshold,
-# unless spark.tallybayes.modelBroadcastBytes sets another one.
+# fitted model (V, C, term bytes), unless spark.tallybayes.modelBroadcastBytes sets another one.
+MODEL_BROADCAST_BYTES = 64 << 20
+SPARK_BROADCAST_BYTES = 10 << 20
 
 
 def broadcast_limit(spark) -> int:
-    """Model-table broadcast cap; -1 in autoBroadcastJoinThreshold disables it."""
-    auto = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower()
+    """Model-table broadcast cap: ``MODEL_BROADCAST_BYTES``, or autoBroadcastJoinThreshold where a
+    session has lowered or further raised it; -1 in the latter disables it."""
+    auto = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(SPARK_BROADCAST_BYTES))).lower()
     try:
         auto_b = int(auto.replace("b", ""))
     except ValueError:
-        auto_b = 10 * 1024 * 1024
+        auto_b = SPARK_BROADCAST_BYTES
     if auto_b < 0:
         return -1
     cap = spark.conf.get("spark.tallybayes.modelBroadcastBytes", None)
-    return int(cap) if cap is not None else auto_b
+    if cap is not None:
+        return int(cap)
+    return max(auto_b, MODEL_BROADCAST_BYTES) if auto_b >= SPARK_BROADCAST_BYTES else auto_b
 
 
-# Keys that hold at least 1 / HOT_KEYS of the scored feature rows are "hot".
+# Keys that hold at least 1 / HOT_KEYS of a table's weight are "hot".
 # There are at most HOT_KEYS of them; their list has two integers a key.
 HOT_KEYS = 10_000
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in keys])
+
+
+def maybe_known(table: DataFrame, keys: Sequence[str], n_keys: int) -> Column:
+    """Whether a row's keys may be among the table's: a Bloom filter of one hash, as one array of words.
+
+    It never rejects a known key.  It has eight bits a key and 2 MB at most, whatever the table.
+    """
+    bits = max(FILTER_BITS[0], min(FILTER_BITS[1], 1 << (8 * max(n_keys, 1) - 1).bit_length()))
+    at = F.pmod(_key_hash(keys), F.lit(bits).cast("bigint"))
+    words = table.select(F.shiftright(at, 6).alias("_w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {bits}L) & 63 AS INT))").alias("_b")) \
+        .groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+    dense = table.sparkSession.range(bits >> 6).join(words, F.col("id") == F.col("_w"), "left").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("id", F.coalesce("_b", _zero()).alias("b")))), lambda x: x["b"])).scalar()
+    word = F.element_at(dense, (F.shiftright(at, 6) + 1).cast("int"))
+    return F.bit_get(word, (at.bitwiseAND(F.lit(63).cast("bigint"))).cast("int")) == 1
+
+
 def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
-               id_cols: Sequence[str], table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
-    """Join row features to a table with one row per ``key_cols`` (inner; NULL keys match nothing).
+               id_cols: Sequence[str], table_bytes: int | None = None, salt: int | None = None,
+               weight: str | None = None, n_keys: int | None = None, how: str = "inner",
+               total: int | None = None) -> DataFrame:
+    """Join row features to a table with one row per ``key_cols``.  NULL keys match nothing; a
+    ``left`` join keeps them, and may keep or drop rows of other keys that the table hasn't.
 
     ``table_bytes`` is an upper estimate of the table from exact model sizes
     (V, C, key bytes).  Under the broadcast cap the table is broadcast, so rows
     are scored where they were read.
 
-    Above it, or where the size is unknown, the scored rows' own keys are
-    counted first (partially in each task).  A key with at least 1 / HOT_KEYS
-    of all rows gets as many slots as it holds shuffle partitions' shares;
+    Above it, or where the size is unknown, the table's own ``weight`` (a training frequency)
+    tells which keys are hot: a key with at least 1 / HOT_KEYS of the total
+    gets as many slots as its share fills shuffle partitions;
     its rows are dealt over the slots by row id and its table row is repeated
-    once a slot.  Known and unknown hot keys are split alike, so no task
-    receives a hot key's rows.  The slots are looked up by key hash in a broadcast list of
-    at most HOT_KEYS pairs of integers (160 kB).  Sessions that switch broadcasts off
-    and streams, whose rows can't be counted, deal every key over ``salt`` slots.
+    once a slot.  The slots are looked up by key hash in a broadcast list of
+    at most HOT_KEYS pairs of integers (160 kB).  Rows whose keys a Bloom filter of the table's (``n_keys``)
+    doesn't know don't enter the shuffle, so an unknown hot key gathers nowhere; the scored rows
+    are never counted beforehand.  Tables without weights, sessions that switch
+    broadcasts off, and streams deal every key over ``salt`` slots.
     """
     spark = bags.sparkSession
     keys = list(key_cols)
-    table = table.select(*keys, *[c for c in table.columns if c not in keys])
+    payload = [c for c in table.columns if c not in keys and c != weight]
     limit = broadcast_limit(spark)
     if table_bytes is not None and 0 < table_bytes <= limit:
-        return bags.join(F.broadcast(table), keys)
-    row = F.xxhash64(*[F.col(c) for c in id_cols])
-    if bags.isStreaming or limit < 0:
+        return bags.join(F.broadcast(table.select(*keys, *payload)), keys, how)
+    row, one = F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(1).cast("bigint")
+    if weight is None or bags.isStreaming or limit < 0:
         n = F.lit(salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))).cast("bigint")
-        dealt, slots = bags, table.withColumn("_slots", n)
-        dealt = bags.withColumn("_slots", n)
+        dealt, slots = bags.withColumn("_slots", n), table.withColumn("_slots", n)
     else:
-        key_hash = F.xxhash64(*[F.col(c) for c in keys]).alias("_key")
-        counted = bags.groupBy(key_hash).agg(F.count(F.lit(1)).alias("_n"))
-        total = bags.select(F.count(F.lit(1))).scalar()
+        total = table.select(F.sum(weight)).scalar() if total is None else F.lit(max(total, 1))
         parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-        hot = F.broadcast(counted.filter(F.col("_n") * HOT_KEYS >= total).select(
-            "_key", F.ceil(F.col("_n") * parts / total).cast("bigint").alias("_slots")))
-        dealt = bags.withColumn("_key", key_hash).join(hot, "_key", "left").drop("_key")
-        slots = table.withColumn("_key", key_hash).join(hot, "_key", "left").drop("_key")
-    one = F.lit(1).cast("bigint")
-    dealt = dealt.withColumn("_slot", F.pmod(row, F.coalesce("_slots", one))).drop("_slots")
+        hot = F.broadcast(table.filter(F.col(weight) * HOT_KEYS >= total).groupBy(_key_hash(keys).alias("_key")).agg(
+            F.max(F.ceil(F.col(weight) * parts / total)).cast("bigint").alias("_slots")))
+        if n_keys is not None:
+            bags = bags.filter(F.col(keys[-1]).isNull() | maybe_known(table, keys, n_keys))
+        dealt = bags \
+            .withColumn("_key", _key_hash(keys)).join(hot, "_key", "left").drop("_key")
+        slots = table.withColumn("_key", _key_hash(keys)).join(hot, "_key", "left").drop("_key")
+    slot = F.pmod(row, F.coalesce("_slots", one))
+    if how == "left":
+        slot = F.when(F.col(keys[-1]).isNull(), row).otherwise(slot)
+    dealt = dealt.withColumn("_slot", slot).drop("_slots")
     slots = slots.withColumn("_slot", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.coalesce("_slots", one) - 1))).drop("_slots")
-    return dealt.join(slots, [*keys, "_slot"]).drop("_slot")
+        F.lit(0).cast("bigint"), F.coalesce("_slots", one) - 1))).select(*keys, "_slot", *payload)
+    return dealt.join(slots, [*keys, "_slot"], how).drop("_slot")
 
 
 def _checked(per_row: DataFrame, by_row: bool) -> DataFrame:
@@ -160,96 +196,89 @@ def _checked(per_row: DataFrame, by_row: bool) -> DataFrame:
                           .otherwise(F.col("_m") == 1))
 
 
-def _grouping(features: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str]) -> tuple[list, list, list]:
-    """Grouping columns (ids and what the feature rows carry too), columns that markers alone
-    have, and an aggregate for each of the latter."""
-    carried = [c for c in doc_keys.columns if c in id_cols or c in features.columns]
-    late = [c for c in doc_keys.columns if c not in carried]
-    return carried, late, [F.first(c, ignorenulls=True).alias(c) for c in late]
+def wide_sums(joined: DataFrame, marker: Column, carried: Sequence[str], deltas: Sequence[Column],
+              known: Column, late: Sequence[str] = ()) -> DataFrame:
+    """``(carried…, late…, _len, _s0.._s{n-1})`` per scored row, from model-joined rows with markers.
 
+    ``known``: whether a row's key is in the model; ``deltas``: a sum for each; ``late``: columns
+    that markers alone have.
+    """
+    sums = joined.groupBy(*carried).agg(
+        F.coalesce(F.sum(F.when(known, F.col("tf"))), _zero()).alias("_len"), F.sum(marker.cast("bigint")).alias("_m"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in late],
+        *[F.sum(F.when(known, F.col("tf") * d)).alias(f"_s{i}") for i, d in enumerate(deltas)])
+    return _checked(sums, ROW in carried).select(*carried, *late, F.expr("_len div _m").alias("_len"), *[
+        F.expr(f"_s{i} div _m").alias(f"_s{i}") for i in range(len(deltas))])
+
+
+def wide_scores(sums: DataFrame, carried: Sequence[str], priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:
+    """Per-row class scores ``_q0.._q{C-1}`` (bigint, NULL = -inf) of ``wide_sums`` rows."""
+    return sums.select(*carried, *[
+        _class_score(p, d, F.col("_len"), F.col(f"_s{c}")).alias(f"_q{c}") for c, (p, d) in enumerate(zip(priors, defaults))])
 
-def score_wide(bags: DataFrame, key_cols: Sequence[str], table: DataFrame,
-               doc_keys: DataFrame, id_cols: Sequence[str],
-               priors: Sequence[Column], defaults: Sequence[Column],
-               table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
-    """Per-row class scores ``_q0.._q{C-1}`` (bigint, NULL = -inf).
 
-    ``bags``: (ids…, anything of doc_keys…, keys…, tf); ``table``: (keys…, d0..d{C-1});
-    ``doc_keys``: one row per scored row (ids…, anything else to keep).
+def entry_rows(joined: DataFrame, marker: Column, carried: Sequence[str], known: Column,
+               values: Sequence[Callable[[Column], Column]] = (), also: Sequence[Column | str] = ()) -> DataFrame:
+    """``(carried…, label_idx, s0.., _m)``: a row per model-joined row and class that saw its key, and one
+    with ``label_idx`` -1 that holds the known tokens (in ``s0``) and the marker.
+
+    ``joined`` has ``e``: an array of ``(label_idx, delta)``, or of structs of which ``values`` take
+    the numbers to sum.
     """
-    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
-    return score_joined(joined, doc_keys, id_cols, priors, defaults)
-
-
-def with_markers(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str], n: int) -> DataFrame:
-    """Model-joined rows and one marker row (``_m`` = 1) per scored row."""
-    carried, late, _ = _grouping(joined, doc_keys, id_cols)
-    dcols = [f"d{c}" for c in range(n)]
-    zero = F.lit(0).cast("bigint")
-    rows = joined.select(*carried, *[F.lit(None).cast(doc_keys.schema[c].dataType).alias(c) for c in late],
-                         "tf", *dcols, zero.alias("_m"))
-    return rows.union(doc_keys.select(*carried, *late, zero, *[zero] * n, F.lit(1).cast("bigint")))
-
-
-def score_joined(joined: DataFrame, doc_keys: DataFrame, id_cols: Sequence[str],
-                 priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:
-    """Per-row class scores from model-joined rows ``(ids…, tf, d0..d{C-1})`` and one
-    row per scored row (``doc_keys``), in a single aggregation."""
-    carried, late, firsts = _grouping(joined, doc_keys, id_cols)
-    return score_marked(with_markers(joined, doc_keys, id_cols, len(priors)), carried, firsts, priors, defaults,
-                        doc_keys.columns)
-
-
-def score_marked(marked: DataFrame, group: Sequence[str], firsts: Sequence[Column], priors: Sequence[Column],
-                 defaults: Sequence[Column], columns: Sequence[str]) -> DataFrame:
-    """Class scores of ``with_markers`` rows, one per marker."""
-    n = len(priors)
-    sums = marked.groupBy(*group).agg(
-        F.sum("tf").alias("_len"), F.sum("_m").alias("_m"), *firsts,
-        *[F.sum(F.col("tf") * F.col(f"d{c}")).alias(f"_s{c}") for c in range(n)])
-    full = _checked(sums, ROW in group)
-    return full.select(*columns, *[
-        _class_score(priors[c], defaults[c], F.expr("_len div _m"), F.expr(f"_s{c} div _m")).alias(f"_q{c}")
-        for c in range(n)])
-
-
-def sparse_sums(bags: DataFrame, key_cols: Sequence[str], table: DataFrame, doc_keys: DataFrame,
-                id_cols: Sequence[str], table_bytes: int | None = None, salt: int | None = None) -> DataFrame:
-    """``(doc_keys…, _len, _sums)`` per scored row: known tokens and an array of
-    ``(label_idx, s)`` of the classes that saw any of them.
-
-    ``table``: (keys…, e) with ``e`` an array of ``(label_idx, delta)``.
+    n = max(1, len(values))
+    own = F.struct(F.lit(-1).alias("label_idx"), F.when(known, F.col("tf")).otherwise(_zero()).alias("s0"),
+                   *[_zero().alias(f"s{i}") for i in range(1, n)], marker.cast("bigint").alias("_m"))
+
+    def entry(x: Column) -> Column:
+        parts = [v(x) for v in values] if values else [x["delta"]]
+        return F.struct(x["label_idx"].cast("int").alias("label_idx"),
+                        *[(F.col("tf") * p).alias(f"s{i}") for i, p in enumerate(parts)], _zero().alias("_m"))
+
+    return joined.select(*carried, *also, F.inline(F.concat(F.array(own), F.when(known, F.transform("e", entry)).otherwise(
+        F.array().cast(f"array<struct<label_idx:int,{','.join(f's{i}:bigint' for i in range(n))},_m:bigint>>")))))
+
+
+def entry_sums(entries: DataFrame, carried: Sequence[str], n: int = 1, late: Sequence[str] = (),
+               gathered: str | None = None) -> DataFrame:
+    """``(carried…, late…, _len, _sums)`` per scored row: known tokens and an array of
+    ``(label_idx, s0..)`` of the classes that saw any of them, from ``entry_rows``.
+
+    ``late``: columns that markers alone have; ``gathered``: a column whose different values are kept as an array.
     """
-    joined = model_join(bags, table, key_cols, id_cols, table_bytes, salt)
-    carried, late, firsts = _grouping(joined, doc_keys, id_cols)
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    nulls = [F.lit(None).cast(doc_keys.schema[c].dataType).alias(c) for c in late]
-    length = F.array(F.struct(F.lit(-1).alias("label_idx"), F.col("tf").alias("s")))
-    parts = joined.select(*carried, *nulls, zero.alias("_m"), F.inline(F.concat(length, F.transform(
-        "e", lambda x: F.struct(x["label_idx"].alias("label_idx"), (F.col("tf") * x["delta"]).alias("s"))))))
-    marked = parts.union(doc_keys.select(*carried, *late, one, F.lit(-1), zero))
-    per_class = marked.groupBy(*carried, "label_idx").agg(F.sum("s").alias("s"), F.sum("_m").alias("_m"), *firsts)
+    names = [f"s{i}" for i in range(n)]
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in late]
+    sets, flat = [], []
+    if gathered:
+        sets, flat = [F.collect_set(gathered).alias(gathered)], [F.flatten(F.collect_list(gathered)).alias(gathered)]
+    per_class = entries.groupBy(*carried, "label_idx").agg(
+        *[F.sum(s).alias(s) for s in names], F.sum("_m").alias("_m"), *firsts, *sets)
     per_row = per_class.groupBy(*carried).agg(
-        F.sum("_m").alias("_m"), F.sum(F.when(F.col("label_idx") < 0, F.col("s"))).alias("_len"), *firsts,
-        F.collect_list(F.when(F.col("label_idx") >= 0, F.struct("label_idx", "s"))).alias("_sums"))
-    full = _checked(per_row, ROW in carried)
-    return full.select(*doc_keys.columns, F.expr("_len div _m").alias("_len"), F.expr(
-        "transform(_sums, x -> struct(x.label_idx AS label_idx, x.s div _m AS s))").alias("_sums"))
+        F.sum("_m").alias("_m"), *firsts, *flat, F.sum(F.when(F.col("label_idx") < 0, F.col("s0"))).alias("_len"),
+        F.collect_list(F.when(F.col("label_idx") >= 0, F.struct("label_idx", *names))).alias("_sums"))
+    shares = ", ".join(f"x.{s} div _m AS {s}" for s in names)
+    more = [*late, *([gathered] if gathered else [])]
+    return _checked(per_row, ROW in carried).select(*carried, *more, F.expr("_len div _m").alias("_len"), F.expr(
+        f"transform(_sums, x -> struct(x.label_idx AS label_idx, {shares}))").alias("_sums"))
 
 
-def argmax_sparse(sums: DataFrame, priors: Sequence, defaults: Sequence) -> Column:
-    """Best class of ``sparse_sums`` rows as ``struct(ok, score, neg_idx)``.
+def argmax_sparse(sums: DataFrame, priors: Sequence, defaults: Sequence, field: str = "s0") -> Column:
+    """Best class of ``entry_sums`` rows as ``struct(ok, score, neg_idx)``.
 
     A seen class scores at least what its constants alone give (its deltas
     are not negative), so the best over all classes' constants and over the seen classes' sums is
     the best of all.
     """
-    p, d, length = literal_array(priors, "bigint"), literal_array(defaults, "bigint"), F.col("_len")
+    return argmax_arrays(literal_array(priors, "bigint"), literal_array(defaults, "bigint"), field)
+
+
+def argmax_arrays(p: Column, d: Column, field: str = "s0") -> Column:
+    """``argmax_sparse`` with the classes' priors and defaults as array columns."""
+    length = F.col("_len")
 
     def score(idx: Column, s: Column) -> Column:
         at = (idx + 1).cast("int")
         return _class_score(F.element_at(p, at), F.element_at(d, at), length, s)
 
-    base = F.array_max(F.transform(p, lambda _, i: _candidate(score(i, F.lit(0).cast("bigint")), i)))
-    seen = F.array_max(F.transform("_sums", lambda x: _candidate(score(x["label_idx"], x["s"]), x["label_idx"])))
+    base = F.array_max(F.transform(p, lambda _, i: candidate(score(i, _zero()), i)))
+    seen = F.array_max(F.transform("_sums", lambda x: candidate(score(x["label_idx"], x[field]), x["label_idx"])))
     return F.greatest(base, F.coalesce(seen, base))

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.operators.ranking import bucketed_rank
-from tallybayes.operators.scoring import model_join
+from tallybayes.operators.model import MARKER
+from tallybayes.operators.scoring import ROW, model_join
 
 
 @dataclass
@@ -55,17 +56,54 @@ def minmax_values(train: DataFrame, spec: TabularSpec) -> dict[str, tuple[float,
 
 
 def bin_value(v: Column, lo: Column, hi: Column, n_bins: int) -> Column:
-    """Equal-width bin label; the clamp happens in double before the cast.
+    """Equal-width bin label; a missing value (NULL or NaN) has no bin: the job fails."""
+    return bin_name(bin_index(v, lo, hi, n_bins))
 
-    A missing value (NULL or NaN) has no bin: the job fails.
-    """
+
+def bin_name(k: Column) -> Column:
+    return F.concat(F.lit("bin"), k.cast("string"))
+
+
+def bin_index(v: Column, lo: Column, hi: Column, n_bins: int) -> Column:
+    """Equal-width bin number; the clamp happens in double before the cast."""
     num = v.cast("double")
     missing = num.isNull() | F.isnan(num)
-    x = (v.cast("double") - lo) / (hi - lo) * F.lit(n_bins)
+    x = (num - lo) / (hi - lo) * F.lit(n_bins)
     k = F.when(hi <= lo, F.lit(0)).otherwise(
         F.least(F.greatest(x, F.lit(0.0)), F.lit(float(n_bins - 1))).cast("int"))
-    return F.when(missing, F.raise_error(F.lit("a continuous attribute has a NULL or NaN value")).cast("string")) \
-        .otherwise(F.concat(F.lit("bin"), k.cast("string")))
+    return F.when(missing, F.raise_error(F.lit("a continuous attribute has a NULL or NaN value")).cast("int")).otherwise(k)
+
+
+#: Distinct bounds that an attribute can have when any one fold is held out.
+BOUNDS_CLASSES = 3
+
+
+def held_out_bounds(rows: DataFrame, spec: TabularSpec, fold_col: str = "fold") -> DataFrame:
+    """``(attr, lo, hi, h1, h2)`` per continuous attribute: its bounds classes over folds held out.
+
+    Leaving out a fold moves a bound only if that fold has the extreme value.  So with ``h1`` the fold of
+    the least and ``h2`` that of the greatest value, class 0 of the arrays ``lo`` and ``hi`` holds for all other
+    folds, class 1 for ``h1`` and class 2 for ``h2`` (if it is another one).
+    """
+    per_fold = raw_features(rows, spec, [fold_col], attrs=spec.continuous).groupBy("attr", fold_col).agg(
+        F.min("num").alias("lo"), F.max("num").alias("hi"))
+    folds = per_fold.groupBy("attr").agg(
+        F.sort_array(F.collect_list(F.struct("lo", F.col(fold_col).alias("h")))).alias("_lo"),
+        F.sort_array(F.collect_list(F.struct("hi", F.col(fold_col).alias("h"))), asc=False).alias("_hi"))
+
+    def at(side: str, i: int, name: str) -> Column:
+        return F.get(side, F.lit(i))[name]
+
+    one = at("_lo", 0, "h") == at("_hi", 0, "h")
+    lo, hi = at("_lo", 0, "lo"), at("_hi", 0, "hi")
+    return folds.select("attr", F.array(lo, at("_lo", 1, "lo"), lo).alias("lo"),
+                        F.array(hi, F.when(one, at("_hi", 1, "hi")).otherwise(hi), at("_hi", 1, "hi")).alias("hi"),
+                        at("_lo", 0, "h").alias("h1"), at("_hi", 0, "h").alias("h2"))
+
+
+def bounds_class(fold: Column) -> Column:
+    """The bounds class of ``held_out_bounds`` rows when ``fold`` is held out; 0 without bounds."""
+    return F.when(fold == F.col("h1"), 1).when(fold == F.col("h2"), 2).otherwise(0)
 
 
 def discretize(df: DataFrame, spec: TabularSpec,
@@ -85,18 +123,25 @@ def literal_bounds(values: dict[str, tuple[float, float]]) -> dict[str, tuple[Co
     return {c: (F.lit(float(lo)), F.lit(float(hi))) for c, (lo, hi) in values.items()}
 
 
-def tabular_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Wide -> long: ``(ids…, keep…, attr, value)``, one row per attribute."""
-    entries = F.array(*[
-        F.struct(F.lit(i).cast("bigint").alias("attr"), F.col(c).cast("string").alias("value"))
-        for i, c in enumerate(spec.attrs)])
-    return df.select(*spec.id_cols, *keep, F.inline(entries))
+def tabular_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = (), markers: bool = False) -> DataFrame:
+    """Wide -> long: ``(ids…, keep…, attr, value)``, one row per attribute, and with ``markers`` one
+    of attribute -1 without a value per instance."""
+    entries = [F.struct(F.lit(i).cast("bigint").alias("attr"), F.col(c).cast("string").alias("value"))
+               for i, c in enumerate(spec.attrs)]
+    if markers:
+        entries.append(F.struct(F.lit(MARKER).cast("bigint").alias("attr"), F.lit(None).cast("string").alias("value")))
+    return df.select(*spec.id_cols, *keep, F.inline(F.array(*entries)))
+
+
+def row_hash(spec: TabularSpec) -> Column:
+    """Tells instances that share their ids apart by their values."""
+    return F.xxhash64(*[F.col(c) for c in spec.attrs]).alias(ROW)
 
 
 def feature_vocabulary(feats: DataFrame) -> DataFrame:
-    """``(attr, value, idx)``: distinct train features ordered by attribute,
-    then value; the same value in two attributes stays two features."""
-    distinct = feats.select("attr", "value").distinct()
+    """``(attr, value, cnt, idx)``: distinct train features ordered by attribute,
+    then value, with their rows; the same value in two attributes stays two features."""
+    distinct = feats.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("cnt"))
     ranked = bucketed_rank(distinct, F.col("attr"), [F.col("attr"), F.col("value")], rank_col="_r")
     return ranked.withColumn("idx", F.col("_r") - 1).drop("_r")
 
@@ -111,19 +156,26 @@ def tabular_vectorize(feats: DataFrame, vocab: DataFrame, id_cols: Sequence[str]
     """``(ids…, attr, idx)``: features unseen in train are skipped (only that
     attribute of the instance is dropped).  Few keys hold all rows, so each is dealt over slots
     (``model_join``)."""
-    return model_join(feats, vocab, ["attr", "value"], id_cols).select(*id_cols, "attr", "idx")
+    return model_join(feats, vocab, ["attr", "value"], id_cols, weight="cnt").select(*id_cols, "attr", "idx")
 
 
-def raw_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = ()) -> DataFrame:
+def raw_features(df: DataFrame, spec: TabularSpec, keep: Sequence[str] = (), markers: bool = False,
+                 attrs: Sequence[str] | None = None) -> DataFrame:
     """Unbinned long form ``(ids…, keep…, attr, num, cat)``: ``num`` holds
-    continuous values, ``cat`` categorical ones (as strings)."""
+    continuous values, ``cat`` categorical ones (as strings); markers as in ``tabular_features``.
+    ``attrs``: only these attributes."""
     cont = set(spec.continuous)
-    entries = F.array(*[
-        F.struct(F.lit(i).cast("bigint").alias("attr"),
-                 (F.col(c).cast("double") if c in cont else F.lit(None).cast("double")).alias("num"),
-                 (F.lit(None).cast("string") if c in cont else F.col(c).cast("string")).alias("cat"))
-        for i, c in enumerate(spec.attrs)])
-    return df.select(*spec.id_cols, *keep, F.inline(entries))
+
+    def entry(i: int, num: Column | None, cat: Column | None) -> Column:
+        return F.struct(F.lit(i).cast("bigint").alias("attr"),
+                        (F.lit(None) if num is None else num).cast("double").alias("num"),
+                        (F.lit(None) if cat is None else cat).cast("string").alias("cat"))
+
+    entries = [entry(spec.attr_index(c), F.col(c) if c in cont else None, None if c in cont else F.col(c))
+               for c in (spec.attrs if attrs is None else attrs)]
+    if markers:
+        entries.append(entry(MARKER, None, None))
+    return df.select(*spec.id_cols, *keep, F.inline(F.array(*entries)))
 
 
 def long_minmax(raw: DataFrame, spec: TabularSpec, group: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.text import bag_rows, tokens
 from tallybayes.operators.ranking import bucketed_rank
-from tallybayes.operators.scoring import model_join
+from tallybayes.operators.scoring import ROW, model_join
 
 
 def tokenize(docs: DataFrame, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
@@ -68,44 +68,68 @@ def label_index(df: DataFrame, label_col: str = "label") -> DataFrame:
         "label", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint").alias("idx"))
 
 
+def _place_rows(docs: DataFrame, carried: Sequence[str], text_col: str) -> DataFrame:
+    """``(carried…, term, at)``: one row per distinct term of a row's text with its places, and one
+    without a term for the row itself."""
+    s = docs.select(*carried, F.sort_array(F.transform(tokens(text_col), lambda t, i: F.struct(t.alias("t"), i.alias("i")))).alias("_s"))
+    st = s.select(*carried, "_s", F.filter(F.sequence(F.lit(0), F.size("_s")), lambda i: (i == 0) | (i == F.size("_s")) | (
+        F.get("_s", i)["t"] != F.get("_s", i - 1)["t"])).alias("_b"))
+    none = F.struct(F.lit(None).cast("string").alias("term"), F.array().cast("array<int>").alias("at"))
+    runs = F.transform(F.sequence(F.lit(0), F.size("_b") - 2), lambda j: F.struct(
+        F.get("_s", F.get("_b", j))["t"].alias("term"),
+        F.transform(F.slice("_s", F.get("_b", j) + 1, F.get("_b", j + 1) - F.get("_b", j)), lambda x: x["i"]).alias("at")))
+    return st.select(*carried, F.inline(F.when(F.size("_s") > 0, F.concat(F.array(none), runs)).otherwise(F.array(none))))
+
+
+def vectorize_arrays(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str], text_col: str = "text",
+                     keep: Sequence[str] = (), words_col: str = "words") -> DataFrame:
+    """Bag of indices, array form ``(ids…, keep…, words array<bigint>)``, one row per input row: OOV tokens
+    dropped, repeats and text order kept.
+
+    A text's distinct terms meet the vocabulary once each, with their places; the vocabulary's document frequencies
+    (``df``) tell which terms to deal over slots (``model_join``).  Rows that share their ids are told apart by a hash
+    of the text.
+    """
+    cols = [*id_cols, *[k for k in keep if k not in id_cols]]
+    carried = [*cols, ROW]
+    rows = _place_rows(docs.withColumn(ROW, F.xxhash64(F.col(text_col))), carried, text_col)
+    joined = model_join(rows, vocab.select("term", "idx", "df"), ["term"], carried, weight="df", how="left")
+    per_row = joined.groupBy(*carried).agg(F.sum(F.col("term").isNull().cast("bigint")).alias("_m"), F.collect_list(
+        F.when(F.col("idx").isNotNull(), F.struct("idx", "at"))).alias("_w"))
+    # exact copies have each place once a copy
+    places = F.array_sort(F.array_distinct(F.flatten(F.transform("_w", lambda w: F.transform(
+        w["at"], lambda i: F.struct(i.alias("i"), w["idx"].alias("idx")))))))
+    words = per_row.select(*cols, "_m", F.transform(places, lambda x: x["idx"]).cast("array<bigint>").alias(words_col))
+    return words.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m")))).drop("_copy", "_m")
+
+
 def vectorize(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
               text_col: str = "text") -> DataFrame:
-    """Bag of indices, long form ``(ids…, pos, idx)``: OOV tokens dropped,
-    repeats kept, ``pos`` = 0-based position among the kept tokens.  Terms in many
-    rows are dealt over slots (``model_join``)."""
-    rows = token_rows(docs, id_cols, text_col)
-    kept = model_join(rows, vocab.select("term", "idx"), ["term"], [*id_cols, "pos"])
-    w = Window.partitionBy(*id_cols).orderBy("pos")
-    return kept.select(*id_cols, (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
-                       F.col("idx").cast("bigint").alias("idx"))
+    """Bag of indices, long form ``(ids…, pos, idx)``: ``vectorize_arrays`` with a row per kept token,
+    ``pos`` its 0-based position among them."""
+    rows = vectorize_arrays(docs, vocab, id_cols, text_col)
+    return rows.select(*id_cols, F.posexplode("words").alias("pos", "idx")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                  label_col: str = "label", test_flag: str = "is_test", min_df: int = 1,
                  handle_unknown: str = "error") -> DataFrame:
     """Fit vocabulary and label index on train rows (``test_flag`` = 0), apply
-    to all rows: ``(ids…, is_test, label, label_idx, n_words, sum_idx)``.
+    to all rows: ``(ids…, is_test, label, label_idx, words array<bigint>)``.
 
-    ``n_words`` = kept (in-vocabulary) tokens, ``sum_idx`` = sum of their
-    indices (a checksum of the vectorized form).  ``handle_unknown`` for a
-    label absent from train: ``error`` (fail the job), ``skip`` (drop the row)
+    ``words`` has the indices of in-vocabulary tokens in text order, what ``fit_multinomial`` and
+    ``transform`` take as ``words_col``.  ``handle_unknown`` for a
+    label absent from train: ``error`` (fail the job, whichever columns are read), ``skip`` (drop the row)
     or ``keep`` (label_idx NULL).
     """
     train = docs.filter(F.col(test_flag) == 0)
     vocab = vocabulary(doc_term_counts(train, id_cols, text_col), min_df=min_df)
     labels = label_index(train, label_col).withColumnRenamed("idx", "label_idx")
-    bags = doc_term_counts(docs, id_cols, text_col)
-    per_doc = model_join(bags, vocab.select("term", "idx"), ["term"], id_cols).groupBy(*id_cols).agg(
-        F.sum("tf").alias("n_words"), F.sum(F.col("tf") * F.col("idx")).alias("sum_idx"))
-    how = "inner" if handle_unknown == "skip" else "left"
-    out = (docs.select(*id_cols, test_flag, F.col(label_col).cast("string").alias("label"))
-           .join(labels, "label", how)
-           .join(per_doc, list(id_cols), "left")
-           .withColumn("n_words", F.coalesce("n_words", F.lit(0)).cast("bigint"))
-           .withColumn("sum_idx", F.coalesce("sum_idx", F.lit(0)).cast("bigint")))
+    told = docs.withColumn("label", F.col(label_col).cast("string"))
+    words = vectorize_arrays(told, vocab, id_cols, text_col, keep=[test_flag, "label"])
+    out = words.join(labels, "label", "inner" if handle_unknown == "skip" else "left")
     if handle_unknown == "error":
-        out = out.withColumn("label_idx", F.when(
-            F.col("label_idx").isNull(),
-            F.raise_error(F.concat(F.lit("label unseen in train: "), F.col("label")))
-        ).otherwise(F.col("label_idx")).cast("bigint"))
-    return out
+        # a filter, not a column: it is evaluated also where no column is read
+        out = out.filter(F.when(F.col("label_idx").isNull(), F.raise_error(
+            F.concat(F.lit("label unseen in train: "), F.coalesce("label", F.lit("NULL")))).cast("boolean")).otherwise(True))
+    return out.select(*id_cols, test_flag, "label", "label_idx", "words")

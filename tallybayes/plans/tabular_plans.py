@@ -13,8 +13,10 @@ from tallybayes.operators.tabular import (
     feature_vocabulary,
     long_minmax,
     raw_features,
+    row_hash,
     tabular_vectorize,
 )
+from tallybayes.operators.scoring import ROW
 from tallybayes.plans import sql as S
 from tallybayes.plans.fixtures import (
     ALPHA,
@@ -92,16 +94,24 @@ dense2 AS (SELECT *, {S.lnv('p')} AS log_likelihood, {S.fixed('p')} AS ll_q FROM
 def _cat_split(spark, sf_dir):
     """Long binned features of every row, bounds from the train rows only."""
     rows = lineitem_rows(spark, sf_dir)
-    raw = raw_features(rows, SPEC, keep=["label", "fold"])
-    bounds = long_minmax(raw.filter(F.col("fold") != TEST_FOLD), SPEC)
-    feats = bin_features(raw, bounds, SPEC, keep=["label", "fold"])
-    return rows, feats.filter(F.col("fold") != TEST_FOLD), feats.filter(F.col("fold") == TEST_FOLD)
+    return split_features(rows, SPEC)
+
+
+def split_features(rows, spec, markers: bool = False):
+    """Long binned features of the train and of the test rows (``label``, ``fold``), each with a marker
+    per instance if asked for, and with the hash that tells rows of one id apart."""
+    rows = rows.withColumn(ROW, row_hash(spec))
+    keep = ["label", "fold", ROW]
+    raw = raw_features(rows, spec, keep=keep, markers=markers)
+    bounds = long_minmax(raw_features(rows.filter(F.col("fold") != TEST_FOLD), spec, attrs=spec.continuous), spec) \
+        if spec.continuous else None
+    feats = bin_features(raw, bounds, spec, keep=keep)
+    return feats.filter(F.col("fold") != TEST_FOLD), feats.filter(F.col("fold") == TEST_FOLD)
 
 
 def _cat_model(spark, sf_dir):
-    rows, trf, tef = _cat_split(spark, sf_dir)
-    model = fit_categorical(trf, rows.filter(F.col("fold") != TEST_FOLD), alpha=ALPHA)
-    return model, rows, tef
+    trf, tef = split_features(lineitem_rows(spark, sf_dir), SPEC, markers=True)
+    return fit_categorical(trf, alpha=ALPHA), tef
 
 
 @register("column_minmax", f"""WITH {_feature_sql()}
@@ -117,7 +127,7 @@ def q_column_minmax(spark, sf_dir):
 SELECT {IDS}, attr, value FROM feats WHERE attr > 0""")
 def q_discretize(spark, sf_dir):
     """Continuous attributes of every row binned with train-only bounds."""
-    _, trf, tef = _cat_split(spark, sf_dir)
+    trf, tef = _cat_split(spark, sf_dir)
     cont = [SPEC.attr_index(c) for c in LINEITEM_CONTINUOUS]
     return trf.union(tef).filter(F.col("attr").isin(cont)).select(*LINEITEM_ID, "attr", "value")
 
@@ -125,7 +135,7 @@ def q_discretize(spark, sf_dir):
 @register("tabular_features", f"""WITH {_feature_sql()}
 SELECT {IDS}, label, attr, value FROM feats""")
 def q_tabular_features(spark, sf_dir):
-    _, trf, tef = _cat_split(spark, sf_dir)
+    trf, tef = _cat_split(spark, sf_dir)
     return trf.union(tef).select(*LINEITEM_ID, "label", "attr", "value")
 
 
@@ -133,14 +143,14 @@ def q_tabular_features(spark, sf_dir):
 SELECT attr, value, (row_number() OVER (ORDER BY attr, value) - 1)::BIGINT AS idx
 FROM (SELECT DISTINCT attr, value FROM trf)""")
 def q_feature_vocabulary(spark, sf_dir):
-    _, trf, _ = _cat_split(spark, sf_dir)
-    return feature_vocabulary(trf)
+    trf, _ = _cat_split(spark, sf_dir)
+    return feature_vocabulary(trf).select("attr", "value", "idx")
 
 
 @register("attribute_domains", f"""WITH {_feature_sql()}
 SELECT attr, count(DISTINCT value)::BIGINT AS n_values FROM trf GROUP BY attr""")
 def q_attribute_domains(spark, sf_dir):
-    _, trf, _ = _cat_split(spark, sf_dir)
+    trf, _ = _cat_split(spark, sf_dir)
     return attribute_domains(trf)
 
 
@@ -149,14 +159,14 @@ v AS (SELECT attr, value, (row_number() OVER (ORDER BY attr, value) - 1)::BIGINT
       FROM (SELECT DISTINCT attr, value FROM trf))
 SELECT {IDS}, attr, idx FROM tef JOIN v USING (attr, value)""")
 def q_tabular_vectorize(spark, sf_dir):
-    _, trf, tef = _cat_split(spark, sf_dir)
+    trf, tef = _cat_split(spark, sf_dir)
     return tabular_vectorize(tef, feature_vocabulary(trf), LINEITEM_ID)
 
 
 @register("cat_feature_counts", f"""WITH {_feature_sql()}
 SELECT label, attr, value, count(*)::BIGINT AS cnt FROM trf GROUP BY ALL""")
 def q_cat_feature_counts(spark, sf_dir):
-    _, trf, _ = _cat_split(spark, sf_dir)
+    trf, _ = _cat_split(spark, sf_dir)
     return trf.groupBy("label", "attr", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -164,7 +174,7 @@ def q_cat_feature_counts(spark, sf_dir):
 SELECT label, label_idx, n_rows, round(log_prior, 9) AS log_prior, round(log_default, 9) AS log_default
 FROM cls""")
 def q_cat_class_stats(spark, sf_dir):
-    m, _, _ = _cat_model(spark, sf_dir)
+    m, _ = _cat_model(spark, sf_dir)
     return m.class_stats.select("label", F.col("label_idx").cast("bigint").alias("label_idx"),
                                 "n_rows", _r9(F.col("log_prior")).alias("log_prior"),
                                 _r9(F.col("log_default")).alias("log_default"))
@@ -173,7 +183,7 @@ def q_cat_class_stats(spark, sf_dir):
 @register("cat_log_likelihood", f"""WITH {_model_sql()}
 SELECT label, attr, value, cnt, round(log_likelihood, 9) AS log_likelihood FROM dense2""")
 def q_cat_log_likelihood(spark, sf_dir):
-    m, _, _ = _cat_model(spark, sf_dir)
+    m, _ = _cat_model(spark, sf_dir)
     return m.log_likelihood().select("label", "attr", "value", "cnt",
                                      _r9(F.col("log_likelihood")).alias("log_likelihood"))
 
@@ -190,7 +200,6 @@ sc AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY {ROW} ORDER BY score_q DESC NULLS LAST, label_idx) AS rk FROM sc)
 SELECT {IDS}, label, cls AS prediction, {S.from_fixed('score_q')} AS score FROM r WHERE rk = 1""")
 def q_cat_predict(spark, sf_dir):
-    m, rows, tef = _cat_model(spark, sf_dir)
-    test_rows = rows.filter(F.col("fold") == TEST_FOLD)
-    out = m.transform(tef, test_rows, LINEITEM_ROW, keep=["label"])
+    m, tef = _cat_model(spark, sf_dir)
+    out = m.transform(tef, None, LINEITEM_ROW, keep=["label"])
     return out.select(*LINEITEM_ID, "label", "prediction", "score")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.operators.counts import class_doc_counts, class_token_totals
 from tallybayes.operators.metrics import strategy_parity
-from tallybayes.operators.model import class_term_counts, fit_multinomial
+from tallybayes.operators.model import BINARY, class_term_counts, fit_multinomial, materialize
 from tallybayes.operators.text import (
     doc_term_counts,
     document_frequency,
@@ -120,22 +120,39 @@ def q_vectorize(spark, sf_dir):
     return vectorize(test, vocab, ["doc_id"])
 
 
-@register("prepare_text", f"""WITH {S.LANG_DOCS},
+_PREPARED_SQL = f"""WITH {S.LANG_DOCS},
 train AS (SELECT * FROM docs WHERE fold <> 0),
+test AS (SELECT * FROM docs WHERE fold = 0),
 {S.multinomial_model()},
 v AS (SELECT term, (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx FROM vocab),
-toks AS (SELECT doc_id, unnest({S.tokens('text')}) AS term FROM docs),
-per_doc AS (SELECT doc_id, count(*)::BIGINT AS n_words, sum(idx)::BIGINT AS sum_idx
-         FROM toks JOIN v USING (term) GROUP BY doc_id)
+toks AS (SELECT doc_id, generate_subscripts(t, 1) AS p, unnest(t) AS term FROM (SELECT doc_id, {S.tokens('text')} AS t FROM docs)),
+per_doc AS (SELECT doc_id, count(*)::BIGINT AS n_words, sum(idx)::BIGINT AS sum_idx, string_agg(idx::VARCHAR, ' ' ORDER BY p) AS words
+         FROM toks JOIN v USING (term) GROUP BY doc_id)"""
+
+
+@register("prepare_text", _PREPARED_SQL + """
 SELECT d.doc_id, CASE WHEN d.fold = 0 THEN 1 ELSE 0 END::BIGINT AS is_test, c.label_idx,
-       coalesce(k.n_words, 0)::BIGINT AS n_words, coalesce(k.sum_idx, 0)::BIGINT AS sum_idx
+       coalesce(k.n_words, 0)::BIGINT AS n_words, coalesce(k.sum_idx, 0)::BIGINT AS sum_idx, coalesce(k.words, '') AS words
 FROM docs d JOIN cls c USING (label) LEFT JOIN per_doc k USING (doc_id)""")
 def q_prepare_text(spark, sf_dir):
-    """Fit vocabulary and labels on train, apply to both sides."""
-    docs = lang_docs(spark, sf_dir).withColumn(
-        "is_test", (F.col("fold") == TEST_FOLD).cast("bigint"))
-    return prepare_text(docs, ["doc_id"], handle_unknown="error").select(
-        "doc_id", "is_test", "label_idx", "n_words", "sum_idx")
+    """Fit vocabulary and labels on train, apply to both sides; the index arrays as text."""
+    return _prepared(spark, sf_dir).select(
+        "doc_id", "is_test", "label_idx", F.size("words").cast("bigint").alias("n_words"),
+        F.aggregate("words", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_idx"),
+        F.array_join("words", " ").alias("words"))
+
+
+def _prepared(spark, sf_dir):
+    docs = lang_docs(spark, sf_dir).withColumn("is_test", (F.col("fold") == TEST_FOLD).cast("bigint"))
+    return prepare_text(docs, ["doc_id"], handle_unknown="error")
+
+
+@register("nb_predict_prepared", ORACLE["nb_predict"])
+def q_nb_predict_prepared(spark, sf_dir):
+    """nb_predict trained and scored on the prepared index arrays: the same rows."""
+    rows = materialize(_prepared(spark, sf_dir), "cache", "prepared")
+    model = fit_multinomial(rows.filter("is_test = 0"), words_col="words", alpha=ALPHA)
+    return model.transform(rows.filter("is_test = 1"), ["doc_id"], keep=["label"], words_col="words")
 
 
 # --- D: counts and model ----------------------------------------------------

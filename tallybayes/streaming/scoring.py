@@ -2,13 +2,13 @@
 
 The per-token work (tokenize, in-row bag, lookup in the model) is stateless,
 so it runs as a streaming query: a stream-static join of each arriving
-document's bag to the model's term table, together with one marker row per
-document, written with the parquet file sink.  Marker and contributions of a
+document's bag and marker to the model's sparse term table, whose (class, delta) pairs are written
+with the parquet file sink.  Marker and contributions of a
 document belong to one micro-batch of one sink, which is exactly-once through its
 checkpoint and commit log: a document is either complete in it or absent.  The
 per-document sums and the argmax are then a batch step over what the
 sink has committed (``stream_scores``); no streaming state, no Python callback into
-the stream.
+the stream, and no column per class.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: st
     """Start the file-sink query under ``base_path``.  ``prepare`` may
     filter or join the stream with static tables first (stateless)."""
     rows = prepare(stream) if prepare is not None else stream
-    bags, keys, ids = model._parts(rows, id_cols, text_col, keep)
-    joined = scoring.model_join(bags, model.term_table(), ["term"], ids, model.table_bytes(), model.salt)
-    marked = scoring.with_markers(joined, keys, ids, model.n_classes)
-    w = (marked.writeStream.format("parquet").option("path", f"{base_path}/scored")
+    bags, carried = model.bags(rows, id_cols, text_col, keep)
+    joined = model.joined(bags, carried, model.entry_table(), 32)
+    entries = scoring.entry_rows(joined, F.col("term").isNull(), carried, F.col("e").isNotNull())
+    w = (entries.writeStream.format("parquet").option("path", f"{base_path}/scored")
          .option("checkpointLocation", f"{base_path}/_checkpoints/scored"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
@@ -43,7 +43,5 @@ def stream_scores(model, spark: SparkSession, base_path: str, id_cols: Sequence[
     """Predictions ``(ids…, keep…, prediction, score)`` for every document the
     stream has committed so far."""
     cols = [*id_cols, *[k for k in keep if k not in id_cols]]
-    marked = spark.read.parquet(f"{base_path}/scored")
-    scored = scoring.score_marked(marked, [*cols, scoring.ROW], [], model.priors(), model.defaults(), cols)
-    best = scoring.argmax_struct([F.col(f"_q{c}") for c in range(model.n_classes)])
-    return scoring.finish(scored, best, model.labels, cols)
+    sums = scoring.entry_sums(spark.read.parquet(f"{base_path}/scored"), [*cols, scoring.ROW])
+    return scoring.finish(sums, scoring.argmax_sparse(sums, *model.constants()), model.labels, cols)

@@ -104,27 +104,28 @@ def test_scores_do_not_depend_on_partitioning(spark, hand_model):
 
 
 def test_categorical_hand_case(spark):
-    rows = spark.createDataFrame(
-        [(1, "p"), (2, "p"), (3, "n"), (4, "n")], "id int, label string")
-    feats = spark.createDataFrame(
-        [(1, "p", 0, "a"), (1, "p", 1, "x"), (2, "p", 0, "a"), (2, "p", 1, "y"),
-         (3, "n", 0, "b"), (3, "n", 1, "x"), (4, "n", 0, "b"), (4, "n", 1, "y")],
-        "id int, label string, attr bigint, value string")
+    """Five berries by colour and size: D = (3, 2), three are edible."""
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(["eat", "eat", "eat", "leave", "leave"])], "id int, label string")
+    seen = [("blue", "small"), ("blue", "large"), ("red", "small"), ("red", "large"), ("white", "large")]
+    labels = ["eat", "eat", "eat", "leave", "leave"]
+    feats = spark.createDataFrame([(i, labels[i], a, v) for i, pair in enumerate(seen) for a, v in enumerate(pair)],
+                                  "id int, label string, attr bigint, value string")
     m = fit_categorical(feats, rows)
     ll = {(r["label"], r["attr"], r["value"]): r["log_likelihood"] for r in m.log_likelihood().collect()}
-    assert math.isclose(ll[("p", 0, "a")], math.log(3 / 4))
-    assert math.isclose(ll[("p", 0, "b")], math.log(1 / 4))
-    assert math.isclose(ll[("p", 1, "x")], math.log(2 / 4))
-    test_rows = spark.createDataFrame([(5, "p"), (6, "n")], "id int, label string")
-    test_feats = spark.createDataFrame([(5, 0, "a"), (5, 1, "x"), (6, 0, "b"), (6, 1, "y")],
+    assert len(ll) == 10
+    for key, p in {("eat", 0, "blue"): 3 / 6, ("eat", 0, "red"): 2 / 6, ("eat", 0, "white"): 1 / 6,
+                   ("leave", 0, "blue"): 1 / 5, ("leave", 0, "white"): 2 / 5,
+                   ("eat", 1, "small"): 3 / 5, ("leave", 1, "small"): 1 / 4}.items():
+        assert math.isclose(ll[key], math.log(p)), key
+    # white and small: 3/5 * 1/6 * 3/5 against 2/5 * 2/5 * 1/4; red and large: 3/5 * 2/6 * 2/5 against 2/5 * 2/5 * 3/4
+    test_rows = spark.createDataFrame([(5,), (6,), (7,)], "id int")
+    test_feats = spark.createDataFrame([(5, 0, "white"), (5, 1, "small"), (6, 0, "red"), (6, 1, "large"), (7, 0, "green")],
                                        "id int, attr bigint, value string")
-    got = {r["id"]: r["prediction"] for r in m.transform(test_feats, test_rows, ["id"]).collect()}
-    assert got == {5: "p", 6: "n"}
-    # per attribute, class likelihoods sum to one over the train domain
-    for lab in ("p", "n"):
+    got = {r["id"]: (r["prediction"], round(math.exp(r["score"]), 6)) for r in m.transform(test_feats, test_rows, ["id"]).collect()}
+    assert got == {5: ("eat", 0.06), 6: ("leave", 0.12), 7: ("eat", 0.6)}
+    for lab in ("eat", "leave"):
         for attr in (0, 1):
-            s = sum(math.exp(v) for (l, a, _), v in ll.items() if l == lab and a == attr)
-            assert math.isclose(s, 1.0)
+            assert math.isclose(sum(math.exp(v) for (l, a, _), v in ll.items() if (l, a) == (lab, attr)), 1.0)
 
 
 def test_unseen_class_gets_minus_infinity_prior(spark):
