@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybayes.functions.hashing import split_hash
-from tallybayes.operators.ranking import bucketed_rank
+from tallybayes.operators.ranking import bucketed_rank, range_rank
 
 # Buckets for exact ranking: top bits of the 32-bit split hash.
 RANK_BITS = 16
@@ -93,17 +93,9 @@ def ordered_split(df: DataFrame, order_col: str, n_train: int, flag_col: str = "
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """First ``n_train`` rows by ``order_col`` are train (0), the rest test (1).
 
-    Rows without a key come first.  Exact rank without a one-task window: equal-width buckets over the numeric
-    key range (bounds from one aggregate), numbered inside buckets.
+    Rows without a key come first.  Exact rank over sampled ranges of the key (``range_rank``).
     """
-    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    lo, hi = lo.cast("double"), hi.cast("double")  # differences of extreme bigints overflow
-    width = (hi - lo) + F.lit(1.0)
-    bucket = F.floor((F.col(order_col).cast("double") - lo) / width * F.lit(float(1 << RANK_BITS)))
-    ranked = bucketed_rank(df, bucket, [F.col(order_col)] + [F.col(c) for c in tiebreak],
-                           rank_col="_rank")
+    ranked = range_rank(df, [order_col, *tiebreak], rank_col="_rank")
     return ranked.withColumn(flag_col, F.when(F.col("_rank") > n_train, 1).otherwise(0)
                              .cast("bigint")).drop("_rank")
 

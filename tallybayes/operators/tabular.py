@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybayes.operators.ranking import bucketed_rank
+from tallybayes.operators.ranking import range_rank
 from tallybayes.operators.model import MARKER
 from tallybayes.operators.scoring import ROW, model_join
 
@@ -142,7 +142,7 @@ def feature_vocabulary(feats: DataFrame) -> DataFrame:
     """``(attr, value, cnt, idx)``: distinct train features ordered by attribute,
     then value, with their rows; the same value in two attributes stays two features."""
     distinct = feats.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = bucketed_rank(distinct, F.col("attr"), [F.col("attr"), F.col("value")], rank_col="_r")
+    ranked = range_rank(distinct, ["attr", "value"], rank_col="_r")
     return ranked.withColumn("idx", F.col("_r") - 1).drop("_r")
 
 

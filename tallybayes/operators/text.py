@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybayes.functions.text import bag_rows, tokens
-from tallybayes.operators.ranking import bucketed_rank
+from tallybayes.operators.ranking import range_rank
 from tallybayes.operators.scoring import ROW, model_join
 
 
@@ -38,16 +38,12 @@ def document_frequency(bags: DataFrame) -> DataFrame:
     return bags.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def dense_index(df: DataFrame, key: str, prefix_chars: int = 2, idx_col: str = "idx") -> DataFrame:
-    """Dense 0-based index of ``key`` in code-point order, computed in parallel.
+def dense_index(df: DataFrame, key: str, idx_col: str = "idx") -> DataFrame:
+    """Dense 0-based index of ``key`` in code-point order, computed in parallel over sampled ranges.
 
-    Keys are ranked inside their first-``prefix_chars`` prefix; prefixes get
-    offsets from a prefix-count table.  String order in Spark is UTF-8 byte
-    order, which is code-point order.
+    String order in Spark is UTF-8 byte order, which is code-point order.
     """
-    ranked = bucketed_rank(df, F.substring(F.col(key), 1, prefix_chars), [F.col(key)],
-                           rank_col="_r")
-    return ranked.withColumn(idx_col, F.col("_r") - 1).drop("_r")
+    return range_rank(df, [key], rank_col="_r").withColumn(idx_col, F.col("_r") - 1).drop("_r")
 
 
 def vocabulary(bags: DataFrame, min_df: int = 1, with_index: bool = True) -> DataFrame:
@@ -93,7 +89,9 @@ def vectorize_arrays(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
     cols = [*id_cols, *[k for k in keep if k not in id_cols]]
     carried = [*cols, ROW]
     rows = _place_rows(docs.withColumn(ROW, F.xxhash64(F.col(text_col))), carried, text_col)
-    joined = model_join(rows, vocab.select("term", "idx", "df"), ["term"], carried, weight="df", how="left")
+    weight = "df" if "df" in vocab.columns else None
+    table = vocab.select("term", "idx", *([weight] if weight else []))
+    joined = model_join(rows, table, ["term"], carried, weight=weight, how="left")
     per_row = joined.groupBy(*carried).agg(F.sum(F.col("term").isNull().cast("bigint")).alias("_m"), F.collect_list(
         F.when(F.col("idx").isNotNull(), F.struct("idx", "at"))).alias("_w"))
     # exact copies have each place once a copy

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallybayes.operators import metrics as M
+from tallybayes.operators.datasets import DatasetSpec
 from tallybayes.operators.sampling import hash_fold
 from tallybayes.operators.validation import (
     cross_validate_categorical,
@@ -32,6 +33,7 @@ from tallybayes.plans.fixtures import (
 )
 from tallybayes.operators.tabular import TabularSpec
 from tallybayes.plans.tabular_plans import SPEC, _bin_sql
+from tallybayes.session import scratch_dir
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -237,3 +239,47 @@ def q_cv_embeddings(spark, sf_dir):
                       hash_fold("vec_id", K_TAB, SEED).alias("fold"))
     pred = cross_validate_categorical(rows, EMB_SPEC, K_TAB, alpha=ALPHA)
     return fold_accuracy(pred).withColumn("accuracy", _r(F.col("accuracy")))
+
+
+# --- dataset specs: two attribute files, one of them without continuous attributes ----------
+
+ITEMS_SPEC = DatasetSpec("items", label="last", continuous=(1, 2, 3))
+ORDERS_SPEC = DatasetSpec("orders", label="first", classes=("F", "O"))
+_ITEMS_FIELDS = ["l_linestatus", "CAST(l_quantity AS BIGINT)", "CAST(round(l_extendedprice * 100) AS BIGINT)",
+                 "CAST(round(l_discount * 100) AS BIGINT)"]
+_ORDERS_FIELDS = ["o_orderpriority", "o_custkey % 7", "o_orderkey % 5"]
+
+
+def _fields_sql(table_name: str, label: str, fields: list, label_first: bool, classes: tuple | None) -> str:
+    """Rows of a spec in DuckDB: fields as text for the fold, numbers as doubles."""
+    names = [f"a{i}" for i in range(len(fields))]
+    cast = ", ".join(f"CAST({f} AS VARCHAR) AS {n}" for f, n in zip(fields, names))
+    keep = "" if classes is None else f"WHERE {label} IN ({', '.join(repr(c) for c in classes)})"
+    return f"SELECT row_number() OVER () AS rid, {label} AS label, {cast} FROM {table_name} {keep}"
+
+
+def _report_sql(spec: DatasetSpec, source: str, n: int) -> str:
+    names = [f"a{i}" for i in range(n)]
+    typed = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if i in spec.continuous else c for i, c in enumerate(names))
+    rows = f"SELECT rid, label, {typed}, {S.fold_of('label', *names, k=K_TAB)} AS fold FROM ({source})"
+    return _tab_cv_sql(rows, ["rid"], names, [names[i] for i in spec.continuous]) + f"""
+SELECT '{spec.name}' AS dataset, (SELECT count(*) FROM li)::BIGINT AS n_instances, (SELECT count(*) FROM labs)::BIGINT AS n_classes,
+  {K_TAB}::BIGINT AS folds, (SELECT round(avg(accuracy), 4) FROM acc2) AS acc_mean,
+  (SELECT round(coalesce(stddev_pop(accuracy), 0.0e0), 4) FROM acc2) AS acc_std,
+  round(avg(precision), 4) AS macro_precision, round(avg(recall), 4) AS macro_recall, round(avg(f1), 4) AS macro_f1 FROM pm2"""
+
+
+@register("dataset_report", "SELECT * FROM (" + _report_sql(ITEMS_SPEC, _fields_sql("lineitem", "l_returnflag", _ITEMS_FIELDS, False, None), 4)
+          + ")\nUNION ALL SELECT * FROM (" + _report_sql(ORDERS_SPEC, _fields_sql(
+              "orders", "o_orderstatus", _ORDERS_FIELDS, True, ORDERS_SPEC.classes), 3) + ")")
+def q_dataset_report(spark, sf_dir):
+    """Lineitem and orders written as attribute lines, read and cross-validated by their specs."""
+    out = []
+    for spec, name, label, fields in ((ITEMS_SPEC, "lineitem", "l_returnflag", _ITEMS_FIELDS),
+                                      (ORDERS_SPEC, "orders", "o_orderstatus", _ORDERS_FIELDS)):
+        path = scratch_dir(spark, f"attr-{spec.name}")
+        cells = [F.expr(f).cast("string") for f in fields]
+        line = [F.col(label), *cells] if spec.label == "first" else [*cells, F.col(label)]
+        table(spark, sf_dir, name).select(F.concat_ws(", ", *line).alias("value")).write.text(path)
+        out.append(spec.report(spark, path, K_TAB, ALPHA, SEED))
+    return out[0].union(out[1])

@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: whitespace stripped from labels and fields (Unicode-aware,
@@ -26,11 +26,49 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP, "")
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, rec, record)``: whole records of quoted CSV files, numbered from 1 in each file, also where quoted
+    fields hold line breaks.
+
+    Files are read as lines, in as many splits as their size gives.  A line begins a record if an even number of
+    quotes comes before it in its file: each split's parity of quotes, summed over the splits before it, tells
+    whether the split begins inside a quoted field, and the lines' own parities do the rest within the split.
+    Only the lines of records with line breaks are gathered.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    odd = F.pmod(F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))), F.lit(2)).cast("bigint")
+    lines = lines.withColumn("odd", odd)
+    # one row per split: whether it begins inside quotes
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd")).select(
+        "file", "block", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("before"))
+    in_split = Window.partitionBy("file", "block").orderBy("at")
+    placed = lines.join(splits, ["file", "block"]).withColumn("open", F.pmod(F.col("before") + F.coalesce(
+        F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lit(2)))
+    placed = placed.withColumn("begun", F.sum((F.col("open") == 0).cast("bigint")).over(in_split))
+    begun = placed.groupBy("file", "block").agg(F.max("begun").alias("n")).select(
+        "file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("records"))
+    numbered = placed.join(begun, ["file", "block"]).withColumn("rec", F.col("records") + F.col("begun"))
+    whole = (F.col("open") == 0) & (F.col("odd") == 0)
+    parts = numbered.filter(~whole).groupBy("file", "rec").agg(
+        F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
+    records = numbered.filter(whole).select("file", "rec", F.col("line").alias("record")).union(parts.select(
+        "file", "rec", F.array_join(F.transform("parts", lambda x: x["line"]), "\n")))
+    return records.withColumn("record", F.regexp_replace("record", "\r$", ""))
+
+
 def read_labeled_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(label, text)``; an empty text field reads as '' (never NULL)."""
-    df = spark.read.options(**_CSV_OPTS).schema("label string, text string").csv(path)
-    return df.select(F.coalesce("label", F.lit("")).alias("label"),
-                     F.coalesce("text", F.lit("")).alias("text"))
+    """``(label, text)`` of files with a header; an empty text field reads as '' (never NULL).
+
+    Large files are read by many tasks, line breaks in quoted fields included (``csv_records``).
+    """
+    records = csv_records(spark, path).filter((F.col("rec") > 1) & (F.col("record") != ""))
+    row = F.from_csv("record", F.lit("label string, text string"), {k: v for k, v in _CSV_OPTS.items() if k != "header"})
+    return records.select(row.alias("row")).select(F.coalesce("row.label", F.lit("")).alias("label"),
+                                                   F.coalesce("row.text", F.lit("")).alias("text"))
 
 
 def write_labeled_csv(df: DataFrame, path: str) -> None:
@@ -50,18 +88,19 @@ def read_attribute_csv(spark: SparkSession, path: str, label: str = "last",
                        n_attrs: int | None = None) -> DataFrame:
     """``(label, a0 … a{M-1})`` string columns from comma-separated lines.
 
-    ``n_attrs`` fixes M; without it M is read from the data (one small
-    aggregate).  A line with another field count fails the job with a message.
+    ``n_attrs`` fixes M; without it M is that of the first line found.  A line with another field count
+    fails the job with a message, whichever columns are read.
     """
     lines = spark.read.text(path).select(strip(F.col("value")).alias("line")) \
         .filter(F.col("line") != "")
     fields = lines.select(F.transform(F.split("line", ",", -1), strip).alias("f"))
     if n_attrs is None:
-        n_attrs = fields.agg(F.max(F.size("f"))).first()[0] - 1
+        first = fields.select(F.size("f").alias("n")).first()
+        n_attrs = first["n"] - 1 if first else 0
     width = n_attrs + 1
-    checked = fields.withColumn("f", F.when(
-        F.size("f") == width, F.col("f")).otherwise(F.raise_error(F.concat(
-            F.lit(f"expected {width} fields, got "), F.size("f").cast("string")))))
+    # a filter, not a column: it is evaluated also where no column is read
+    checked = fields.filter(F.when(F.size("f") == width, True).otherwise(F.raise_error(F.concat(
+        F.lit(f"expected {width} fields, got "), F.size("f").cast("string"))).cast("boolean")))
     if label == "first":
         lab, start = F.element_at("f", 1), 2
     else:
