@@ -113,9 +113,9 @@ def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text"
                  label_col: str = "label", test_flag: str = "is_test", min_df: int = 1,
                  handle_unknown: str = "error") -> DataFrame:
     """Fit vocabulary and label index on train rows (``test_flag`` = 0), apply
-    to all rows: ``(ids…, is_test, label, label_idx, words array<bigint>)``.
+    to all rows: ``(ids…, is_test, label, label_idx, words array<bigint>, n_words, sum_idx)``.
 
-    ``words`` has the indices of in-vocabulary tokens in text order, what ``fit_multinomial`` and
+    ``n_words`` counts ``words`` and ``sum_idx`` sums them.  ``words`` has the indices of in-vocabulary tokens in text order, what ``fit_multinomial`` and
     ``transform`` take as ``words_col``.  ``handle_unknown`` for a
     label absent from train: ``error`` (fail the job, whichever columns are read), ``skip`` (drop the row)
     or ``keep`` (label_idx NULL).
@@ -130,4 +130,5 @@ def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text"
         # a filter, not a column: it is evaluated also where no column is read
         out = out.filter(F.when(F.col("label_idx").isNull(), F.raise_error(
             F.concat(F.lit("label unseen in train: "), F.coalesce("label", F.lit("NULL")))).cast("boolean")).otherwise(True))
-    return out.select(*id_cols, test_flag, "label", "label_idx", "words")
+    return out.select(*id_cols, test_flag, "label", "label_idx", "words", F.size("words").cast("bigint").alias("n_words"),
+                      F.aggregate("words", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_idx"))

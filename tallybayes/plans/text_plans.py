@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.operators.counts import class_doc_counts, class_token_totals
 from tallybayes.operators.metrics import strategy_parity
-from tallybayes.operators.model import BINARY, class_term_counts, fit_multinomial, materialize
+from tallybayes.operators.model import class_term_counts, fit_multinomial, materialize
 from tallybayes.operators.text import (
     doc_term_counts,
     document_frequency,
@@ -136,10 +136,8 @@ SELECT d.doc_id, CASE WHEN d.fold = 0 THEN 1 ELSE 0 END::BIGINT AS is_test, c.la
 FROM docs d JOIN cls c USING (label) LEFT JOIN per_doc k USING (doc_id)""")
 def q_prepare_text(spark, sf_dir):
     """Fit vocabulary and labels on train, apply to both sides; the index arrays as text."""
-    return _prepared(spark, sf_dir).select(
-        "doc_id", "is_test", "label_idx", F.size("words").cast("bigint").alias("n_words"),
-        F.aggregate("words", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_idx"),
-        F.array_join("words", " ").alias("words"))
+    return _prepared(spark, sf_dir).select("doc_id", "is_test", "label_idx", "n_words", "sum_idx",
+                                           F.array_join("words", " ").alias("words"))
 
 
 def _prepared(spark, sf_dir):

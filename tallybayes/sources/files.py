@@ -33,7 +33,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     Files are read as lines, in as many splits as their size gives.  A line begins a record if an even number of
     quotes comes before it in its file: each split's parity of quotes, summed over the splits before it, tells
     whether the split begins inside a quoted field, and the lines' own parities do the rest within the split.
-    Only the lines of records with line breaks are gathered.
+    Only what a split has of a record that began before it moves on, to that record.
     """
     meta = F.col("_metadata")
     lines = spark.read.option("lineSep", "\n").text(path).select(
@@ -52,12 +52,15 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     begun = placed.groupBy("file", "block").agg(F.max("begun").alias("n")).select(
         "file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("records"))
     numbered = placed.join(begun, ["file", "block"]).withColumn("rec", F.col("records") + F.col("begun"))
-    whole = (F.col("open") == 0) & (F.col("odd") == 0)
-    parts = numbered.filter(~whole).groupBy("file", "rec").agg(
-        F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
-    records = numbered.filter(whole).select("file", "rec", F.col("line").alias("record")).union(parts.select(
-        "file", "rec", F.array_join(F.transform("parts", lambda x: x["line"]), "\n")))
-    return records.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    own = Window.partitionBy("file", "block", "rec").orderBy("at")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pieces = numbered.withColumn("nth", F.row_number().over(own)).withColumn("lines", F.collect_list("line").over(whole)) \
+        .filter(F.col("nth") == 1).select("file", "block", "rec", "begun", F.array_join("lines", "\n").alias("text"))
+    # a split begins with at most one piece of a record that began before it
+    rests = pieces.filter(F.col("begun") == 0).groupBy("file", "rec").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("block", "text"))), lambda x: x["text"]), "\n").alias("rest"))
+    records = pieces.filter(F.col("begun") > 0).join(rests, ["file", "rec"], "left")
+    return records.select("file", "rec", F.regexp_replace(F.concat_ws("\n", "text", "rest"), "\r$", "").alias("record"))
 
 
 def read_labeled_csv(spark: SparkSession, path: str) -> DataFrame:
