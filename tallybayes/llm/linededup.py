@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm.storage import fresh, save
 
-LEAST, LEAD, LEAST_VARIABLE, EVIDENCE = 1, 4, 6, 40
+LEAD, LEAST_VARIABLE, EVIDENCE = 4, 6, 40
 #: SIMILAR as a fraction of integers: 3 of 4 tokens.
 SIMILAR = (3, 4)
 #: White space within lines.
@@ -67,7 +67,7 @@ def _row_key(id_col: str, text_col: str) -> list[Column]:
 
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, k1, k2, pos, line, size, h1, h2, leaf)`` of canonical lines with ``LEAST`` tokens or more.
+    """``(id, k1, k2, pos, line, size, h1, h2, leaf)`` of canonical lines.
 
     ``pos``: the line's place among those that aren't blank; ``size``: the tokens, or the characters of scripts without blanks; ``leaf``: null if the
     line has too few tokens for a variable field.
@@ -80,7 +80,7 @@ def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # such characters take three bytes or more: most lines are told without looking at each
     wide = F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))
     size = F.when(F.octet_length("line") - F.length("line") > 2 * F.col("n"), F.greatest("n", wide)).otherwise(F.col("n"))
-    return lines.filter(F.col("n") >= LEAST).select(
+    return lines.select(
         "id", "k1", "k2", "pos", "line", size.alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
         F.when(F.col("n") >= LEAST_VARIABLE, F.xxhash64("n", F.substring_index("line", " ", LEAD))).alias("leaf"))
 
@@ -96,27 +96,33 @@ def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
         (F.count("id") * F.col("size")).alias("evidence"), F.min("id").alias("first"), F.max("id").alias("last")), "line-kinds")
     leaves = kinds.filter(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), *_summed()) \
         .filter((F.col("kinds") > 1) & across).select("leaf", "kinds")
-    # one occurrence of each different line of such leaves, token by token
+    # one occurrence of each different line of such leaves, as hashes of its tokens in their places; the first
+    # LEAD are all lines' in the leaf
     wanted = save(kinds.filter(F.col("first").isNotNull()).join(leaves, "leaf"), "line-leaves")
+    tokens = F.split("line", " ")
     held = save(lines.select(*KEY, "id", "line").join(
-        wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY).drop("id"), "line-held")
-    token = [F.size(F.split("line", " ")).alias("n"), F.posexplode(F.split("line", " ")).alias("at", "token")]
-    spots = held.select(*KEY, "kinds", *token)
-    common = spots.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")) \
-        .filter(2 * F.col("c") > F.col("kinds")).select("leaf", "at", "token")
-    members = spots.join(common, ["leaf", "at", "token"]).groupBy(*KEY, "n").agg(F.count(F.lit(1)).alias("same")) \
-        .filter(SIMILAR[1] * F.col("same") >= SIMILAR[0] * F.col("n")).select(*KEY)
+        wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY).select(
+            *KEY, "kinds", F.size(tokens).alias("n"), F.slice(F.transform(tokens, lambda t, at: F.xxhash64(at, t)), LEAD + 1, 1 << 30)
+            .alias("spots")), "line-held")
+    common = held.select("leaf", "kinds", F.explode("spots").alias("spot")).groupBy("leaf", "spot").agg(
+        F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")).filter(2 * F.col("c") > F.col("kinds")) \
+        .groupBy("leaf").agg(F.collect_list("spot").alias("template"))
+    members = held.join(common, "leaf").filter(
+        SIMILAR[1] * (LEAD + F.size(F.array_intersect("spots", "template"))) >= SIMILAR[0] * F.col("n")).select(*KEY)
     members = save(wanted.join(members, KEY).select(*KEY, "evidence", "first", "last"), "line-members")
     templates = members.groupBy("leaf").agg(*_summed()).filter(across) \
         .select("leaf", F.col("first").alias("t_first"))
     varied = save(members.join(templates, "leaf").select(*KEY, F.col("t_first").alias("first")), "line-varied")
     rest = wanted.join(varied.select(*KEY), KEY, "left_anti").select(*KEY, "evidence", "first", "last")
     while True:
+        # leaves whose lines could recur together; every round takes lines out of them
         rest = save(rest, "line-rest")
-        if rest.isEmpty():
+        enough = rest.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines"), *_summed()).filter(
+            across & (F.col("lines") > 1)).select("leaf")
+        left = save(held.drop("kinds").join(rest.join(enough, "leaf"), KEY).select(
+            *KEY, "evidence", "first", "last", "n", F.explode("spots").alias("spot")), "line-left")
+        if left.isEmpty():
             break
-        left = save(held.join(rest, KEY).select(*KEY, "evidence", "first", "last", *token).filter(F.col("at") >= LEAD)
-                    .withColumn("spot", F.xxhash64("at", "token")).drop("at", "token"), "line-left")
         more = save(_gathered(left, across), "line-varied")
         if more.isEmpty():
             break

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybayes.llm import license, linededup
+from tallybayes.llm import license
 from tallybayes.llm.chat import Template
 from tallybayes.llm.warc import ALPHABET
 
@@ -65,46 +65,6 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM firsts"""
 
-_BLANK = r"[ \t\x0B\f\r]+"
-LINES = f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
-  FROM documents),
-cut AS (
-  SELECT doc_id, pos, line, list_transform(list_filter(string_split_regex(line, '{_BLANK}'), lambda t: t <> ''),
-    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens FROM lines),
-rows AS (SELECT *, len(tokens) AS n, tokens[1:{linededup.LEAD}] AS lead FROM cut WHERE len(tokens) >= {linededup.LEAST}),
-kinds AS (
-  SELECT tokens, lead, n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_id, max(doc_id) AS last_id
-  FROM rows GROUP BY ALL),
-leaves AS (
-  SELECT lead, n, count(*) AS kinds FROM kinds GROUP BY ALL
-  HAVING count(*) > 1 AND n >= {linededup.LEAST_VARIABLE} AND min(first_id) <> max(last_id)
-    AND sum(docs) * n >= {linededup.EVIDENCE}),
-spots AS (
-  SELECT k.tokens, k.lead, k.n, l.kinds, unnest(k.tokens) AS token, generate_subscripts(k.tokens, 1) AS place
-  FROM kinds k JOIN leaves l USING (lead, n)),
-common AS (SELECT lead, n, place, token FROM spots GROUP BY lead, n, place, token, kinds HAVING 2 * count(*) > kinds),
-members AS (
-  SELECT s.tokens, s.lead, s.n FROM spots s JOIN common c USING (lead, n, place, token)
-  GROUP BY ALL HAVING {linededup.SIMILAR[1]} * count(*) >= {linededup.SIMILAR[0]} * s.n),
-templates AS (
-  SELECT lead, n, min(first_id) AS first_id FROM members JOIN kinds USING (tokens, lead, n) GROUP BY ALL
-  HAVING min(first_id) <> max(last_id) AND sum(docs) * n >= {linededup.EVIDENCE}),
-repeats AS (
-  SELECT tokens, min(first_id) AS first_id FROM (
-    SELECT m.tokens, t.first_id FROM members m JOIN templates t USING (lead, n)
-    UNION ALL SELECT tokens, first_id FROM kinds WHERE first_id <> last_id AND docs * n >= {linededup.EVIDENCE})
-  GROUP BY ALL),
-gone AS (SELECT doc_id, pos FROM rows JOIN repeats USING (tokens) WHERE doc_id <> first_id),
-kept AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (g.pos IS NULL) AS text,
-    count(*) AS n_lines, count(g.pos) AS n_dropped
-  FROM lines LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
-  coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped
-FROM documents d LEFT JOIN kept k USING (doc_id)"""
-
 
 def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"

@@ -104,5 +104,5 @@ QUERIES = {
     "op12_search": op12_search,
     "op13_rules": op13_rules,
 }
-ORACLE: dict[str, str] = {"op2_license": oracles.LICENSE, "op3_chat": oracles.CHAT, "op5_linededup": oracles.LINES, "op9_warc": oracles.WARC,
+ORACLE: dict[str, str] = {"op2_license": oracles.LICENSE, "op3_chat": oracles.CHAT, "op9_warc": oracles.WARC,
                           "op12_search": oracles.SEARCH}
