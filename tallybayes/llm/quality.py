@@ -4,16 +4,15 @@ Two generative models of hashed word and punctuation n-grams (one and two
 tokens) are compared: one of the target text (labelled good and not toxic) and
 one of all raw text; the raw model counts every document.  Labels come from at
 most ``max_labels`` labelled documents with different texts, those with the
-smallest hash of their text.  A document's weight sums its n-grams' log ratios
-over those n-grams that the labelled rows show to matter (a chi-square test of
-the documents that have them, bad against good), divided by the square root of
+smallest hash of their text.  A document's weight sums the log ratios of target to raw over all its n-grams, of both
+signs, with ``PRIOR`` added to both counts; a labelled document's own n-grams are taken out of the target for its own
+weight, so that it counts like one without a label.  N-grams that labelled bad rows have significantly
+more often (a chi-square test of the documents that have them) weigh ``EMPHASIS`` times more: a
+few toxic words would be lost among hundreds of plain ones.  The sum is divided by the square root of
 the document's n-grams, so that long texts don't drift.  Then k documents are
-drawn without replacement by Gumbel top-k at a low ``temperature``; k is the number whose
+drawn without replacement by Gumbel top-k at ``temperature`` 1; k is the number whose
 weight reaches the threshold that separates the labelled rows best.
 
-Selection is one-sided: only ratios below 1 count, so a document without n-grams that
-labelled bad rows show has the best weight, 0, and junk of an unlabelled kind can stay.
-
 The Gumbel noise is a hash of the id, so a run can be repeated.  The k-th
 largest key is found by counting keys in ever narrower ranges; nothing is sorted in
 one place.  Defined cases: a document without tokens has weight 0; without
@@ -36,8 +35,10 @@ from tallybayes.llm.storage import save, without_ids
 
 BUCKETS = 1 << 18
 PREFIX = 6
-PRIOR = 1.0
+#: Added to both counts of a ratio, and of one that labelled rows mark.
+PRIOR, MARKED_PRIOR = 4.0, 1.0
 CHI_SQUARE = 25.0
+EMPHASIS = 20.0
 
 
 def _ngrams(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -96,27 +97,45 @@ def _counts(docs: DataFrame, marks) -> DataFrame:
     return parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "good", "bad")])
 
 
-def _log_ratios(table: np.ndarray, n_good: int, n_bad: int) -> np.ndarray:
-    """log(target / raw) of each bucket that bad rows have significantly more often, else 0."""
-    raw, target, good, bad = np.zeros((4, BUCKETS))
-    at = table[:, 0].astype(np.int64)
-    raw[at], target[at], good[at], bad[at] = table[:, 1:].T
-    expected = raw / max(raw.sum(), 1) * target.sum()
-    n, have = n_good + n_bad, good + bad
-    square = n * (bad * (n_good - good) - good * (n_bad - bad)) ** 2
-    chi = square / np.maximum(have * (n - have) * float(max(n_good * n_bad, 1)), 1)
-    matters = (chi >= CHI_SQUARE) & (bad * n_good > good * n_bad)
-    return np.where(matters, np.minimum(np.log((target + PRIOR) / (expected + PRIOR)), 0), 0)
+class Ratios:
+    """Log ratios of target to raw by bucket, from the rows of ``_counts``."""
+
+    def __init__(self, table: np.ndarray, n_good: int, n_bad: int):
+        raw, target, good, bad = np.zeros((4, BUCKETS))
+        at = table[:, 0].astype(np.int64)
+        raw[at], target[at], good[at], bad[at] = table[:, 1:].T
+        self.share, self.target, self.total = raw / max(raw.sum(), 1), target, target.sum()
+        n, have = n_good + n_bad, good + bad
+        square = n * (bad * (n_good - good) - good * (n_bad - bad)) ** 2
+        chi = square / np.maximum(have * (n - have) * float(max(n_good * n_bad, 1)), 1)
+        self.marked = (chi >= CHI_SQUARE) & (bad * n_good > good * n_bad) & (target < self.share * self.total)
+        self.ratio = self._ratio(target, self.share * self.total, self.marked)
+
+    @staticmethod
+    def _ratio(target: np.ndarray, expected: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        return np.log((target + PRIOR) / (expected + PRIOR)) + EMPHASIS * np.where(
+            marked, np.log((target + MARKED_PRIOR) / (expected + MARKED_PRIOR)), 0)
 
+    def without_own(self, bucket: np.ndarray) -> float:
+        """The sum over a target document's n-grams, the target being the other documents."""
+        own, n = np.unique(bucket, return_counts=True)
+        expected = self.share[own] * (self.total - len(bucket))
+        return float((n * self._ratio(self.target[own] - n, expected, self.marked[own])).sum())
 
-def _weights(docs: DataFrame, ratio) -> DataFrame:
+
+def _weights(docs: DataFrame, marks, ratios) -> DataFrame:
     """``(id, n_grams, weight)`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ratio.value
+        (ids, is_good), known = marks.value, ratios.value
+        targets = ids[is_good]
         for batch in batches:
+            own = batch.column(0)
+            is_target = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), targets) & own.is_valid().to_numpy(zero_copy_only=False)
             for lo, hi, bucket, row in _ngrams(batch, 1):
                 n = np.bincount(row, minlength=hi - lo)
-                total = np.bincount(row, weights=table[bucket], minlength=hi - lo)
+                total = np.bincount(row, weights=known.ratio[bucket], minlength=hi - lo)
+                for i in np.flatnonzero(is_target[lo:hi]):
+                    total[i] = known.without_own(bucket[row == i])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), pa.array(n),
                     pa.array(total / np.sqrt(np.maximum(n, 1)))], ["id", "n_grams", "weight"])
@@ -156,7 +175,7 @@ def _kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        max_labels: int = 20_000, temperature: float = 0.02, seed: int = 7) -> DataFrame:
+                        max_labels: int = 20_000, temperature: float = 1.0, seed: int = 7) -> DataFrame:
     """``(id_col, n_grams, weight, gumbel_key, kept)``, one row per input row.
 
     ``labels`` has ``(id_col, quality, toxic)``; a row is good if quality is 1 and
@@ -176,9 +195,9 @@ def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
     good = np.array([g for _, g in sample], bool)
     told = spark.sparkContext.broadcast((ids, good))
     table = _counts(src, told).toPandas().to_numpy(float).reshape(-1, 5)  # at most BUCKETS rows
-    ratio = spark.sparkContext.broadcast(_log_ratios(table, int(good.sum()), int((~good).sum())))
+    ratios = spark.sparkContext.broadcast(Ratios(table, int(good.sum()), int((~good).sum())))
     noise = -F.log(-F.log((F.pmod(F.xxhash64(F.col("id"), F.lit(seed + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)))
-    scored = save(_weights(src, ratio).withColumn("key", F.col("weight") / temperature + noise), "weights")
+    scored = save(_weights(src, told, ratios).withColumn("key", F.col("weight") / temperature + noise), "weights")
     cut = float("-inf")
     if good.any() and not good.all():
         known = scored.join(F.broadcast(spark.createDataFrame(

@@ -4,7 +4,9 @@ import base64
 import gzip
 import hashlib
 import os
+import math
 import random
+from collections import Counter
 import zlib
 from pathlib import Path
 
@@ -167,7 +169,8 @@ def test_quality_keeps_clean_and_drops_toxic(spark):
 
 
 def test_quality_of_junk_that_no_label_shows(spark):
-    """Selection is one-sided: words said again and again go, random words have weight 0 and stay (see the README)."""
+    """Words said again and again go; random words weigh less than most clean documents, but with so few labels
+    that isn't under the threshold (see the README)."""
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("qxzjkvwy0123") for _ in range(rng.randrange(3, 9)))
     odd = [(10_000_000 + i, " ".join(word() for _ in range(rng.randrange(20, 200)))) for i in range(50)]
@@ -176,16 +179,72 @@ def test_quality_of_junk_that_no_label_shows(spark):
     docs = docs.union(spark.createDataFrame(odd + again, "doc_id long, text string"))
     rows = {r["doc_id"]: r for r in quality.importance_resample(docs, spark.read.parquet(f"{SF2}/labels.parquet")).collect()}
     assert not any(rows[i]["kept"] for i, _ in again)
-    assert all(rows[i]["kept"] for i, _ in odd) and sum(rows[i]["weight"] == 0 for i, _ in odd) > 25
+    clean = sorted(r["weight"] for i, r in rows.items() if i < 10_000_000 and r["kept"])
+    assert all(rows[i]["weight"] < clean[len(clean) // 2] for i, _ in odd)
+
+
+def test_quality_query_matches_plain_version(spark):
+    """Weights, threshold and draw from plain counts of the same hashed n-grams."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    texts = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    batch = quality.pa.RecordBatch.from_arrays([quality.pa.array(c) for c in zip(*texts)], ["id", "text"])
+    grams = {}
+    for lo, _, bucket, row in quality._ngrams(batch, 1):
+        for b, r in zip(bucket.tolist(), row.tolist()):
+            grams.setdefault(texts[lo + r][0], Counter())[b] += 1
+    told = {}
+    for r in labels.collect():
+        told[r["doc_id"]] = int(r["quality"] == 1 and r["toxic"] == 0)
+    by_text = {}
+    for i, t in texts:
+        if i in told:
+            by_text.setdefault(t, []).append(i)
+    told = {min(ids): told[min(ids)] for ids in by_text.values()}
+    raw, target, good, bad = Counter(), Counter(), Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i in told:
+            (good if told[i] else bad).update(set(g))
+            if told[i]:
+                target.update(g)
+    n_raw, n_target, n_good = sum(raw.values()), sum(target.values()), sum(told.values())
+    n_bad, weight = len(told) - sum(told.values()), {}
+    for i, t in texts:
+        g = grams.get(i, Counter())
+        own, total = (g, n_target - sum(g.values())) if told.get(i) else (Counter(), n_target)
+        w = 0.0
+        for b, c in g.items():
+            have = good[b] + bad[b]
+            chi = (n_good + n_bad) * (bad[b] * (n_good - good[b]) - good[b] * (n_bad - bad[b])) ** 2 / max(
+                have * (n_good + n_bad - have) * n_good * n_bad, 1)
+            mark = chi >= 25 and bad[b] * n_good > good[b] * n_bad and target[b] < raw[b] / n_raw * n_target
+            x, e = target[b] - own[b], raw[b] / n_raw * total
+            w += c * (math.log((x + 4) / (e + 4)) + (20 * math.log((x + 1) / (e + 1)) if mark else 0))
+        weight[i] = w / math.sqrt(max(sum(g.values()), 1))
+    rows = {r["doc_id"]: r for r in quality.importance_resample(docs, labels).collect()}
+    assert rows.keys() == weight.keys()
+    for i, r in rows.items():
+        assert r["n_grams"] == sum(grams.get(i, {}).values()) and math.isclose(r["weight"], weight[i], rel_tol=1e-9, abs_tol=1e-9)
+    classes = [sorted(weight[i] for i, g in told.items() if g == c) for c in (1, 0)]
+    cut = quality._threshold(*map(quality.np.array, classes))
+    k = sum(w >= cut for w in weight.values())
+    best = sorted((r["gumbel_key"] for r in rows.values()), reverse=True)[k - 1]
+    assert all(r["kept"] == (r["gumbel_key"] >= best) for r in rows.values())
+    noise = sorted(r["gumbel_key"] - r["weight"] for r in rows.values())
+    assert abs(noise[len(noise) // 2] - 0.3665) < 0.3  # the median of a Gumbel variable
 
 
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(1, "good words", 0.5), (2, None, 0.5), (3, "", 0.5), (None, "bad", 0.5), (1, "good words", 0.5)],
                                  "doc_id long, text string, weight double")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
-    for told in (labels, labels.limit(0), labels.filter("doc_id = 1")):
+    for told in (labels.limit(0), labels.filter("doc_id = 1"), labels.filter("doc_id = 2")):
         rows = quality.importance_resample(docs, told).collect()
-        assert len(rows) == 5 and all(r["kept"] and r["weight"] == 0 for r in rows)
+        assert len(rows) == 5 and all(r["kept"] for r in rows)
+    # with labels of both kinds, however few, rows are told apart; copies of one id alike
+    rows = quality.importance_resample(docs, labels).collect()
+    assert len(rows) == 5 and all(r["weight"] == 0 for r in rows if r["doc_id"] in (2, 3))
+    assert len({(r["weight"], r["gumbel_key"], r["kept"]) for r in rows if r["doc_id"] == 1}) == 1
     assert quality.importance_resample(docs.limit(0), labels).collect() == []
     assert quality.keep_quality(docs, labels).columns == docs.columns
 
