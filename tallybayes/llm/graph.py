@@ -2,7 +2,9 @@
 
 Alternating large-star and small-star steps (Kiveris et al., 2014): every step
 links the neighbours of a node to the smallest of them, so the forest flattens
-in about log(n) rounds and no node's neighbours are gathered in one place.
+in about log(n) rounds.  The smallest neighbour is a partial aggregate; the join that
+hands it to a node's neighbours is by node, and a node with very many of them is
+a skewed partition that adaptive execution splits.
 """
 
 from __future__ import annotations

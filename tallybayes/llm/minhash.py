@@ -10,8 +10,8 @@ Steps, each a Spark job over the whole table:
 
 1. one pass over the texts: set size, a 128-bit digest of the set and the bands;
 2. rows with equal sets are one class, and its smallest id stands for it;
-3. members of a band's bucket are compared with the bucket's smallest member;
-   verified links merge components, and only members of a bucket that are in
+3. members of a band's bucket are compared with one hub, the member whose buckets hold
+   most rows (an outlier with a small id shares few buckets); verified links merge components, and only members of a bucket that are in
    different components are compared further, with all members of other components that an exact
    bound leaves (``_rest``).  No pair of one component is ever listed;
 4. every compared pair is verified on the whole sets.
@@ -25,7 +25,7 @@ are ignored by ``near_duplicates`` and carried along by ``drop_near_duplicates``
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,8 @@ from tallybayes.llm.graph import connected_components
 from tallybayes.llm.storage import save, without_ids
 
 ROWS, BANDS = 6, 40
+#: Members of a family in one slot, and the parts in which a family's members are counted.
+SLOT_ROWS, DEALS = 512, 64
 _RANK = np.uint64(48)
 
 
@@ -157,8 +159,37 @@ def _relabel(comps: DataFrame, links: DataFrame) -> DataFrame:
     return save(comps.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "comps")
 
 
-def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs between components that still share a bucket.
+def _slotted(family: DataFrame) -> DataFrame:
+    """Rows ``(fam, node, ..)`` with their family's number of ``slots``, one for each ``SLOT_ROWS``
+    members, and their own ``slot``: a family of any size is dealt over tasks of bounded size."""
+    dealt = family.withColumn("deal", F.pmod(F.xxhash64("node"), F.lit(DEALS)))
+    counts = dealt.groupBy("fam", "deal").agg(F.count(F.lit(1)).alias("c"))
+    slots = counts.groupBy("fam").agg(F.ceil(F.sum("c") / F.lit(SLOT_ROWS)).alias("slots"))
+    return dealt.join(counts.join(slots, "fam").drop("c"), ["fam", "deal"]).drop("deal") \
+        .withColumn("slot", F.pmod(F.xxhash64("node", F.lit(1)), F.col("slots")))
+
+
+def _spread(table: DataFrame) -> DataFrame:
+    """A row of a table by family, repeated in each ``slot`` of the family."""
+    return table.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1))).drop("slots")
+
+
+def _stars(parts: DataFrame, minors: DataFrame, sure: DataFrame) -> DataFrame:
+    """Edges that connect what ``sure`` says: all members of a kind are similar to all minor
+    members of another.  Each member is tied to one such minor, each minor to one such
+    member and, for each two kinds, one to one: as many edges as rows, not as pairs."""
+    kind, x_kind = ["n", "i", "u"], ["x_n", "x_i", "x_u"]
+    to_minor = _spread(sure.groupBy("fam", "slots", *kind).agg(F.min("x_rep").alias("x_rep")))
+    to_member = _spread(sure.groupBy("fam", "slots", *x_kind).agg(F.min("rep").alias("rep")))
+    edges = sure.select("rep", "x_rep") \
+        .union(parts.join(to_minor, ["fam", "slot", *kind]).select(F.struct("node", "comp"), "x_rep")) \
+        .union(minors.join(to_member, ["fam", "slot", *x_kind]).select("rep", F.struct("x_node", "x_comp")))
+    return edges.filter("rep.comp != x_rep.comp").select(F.col("rep.node").alias("node"), F.col("x_rep.node").alias("x_node"))
+
+
+def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Pairs ``(a, b)`` between components that still share a bucket: those that sizes prove, and a
+    function that gives the other candidates between the components left after those.
 
     A bucket belongs to the family of its largest component.  A family has a
     reference set r (what half of its members have), and a member x the set
@@ -166,20 +197,22 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     |x & y| = |x & r| + |y & r| - |r| + |D(x) & D(y)|, so a similar pair needs
     |D(x) & D(y)| >= q, and q follows from sizes alone.  Only elements that several
     members' D have (u(x) of them) count, so first the few distinct size kinds of
-    a family are compared (q <= min(u)), and then members of fitting kinds are
+    a family are compared (q <= min(u)).  Kinds with q <= 0 are similar in all their pairs,
+    and star edges connect them (``_stars``); members of the other fitting kinds are
     joined on their u - q + 1 rarest such elements (prefix filter).  All
     bounds are exact, and no pair within a component is listed.
     """
     sizes = placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("c"))
     major = sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "comp")).alias("m")) \
         .select("band", "hash", F.col("m.comp").alias("fam"))
-    family = placed.join(major, ["band", "hash"]).select("fam", "node", "comp").distinct()
-    family = save(family.join(sets, "node"), "family")
-    half = family.groupBy("fam").agg(F.count(F.lit(1)).alias("c"))
+    family = _slotted(save(placed.join(major, ["band", "hash"]).select("fam", "node", "comp").distinct(), "family"))
+    family = save(family.join(sets, "node"), "family_sets")
+    half = family.groupBy("fam").agg(F.count(F.lit(1)).alias("c"), F.first("slots").alias("slots"))
     ref = family.select("fam", F.explode("elems").alias("e")).groupBy("fam", "e").agg(F.count(F.lit(1)).alias("df")) \
-        .join(half, "fam").filter("2 * df >= c").groupBy("fam").agg(F.collect_list("e").alias("r"))
-    parts = save(family.join(ref, "fam", "left").withColumn("r", F.coalesce("r", F.array().cast("array<bigint>"))).select(
-        "fam", "node", "comp", (F.col("comp") != F.col("fam")).alias("minor"), F.size("elems").alias("n"),
+        .join(half, "fam").filter("2 * df >= c").groupBy("fam", "slots").agg(F.collect_list("e").alias("r"))
+    parts = save(family.join(_spread(ref), ["fam", "slot"], "left")
+                 .withColumn("r", F.coalesce("r", F.array().cast("array<bigint>"))).select(
+        "fam", "slot", "slots", "node", "comp", (F.col("comp") != F.col("fam")).alias("minor"), F.size("elems").alias("n"),
         F.size(F.array_intersect("elems", "r")).alias("i"), F.size("r").alias("m"),
         F.concat(F.array_except("elems", "r"), F.array_except("r", "elems")).alias("diff")), "parts")
     marks = parts.select("fam", "node", F.explode("diff").alias("e"))
@@ -190,32 +223,49 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x_side = [F.col(c).alias(f"x_{c}") for c in ("n", "i", "u")]
     q = F.ceil(F.lit(percent) * (F.col("n") + F.col("x_n")) / F.lit(100 + percent)) \
         - (F.col("i") + F.col("x_i") - F.col("m"))
-    kinds = parts.groupBy("fam", "n", "i", "u", "m").agg(F.max("minor").alias("minor"))
-    fits = save(kinds.join(kinds.filter("minor").select("fam", *x_side), "fam").withColumn("q", q)
+    one = F.struct("node", "comp")
+    kinds = parts.groupBy("fam", "slots", "n", "i", "u", "m").agg(
+        F.max("minor").alias("minor"), F.min(one).alias("rep"), F.min(F.when(F.col("minor"), one)).alias("x_rep"))
+    fits = save(kinds.drop("x_rep").join(kinds.filter("minor").select("fam", "x_rep", *x_side), "fam").withColumn("q", q)
                 .filter(F.col("q") <= F.least("u", "x_u")).drop("minor", "m"), "fits")
-    minors = parts.filter("minor").select("fam", F.col("node").alias("x_node"), F.col("comp").alias("x_comp"), *x_side)
-    sure = parts.join(fits.filter("q <= 0"), ["fam", "n", "i", "u"]).join(minors, ["fam", "x_n", "x_i", "x_u"])
+    minors = parts.filter("minor").select("fam", "slot", F.col("node").alias("x_node"), F.col("comp").alias("x_comp"), *x_side)
+    kind = ["n", "i", "u"]
 
     def rarest(side: DataFrame, kind: list[str]) -> DataFrame:
         """The elements ``e`` of the members' prefixes."""
-        least = fits.filter("q > 0").groupBy("fam", *kind).agg(F.min("q").alias("q"))
+        least = _spread(fits.filter("q > 0").groupBy("fam", "slots", *kind).agg(F.min("q").alias("q")))
         node, u = ("x_node", "x_u") if kind[0][0] == "x" else ("node", "u")
         at = F.row_number().over(Window.partitionBy("fam", node).orderBy("df", "e"))
-        return side.join(least, ["fam", *kind]).join(marks.withColumnRenamed("node", node), ["fam", node]) \
+        return side.join(least, ["fam", "slot", *kind]).join(marks.withColumnRenamed("node", node), ["fam", node]) \
             .withColumn("at", at).filter(F.col("at") <= F.col(u) - F.col("q") + 1).drop("at", "df", "q")
 
-    some = rarest(parts, ["n", "i", "u"]).join(rarest(minors, ["x_n", "x_i", "x_u"]), ["fam", "e"]) \
-        .filter((F.col("comp") != F.col("x_comp")) & (q <= F.least("u", "x_u")))
-    return sure.filter(F.col("comp") != F.col("x_comp")).select("node", "x_node").union(some.select("node", "x_node")) \
-        .select(F.greatest("node", "x_node").alias("a"), F.least("node", "x_node").alias("b")).distinct()
+    def candidates(comps: DataFrame) -> DataFrame:
+        now = lambda node, comp: comps.select(F.col("node").alias(node), F.col("comp").alias(comp))
+        members = rarest(parts.drop("comp").join(now("node", "comp"), "node"), kind)
+        others = rarest(minors.drop("x_comp").join(now("x_node", "x_comp"), "x_node"), [f"x_{c}" for c in kind])
+        return ordered(members.join(others, ["fam", "e"]).filter(
+            (F.col("comp") != F.col("x_comp")) & (q > 0) & (q <= F.least("u", "x_u"))))
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("node", "x_node").alias("a"), F.least("node", "x_node").alias("b")).distinct()
+
+    return ordered(_stars(parts, minors, fits.filter("q <= 0"))), candidates
+
+
+def _merge(comps: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components after the links among ``pairs``."""
+    links = save(_verify(pairs, sets, percent), "links")
+    return comps if links.isEmpty() else _relabel(comps, links)
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
                  hub_rounds: int = 1) -> DataFrame:
     """``(node, comp)`` for classes ``(node, n, set_key, bands)`` that share a bucket."""
     rows = classes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
-    shared = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    members = save(rows.join(shared, ["band", "hash"]), "members")
+    shared = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    members = rows.join(shared, ["band", "hash"])
+    light = members.groupBy("node").agg((-F.sum("c")).alias("light"))
+    members = save(members.drop("c").join(light, "node"), "members")
     nodes = members.select("node").distinct()
     comps = save(nodes.select("node", F.col("node").alias("comp")), "comps")
     wanted = classes.join(nodes, "node", "left_semi").select("node", "set_key")
@@ -226,8 +276,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
     for done in range(hub_rounds + 1):
         placed = members.join(comps, "node")
         open_ = placed.groupBy("band", "hash").agg(
-            F.min("node").alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-            .filter("lo != hi").select("band", "hash", "hub")
+            F.min(F.struct("light", "node")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+            .filter("lo != hi").select("band", "hash", F.col("hub.node").alias("hub"))
         placed = save(placed.join(open_, ["band", "hash"]), "open")
         if done < hub_rounds:
             hubs = placed.filter("node = hub").select(
@@ -236,12 +286,12 @@ def link_classes(classes: DataFrame, docs: DataFrame, k: int, percent: int,
                 (F.col("comp") != F.col("hub_comp"))
                 & _linked(F.least("n", "hub_n"), F.col("n"), F.col("hub_n"), percent)) \
                 .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-            members = placed.filter("node != hub").select("band", "hash", "node", "n")
+            members = placed.filter("node != hub").select("band", "hash", "node", "n", "light")
         else:
-            pairs = _rest(placed, sets, percent)
-        links = save(_verify(pairs, sets, percent), "links")
-        if not links.isEmpty():
-            comps = _relabel(comps, links)
+            proven, candidates = _rest(placed, sets, percent)
+            comps = _merge(comps, proven, sets, percent)
+            pairs = candidates(comps)
+        comps = _merge(comps, pairs, sets, percent)
     return comps
 
 
@@ -256,7 +306,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("set_key", F.col("r.id").alias("node"), F.col("r.n").alias("n"), F.col("r.bands").alias("bands")),
         "classes")
     comps = link_classes(classes, src, k, percent)
-    rows = sig.select("id", "n", "set_key").join(classes.select("set_key", "node"), "set_key", "left") \
+    # rows without shingles get keys of their own (longer than a digest), not one null
+    lone = F.concat(F.lit("no shingles "), F.coalesce(F.xxhash64("id").cast("string"), F.lit("")))
+    rows = sig.select("id", "n", F.coalesce("set_key", F.encode(lone, "utf-8")).alias("set_key")) \
+        .join(classes.select("set_key", "node"), "set_key", "left") \
         .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node", "id"))
     rows = save(rows.select("id", "n", F.when(F.col("id").isNotNull(), F.col("comp")).alias("comp")), "rows")
     # ids that repeat with different texts join the components of their texts

@@ -77,6 +77,62 @@ def test_family_of_random_edits_like_brute_force(spark):
     assert found(minhash.near_duplicates(df, k=4, percent=80)) == want
 
 
+def family(rng, n, n_outliers):
+    """Outliers with small ids (similarity about 0.6 to the base), then near copies of the base."""
+    base = [f"w{i}" for i in range(200)]
+
+    def edited(at):
+        words = list(base)
+        for i in at:
+            words[i] = f"e{rng.randrange(10 ** 6)}"
+        return " ".join(words)
+
+    outliers = [edited(range(rng.randrange(13), 200, 13)) for _ in range(n_outliers)]
+    return list(enumerate(outliers + [edited(rng.sample(range(200), rng.randrange(1, 4))) for _ in range(n)]))
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_pairs_grow_with_rows_where_outliers_have_small_ids(spark, monkeypatch, rounds):
+    listed = []
+    verify, link = minhash._verify, minhash.link_classes
+
+    def counted(pairs, sets, percent):
+        listed.append(pairs.count())
+        return verify(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "_verify", counted)
+    monkeypatch.setattr(minhash, "link_classes", lambda *a: link(*a, hub_rounds=rounds))
+    totals = {}
+    for n in (60, 240):
+        listed.clear()
+        rows = family(random.Random(n), n, 20)
+        got = found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=5, percent=80))
+        if n == 60:
+            assert got == brute_force(rows, 5, 80)
+        assert len({c for _, c, _ in got.values()}) == 21
+        totals[n] = sum(listed)
+    assert totals[240] < 6 * totals[60]
+
+
+def test_families_in_slots_like_brute_force(spark, monkeypatch):
+    """All links through the comparison of families, each of them in several slots."""
+    monkeypatch.setattr(minhash, "SLOT_ROWS", 7)
+    monkeypatch.setattr(minhash, "DEALS", 4)
+    link = minhash.link_classes
+    monkeypatch.setattr(minhash, "link_classes", lambda *a: link(*a, hub_rounds=0))
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(80)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(40)}"
+        rows.append((i, " ".join(words[:rng.randrange(50, 81)])))
+    want = brute_force(rows, 4, 80)
+    assert len({c for _, c, _ in want.values()}) > 3
+    assert found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4, percent=80)) == want
+
+
 def test_near_duplicate_edge_cases(spark):
     long = " ".join(f"x{i}" for i in range(3000))
     rows = [(1, None, "a"), (2, "", "b"), (3, " \t\n", "c"), (4, "One two", "d"), (5, "one  TWO", "e"), (5, "one  TWO", "e"),
