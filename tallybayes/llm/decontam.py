@@ -19,7 +19,6 @@ null; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
-from tallybayes.llm.storage import without_ids
+from tallybayes.llm.storage import row_key, without_rows
 
 SEED, COVERAGE = 5, 0.5
 #: Only letters, digits and bytes over 127 make words.
@@ -85,6 +84,43 @@ def _word_lists(col: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + i, h[a:b]
 
 
+def _hits(h: np.ndarray, grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], sizes: np.ndarray,
+          coverage: float) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """The items whose seeds in the words ``h`` reach over ``coverage`` of them, each with its ``(i, j)``.
+
+    Tiles cover only words that lie in a seed found, so an item whose found seeds together
+    reach over fewer words is left out before its pairs are listed.  A phrase that many
+    items share thus costs a count an item.
+    """
+    for n, (value, item, place) in grams.items():
+        if len(h) < n:
+            continue
+        g = _runs(h, n)
+        kinds, back = np.unique(g, return_inverse=True)
+        left, right = np.searchsorted(value, kinds), np.searchsorted(value, kinds, side="right")
+        lengths = right - left
+        if not lengths.any():
+            continue
+        kind = np.repeat(np.arange(len(kinds)), lengths)
+        entry = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + left[kind]
+        order = np.lexsort((place[entry], item[entry]))
+        own, at, kind = item[entry][order], place[entry][order], kind[order]
+        gap = np.full(len(own), n)
+        same = own[1:] == own[:-1]
+        gap[:-1][same] = np.minimum(at[1:] - at[:-1], n)[same]
+        starts = np.flatnonzero(np.r_[True, ~same])
+        reach = np.add.reduceat(gap, starts)
+        ends = np.r_[starts[1:], len(own)]
+        enough = np.flatnonzero(reach >= coverage * sizes[own[starts]])
+        if not len(enough):
+            continue
+        by_kind = np.argsort(back, kind="stable")
+        first = np.searchsorted(back[by_kind], np.arange(len(kinds) + 1))
+        for x in enough:
+            yield int(own[starts[x]]), [(int(at[y]), int(j)) for y in range(starts[x], ends[x])
+                                        for j in by_kind[first[kind[y]]:first[kind[y] + 1]]]
+
+
 def _item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[object, np.ndarray]]]:
     block, words = [], 0
     for r in items.toLocalIterator():
@@ -119,25 +155,14 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             order = np.argsort(value, kind="stable")
             grams[n] = (value[order], np.concatenate([np.full(len(g), k) for k, g in own])[order],
                         np.concatenate([np.arange(len(g)) for _, g in own])[order])
-        told = spark.sparkContext.broadcast((block, grams))
+        told = spark.sparkContext.broadcast((block, grams, np.array([len(h) for _, h in block])))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block, grams = told.value
+            block, grams, sizes = told.value
             for batch in batches:
                 out = []
                 for row, h in _word_lists(batch.column(1)):
-                    hits = defaultdict(list)
-                    for n, (value, item, place) in grams.items():
-                        if len(h) < n:
-                            continue
-                        g = _runs(h, n)
-                        left = np.searchsorted(value, g)
-                        found = np.flatnonzero(value[np.minimum(left, len(value) - 1)] == g)
-                        right = np.searchsorted(value, g[found], side="right")
-                        for j, a, b in zip(found, left[found], right):
-                            for at in range(a, b):
-                                hits[int(item[at])].append((int(place[at]), int(j)))
-                    for k, seeds in hits.items():
+                    for k, seeds in _hits(h, grams, sizes, coverage):
                         words = block[k][1]
                         tiles = tile(words, h, seeds, min(seed, len(words)))
                         covered = sum(t[2] for t in tiles)
@@ -162,5 +187,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item is covered."""
-    return without_ids(docs, id_col, contaminated(docs, items, id_col, text_col).select(id_col))
+    """The rows of ``docs`` in which no item is covered; judged row by row, whatever their ids."""
+    rows = docs.select(row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    return without_rows(docs, id_col, text_col, contaminated(rows, items, "row", "text").select("row"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
 from tallybayes.llm.graph import connected_components
-from tallybayes.llm.storage import save, without_ids
+from tallybayes.llm.storage import fresh, save
 
 ROWS, BANDS = 6, 40
 #: Members of a family in one slot, and the parts in which a family's members are counted.
@@ -325,5 +325,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                          percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` but for those that are near copies of a kept document."""
-    return without_ids(docs, id_col, near_duplicates(docs, id_col, text_col, k, percent).filter(~F.col("kept")).select(id_col))
+    """The rows of ``docs`` but for those that are near copies of a kept row.
+
+    Where ids are null or repeat, rows are told apart by id and text: one without an id is
+    judged like any other (and stands last in its group), and rows that share an id are
+    judged each for itself.  Rows equal in id and text are one.
+    """
+    node, key = fresh(docs, "node", "gone")
+    own = F.col(id_col)
+    odd = docs.groupBy(own.alias("id")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or id is null")
+    if not odd.isEmpty():
+        own = F.struct(F.col(id_col).isNull().alias("lone"), F.col(id_col).alias("id"),
+                       F.xxhash64(F.col(text_col)).alias("text"))
+    found = near_duplicates(docs.select(own.alias(node), F.col(text_col).alias("text")), node, "text", k, percent)
+    return docs.join(found.filter(~F.col("kept")).select(F.col(node).alias(key)).distinct(), own == F.col(key), "left_anti")

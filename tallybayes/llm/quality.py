@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.llm import textnum
-from tallybayes.llm.storage import save, without_ids
+from tallybayes.llm.storage import save, without_rows
 
 BUCKETS = 1 << 18
 PREFIX = 6
@@ -66,25 +66,19 @@ def _ngrams(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, np.ndarr
         yield lo, hi, (np.concatenate(grams) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(rows)
 
 
-def _counts(docs: DataFrame, marks) -> DataFrame:
-    """``(bucket, raw, target, good, bad)``: n-grams of all and of good rows, and
-    the good and bad rows that have them; summed within each task first.
-    ``marks``: sorted ids and whether each is good."""
+def _counts(docs: DataFrame) -> DataFrame:
+    """``(bucket, raw, target, good, bad)`` of rows ``(text, good)``: n-grams of all and of good rows, and
+    the good and bad rows that have them; summed within each task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, is_good = marks.value
         sums = np.zeros((4, BUCKETS), np.int64)
         for batch in batches:
-            own = batch.column(0)
-            value = own.fill_null(0).to_numpy(zero_copy_only=False)
-            place = np.minimum(np.searchsorted(ids, value), max(len(ids) - 1, 0))
-            known = own.is_valid().to_numpy(zero_copy_only=False) & (
-                ids[place] == value if len(ids) else np.zeros(len(value), bool))
-            for lo, hi, bucket, row in _ngrams(batch, 1):
+            good = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
+            for lo, hi, bucket, row in _ngrams(batch, 0):
                 sums[0] += np.bincount(bucket, minlength=BUCKETS)
-                for i in np.flatnonzero(known[lo:hi]):
+                for i in np.flatnonzero(good[lo:hi] >= 0):
                     mine = bucket[row == i]
                     once = np.unique(mine)
-                    if is_good[place[lo + i]]:
+                    if good[lo + i]:
                         np.add.at(sums[1], mine, 1)
                         sums[2, once] += 1
                     else:
@@ -123,24 +117,23 @@ class Ratios:
         return float((n * self._ratio(self.target[own] - n, expected, self.marked[own])).sum())
 
 
-def _weights(docs: DataFrame, marks, ratios) -> DataFrame:
-    """``(id, n_grams, weight)`` of every row."""
+def _weights(docs: DataFrame, ratios) -> DataFrame:
+    """``(id, h, good, n_grams, weight)`` of every row ``(text, good, id, h)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (ids, is_good), known = marks.value, ratios.value
-        targets = ids[is_good]
+        known = ratios.value
         for batch in batches:
-            own = batch.column(0)
-            is_target = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), targets) & own.is_valid().to_numpy(zero_copy_only=False)
-            for lo, hi, bucket, row in _ngrams(batch, 1):
+            target = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False) == 1
+            for lo, hi, bucket, row in _ngrams(batch, 0):
                 n = np.bincount(row, minlength=hi - lo)
                 total = np.bincount(row, weights=known.ratio[bucket], minlength=hi - lo)
-                for i in np.flatnonzero(is_target[lo:hi]):
+                for i in np.flatnonzero(target[lo:hi]):
                     total[i] = known.without_own(bucket[row == i])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array(n),
-                    pa.array(total / np.sqrt(np.maximum(n, 1)))], ["id", "n_grams", "weight"])
+                    *(batch.column(x).slice(lo, hi - lo) for x in (2, 3, 1)), pa.array(n),
+                    pa.array(total / np.sqrt(np.maximum(n, 1)))], ["id", "h", "good", "n_grams", "weight"])
 
-    return docs.mapInArrow(run, "id bigint, n_grams bigint, weight double")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, h bigint, good int, n_grams bigint, weight double")
 
 
 def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
@@ -174,43 +167,52 @@ def _kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
             above += r["c"]
 
 
-def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        max_labels: int = 20_000, temperature: float = 1.0, seed: int = 7) -> DataFrame:
-    """``(id_col, n_grams, weight, gumbel_key, kept)``, one row per input row.
-
-    ``labels`` has ``(id_col, quality, toxic)``; a row is good if quality is 1 and
-    toxic 0, and bad if quality is 0 or toxic 1.
-    """
+def _resample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labels: int, temperature: float,
+              seed: int) -> DataFrame:
+    """``(id, h, n_grams, weight, key, kept)`` of every row; ``h`` is a hash of the text."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    marks = labels.select(F.col(id_col).cast("bigint").alias("id"), F.when(
+    src = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id")) \
+        .withColumn("h", F.xxhash64("text", F.lit(seed)))
+    marks = labels.select(F.col(id_col).cast(src.schema["id"].dataType).alias("id"), F.when(
         (F.col("quality") == 1) & (F.col("toxic") == 0), 1).when(
         (F.col("quality") == 0) | (F.col("toxic") == 1), 0).alias("good")).dropna()
-    texts = src.select("id", F.xxhash64("text", F.lit(seed)).alias("h"))
-    marks = marks.groupBy("id").agg(F.min("good").alias("good")).join(texts, "id") \
+    marks = marks.groupBy("id").agg(F.min("good").alias("good")).join(src.select("id", "h"), "id") \
         .groupBy("h").agg(F.min(F.struct("id", "good")).alias("r"))
-    sample = marks.orderBy("h").limit(max_labels).select("r.id", "r.good").collect()
-    sample = sorted({r["id"]: r["good"] for r in sample}.items())
-    ids = np.array([i for i, _ in sample], np.int64)
-    good = np.array([g for _, g in sample], bool)
-    told = spark.sparkContext.broadcast((ids, good))
-    table = _counts(src, told).toPandas().to_numpy(float).reshape(-1, 5)  # at most BUCKETS rows
-    ratios = spark.sparkContext.broadcast(Ratios(table, int(good.sum()), int((~good).sum())))
+    marks = marks.orderBy("h").limit(max_labels).select("r.id", "h", "r.good")
+    sample = marks.collect()
+    n_good = sum(r["good"] for r in sample)
+    n_bad = len(sample) - n_good
+    rows = src.join(F.broadcast(spark.createDataFrame(sample, marks.schema)), ["id", "h"], "left") \
+        .select("text", "good", "id", "h")  # at most max_labels rows are sent to the tasks
+    table = _counts(rows.select("text", "good")).toPandas().to_numpy(float).reshape(-1, 5)  # at most BUCKETS rows
+    ratios = spark.sparkContext.broadcast(Ratios(table, n_good, n_bad))
     noise = -F.log(-F.log((F.pmod(F.xxhash64(F.col("id"), F.lit(seed + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)))
-    scored = save(_weights(src, told, ratios).withColumn("key", F.col("weight") / temperature + noise), "weights")
+    scored = save(_weights(rows, ratios).withColumn("key", F.col("weight") / temperature + noise), "weights")
     cut = float("-inf")
-    if good.any() and not good.all():
-        known = scored.join(F.broadcast(spark.createDataFrame(
-            [(int(i), int(g)) for i, g in sample], "id bigint, good int")), "id") \
-            .select("weight", "good").collect()
+    if n_good and n_bad:
+        known = scored.filter("good is not null").groupBy("h").agg(
+            F.first("weight"), F.first("good")).drop("h").collect()
         values = np.array([tuple(r) for r in known], float).reshape(-1, 2)
         limit = _threshold(values[values[:, 1] == 1, 0], values[values[:, 1] == 0, 0])
         k = scored.filter(F.col("weight") >= limit).count()
         cut = _kth_largest(scored, k) if k else float("inf")
-    return scored.select(F.col("id").alias(id_col), "n_grams", "weight", F.col("key").alias("gumbel_key"),
-                         (F.col("key") >= F.lit(cut)).alias("kept"))
+    return scored.select("id", "h", "n_grams", "weight", "key", (F.col("key") >= F.lit(cut)).alias("kept"))
+
+
+def importance_resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        max_labels: int = 20_000, temperature: float = 1.0, seed: int = 7) -> DataFrame:
+    """``(id_col, n_grams, weight, gumbel_key, kept)``, one row per input row; ids of any type.
+
+    ``labels`` has ``(id_col, quality, toxic)``; a row is good if quality is 1 and
+    toxic 0, and bad if quality is 0 or toxic 1.
+    """
+    return _resample(docs, labels, id_col, text_col, max_labels, temperature, seed).select(
+        F.col("id").alias(id_col), "n_grams", "weight", F.col("key").alias("gumbel_key"), "kept")
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``importance_resample`` keeps."""
-    return without_ids(docs, id_col, importance_resample(docs, labels, id_col, text_col).filter(~F.col("kept")).select(id_col))
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 max_labels: int = 20_000, temperature: float = 1.0, seed: int = 7) -> DataFrame:
+    """The rows of ``docs`` that ``importance_resample`` keeps; judged row by row, whatever their ids."""
+    found = _resample(docs, labels, id_col, text_col, max_labels, temperature, seed)
+    gone = found.filter(~F.col("kept")).select(F.struct("id", F.col("h").alias("text")))
+    return without_rows(docs, id_col, text_col, gone, seed)

@@ -7,7 +7,8 @@ costs at most the tasks it ran, never the table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallybayes.session import scratch_dir
 
@@ -35,8 +36,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id isn't in ``ids`` (one column); a null id stays."""
+def row_key(id_col: str, text_col: str, seed: int = 7) -> Column:
+    """What tells a row apart: its id and a hash of its text, either may be null.  Rows equal in both get one verdict."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col), F.lit(seed)).alias("text"))
+
+
+def without_rows(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame, seed: int = 7) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` isn't in ``keys`` (one column)."""
     gone, = fresh(docs, "gone")
-    ids = ids.select(ids[0].alias(gone)).distinct()
-    return docs.join(ids, docs[id_col] == ids[gone], "left_anti")
+    return docs.join(keys.select(F.col(keys.columns[0]).alias(gone)).distinct(),
+                     row_key(id_col, text_col, seed) == F.col(gone), "left_anti")

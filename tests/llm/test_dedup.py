@@ -147,7 +147,9 @@ def test_near_duplicate_edge_cases(spark):
         (10, 1, 4, False), (10, 1, 4, False)], key=str)
     left = minhash.drop_near_duplicates(df, k=4)
     assert left.columns == ["doc_id", "text", "gone"]
-    assert sorted(r["gone"] for r in left.collect()) == ["a", "b", "c", "d", "f", "h", "i", "j"]
+    assert sorted(r["gone"] for r in left.collect()) == ["a", "b", "c", "d", "f", "i", "j", "k"]
+    unique = df.filter("doc_id < 10 and doc_id != 5")
+    assert sorted(r["gone"] for r in minhash.drop_near_duplicates(unique, k=4).collect()) == ["a", "b", "c", "d", "f", "i", "j"]
     assert minhash.near_duplicates(df.limit(0)).collect() == []
 
 

@@ -115,6 +115,49 @@ def test_tiles_like_the_definition(seed):
     assert sum(t[2] for t in tiles) == slow_tiles(item, doc, 3)
 
 
+def test_decontamination_query_like_the_definition(spark):
+    """Every document against every item of planted tables, tiled by the definition."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    stock = [rng.choice(words) for _ in range(6)]
+    items = [[rng.choice(words) for _ in range(rng.randrange(5, 18))] + stock for _ in range(12)] + [stock[:3], stock[:5], stock]
+    docs = []
+    for i in range(40):
+        item = rng.choice(items)
+        cut = rng.randrange(1, len(item))
+        docs.append([rng.choice(words) for _ in range(rng.randrange(20))] + item[cut:] + stock * (i % 3) + item[:cut])
+    text = lambda w: " ".join(w)
+    df = spark.createDataFrame([(i, text(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, text(d)) for i, d in enumerate(items)] + [(None, text(items[0]))], "item_id long, text string")
+    want = set()
+    for i, d in enumerate(docs):
+        for j, item in [*enumerate(items), (None, items[0])]:
+            covered = slow_tiles(item, d, min(5, len(item)))
+            if covered >= 0.5 * len(item):
+                want.add((i, j, len(item), covered))
+    for block in (2_000_000, 60):
+        got = decontam.contaminated(df, bench, block_words=block).collect()
+        assert len(got) == len(want)
+        assert {(r["doc_id"], r["item_id"], r["item_words"], r["covered_words"]) for r in got} == want
+
+
+def test_a_phrase_that_many_items_share_lists_no_pairs():
+    """Items whose found seeds can't cover half of them are counted, not tiled."""
+    rng = np.random.default_rng(1)
+    stock = rng.integers(0, 2 ** 63, 5).astype(np.uint64)
+    items = [np.r_[stock, rng.integers(0, 2 ** 63, 25).astype(np.uint64)] for _ in range(300)]
+    g = [decontam._runs(h, 5) for h in items]
+    value = np.concatenate(g)
+    order = np.argsort(value, kind="stable")
+    grams = {5: (value[order], np.repeat(np.arange(300), [len(x) for x in g])[order],
+                 np.concatenate([np.arange(len(x)) for x in g])[order])}
+    sizes = np.array([len(h) for h in items])
+    doc = np.concatenate([stock, rng.integers(0, 2 ** 63, 9).astype(np.uint64), stock, items[7][3:20]])
+    found = dict(decontam._hits(doc, grams, sizes, 0.5))
+    assert list(found) == [7]
+    assert (0, 0) in found[7] and (0, 14) in found[7] and (3, 19) in found[7]
+
+
 def test_decontamination_cases(spark):
     rng = random.Random(1)
     words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
@@ -131,7 +174,11 @@ def test_decontamination_cases(spark):
         assert sorted(((r["doc_id"], r["item_id"], r["covered_words"], r["item_words"]) for r in got), key=str) == sorted(
             [(1, 10, 40, 40), (1, 10, 40, 40), (2, 10, 40, 40), (None, 10, 40, 40), (7, 11, 2, 2)], key=str)
     left = decontam.drop_contaminated(df, bench)
-    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["3", "4", "5", "6", "None"]
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["3", "4", "5", "6"]
+    shared = spark.createDataFrame([(3, " ".join(item)), (3, " ".join(rest)), (None, " ".join(rest)), (None, None)],
+                                   "doc_id long, text string")
+    left = decontam.drop_contaminated(shared, bench).collect()
+    assert sorted(((r["doc_id"], r["text"] is None) for r in left), key=str) == [(3, False), (None, False), (None, True)]
     assert decontam.contaminated(df, bench.limit(0)).collect() == []
     assert decontam.contaminated(df.limit(0), bench).collect() == []
 
@@ -249,6 +296,24 @@ def test_quality_edge_cases(spark):
     assert quality.keep_quality(docs, labels).columns == docs.columns
 
 
+def test_quality_judges_rows_with_ids_of_any_type(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    want = {str(r["doc_id"]): r["weight"] for r in quality.importance_resample(docs, labels).collect()}
+    named = docs.withColumn("doc_id", quality.F.col("doc_id").cast("string"))
+    got = {r["doc_id"]: r["weight"] for r in quality.importance_resample(named, labels).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9, abs_tol=1e-9) for i in want)
+    # a clean row that shares its id with rejected ones stays, and so do clean ones without an id
+    rows = {r["doc_id"]: r["kept"] for r in quality.importance_resample(docs, labels).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    clean = max((i for i in rows if rows[i] and texts[i]), key=lambda i: want[str(i)])
+    bad = min((i for i in rows if not rows[i] and texts[i]), key=lambda i: want[str(i)])
+    more = spark.createDataFrame([(10 ** 8, texts[clean]), (10 ** 8, texts[bad]), (None, texts[clean]), (None, texts[bad])],
+                                 "doc_id long, text string")
+    left = quality.keep_quality(docs.select("doc_id", "text").union(more), labels).collect()
+    assert {(r["doc_id"], r["text"]) for r in left if r["doc_id"] in (None, 10 ** 8)} == {
+        (10 ** 8, texts[clean]), (None, texts[clean])}
+
+
 def test_kth_largest_key(spark):
     rng = random.Random(2)
     values = [rng.choice([rng.gauss(0, 1), rng.gauss(-4000, 900), 0.5]) for _ in range(3000)]
