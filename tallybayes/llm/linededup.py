@@ -58,7 +58,8 @@ def canonical_line(line: Column) -> Column:
     bare = ~line.rlike(f"(^|[{BLANKS}])[^0-9{BLANKS}]+([{BLANKS}]|$)") & (F.size(tokens) < LEAD) & ~line.rlike(UNSPACED)
     masked = F.transform(tokens, lambda t: F.when(~t.rlike("[0-9]"), t).when(
         (F.octet_length(t) > F.length(t)) & t.rlike(UNSPACED), F.regexp_replace(t, "[0-9]+", "<*>")).otherwise("<*>"))
-    return F.when(odd & bare, F.array_join(tokens, " ")).when(odd, F.array_join(masked, " ")).otherwise(line)
+    # most lines are canonical already, and are looked at once
+    return F.when(~odd, line).when(bare, F.array_join(tokens, " ")).otherwise(F.array_join(masked, " "))
 
 
 def _row_key(id_col: str, text_col: str) -> list[Column]:
