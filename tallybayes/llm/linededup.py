@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybayes.llm.storage import fresh, save
+from tallybayes.llm.storage import save
 
 LEAD, LEAST_VARIABLE, EVIDENCE = 4, 6, 40
 #: SIMILAR as a fraction of integers: 3 of 4 tokens.
@@ -198,9 +198,8 @@ def recurring_passages(hits: DataFrame) -> DataFrame:
         .select("k1", "k2", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)).alias("pos"))
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
-    """``docs`` with cleaned texts and two counts (which replace columns of their names)."""
+def _with_gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(row, text, gone)`` of every row: itself, its text and the places of its recurring lines, or null."""
     lines = line_rows(docs, id_col, text_col)
     places = save(lines.drop("line"), "line-places")
     repeats = save(recurring_lines(lines, places), "recurring")
@@ -208,8 +207,13 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     alone = hits.filter(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))).select("k1", "k2", "pos")
     gone = alone.union(recurring_passages(hits)).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
     k1, k2 = _row_key(id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), k1, k2)
-    found = rows.join(gone, ["k1", "k2"], "left")
+    return docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), k1, k2).join(
+        gone, ["k1", "k2"], "left").drop("k1", "k2")
+
+
+def _cleaned(found: DataFrame, columns: list[str], text_col: str, counts: tuple[str, ...] = ()) -> DataFrame:
+    """``columns`` of the rows of ``_with_gone`` with cleaned texts, and the numbers of all and of dropped lines under
+    the names ``counts``."""
     # split once: an expression that is used twice stays a column of its own
     found = found.withColumn("lines", F.split("text", "\n", -1))
     found = found.withColumn("at", F.when(F.col("gone").isNotNull(), F.filter(
@@ -218,15 +222,22 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), places_gone),
                        lambda i: F.get("lines", i))
     cleaned = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counts = {n_lines: F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)),
-              n_dropped: F.coalesce(F.size("gone"), F.lit(0))}
+    values = (F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)),
+              F.coalesce(F.size("gone"), F.lit(0)))
     return found.select(*[cleaned.alias(c) if c == text_col else F.col("row")[c].alias(c)
-                          for c in docs.columns if c not in counts],
-                        *[v.cast("bigint").alias(c) for c, v in counts.items()])
+                          for c in columns if c not in counts],
+                        *[v.cast("bigint").alias(c) for c, v in zip(counts, values)])
+
+
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """``docs`` with cleaned texts and two counts (which replace columns of their names)."""
+    return _cleaned(_with_gone(docs, id_col, text_col), docs.columns, text_col, (n_lines, n_dropped))
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without recurring lines; a document that had nothing else goes."""
-    n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
-    done = drop_recurring_lines(docs, id_col, text_col, n_lines, n_dropped)
-    return done.filter((F.col(n_dropped) == 0) | F.col(text_col).rlike(r"\S")).select(*docs.columns)
+    # told before the texts are put together: a filter on the cleaned text would build it again for each of its lines
+    whole = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(f"[^{BLANKS}]"))
+    found = _with_gone(docs, id_col, text_col).filter(F.col("gone").isNull() | (F.size("gone") < F.size(whole)))
+    return _cleaned(found, docs.columns, text_col)
