@@ -62,48 +62,58 @@ def canonical_line(line: Column) -> Column:
     return F.when(~odd, line).when(bare, F.array_join(tokens, " ")).otherwise(F.array_join(masked, " "))
 
 
+def _nonblank(text: Column) -> Column:
+    return F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(BLANKS)) != "")
+
+
 def _row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.xxhash64(id_col, F.col(id_col).isNull(), text_col).alias("k1"),
             F.xxhash64(text_col, id_col, F.lit(1)).alias("k2")]
 
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, k1, k2, pos, line, size, h1, h2, leaf)`` of canonical lines.
+    """``(id, k1, k2, pos, size, h1, h2, leaf)`` of canonical lines.
 
     ``pos``: the line's place among those that aren't blank; ``size``: the tokens, or the characters of scripts without blanks; ``leaf``: null if the
     line has too few tokens for a variable field.
     """
-    # canonical before the explode: a column that is inlined later would be computed again
+    # canonical before the explode: a column that is inlined later would be computed again; in most texts all lines are
+    text = F.col(text_col)
+    odd = text.startswith(" ") | text.endswith(" ") | text.contains("\n ") | text.contains(" \n") | text.contains("  ") \
+        | text.rlike(f"[0-9{BLANKS[1:]}]")
+    lines = F.when(odd, F.transform(F.split(text, "\n", -1), canonical_line)).otherwise(F.split(text, "\n", -1))
     lines = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), F.posexplode(
-        F.filter(F.transform(F.split(text_col, "\n", -1), canonical_line), lambda x: x != "")).alias("pos", "line"))
+        F.filter(lines, lambda x: x != "")).alias("pos", "line"))
     lines = lines.withColumn(
         "n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     # such characters take three bytes or more: most lines are told without looking at each
     wide = F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))
     size = F.when(F.octet_length("line") - F.length("line") > 2 * F.col("n"), F.greatest("n", wide)).otherwise(F.col("n"))
     return lines.select(
-        "id", "k1", "k2", "pos", "line", size.alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+        "id", "k1", "k2", "pos", size.alias("size"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
         F.when(F.col("n") >= LEAST_VARIABLE, F.xxhash64("n", F.substring_index("line", " ", LEAD))).alias("leaf"))
 
 
-def recurring_lines(lines: DataFrame, places: DataFrame) -> DataFrame:
+def recurring_lines(docs: DataFrame, places: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(h1, h2, first)``: lines of recurring templates and the template's first document,
     and with a null ``first`` the other lines that different documents share.
 
-    ``lines``: as ``line_rows`` gives them; ``places``: a table of them without the lines.
+    ``places``: a table of the documents' ``line_rows``.
     """
     across = (F.col("first") != F.col("last")) & (F.col("evidence") >= EVIDENCE)
     kinds = save(places.select(*KEY, "id").distinct().groupBy(*KEY).agg(
         (F.count("id") * F.col("size")).alias("evidence"), F.min("id").alias("first"), F.max("id").alias("last")), "line-kinds")
     leaves = kinds.filter(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), *_summed()) \
         .filter((F.col("kinds") > 1) & across).select("leaf", "kinds")
-    # one occurrence of each different line of such leaves, as hashes of its tokens in their places; the first
-    # LEAD are all lines' in the leaf
     wanted = save(kinds.filter(F.col("first").isNotNull()).join(leaves, "leaf"), "line-leaves")
-    tokens = F.split("line", " ")
-    held = save(lines.select(*KEY, "id", "line").join(
-        wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).dropDuplicates(KEY).select(
-            *KEY, "kinds", F.size(tokens).alias("n"), F.slice(F.transform(tokens, lambda t, at: F.xxhash64(at, t)), LEAD + 1, 1 << 30)
+    # one occurrence of each different line of such leaves: its place first, then hashes of its tokens in their
+    # places; the first LEAD are all lines' in the leaf
+    chosen = save(places.join(wanted.select(*KEY, "kinds", F.col("first").alias("id")), [*KEY, "id"]).groupBy(*KEY).agg(
+        F.first("kinds").alias("kinds"), F.min(F.struct("k1", "k2", "pos")).alias("at")).select(*KEY, "kinds", "at.*"), "line-chosen")
+    tokens = F.split(canonical_line(F.col("line")), " ")
+    held = save(docs.select(*_row_key(id_col, text_col), F.posexplode(_nonblank(F.col(text_col))).alias("pos", "line")).join(
+        chosen, ["k1", "k2", "pos"]).dropDuplicates(KEY).select(*KEY, "kinds", tokens.alias("tokens")).select(
+            *KEY, "kinds", F.size("tokens").alias("n"), F.slice(F.transform("tokens", lambda t, at: F.xxhash64(at, t)), LEAD + 1, 1 << 30)
             .alias("spots")), "line-held")
     common = held.select("leaf", "kinds", F.explode("spots").alias("spot")).groupBy("leaf", "spot").agg(
         F.count(F.lit(1)).alias("c"), F.first("kinds").alias("kinds")).filter(2 * F.col("c") > F.col("kinds")) \
@@ -200,9 +210,8 @@ def recurring_passages(hits: DataFrame) -> DataFrame:
 
 def _with_gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(row, text, gone)`` of every row: itself, its text and the places of its recurring lines, or null."""
-    lines = line_rows(docs, id_col, text_col)
-    places = save(lines.drop("line"), "line-places")
-    repeats = save(recurring_lines(lines, places), "recurring")
+    places = save(line_rows(docs, id_col, text_col), "line-places")
+    repeats = save(recurring_lines(docs, places, id_col, text_col), "recurring")
     hits = save(places.drop("leaf").join(repeats, ["h1", "h2"]), "line-hits")
     alone = hits.filter(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))).select("k1", "k2", "pos")
     gone = alone.union(recurring_passages(hits)).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
