@@ -197,3 +197,14 @@ def test_random_leaves_and_passages(spark, seed):
     got = collected(linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     want = plain(rows)
     assert got == want and sum(r[3] for r in want) > 50
+
+
+def test_clean_lines_drops_emptied_documents_only(spark):
+    line = "the same fourteen words stand here in every one of the three documents above"
+    rows = [(1, f"{line}\nits own"), (2, line), (3, f" \t\n{line}\n\n"), (4, f"\t{line}\nkept 7"), (5, None), (6, ""), (7, " \n\t"), (None, line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    every = linededup.drop_recurring_lines(df).collect()
+    want = [(r["doc_id"], r["text"]) for r in every if not r["n_dropped"] or regex.search(r"[^ \t\n\x0b\f\r]", r["text"])]
+    got = [tuple(r) for r in linededup.clean_lines(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert {r[0] for r in got} == {1, 4, 5, 6, 7} and (4, "kept 7") in got
