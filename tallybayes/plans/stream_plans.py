@@ -7,7 +7,7 @@ from tallybayes.operators.model import fit_multinomial
 from tallybayes.plans import text_plans
 from tallybayes.plans.fixtures import ALPHA, quality_docs, table
 from tallybayes.session import scratch_dir
-from tallybayes.streaming import score_stream, stream_scores
+from tallybayes.streaming import score_stream, stream_path, stream_scores
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -17,9 +17,9 @@ def q_nb_predict_stream(spark, sf_dir):
     """Same result as nb_predict_new, computed by a Structured Streaming query."""
     model = fit_multinomial(quality_docs(spark, sf_dir, "quality"), alpha=ALPHA)
     labeled = table(spark, sf_dir, "labels").select("doc_id")
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(path).schema)
+              .option("maxFilesPerTrigger", 1).parquet(stream_path(path)))
     base = scratch_dir(spark, "stream")
     query = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], base,
                          prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))

@@ -13,6 +13,7 @@ the stream, and no column per class.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybayes.operators import scoring
 
 
+def stream_path(path: str) -> str:
+    """``path`` as a stream's source, be it one file or a folder of files.
+
+    A stream takes a plain path for a folder; as a pattern (which matches nothing else) it may be either.
+    """
+    head, last = re.sub(r"([\\*?\[\]{}])", r"\\\1", path[:-1]), path[-1]
+    return f"{head}[{last}]"
+
+
 def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: str,
                  text_col: str = "text", keep: Sequence[str] = (),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
