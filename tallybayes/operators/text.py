@@ -94,10 +94,12 @@ def vectorize_arrays(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
     joined = model_join(rows, table, ["term"], carried, weight=weight, how="left")
     per_row = joined.groupBy(*carried).agg(F.sum(F.col("term").isNull().cast("bigint")).alias("_m"), F.collect_list(
         F.when(F.col("idx").isNotNull(), F.struct("idx", "at"))).alias("_w"))
-    # exact copies have each place once a copy
-    places = F.array_sort(F.array_distinct(F.flatten(F.transform("_w", lambda w: F.transform(
-        w["at"], lambda i: F.struct(i.alias("i"), w["idx"].alias("idx")))))))
-    words = per_row.select(*cols, "_m", F.transform(places, lambda x: x["idx"]).cast("array<bigint>").alias(words_col))
+    placed = per_row.select(*cols, "_m", F.sort_array(F.flatten(F.transform("_w", lambda w: F.transform(
+        w["at"], lambda i: F.struct(i.alias("i"), w["idx"].alias("idx")))))).alias("_p"))
+    # exact copies have each place once a copy, side by side once sorted (array_distinct compares all pairs of structs)
+    once = F.filter("_p", lambda x, j: (j == 0) | (x["i"] != F.get("_p", j - 1)["i"]))
+    words = placed.select(*cols, "_m", F.transform(F.when(F.col("_m") > 1, once).otherwise(F.col("_p")), lambda x: x["idx"])
+                          .cast("array<bigint>").alias(words_col))
     return words.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m")))).drop("_copy", "_m")
 
 
