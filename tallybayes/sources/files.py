@@ -13,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Fixed value: whitespace stripped from labels and fields (Unicode-aware,
-# like Python's str.strip()).
-_STRIP = r"(?U)^\s+|\s+$"
+# Fixed value: whitespace stripped from labels and fields (Unicode's White_Space, what the pattern (?U)\s takes).
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 _CSV_OPTS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -23,7 +22,7 @@ _CSV_OPTS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _STRIP, "")
+    return F.btrim(c, F.lit(_SPACE))
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +95,7 @@ def read_attribute_csv(spark: SparkSession, path: str, label: str = "last",
     """
     lines = spark.read.text(path).select(strip(F.col("value")).alias("line")) \
         .filter(F.col("line") != "")
-    fields = lines.select(F.transform(F.split("line", ",", -1), strip).alias("f"))
+    fields = lines.select(F.split("line", ",", -1).alias("f"))
     if n_attrs is None:
         first = fields.select(F.size("f").alias("n")).first()
         n_attrs = first["n"] - 1 if first else 0
@@ -108,8 +107,8 @@ def read_attribute_csv(spark: SparkSession, path: str, label: str = "last",
         lab, start = F.element_at("f", 1), 2
     else:
         lab, start = F.element_at("f", -1), 1
-    attrs = [F.element_at("f", start + i).alias(f"a{i}") for i in range(n_attrs)]
-    return checked.select(lab.alias("label"), *attrs)
+    attrs = [strip(F.element_at("f", start + i)).alias(f"a{i}") for i in range(n_attrs)]
+    return checked.select(strip(lab).alias("label"), *attrs)
 
 
 def write_results(df: DataFrame, path: str) -> None:

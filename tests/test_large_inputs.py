@@ -2,6 +2,7 @@
 
 from tallybayes.operators.text import doc_term_counts, vectorize_arrays, vocabulary
 from tallybayes.plans import stream_plans, text_plans
+from tallybayes.sources.files import read_attribute_csv
 
 
 def _tables(spark, base, n_files):
@@ -36,3 +37,11 @@ def test_indices_of_long_texts_compare_no_pairs_of_places(spark):
     index = {r["term"]: r["idx"] for r in vocab.collect()}
     wanted = [[index[w] for w in long.split()]] * 2 + [[index["again"], index["t0000"]], []]
     assert sorted((r["words"] for r in rows.collect()), key=len) == sorted(wanted, key=len)
+
+
+def test_fields_are_stripped_without_patterns_and_only_where_read(spark, tmp_path):
+    spaces = "\t\x0b\x0c \x85\xa0       　"
+    (tmp_path / "a.txt").write_text(f" x , {spaces}a b{spaces},c​\n{spaces}\n{spaces}y,,d{spaces}\n", encoding="utf-8", newline="")
+    rows = read_attribute_csv(spark, str(tmp_path / "a.txt"), "first")
+    assert sorted(map(tuple, rows.collect())) == [("x", "a b", "c​"), ("y", "", "d")]
+    assert "regexp_replace" not in rows._jdf.queryExecution().optimizedPlan().toString()
