@@ -59,3 +59,21 @@ def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = (), markers: bo
             lambda j: F.when(j == 0, marker).otherwise(entry(F.greatest(j, F.lit(1)))))))
     return b.select(*keep, F.inline(F.transform(
         F.sequence(F.lit(1), F.greatest("_m", F.lit(1))), entry))).filter(F.col("term").isNotNull())
+
+
+def token_marks(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep…, term, tf)``: a row with ``tf`` 1 per token, repeats kept, and a marker (NULL term, ``tf`` 0) per
+    input row: ``bag_rows`` with markers for callers that sum by row and term anyway, without its sort."""
+    marked = F.concat(F.array(F.lit(None).cast("string")), tokens(text_col))
+    return df.select(*keep, F.explode(marked).alias("term")).select(
+        *keep, "term", F.when(F.col("term").isNull(), 0).otherwise(1).cast("bigint").alias("tf"))
+
+
+def counted_tokens(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep…, term, tf, df)`` for callers that sum both by term: a row with ``tf`` 1 per token, and one
+    with ``df`` 1 per distinct token of each row's text."""
+    found = df.select(*keep, tokens(text_col).alias("_t"))
+    both = found.select(*keep, "_t", F.array_distinct("_t").alias("_u"))
+    rows = both.select(*keep, F.size("_u").alias("_m"), F.posexplode(F.concat("_u", "_t")).alias("_p", "term"))
+    own = (F.col("_p") < F.col("_m")).cast("bigint")
+    return rows.select(*keep, "term", (1 - own).alias("tf"), own.alias("df"))

@@ -207,8 +207,73 @@ def wide_sums(joined: DataFrame, marker: Column, carried: Sequence[str], deltas:
         F.coalesce(F.sum(F.when(known, F.col("tf"))), _zero()).alias("_len"), F.sum(marker.cast("bigint")).alias("_m"),
         *[F.first(c, ignorenulls=True).alias(c) for c in late],
         *[F.sum(F.when(known, F.col("tf") * d)).alias(f"_s{i}") for i, d in enumerate(deltas)])
-    return _checked(sums, ROW in carried).select(*carried, *late, F.expr("_len div _m").alias("_len"), *[
-        F.expr(f"_s{i} div _m").alias(f"_s{i}") for i in range(len(deltas))])
+    return _shares(sums, [*carried, *late], len(deltas), ROW in carried)
+
+
+def _shares(sums: DataFrame, kept: Sequence[str], n: int, by_row: bool | None = None) -> DataFrame:
+    """Each copy's part of ``n`` sums over all copies of a row."""
+    return _checked(sums, ROW in kept if by_row is None else by_row).select(*kept, F.expr("_len div _m").alias("_len"), *[
+        F.expr(f"_s{i} div _m").alias(f"_s{i}") for i in range(n)])
+
+
+def frequent_keys(table: DataFrame, weight: str, n_keys: int, table_bytes: int, limit: int) -> int | None:
+    """Least power of two whose keys of at least that weight fit in ``limit`` bytes; None if there are none.
+
+    One row per power of two is brought to the driver.
+    """
+    power = F.floor(F.log2(F.greatest(F.col(weight), F.lit(1).cast("bigint")).cast("double"))).cast("int")
+    room, least = limit * max(n_keys, 1) // max(table_bytes, 1), None
+    counted = {r["_p"]: int(r["n"]) for r in table.groupBy(power.alias("_p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for p in sorted(counted, reverse=True):
+        room -= counted[p]
+        if room < 0:
+            break
+        least = p
+    return None if least is None else 1 << least
+
+
+def frequent_first(bags: DataFrame, table: DataFrame, key: str, carried: Sequence[str], table_bytes: int,
+                   weight: str, n_keys: int, least: int, deltas: Sequence[Column], known: Column) -> DataFrame:
+    """``wide_sums`` of rows with markers for a table above the broadcast cap.
+
+    Keys of weight ``least`` or more are broadcast, and their rows are summed in the task that read them. Only the
+    others, summed by row and key, enter the shuffle join with the rest of the table: the few frequent keys hold
+    most of a text's tokens. ``bags`` may hold a row per token.
+    """
+    payload = [c for c in table.columns if c not in (key, weight)]
+    frequent = table.filter(F.col(weight) >= least).select(key, *payload, F.lit(True).alias("_frequent"))
+    rest = table.filter(F.col(weight) < least)
+    found = bags.join(F.broadcast(frequent), key, "left")
+    found = found.filter(F.col("_frequent") | F.col(key).isNull() | maybe_known(rest, [key], n_keys))
+    n, rare = len(deltas), F.when(F.col("_frequent").isNull(), F.col(key))
+    first = found.withColumn("_rare", rare).groupBy(*carried, "_rare").agg(
+        F.sum(F.when(known, F.col("tf"))).alias("_n"), F.sum(F.col(key).isNull().cast("bigint")).alias("_k"), F.sum("tf").alias("tf"),
+        *[F.sum(F.when(known, F.col("tf") * d)).alias(f"_d{i}") for i, d in enumerate(deltas)]).withColumnRenamed("_rare", key)
+    joined = model_join(first, rest, [key], carried, table_bytes, weight=weight, how="left")
+    own = F.col(key).isNull()
+    sums = joined.groupBy(*carried).agg(
+        F.coalesce(F.sum(F.when(own, F.col("_n")).when(known, F.col("tf"))), _zero()).alias("_len"),
+        F.sum(F.when(own, F.col("_k")).otherwise(_zero())).alias("_m"),
+        *[F.sum(F.when(own, F.col(f"_d{i}")).when(known, F.col("tf") * d)).alias(f"_s{i}") for i, d in enumerate(deltas)])
+    return _shares(sums, carried, n)
+
+
+def wide_join_sums(tokens: Callable[[], DataFrame], bags: Callable[[], DataFrame], table: DataFrame, key: str,
+                   carried: Sequence[str], table_bytes: int | None, weight: str, n_keys: int, deltas: Sequence[Column],
+                   known: Column, salt: int | None = None, total: int | None = None) -> DataFrame:
+    """``wide_sums`` of the rows joined to ``table``: by ``tokens`` (a row per token) where the table, or its
+    frequent keys, are broadcast, else by ``bags`` through ``model_join``."""
+    marker = F.col(key).isNull()
+    limit = broadcast_limit(table.sparkSession)
+    if table_bytes is not None and limit > 0 and salt is None:
+        if table_bytes <= limit:
+            joined = model_join(tokens(), table, [key], carried, table_bytes, weight=weight, how="left")
+            return wide_sums(joined, marker, carried, deltas, known)
+        least, rows = frequent_keys(table, weight, n_keys, table_bytes, limit), tokens()
+        if least is not None and not rows.isStreaming:
+            return frequent_first(rows, table, key, carried, table_bytes, weight, n_keys, least, deltas, known)
+    joined = model_join(bags(), table, [key], carried, table_bytes, salt, weight=weight, n_keys=n_keys, how="left", total=total)
+    return wide_sums(joined, marker, carried, deltas, known)
 
 
 def wide_scores(sums: DataFrame, carried: Sequence[str], priors: Sequence[Column], defaults: Sequence[Column]) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import fixed_log
-from tallybayes.functions.text import bag_rows
+from tallybayes.functions.text import bag_rows, token_marks, tokens
 from tallybayes.operators import scoring
 from tallybayes.operators.model import MARKER, MultinomialModel, best_of_known, class_list, local_frame, materialize
 
+# Classes times folds up to which a term's counts are a column each.
+CELLS = 64
+
 
 def replication_study(model: MultinomialModel, test: DataFrame, id_cols: Sequence[str],
                       factors: Sequence[int], text_col: str = "text",
@@ -139,6 +142,10 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
                     text_col, F.xxhash64(F.col(text_col)).alias(scoring.ROW))
     label_list, n_rows = _fold_counts(spark, d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect(), k, labels)
     c_n, at = len(label_list), _Folds(k, len(label_list))
+    if strategy == "auto":
+        strategy = "wide" if c_n <= scoring.WIDE_CLASSES else "sparse"
+    if strategy == "wide" and min_df <= 1 and 0 < c_n * k <= CELLS:
+        return _cross_validate_cells(d, id_cols, k, text_col, float(alpha), label_list, n_rows, materialize_as)
     index = local_frame(spark, [(l, i) for i, l in enumerate(label_list)], "label string, label_idx int")
     counted = bag_rows(d, text_col, ["fold", "label"]).groupBy("label", "term").agg(
         _slots(F.col("tf"), k).alias("c"), _slots(F.lit(1).cast("bigint"), k).alias("n"))
@@ -180,8 +187,6 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
         return scoring.model_join(bags, table, ["term"], carried, n_bytes + n_terms * (64 + k + c_n * (overhead + 8 * k)),
                                   weight="df", n_keys=n_terms, how="left")
 
-    if strategy == "auto":
-        strategy = "wide" if c_n <= scoring.WIDE_CLASSES else "sparse"
     if strategy == "wide":
         # the classes' arrays laid end to end, 0 for a class that never saw the term
         none = F.array_repeat(F.lit(0).cast("bigint"), k)
@@ -198,6 +203,62 @@ def cross_validate_multinomial(docs: DataFrame, id_cols: Sequence[str], k: int,
     return scoring.finish(sums_s, best, label_list, keep)
 
 
+def _cross_validate_cells(d: DataFrame, id_cols: Sequence[str], k: int, text_col: str, alpha: float,
+                          labels: Sequence[str], n_rows: Sequence[int], materialize_as: str) -> DataFrame:
+    """``cross_validate_multinomial`` for few folds and classes, without a least document frequency.
+
+    A term is known to a fold's model if the other folds hold it at all, so tokens are counted as they come, without
+    a bag per document; a term's counts are one number per class and fold, class by class. Terms of one
+    fold alone count for V and the totals, but no document scores by them: they are left out of the joined table.
+    """
+    spark, c_n = d.sparkSession, len(labels)
+    at = _Folds(k, c_n)
+    index = local_frame(spark, [(l, i) for i, l in enumerate(labels)], "label string, label_idx int")
+    own = [f"n{f}" for f in range(k)]
+    counted = d.select("fold", "label", F.explode(tokens(text_col)).alias("term")).groupBy("label", "term").agg(
+        *[F.count(F.when(F.col("fold") == f, 1)).alias(n) for f, n in enumerate(own)]).join(F.broadcast(index), "label")
+    cells = [(c, f, f"c{c}_{f}") for c in range(c_n) for f in range(k)]
+    zero = F.lit(0).cast("bigint")
+
+    def plus(names: Sequence[str]) -> Column:
+        return sum((F.col(n) for n in names[1:]), F.col(names[0]))
+
+    by_fold = [plus([n for _, g, n in cells if g == f]) for f in range(k)]
+    in_cells = counted.groupBy("term").agg(*[
+        F.coalesce(F.sum(F.when(F.col("label_idx") == c, F.col(own[f]))), zero).alias(n) for c, f, n in cells])
+    terms = materialize(in_cells.select("*", plus([n for _, _, n in cells]).alias("cnt")).select(
+        "*", (F.greatest(zero, *by_fold) < F.col("cnt")).alias("shared")), materialize_as, "cv-cells")
+    summed = terms.select("*", *[plus([n for b, _, n in cells if b == c]).alias(f"t{c}") for c in range(c_n)])
+    left, shared = [F.col("cnt") - n for n in by_fold], F.col("shared")
+    size = F.octet_length("term").cast("bigint")
+    found = summed.agg(
+        *[F.coalesce(F.sum(F.col(f"t{c}") - F.col(n)), zero).alias(n) for c, _, n in cells],
+        *[F.count(F.when(left[f] > 0, 1)).alias(f"v{f}") for f in range(k)],
+        F.count(F.when(shared, 1)).alias("n"), F.coalesce(F.sum(F.when(shared, size)), zero).alias("b")).first()
+    n_tokens = [int(found[f"c{c}_{f}"]) for f in range(k) for c in range(c_n)]
+    v_of = [int(found[f"v{f}"]) for f in range(k) for _ in range(c_n)]
+    a = F.lit(alpha)
+    stats = _fold_stats(spark, n_rows, c_n, {"t": (n_tokens, "bigint"), "v": (v_of, "bigint")},
+                        {"default_q": fixed_log(a / (F.col("t") + a * F.col("v")))})
+    priors, defaults = [r["prior_q"] for r in stats], [r["default_q"] for r in stats]
+
+    def delta(c: int, f: int, name: str) -> Column:
+        i, cnt = f * c_n + c, F.col(f"t{c}") - F.col(name)
+        total = F.lit(n_tokens[i]).cast("bigint") + a * F.lit(v_of[i]).cast("bigint")
+        return F.when(cnt > 0, fixed_log((cnt + a) / total) - F.lit(defaults[i]).cast("bigint")).otherwise(zero)
+
+    n_terms = int(found["n"])
+    table = summed.filter(shared).select("term", "cnt", F.array(*[delta(*x) for x in cells]).alias("d"))
+    carried = [*id_cols, scoring.ROW, "fold", "label"]
+    sums = scoring.wide_join_sums(
+        lambda: token_marks(d, text_col, carried), lambda: bag_rows(d, text_col, carried, markers=True), table, "term", carried,
+        int(found["b"]) + n_terms * (64 + 8 * len(cells)), "cnt", n_terms,
+        [F.get("d", F.lit(c * k) + F.col("fold")) for c in range(c_n)], F.col("d").isNotNull())
+    scored = scoring.wide_scores(sums, carried, [at.of(priors, "bigint", c) for c in range(c_n)],
+                                 [at.of(defaults, "bigint", c) for c in range(c_n)])
+    return scoring.finish(scored, scoring.argmax_struct([F.col(f"_q{c}") for c in range(c_n)]), labels, [*id_cols, "fold", "label"])
+
+
 def cross_validate_categorical(rows: DataFrame, spec, k: int, fold_col: str = "fold",
                                alpha: float = 1.0, labels: Sequence[str] | None = None,
                                materialize_as: str = "cache", strategy: str = "auto") -> DataFrame:
