@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybayes.functions.logmath import LOG_SCALE, fixed_log, safe_ln
-from tallybayes.functions.text import bag_rows
+from tallybayes.functions.text import bag_rows, counted_tokens, token_marks
 from tallybayes.operators import scoring
 from tallybayes.session import scratch_dir
 
@@ -192,9 +192,14 @@ class MultinomialModel:
                      keep: Sequence[str] = (), words_col: str | None = None) -> DataFrame:
         """``(ids…, keep…, _q0.._q{C-1})`` fixed-point class scores (wide strategy)."""
         bags, carried = self.bags(docs, id_cols, text_col, keep, words_col)
-        joined = self.joined(bags, carried, self.term_table())
-        sums = scoring.wide_sums(joined, F.col("term").isNull(), carried, [F.get("d", F.lit(c)) for c in range(self.n_classes)],
-                                 F.col("d").isNotNull())
+        deltas, known = [F.get("d", F.lit(c)) for c in range(self.n_classes)], F.col("d").isNotNull()
+        if words_col or self.law.weight is not MULTINOMIAL.weight or docs.isStreaming:
+            sums = scoring.wide_sums(self.joined(bags, carried, self.term_table()), F.col("term").isNull(), carried, deltas, known)
+        else:
+            rows = docs.select(*carried[:-1], F.xxhash64(F.col(text_col)).alias(scoring.ROW), F.col(text_col).alias("_text"))
+            sums = scoring.wide_join_sums(
+                lambda: token_marks(rows, "_text", carried), lambda: bags, self.term_table(), "term", carried,
+                self.table_bytes(), "df", self.vocab_size, deltas, known, self.salt, self.total_df)
         return scoring.wide_scores(sums, carried, self.priors(), self.defaults()).drop(scoring.ROW)
 
     def sparse_sums(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
@@ -280,13 +285,15 @@ def class_term_counts(train: DataFrame, label_col: str = "label", text_col: str
                       words_col: str | None = None) -> DataFrame:
     """``(label, term, cnt, df_c)``: occurrences and documents per (class, term).
 
-    Bags are built in the row, then one partially aggregated shuffle keyed by
-    (class, term): a hot term contributes one row per map task, not per token.
+    One partially aggregated shuffle keyed by (class, term): a hot term contributes one row per map
+    task, not per token. Texts' tokens are summed as they come, without a sorted bag per document.
     """
-    bags = bag_rows(train.withColumn("label", F.col(label_col).cast("string")), text_col,
-                    ["label"], words=F.col(words_col) if words_col else None)
-    return bags.groupBy("label", "term").agg(F.sum("tf").alias("cnt"),
-                                             F.count(F.lit(1)).alias("df_c"))
+    rows = train.withColumn("label", F.col(label_col).cast("string"))
+    if words_col:
+        counted = bag_rows(rows, text_col, ["label"], words=F.col(words_col)).withColumn("df", F.lit(1).cast("bigint"))
+    else:
+        counted = counted_tokens(rows, text_col, ["label"])
+    return counted.groupBy("label", "term").agg(F.sum("tf").alias("cnt"), F.sum("df").alias("df_c"))
 
 
 def class_list(found: dict, labels: Sequence[str] | None) -> list[str]:

@@ -1,10 +1,14 @@
 """Tokens counted as they come; frequent keys broadcast before the shuffle join of the others."""
 
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallybayes.operators import scoring
 from tallybayes.operators import validation as V
+from tallybayes.operators.model import class_term_counts, fit_multinomial
 
 LIMIT = "spark.tallybayes.modelBroadcastBytes"
 
@@ -47,3 +51,24 @@ def test_cross_validation_by_tokens_equals_the_sparse_plan(spark, limit, broadca
     assert ("_frequent" in _plan(got)) == (1 < broadcast < 1 << 20)
     assert ("sort_array(coalesce(regexp" in _plan(got)) == (broadcast == 1)
     assert _rows(got) == want and len(want) == len(_texts())
+
+
+@pytest.mark.parametrize("broadcast", [1, 2000, 8000, 1 << 20])
+def test_wide_scoring_equals_the_sparse_plan(spark, limit, broadcast):
+    m = fit_multinomial(_docs(spark).filter("fold > 0"))
+    want = _rows(m.transform(_docs(spark), ["doc_id"], keep=["label"], strategy="sparse"))
+    limit(broadcast)
+    got = m.transform(_docs(spark), ["doc_id"], keep=["label"])
+    assert ("_frequent" in _plan(got)) == (1 < broadcast < 1 << 20)
+    assert _rows(got) == want and len(want) == len(_texts())
+
+
+def test_training_counts_without_sorted_bags(spark):
+    cnt, df_c = Counter(), Counter()
+    for _, label, text, _ in _texts():
+        words = re.findall(r"\w{2,}", (text or "").lower())
+        cnt.update((label, w) for w in words)
+        df_c.update((label, w) for w in set(words))
+    got = class_term_counts(_docs(spark))
+    assert {(r["label"], r["term"]): (r["cnt"], r["df_c"]) for r in got.collect()} == {x: (cnt[x], df_c[x]) for x in cnt}
+    assert "sort_array" not in _plan(got)
