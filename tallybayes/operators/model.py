@@ -178,9 +178,8 @@ class MultinomialModel:
              words_col: str | None = None) -> tuple[DataFrame, list[str]]:
         """Weighted bags with marker rows, and their columns; ``ROW`` tells rows of one id apart by their text."""
         cols = [*id_cols, *[k for k in keep if k not in id_cols]]
-        rows = docs.select(*cols, F.xxhash64(F.col(words_col or text_col)).alias(scoring.ROW),
-                           F.col(words_col or text_col).alias("_text"))
         carried = [*cols, scoring.ROW]
+        rows = self._rows(docs, carried, words_col or text_col)
         bags = bag_rows(rows, "_text", carried, markers=True, words=F.col("_text") if words_col else None)
         return bags.withColumn("tf", self.law.weight(F.col("tf"))), carried
 
@@ -188,6 +187,36 @@ class MultinomialModel:
         return scoring.model_join(bags, table, ["term"], carried, self.table_bytes(bytes_per_class), self.salt,
                                   weight="df", n_keys=self.vocab_size, how="left", total=self.total_df)
 
+    def known_terms(self, docs: DataFrame, id_cols: Sequence[str], text_col: str, keep: Sequence[str]) -> DataFrame:
+        """``(ids…, keep…, ROW, tf, d or e, _m)``: the known terms of every text and a marker a text, unsummed:
+        what a stream can do without a state.  ``term_scores`` sums them."""
+        bags, carried = self.bags(docs, id_cols, text_col, keep)
+        if self.law.weight is MULTINOMIAL.weight:
+            bags = token_marks(self._rows(docs, carried, text_col), "_text", carried)
+        table = self.term_table() if self._wide() else self.entry_table()
+        return scoring.known_rows(bags, table, "term", carried, self.table_bytes(8 if self._wide() else 32),
+                                  "df", self.vocab_size, self.salt, self.total_df)
+
+    def term_scores(self, known: DataFrame, cols: Sequence[str]) -> DataFrame:
+        """``(cols…, prediction, score)`` of ``known_terms`` rows."""
+        carried = [*cols, scoring.ROW]
+        if not self._wide():
+            entries = scoring.entry_rows(known, F.col("_m"), carried, F.col("e").isNotNull())
+            sums = scoring.entry_sums(entries, carried)
+            return scoring.finish(sums, scoring.argmax_sparse(sums, *self.constants()), self.labels, cols)
+        deltas = [F.get("d", F.lit(c)) for c in range(self.n_classes)]
+        sums = scoring.wide_sums(known, F.col("_m"), carried, deltas, F.col("d").isNotNull())
+        scored = scoring.wide_scores(sums, carried, self.priors(), self.defaults())
+        return scoring.finish(scored, scoring.argmax_struct([F.col(f"_q{c}") for c in range(self.n_classes)]), self.labels, cols)
+
+    def _wide(self) -> bool:
+        return 0 < self.n_classes <= scoring.WIDE_CLASSES
+
+    @staticmethod
+    def _rows(docs: DataFrame, carried: Sequence[str], text_col: str) -> DataFrame:
+        """``(carried…, _text)``; ``ROW`` tells rows of one id apart by their text."""
+        return docs.select(*carried[:-1], F.xxhash64(F.col(text_col)).alias(scoring.ROW), F.col(text_col).alias("_text"))
+
     def class_scores(self, docs: DataFrame, id_cols: Sequence[str], text_col: str = "text",
                      keep: Sequence[str] = (), words_col: str | None = None) -> DataFrame:
         """``(ids…, keep…, _q0.._q{C-1})`` fixed-point class scores (wide strategy)."""
@@ -196,7 +225,7 @@ class MultinomialModel:
         if words_col or self.law.weight is not MULTINOMIAL.weight or docs.isStreaming:
             sums = scoring.wide_sums(self.joined(bags, carried, self.term_table()), F.col("term").isNull(), carried, deltas, known)
         else:
-            rows = docs.select(*carried[:-1], F.xxhash64(F.col(text_col)).alias(scoring.ROW), F.col(text_col).alias("_text"))
+            rows = self._rows(docs, carried, text_col)
             sums = scoring.wide_join_sums(
                 lambda: token_marks(rows, "_text", carried), lambda: bags, self.term_table(), "term", carried,
                 self.table_bytes(), "df", self.vocab_size, deltas, known, self.salt, self.total_df)

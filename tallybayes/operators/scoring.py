@@ -154,8 +154,8 @@ def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
     once a slot.  The slots are looked up by key hash in a broadcast list of
     at most HOT_KEYS pairs of integers (160 kB).  Rows whose keys a Bloom filter of the table's (``n_keys``)
     doesn't know don't enter the shuffle, so an unknown hot key gathers nowhere; the scored rows
-    are never counted beforehand.  Tables without weights, sessions that switch
-    broadcasts off, and streams deal every key over ``salt`` slots.
+    are never counted beforehand.  Tables without weights and sessions that switch
+    broadcasts off deal every key over ``salt`` slots.
     """
     spark = bags.sparkSession
     keys = list(key_cols)
@@ -164,7 +164,7 @@ def model_join(bags: DataFrame, table: DataFrame, key_cols: Sequence[str],
     if table_bytes is not None and 0 < table_bytes <= limit:
         return bags.join(F.broadcast(table.select(*keys, *payload)), keys, how)
     row, one = F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(1).cast("bigint")
-    if weight is None or bags.isStreaming or limit < 0:
+    if weight is None or limit < 0:
         n = F.lit(salt or int(spark.conf.get("spark.tallybayes.saltBuckets", str(DEFAULT_SALT_BUCKETS)))).cast("bigint")
         dealt, slots = bags.withColumn("_slots", n), table.withColumn("_slots", n)
     else:
@@ -232,6 +232,31 @@ def frequent_keys(table: DataFrame, weight: str, n_keys: int, table_bytes: int,
     return None if least is None else 1 << least
 
 
+def known_rows(rows: DataFrame, table: DataFrame, key: str, carried: Sequence[str], table_bytes: int | None,
+               weight: str, n_keys: int, salt: int | None = None, total: int | None = None) -> DataFrame:
+    """``(carried…, tf, payload…, _m)``: the rows whose key the table has, with its other columns, and the markers
+    (``_m``); nothing is summed, so ``rows`` may be a stream.
+
+    Where the table is above the broadcast cap, its most frequent keys are broadcast and their rows stay in the task that
+    read them; only rows of the others enter the shuffle join.
+    """
+    payload = [c for c in table.columns if c not in (key, weight)]
+    out = [*carried, "tf", *payload, F.col(key).isNull().alias("_m")]
+    limit = broadcast_limit(table.sparkSession)
+    least = None
+    if table_bytes is not None and 0 < limit < table_bytes and salt is None:
+        least = frequent_keys(table, weight, n_keys, table_bytes, limit)
+    if least is None:
+        joined = model_join(rows, table, [key], carried, table_bytes, salt, weight=weight, n_keys=n_keys, how="left", total=total)
+        return joined.filter(F.col(key).isNull() | F.col(payload[0]).isNotNull()).select(out)
+    frequent = table.filter(F.col(weight) >= least).select(key, *payload, F.lit(True).alias("_frequent"))
+    rest = table.filter(F.col(weight) < least)
+    found = rows.join(F.broadcast(frequent), key, "left")
+    others = found.filter(F.col("_frequent").isNull() & F.col(key).isNotNull()).select(rows.columns)
+    joined = model_join(others, rest, [key], carried, table_bytes, weight=weight, n_keys=n_keys, total=total)
+    return found.filter(F.col("_frequent") | F.col(key).isNull()).select(out).unionByName(joined.select(out))
+
+
 def frequent_first(bags: DataFrame, table: DataFrame, key: str, carried: Sequence[str], table_bytes: int,
                    weight: str, n_keys: int, least: int, deltas: Sequence[Column], known: Column) -> DataFrame:
     """``wide_sums`` of rows with markers for a table above the broadcast cap.

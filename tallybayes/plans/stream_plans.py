@@ -7,7 +7,7 @@ from tallybayes.operators.model import fit_multinomial
 from tallybayes.plans import text_plans
 from tallybayes.plans.fixtures import ALPHA, quality_docs, table
 from tallybayes.session import scratch_dir
-from tallybayes.streaming import score_stream, stream_path, stream_scores
+from tallybayes.streaming import batch_bytes, score_stream, stream_path, stream_scores
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -19,7 +19,7 @@ def q_nb_predict_stream(spark, sf_dir):
     labeled = table(spark, sf_dir, "labels").select("doc_id")
     path = f"{sf_dir.rstrip('/')}/documents.parquet"
     stream = (spark.readStream.schema(spark.read.parquet(path).schema)
-              .option("maxFilesPerTrigger", 1).parquet(stream_path(path)))
+              .option("maxBytesPerTrigger", batch_bytes(model, spark)).parquet(stream_path(path)))
     base = scratch_dir(spark, "stream")
     query = score_stream(model, stream.select("doc_id", "text"), ["doc_id"], base,
                          prepare=lambda b: b.join(labeled, "doc_id", "left_anti"))

@@ -2,8 +2,9 @@
 
 The per-token work (tokenize, in-row bag, lookup in the model) is stateless,
 so it runs as a streaming query: a stream-static join of each arriving
-document's bag and marker to the model's sparse term table, whose (class, delta) pairs are written
-with the parquet file sink.  Marker and contributions of a
+document's tokens and marker to the model's term table, whose deltas (an array over the classes, or
+(class, delta) pairs of many classes) are written with the parquet file sink.  The table's most frequent terms are broadcast;
+only tokens of the others are shuffled.  Marker and contributions of a
 document belong to one micro-batch of one sink, which is exactly-once through its
 checkpoint and commit log: a document is either complete in it or absent.  The
 per-document sums and the argmax are then a batch step over what the
@@ -17,11 +18,8 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybayes.operators import scoring
-
 
 def stream_path(path: str) -> str:
     """``path`` as a stream's source, be it one file or a folder of files.
@@ -32,6 +30,19 @@ def stream_path(path: str) -> str:
     return f"{head}[{last}]"
 
 
+# Bytes of input that a micro-batch has for each core, at least: two whole splits.
+CORE_BYTES = 256 << 20
+
+
+def batch_bytes(model, spark: SparkSession) -> int:
+    """Input of a micro-batch, as a file source's ``maxBytesPerTrigger``.
+
+    Every micro-batch reads the model's table, so it has at least as many bytes: all micro-batches together read no
+    more of the model than of the stream, however both grow.
+    """
+    return max(CORE_BYTES * spark.sparkContext.defaultParallelism, model.table_bytes(32) or 0)
+
+
 def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: str,
                  text_col: str = "text", keep: Sequence[str] = (),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
@@ -39,10 +50,7 @@ def score_stream(model, stream: DataFrame, id_cols: Sequence[str], base_path: st
     """Start the file-sink query under ``base_path``.  ``prepare`` may
     filter or join the stream with static tables first (stateless)."""
     rows = prepare(stream) if prepare is not None else stream
-    bags, carried = model.bags(rows, id_cols, text_col, keep)
-    joined = model.joined(bags, carried, model.entry_table(), 32)
-    entries = scoring.entry_rows(joined, F.col("term").isNull(), carried, F.col("e").isNotNull())
-    w = (entries.writeStream.format("parquet").option("path", f"{base_path}/scored")
+    w = (model.known_terms(rows, id_cols, text_col, keep).writeStream.format("parquet").option("path", f"{base_path}/scored")
          .option("checkpointLocation", f"{base_path}/_checkpoints/scored"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
@@ -53,5 +61,4 @@ def stream_scores(model, spark: SparkSession, base_path: str, id_cols: Sequence[
     """Predictions ``(ids…, keep…, prediction, score)`` for every document the
     stream has committed so far."""
     cols = [*id_cols, *[k for k in keep if k not in id_cols]]
-    sums = scoring.entry_sums(spark.read.parquet(f"{base_path}/scored"), [*cols, scoring.ROW])
-    return scoring.finish(sums, scoring.argmax_sparse(sums, *model.constants()), model.labels, cols)
+    return model.term_scores(spark.read.parquet(f"{base_path}/scored"), cols)
