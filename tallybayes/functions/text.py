@@ -37,8 +37,7 @@ def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = (), markers: bo
     column of terms (of any type) in place of the tokens of ``text_col``.
     """
     keep = list(keep)
-    found = tokens(text_col) if words is None else F.filter(F.coalesce(words, F.array()), lambda w: w.isNotNull())
-    s = df.select(*keep, F.sort_array(found).alias("_s"))
+    s = df.select(*keep, F.sort_array(_terms(text_col, words)).alias("_s"))
     st = s.select(*keep, "_s", F.filter(
         F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
         lambda i: (i == 1) | (F.try_element_at("_s", i) != F.try_element_at("_s", i - 1)),
@@ -61,18 +60,28 @@ def bag_rows(df: DataFrame, text_col: str, keep: Sequence[str] = (), markers: bo
         F.sequence(F.lit(1), F.greatest("_m", F.lit(1))), entry))).filter(F.col("term").isNotNull())
 
 
-def token_marks(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+def _terms(text_col: str, words: Column | None) -> Column:
+    return tokens(text_col) if words is None else F.filter(F.coalesce(words, F.array()), lambda w: w.isNotNull())
+
+
+def distinct_terms(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep…, term)``: one row per distinct term of each row's text, for callers that count documents only."""
+    return df.select(*keep, F.explode(F.array_distinct(tokens(text_col))).alias("term"))
+
+
+def token_marks(df: DataFrame, text_col: str, keep: Sequence[str] = (), words: Column | None = None) -> DataFrame:
     """``(keep…, term, tf)``: a row with ``tf`` 1 per token, repeats kept, and a marker (NULL term, ``tf`` 0) per
     input row: ``bag_rows`` with markers for callers that sum by row and term anyway, without its sort."""
-    marked = F.concat(F.array(F.lit(None).cast("string")), tokens(text_col))
-    return df.select(*keep, F.explode(marked).alias("term")).select(
+    found = df.select(*keep, _terms(text_col, words).alias("_t"))
+    none = F.lit(None).cast(found.schema["_t"].dataType.elementType)
+    return found.select(*keep, F.explode(F.concat(F.array(none), "_t")).alias("term")).select(
         *keep, "term", F.when(F.col("term").isNull(), 0).otherwise(1).cast("bigint").alias("tf"))
 
 
-def counted_tokens(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+def counted_tokens(df: DataFrame, text_col: str, keep: Sequence[str] = (), words: Column | None = None) -> DataFrame:
     """``(keep…, term, tf, df)`` for callers that sum both by term: a row with ``tf`` 1 per token, and one
     with ``df`` 1 per distinct token of each row's text."""
-    found = df.select(*keep, tokens(text_col).alias("_t"))
+    found = df.select(*keep, _terms(text_col, words).alias("_t"))
     both = found.select(*keep, "_t", F.array_distinct("_t").alias("_u"))
     rows = both.select(*keep, F.size("_u").alias("_m"), F.posexplode(F.concat("_u", "_t")).alias("_p", "term"))
     own = (F.col("_p") < F.col("_m")).cast("bigint")

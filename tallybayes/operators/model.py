@@ -222,12 +222,12 @@ class MultinomialModel:
         """``(ids…, keep…, _q0.._q{C-1})`` fixed-point class scores (wide strategy)."""
         bags, carried = self.bags(docs, id_cols, text_col, keep, words_col)
         deltas, known = [F.get("d", F.lit(c)) for c in range(self.n_classes)], F.col("d").isNotNull()
-        if words_col or self.law.weight is not MULTINOMIAL.weight or docs.isStreaming:
+        if self.law.weight is not MULTINOMIAL.weight or docs.isStreaming:
             sums = scoring.wide_sums(self.joined(bags, carried, self.term_table()), F.col("term").isNull(), carried, deltas, known)
         else:
-            rows = self._rows(docs, carried, text_col)
+            rows = self._rows(docs, carried, words_col or text_col)
             sums = scoring.wide_join_sums(
-                lambda: token_marks(rows, "_text", carried), lambda: bags, self.term_table(), "term", carried,
+                lambda: token_marks(rows, "_text", carried, F.col("_text") if words_col else None), lambda: bags, self.term_table(), "term", carried,
                 self.table_bytes(), "df", self.vocab_size, deltas, known, self.salt, self.total_df)
         return scoring.wide_scores(sums, carried, self.priors(), self.defaults()).drop(scoring.ROW)
 
@@ -318,10 +318,7 @@ def class_term_counts(train: DataFrame, label_col: str = "label", text_col: str
     task, not per token. Texts' tokens are summed as they come, without a sorted bag per document.
     """
     rows = train.withColumn("label", F.col(label_col).cast("string"))
-    if words_col:
-        counted = bag_rows(rows, text_col, ["label"], words=F.col(words_col)).withColumn("df", F.lit(1).cast("bigint"))
-    else:
-        counted = counted_tokens(rows, text_col, ["label"])
+    counted = counted_tokens(rows, text_col, ["label"], F.col(words_col) if words_col else None)
     return counted.groupBy("label", "term").agg(F.sum("tf").alias("cnt"), F.sum("df").alias("df_c"))
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tallybayes.functions.text import bag_rows, tokens
+from tallybayes.functions.text import bag_rows, distinct_terms, tokens
 from tallybayes.operators.ranking import range_rank
-from tallybayes.operators.scoring import ROW, model_join
+from tallybayes.operators.scoring import ROW, broadcast_limit, frequent_keys, model_join
 
 
 def tokenize(docs: DataFrame, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
@@ -64,17 +64,20 @@ def label_index(df: DataFrame, label_col: str = "label") -> DataFrame:
         "label", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint").alias("idx"))
 
 
-def _place_rows(docs: DataFrame, carried: Sequence[str], text_col: str) -> DataFrame:
-    """``(carried…, term, at)``: one row per distinct term of a row's text with its places, and one
-    without a term for the row itself."""
-    s = docs.select(*carried, F.sort_array(F.transform(tokens(text_col), lambda t, i: F.struct(t.alias("t"), i.alias("i")))).alias("_s"))
-    st = s.select(*carried, "_s", F.filter(F.sequence(F.lit(0), F.size("_s")), lambda i: (i == 0) | (i == F.size("_s")) | (
-        F.get("_s", i)["t"] != F.get("_s", i - 1)["t"])).alias("_b"))
-    none = F.struct(F.lit(None).cast("string").alias("term"), F.array().cast("array<int>").alias("at"))
-    runs = F.transform(F.sequence(F.lit(0), F.size("_b") - 2), lambda j: F.struct(
-        F.get("_s", F.get("_b", j))["t"].alias("term"),
-        F.transform(F.slice("_s", F.get("_b", j) + 1, F.get("_b", j + 1) - F.get("_b", j)), lambda x: x["i"]).alias("at")))
-    return st.select(*carried, F.inline(F.when(F.size("_s") > 0, F.concat(F.array(none), runs)).otherwise(F.array(none))))
+def _index_parts(vocab: DataFrame) -> tuple[DataFrame | None, DataFrame | None, Row]:
+    """``(frequent, rest, size)``: the vocabulary's part for a broadcast, and the other one; either may be None."""
+    weighted = "df" in vocab.columns
+    table = vocab.select("term", F.col("idx").cast("bigint").alias("idx"), *(["df"] if weighted else []))
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("b"),
+                     F.coalesce(F.sum("df") if weighted else F.lit(0), F.lit(0)).alias("df"),
+                     F.coalesce(F.min("idx"), F.lit(0)).alias("lo"), F.coalesce(F.max("idx"), F.lit(0)).alias("hi")).first()
+    table_bytes, limit = int(size["b"]) + 72 * int(size["n"]), broadcast_limit(vocab.sparkSession)
+    if table_bytes <= limit:
+        return table, None, size
+    least = frequent_keys(table, "df", int(size["n"]), table_bytes, limit) if weighted and limit > 0 else None
+    if least is None:
+        return None, table, size
+    return table.filter(F.col("df") >= least), table.filter(F.col("df") < least), size
 
 
 def vectorize_arrays(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str], text_col: str = "text",
@@ -82,24 +85,40 @@ def vectorize_arrays(docs: DataFrame, vocab: DataFrame, id_cols: Sequence[str],
     """Bag of indices, array form ``(ids…, keep…, words array<bigint>)``, one row per input row: OOV tokens
     dropped, repeats and text order kept.
 
-    A text's distinct terms meet the vocabulary once each, with their places; the vocabulary's document frequencies
-    (``df``) tell which terms to deal over slots (``model_join``).  Rows that share their ids are told apart by a hash
-    of the text.
+    Texts are shuffled once, whole, by their row.  Tokens meet the vocabulary's most frequent terms (``df``; as many as may be
+    broadcast) in the task that holds their text and are gathered there; only tokens of rarer terms are shuffled, to their term
+    and back.  Rows that share their ids are told apart by a hash of the text.
     """
     cols = [*id_cols, *[k for k in keep if k not in id_cols]]
-    carried = [*cols, ROW]
-    rows = _place_rows(docs.withColumn(ROW, F.xxhash64(F.col(text_col))), carried, text_col)
-    weight = "df" if "df" in vocab.columns else None
-    table = vocab.select("term", "idx", *([weight] if weight else []))
-    joined = model_join(rows, table, ["term"], carried, weight=weight, how="left")
-    per_row = joined.groupBy(*carried).agg(F.sum(F.col("term").isNull().cast("bigint")).alias("_m"), F.collect_list(
-        F.when(F.col("idx").isNotNull(), F.struct("idx", "at"))).alias("_w"))
-    placed = per_row.select(*cols, "_m", F.sort_array(F.flatten(F.transform("_w", lambda w: F.transform(
-        w["at"], lambda i: F.struct(i.alias("i"), w["idx"].alias("idx")))))).alias("_p"))
-    # exact copies have each place once a copy, side by side once sorted (array_distinct compares all pairs of structs)
-    once = F.filter("_p", lambda x, j: (j == 0) | (x["i"] != F.get("_p", j - 1)["i"]))
-    words = placed.select(*cols, "_m", F.transform(F.when(F.col("_m") > 1, once).otherwise(F.col("_p")), lambda x: x["idx"])
-                          .cast("array<bigint>").alias(words_col))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # one column that is never NULL, so that the join of both sides needs no other partitioning
+    rows = docs.select(F.struct(*cols, F.xxhash64(F.col(text_col)).alias(ROW)).alias("_row_key"), F.col(text_col).alias("_text")) \
+        .repartition(parts, "_row_key")
+    # place 0 is the marker of the row itself
+    marked = F.concat(F.array(F.lit(None).cast("string")), tokens("_text"))
+    found = rows.select("_row_key", F.posexplode(marked).alias("i", "term"))
+    frequent, rest, size = _index_parts(vocab)
+    if frequent is None:
+        found = found.withColumn("idx", F.lit(None).cast("bigint"))
+    else:
+        found = found.join(F.broadcast(frequent.select("term", "idx")), "term", "left")
+    # place and index as one number; a place is under 2^31
+    span = int(size["hi"]) - int(size["lo"]) + 1
+    kind = "bigint" if span <= 1 << 32 else "decimal(20,0)"
+    low, wide = F.lit(int(size["lo"])).cast(kind), F.lit(str(span)).cast(kind)
+    at = F.col("i").cast(kind) * wide + (F.col("idx").cast(kind) - low)
+    per_row = found.groupBy("_row_key").agg(F.sum(F.col("term").isNull().cast("bigint")).alias("_m"), F.collect_list(at).alias("_w"))
+    if rest is not None:
+        weight = "df" if "df" in rest.columns else None
+        others = found.filter(F.col("term").isNotNull() & F.col("idx").isNull()).select("_row_key", "i", "term")
+        rare = model_join(others, rest, ["term"], ["_row_key", "i"], weight=weight, n_keys=int(size["n"]), total=int(size["df"]))
+        per_row = per_row.join(rare.groupBy("_row_key").agg(F.collect_list(at).alias("_r")), "_row_key", "left") \
+            .withColumn("_w", F.when(F.col("_r").isNull(), F.col("_w")).otherwise(F.concat("_w", "_r")))
+    placed = per_row.select("_row_key", "_m", F.sort_array("_w").alias("_p"))
+    # exact copies have each place once a copy, side by side once sorted
+    once = F.filter("_p", lambda x, j: (j == 0) | (x != F.get("_p", j - 1)))
+    words = placed.select(*[F.col("_row_key")[c].alias(c) for c in cols], "_m", F.transform(
+        F.when(F.col("_m") > 1, once).otherwise(F.col("_p")), lambda x: (x % wide + low).cast("bigint")).alias(words_col))
     return words.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m")))).drop("_copy", "_m")
 
 
@@ -123,7 +142,7 @@ def prepare_text(docs: DataFrame, id_cols: Sequence[str], text_col: str = "text"
     or ``keep`` (label_idx NULL).
     """
     train = docs.filter(F.col(test_flag) == 0)
-    vocab = vocabulary(doc_term_counts(train, id_cols, text_col), min_df=min_df)
+    vocab = vocabulary(distinct_terms(train, text_col), min_df=min_df)
     labels = label_index(train, label_col).withColumnRenamed("idx", "label_idx")
     told = docs.withColumn("label", F.col(label_col).cast("string"))
     words = vectorize_arrays(told, vocab, id_cols, text_col, keep=[test_flag, "label"])

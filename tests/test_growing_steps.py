@@ -4,8 +4,11 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallybayes.functions.text import distinct_terms
 from tallybayes.operators.model import BINARY, fit_multinomial
+from tallybayes.operators.text import prepare_text, vectorize_arrays, vocabulary
 from tallybayes.plans import stream_plans, text_plans
 from tallybayes.streaming import batch_bytes, score_stream, stream_scores
 
@@ -75,3 +78,30 @@ def test_a_micro_batch_has_at_least_the_models_bytes(spark):
     small = batch_bytes(m, spark)
     m.vocab_bytes = 1 << 50
     assert batch_bytes(m, spark) > 1 << 50 > small > 0
+
+
+@pytest.mark.parametrize("broadcast", [1, 4000, 1 << 20])
+@pytest.mark.parametrize("start,step", [(0, 1), (-5, 1 << 52)])
+def test_index_arrays_with_frequent_terms_broadcast(spark, limit, broadcast, start, step):
+    docs = _docs(spark)
+    vocab = vocabulary(distinct_terms(docs.filter("fold > 0"), "text")).withColumn("idx", F.col("idx") * F.lit(step) + F.lit(start))
+    index = {r["term"]: r["idx"] for r in vocab.collect()}
+    limit(broadcast)
+    got = vectorize_arrays(docs, vocab, ["doc_id"], keep=["label"])
+    want = [(d, c, [index[w] for w in re.findall(r"\w{2,}", (t or "").lower()) if w in index]) for d, c, t, _ in _texts()]
+    assert _rows(got) == sorted(want, key=repr)
+    # a text is shuffled whole, not a row a term with its places
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "sort_array(transform(" not in plan
+
+
+def test_training_and_scoring_on_index_arrays_without_sorted_bags(spark, limit):
+    rows = prepare_text(_docs(spark).withColumn("is_test", (F.col("fold") == 0).cast("bigint")), ["doc_id"])
+    train, test = rows.filter("is_test = 0"), rows.filter("is_test = 1")
+    want = _rows(fit_multinomial(_docs(spark).filter("fold > 0")).transform(_docs(spark).filter("fold = 0"), ["doc_id"], keep=["label"]))
+    m = fit_multinomial(train, words_col="words")
+    for broadcast in (1, 4000, 1 << 20):
+        limit(broadcast)
+        got = m.transform(test, ["doc_id"], keep=["label"], words_col="words")
+        assert ("_frequent" in got._jdf.queryExecution().toString()) == (broadcast == 4000)
+        assert _rows(got) == want
